@@ -1,0 +1,64 @@
+"""Run a Spark query and its DuckDB oracle; compare the results.
+
+Same rules as the driver's gate: column names, row count, and the values
+(order-insensitive, columns sorted by name).  Floats compare with a small
+relative tolerance.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+
+import duckdb
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return (0, "")
+    if isinstance(v, float):
+        if math.isnan(v):
+            return (1, "nan")
+        return (2, float(f"{v:.6g}"))
+    if isinstance(v, decimal.Decimal):
+        return (2, float(f"{float(v):.6g}"))
+    if isinstance(v, bool):
+        return (3, int(v))
+    if isinstance(v, int):
+        return (2, float(v)) if abs(v) < 2**53 else (4, v)
+    if isinstance(v, dt.datetime):
+        return (5, v.replace(tzinfo=None).isoformat())
+    if isinstance(v, dt.date):
+        return (6, v.isoformat())
+    return (7, str(v))
+
+
+def compare(spark_df, con, sql: str) -> tuple[bool, str]:
+    s_cols = spark_df.columns
+    rel = con.sql(sql)
+    d_cols = rel.columns
+    if sorted(s_cols) != sorted(d_cols):
+        return False, f"columns differ: spark {s_cols} vs duckdb {d_cols}"
+    order = sorted(s_cols)
+    s_rows = spark_df.select(*[f"`{c}`" for c in order]).collect()
+    d_idx = [d_cols.index(c) for c in order]
+    d_rows = rel.fetchall()
+    if len(s_rows) != len(d_rows):
+        return False, f"row count differs: spark {len(s_rows)} vs duckdb {len(d_rows)}"
+    s_set = sorted(tuple(_norm(v) for v in r) for r in s_rows)
+    d_set = sorted(tuple(_norm(r[i]) for i in d_idx) for r in d_rows)
+    for a, b in zip(s_set, d_set):
+        if a != b:
+            return False, f"first differing row: spark {a} vs duckdb {b}"
+    return True, f"{len(s_rows)} rows"

@@ -44,12 +44,31 @@ def _norm(v):
     return (7, str(v))
 
 
+# Spark type -> the DuckDB type of the same values.
+_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "float": "FLOAT",
+    "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
+def type_mismatches(spark_df, rel) -> list[str]:
+    s_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in spark_df.schema.fields}
+    d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return [f"{c}: spark {s_types[c]} vs duckdb {d_types.get(c)}"
+            for c in s_types if s_types[c] != d_types.get(c)]
+
+
 def compare(spark_df, con, sql: str) -> tuple[bool, str]:
     s_cols = spark_df.columns
     rel = con.sql(sql)
     d_cols = rel.columns
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark {s_cols} vs duckdb {d_cols}"
+    bad_types = type_mismatches(spark_df, rel)
+    if bad_types:
+        return False, f"types differ: {bad_types}"
     order = sorted(s_cols)
     s_rows = spark_df.select(*[f"`{c}`" for c in order]).collect()
     d_idx = [d_cols.index(c) for c in order]

@@ -1,0 +1,41 @@
+"""Plan shape: native expressions only, one de-duplication, pruned scans."""
+
+from arrivals.operators import transforms as J
+from arrivals.plans import checks
+from arrivals.sources import fixtures as FX
+from tests.conftest import SF_SMALL
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fact_has_no_python_and_one_distinct(spark):
+    p = plan(J.fact_arrivals(FX.raw_arrivals(spark, SF_SMALL)))
+    assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+    # one partial + one final aggregate for the distinct
+    assert p.count("HashAggregate") == 2
+
+
+def test_fact_scan_reads_only_needed_columns(spark):
+    p = plan(J.fact_arrivals(FX.raw_arrivals(spark, SF_SMALL)))
+    assert "o_totalprice" not in p and "c_acctbal" not in p and "c_name" not in p
+
+
+def test_country_filter_pushed_to_scan(spark, tmp_root):
+    path = f"{tmp_root}/t"
+    FX.raw_temperature(spark, SF_SMALL).write.parquet(path)
+    df = J.state_temperature_staging(spark.read.parquet(path), 3)
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(Country,United States)" in p
+
+
+def test_date_dim_reads_one_column(spark):
+    p = plan(checks.dim_date_time(spark, SF_SMALL))
+    assert "o_orderpriority" not in p and "c_mktsegment" not in p
+
+
+def test_partitioned_write_is_rebalanced(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(100).withColumn("m", F.col("id") % 3).hint("rebalance", "m")
+    assert "RebalancePartitions" in df._jdf.queryExecution().optimizedPlan().toString()

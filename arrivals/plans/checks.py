@@ -380,6 +380,20 @@ def job_country_code(spark, sf):
     return J.country_codes(S.read_csv(spark, path, R.RAW_COUNTRY_CODES))
 
 
+def job_fact_incremental(spark, sf):
+    """Two daily runs: the first sees one delivery, the second a repeat of it."""
+    from arrivals.streaming import ingest_deliveries
+    work = scratch_dir(spark, "incremental")
+    src, fact_path, ckpt = f"{work}/incoming", f"{work}/fact", f"{work}/_source_log"
+    raw = FX.raw_arrivals(spark, sf)
+    laid = raw.withColumn("delivery", F.date_format(sas_date("arrdate"), "yyyy-MM"))
+    K.write_partitioned(laid, f"{src}/day=1", ["delivery"])
+    ingest_deliveries(spark, src, fact_path, ckpt)
+    K.write_partitioned(laid, f"{src}/day=2", ["delivery"])
+    ingest_deliveries(spark, src, fact_path, ckpt)
+    return spark.read.parquet(fact_path).select(*C.FACT_ARRIVALS.names)
+
+
 def job_pipeline(spark, sf):
     root = scratch_dir(spark, "pipeline")
     paths = FX.write_raw_inputs(spark, sf, f"{root}/raw")
@@ -418,7 +432,7 @@ def queries() -> dict[str, Query]:
         "dq_null_measure", "contract_not_null", "contract_unique_key", "contract_max_length",
         "contract_schema", "dq_report",
         "job_fact_arrivals", "job_city_demographics", "job_state_temperature_staging",
-        "job_country_code", "job_pipeline",
+        "job_country_code", "job_fact_incremental", "job_pipeline",
         "travel_by_state_month", "corr_travel_demographics", "corr_travel_temperature",
     ]
     g = globals()

@@ -249,6 +249,7 @@ def oracle_sql() -> dict[str, str]:
         "job_city_demographics": with_(DEM_CTES, DEMO),
         "job_state_temperature_staging": with_(st10, "SELECT * FROM staging"),
         "job_country_code": CC,
+        "job_fact_incremental": with_(fact, "SELECT * FROM fact"),
         "job_pipeline": with_(fact + st10 + [("dim_st", dim_st(PIPELINE_YEARS)), ("cc", CC)], DQ_REPORT),
         # analyses
         "travel_by_state_month": with_(fact, 'SELECT arr_state, CAST(year(arrival_date) AS INTEGER) AS "year", '

@@ -60,7 +60,7 @@ DEMOGRAPHICS_RENAME = [
     ("Count", "count"),
 ]
 
-_DEMOGRAPHICS_TYPES = {
+DEMOGRAPHICS_TYPES = {
     "city": "string", "state_code": "string", "state": "string", "med_age": "float",
     "male_pop": "bigint", "female_pop": "bigint", "tot_pop": "bigint",
     "num_veterans": "bigint", "foreign_born": "bigint", "avg_household": "float",
@@ -88,7 +88,7 @@ def city_demographics(raw: DataFrame) -> DataFrame:
     ``state_code`` is a layout column: the sink turns it into folders, the
     warehouse table does not have it.
     """
-    return cast_keep_names(rename(raw, DEMOGRAPHICS_RENAME), _DEMOGRAPHICS_TYPES).distinct()
+    return cast_keep_names(rename(raw, DEMOGRAPHICS_RENAME), DEMOGRAPHICS_TYPES).distinct()
 
 
 def state_temperature_staging(raw: DataFrame, years: int = 10,

@@ -241,7 +241,7 @@ def fact_typed_projection(spark, sf):
 
 def project_cast_keep_name(spark, sf):
     return J.cast_keep_names(J.rename(FX.raw_demographics(spark, sf), J.DEMOGRAPHICS_RENAME),
-                             J._DEMOGRAPHICS_TYPES)
+                             J.DEMOGRAPHICS_TYPES)
 
 
 def derive_columns(spark, sf):

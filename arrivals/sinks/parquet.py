@@ -17,13 +17,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def balanced_for_layout(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Distribute rows so each layout folder gets a few full-size files.
+
+    With adaptive execution on, the ``rebalance`` hint does it (hot values
+    split, small ones merged at run time).  Without it, range partitioning
+    on the layout columns plus a hash of the whole row: the sampled range
+    bounds cut a hot value into several tasks, and each task still covers
+    a contiguous run of folders.  The hash is deterministic, so a retried
+    task receives the same rows.
+    """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
+        return df.hint("rebalance", *by)
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return df.repartitionByRange(*[F.col(f"`{c}`") for c in by], row_hash)
+
+
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite") -> None:
     """Write ``df`` as Parquet with one folder level per column in ``by``.
 
     The layout columns leave the files (their values live in the folder
     names) and come back as columns when the root is read.
     """
-    (df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path))
+    balanced_for_layout(df, by).write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def write_fact(fact: DataFrame, path: str, mode: str = "overwrite") -> None:

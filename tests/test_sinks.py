@@ -95,3 +95,18 @@ def test_insert_column_list_maps_by_name(spark, tmp_root):
     out = wh.insert_select("state_temperature", ["avg_temperature", "month", "state"],
                            "SELECT CAST(1.5 AS FLOAT), 7, 'Texas'", "append").first()
     assert (out.state, out.month, out.avg_temperature) == ("Texas", 7, 1.5)
+
+
+def test_layout_balancing_without_adaptive_execution(spark, tmp_root):
+    from pyspark.sql import functions as F
+    df = spark.range(3000).withColumn("m", F.when(F.col("id") < 2000, 1).otherwise(F.col("id") % 5))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        balanced = K.balanced_for_layout(df, ["m"])
+        sizes = [len(p) for p in balanced.rdd.glom().collect()]
+        K.write_partitioned(df, f"{tmp_root}/noaqe", ["m"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # the hot value (2/3 of rows) is spread over several tasks
+    assert max(sizes) < 2000
+    assert spark.read.parquet(f"{tmp_root}/noaqe").count() == 3000

@@ -352,6 +352,10 @@ def contract_schema(spark, sf):
     return df
 
 
+def contract_report(spark, sf):
+    return Q.contract_report(_fact(spark, sf), C.FACT_ARRIVALS)
+
+
 def dq_report(spark, sf):
     cc = J.country_codes(FX.raw_country_codes_of_customers(spark, sf))
     return Q.report(Q.reference_checks(_fact(spark, sf), _dim_st(spark, sf, PIPELINE_YEARS), cc))
@@ -430,7 +434,7 @@ def queries() -> dict[str, Query]:
         "order_by_keys", "union_all_positional",
         "sas_date_convert", "partition_columns", "dim_date_time",
         "dq_null_measure", "contract_not_null", "contract_unique_key", "contract_max_length",
-        "contract_schema", "dq_report",
+        "contract_schema", "contract_report", "dq_report",
         "job_fact_arrivals", "job_city_demographics", "job_state_temperature_staging",
         "job_country_code", "job_fact_incremental", "job_pipeline",
         "travel_by_state_month", "corr_travel_demographics", "corr_travel_temperature",

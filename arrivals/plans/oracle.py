@@ -156,6 +156,27 @@ SELECT 'country_code_duplicates', 'country_code', CAST(COUNT(*) AS VARCHAR), '0'
 FROM (SELECT code, country FROM cc GROUP BY code, country HAVING COUNT(code) > 1) d"""
 
 
+def contract_report_sql(table: str, source: str) -> str:
+    """Report rows of one table's contract checks, over relation ``source``."""
+    from arrivals.contracts import BY_NAME
+    c = BY_NAME[table]
+    parts = []
+    for col in c.columns:
+        conds = []
+        if col.not_null:
+            conds.append((f"{table}.{col.name}_not_null", f'"{col.name}" IS NULL'))
+        if col.max_len is not None:
+            conds.append((f"{table}.{col.name}_max_length", f'length("{col.name}") > {col.max_len}'))
+        for name, cond in conds:
+            parts.append(f"SELECT '{name}' AS check_name, '{table}' AS table_name, "
+                         f"CAST(COUNT(*) FILTER (WHERE {cond}) AS VARCHAR) AS actual, '0' AS expected, "
+                         f"COUNT(*) FILTER (WHERE {cond}) = 0 AS passed FROM {source}")
+    keys = ", ".join(f'"{k}"' for k in c.key)
+    parts.append(f"SELECT '{table}.key_unique', '{table}', CAST(COUNT(*) AS VARCHAR), '0', COUNT(*) = 0 "
+                 f"FROM (SELECT {keys} FROM {source} GROUP BY {keys} HAVING COUNT(*) > 1) d")
+    return "\nUNION ALL\n".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     fact = [("fact", FACT)]
     raw = [("raw_arr", RAW_ARR)]
@@ -243,6 +264,7 @@ def oracle_sql() -> dict[str, str]:
         "contract_schema": with_(DEM_CTES + [("demo", DEMO)],
                                  'SELECT city, state, med_age, male_pop, female_pop, tot_pop, num_veterans, '
                                  'foreign_born, avg_household, race, "count" FROM demo'),
+        "contract_report": with_(fact, contract_report_sql("fact_immigration", "fact")),
         "dq_report": with_(fact + st10 + [("dim_st", dim_st(PIPELINE_YEARS)), ("cc", CC)], DQ_REPORT),
         # jobs
         "job_fact_arrivals": with_(fact, "SELECT * FROM fact"),

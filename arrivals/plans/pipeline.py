@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from arrivals import contracts as C
 from arrivals.operators import quality as Q
 from arrivals.operators import transforms as J
 from arrivals.sinks import parquet as K
@@ -116,21 +117,28 @@ def load_warehouse(spark: SparkSession, wh: Warehouse, out: str, years: int = 10
     _run_all([fact_then_dates, staging_then_dim, city, country], parallel)
 
 
-def quality_report(wh: Warehouse) -> DataFrame:
-    return Q.report(Q.reference_checks(wh.read("fact_immigration"), wh.read("state_temperature"),
-                                       wh.read("country_code")))
+def quality_report(wh: Warehouse, contracts: bool = False) -> DataFrame:
+    """The three gating checks; with ``contracts`` also every table's contract."""
+    rep = Q.report(Q.reference_checks(wh.read("fact_immigration"), wh.read("state_temperature"),
+                                      wh.read("country_code")))
+    if contracts:
+        for c in C.ALL:
+            rep = rep.unionByName(Q.contract_report(wh.read(c.name), c))
+    return rep
 
 
 def run_pipeline(spark: SparkSession, inputs: Inputs, out: str, wh: Warehouse,
-                 years: int = 10, parallel: bool = True, gate: bool = True) -> DataFrame:
+                 years: int = 10, parallel: bool = True, gate: bool = True,
+                 contracts: bool = False) -> DataFrame:
     """Run both stages and the checks; return the check report.
 
     With ``gate`` the checks' failures raise :class:`DataQualityError`
-    after all of them ran.
+    after all of them ran.  ``contracts`` adds the table-contract checks
+    (not null, length, key) of all six tables to the report.
     """
     build_layout(spark, inputs, out, years, parallel)
     load_warehouse(spark, wh, out, years, parallel)
-    rep = quality_report(wh)
+    rep = quality_report(wh, contracts)
     if gate:
         Q.assert_passed(rep)
     return rep

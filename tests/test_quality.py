@@ -52,7 +52,8 @@ def test_contract_checks_find_seeded_defects(spark):
     assert tl.arr_state_too_long == 1 and tl.gender_too_long == 1 and tl.visa_type_too_long == 0
     dups = Q.key_duplicates(fact, C.FACT_ARRIVALS).collect()
     assert [(r.cic_id, r.n) for r in dups] == [(1, 2)]
-    rep = Q.report(Q.contract_checks(fact, C.FACT_ARRIVALS)).collect()
+    rep = Q.contract_report(fact, C.FACT_ARRIVALS).collect()
+    assert len(rep) == 2 + 3 + 1
     assert {r.check_name for r in rep if not r.passed} == {
         "fact_immigration.cic_id_not_null", "fact_immigration.arrival_date_not_null",
         "fact_immigration.arr_state_max_length", "fact_immigration.gender_max_length",
@@ -71,3 +72,11 @@ def test_ddl_from_contract():
     ddl = C.FACT_ARRIVALS.ddl("db.fact_immigration")
     assert ddl.startswith("CREATE TABLE IF NOT EXISTS db.fact_immigration")
     assert "`arr_state` VARCHAR(3)" in ddl and "`cic_id` BIGINT" in ddl and "USING parquet" in ddl
+
+
+def test_contract_report_scans_table_once_for_column_checks(spark):
+    fact = _fact(spark, [GOOD])
+    plan = Q.contract_report(fact, C.FACT_ARRIVALS)._jdf.queryExecution().optimizedPlan().toString()
+    # one scan for the column checks, one for the key check
+    assert plan.count("LocalRelation") <= 2
+    assert all(r.passed for r in Q.contract_report(fact, C.FACT_ARRIVALS).collect())

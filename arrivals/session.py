@@ -29,6 +29,23 @@ LOCAL_CONF = {
 }
 
 
+# Settings suggested for a large cluster (about 100 TB input); not applied
+# automatically -- a cluster's own configuration decides.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # shuffle fan-out: about input bytes / 256 MB; AQE merges what is small
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # parallel listing of many delivery folders
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "32",
+    # one writer per folder per task, files cut at a bounded size
+    "spark.sql.files.maxRecordsPerFile": "20000000",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "arrivals", extra: dict | None = None) -> SparkSession:
     """Get or create a session with this library's defaults applied."""

@@ -171,6 +171,29 @@ def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
     return out
 
 
+def checks_from_specs(spark, specs) -> list[Check]:
+    """Checks from ``{"table", "sql", "expected_result"}`` specs.
+
+    The SQL runs in the session (set the current database to the
+    warehouse's first).  An expected result of ``''`` or ``None`` means
+    "the query returns no rows"; any other value is compared with the first
+    column of a one-row result.  The check's name is the SQL text's first
+    table after FROM when the spec gives none.
+    """
+    out = []
+    for i, spec in enumerate(specs):
+        sql = spec["sql"].strip().rstrip(";")
+        expected = spec.get("expected_result")
+        frame = spark.sql(sql)
+        name = spec.get("name") or f"check_{i + 1}"
+        table = spec.get("table") or ""
+        if expected in ("", None):
+            out.append(Check(name, table, frame, kind="empty"))
+        else:
+            out.append(Check(name, table, frame, kind="scalar", expected=expected))
+    return out
+
+
 def reference_checks(fact: DataFrame, state_temperature: DataFrame,
                      country_code: DataFrame) -> list[Check]:
     """The pipeline's three gating checks.

@@ -95,3 +95,11 @@ def test_date_dim_skips_null_date(spark):
     fact = spark.createDataFrame([(dt.date(2016, 4, 1),), (None,), (dt.date(2016, 4, 1),)],
                                  "arrival_date date")
     assert J.date_dim(fact).count() == 1
+
+
+def test_single_file_scan(spark, tmp_root):
+    spark.createDataFrame([arrival(1.0), arrival(2.0)], R.RAW_ARRIVALS).coalesce(1).write.parquet(
+        f"{tmp_root}/single")
+    import glob
+    f = glob.glob(f"{tmp_root.replace('file:', '')}/single/*.parquet")[0]
+    assert S.scan_files(spark, f, "parquet", schema=R.RAW_ARRIVALS).count() == 2

@@ -297,6 +297,13 @@ def dim_state_temperature(spark, sf):
     return _dim_st(spark, sf, CHECK_YEARS)
 
 
+def dim_state_temperature_sql(spark, sf):
+    from arrivals.plans.sql import state_temperature_sql
+    view = f"staging_{uuid.uuid4().hex[:8]}"
+    _staging(spark, sf, CHECK_YEARS).createOrReplaceTempView(view)
+    return state_temperature_sql(spark, view, CHECK_YEARS)
+
+
 def order_by_keys(spark, sf):
     return (FX.table(spark, sf, "customer").select("c_nationkey", "c_custkey", "c_name")
             .orderBy("c_nationkey", "c_custkey"))
@@ -326,6 +333,13 @@ def dim_date_time(spark, sf):
     return J.date_dim(_fact(spark, sf))
 
 
+def dim_date_time_sql(spark, sf):
+    from arrivals.plans.sql import date_time_sql
+    view = f"fact_{uuid.uuid4().hex[:8]}"
+    _fact(spark, sf).createOrReplaceTempView(view)
+    return date_time_sql(spark, view)
+
+
 # ---- quality and contracts ----------------------------------------------
 
 def dq_null_measure(spark, sf):
@@ -431,8 +445,9 @@ def queries() -> dict[str, Query]:
         "derive_columns", "drop_column",
         "filter_unprojected_col", "recent_window_filter", "dq_null_count", "dq_duplicate_keys",
         "distinct_rows", "union_distinct_fold", "global_max", "dim_state_temperature",
+        "dim_state_temperature_sql",
         "order_by_keys", "union_all_positional",
-        "sas_date_convert", "partition_columns", "dim_date_time",
+        "sas_date_convert", "partition_columns", "dim_date_time", "dim_date_time_sql",
         "dq_null_measure", "contract_not_null", "contract_unique_key", "contract_max_length",
         "contract_schema", "contract_report", "dq_report",
         "job_fact_arrivals", "job_city_demographics", "job_state_temperature_staging",

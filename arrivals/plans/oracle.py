@@ -237,6 +237,8 @@ def oracle_sql() -> dict[str, str]:
         "global_max": "SELECT CAST(MAX(year(l_shipdate)) AS INTEGER) AS max_year FROM lineitem",
         "dim_state_temperature": with_(st3 + [("dim_st", dim_st(CHECK_YEARS))],
                                        "SELECT * FROM dim_st"),
+        "dim_state_temperature_sql": with_(st3 + [("dim_st", dim_st(CHECK_YEARS))],
+                                           "SELECT * FROM dim_st"),
         "order_by_keys": "SELECT c_nationkey, c_custkey, c_name FROM customer "
                          "ORDER BY c_nationkey, c_custkey",
         "union_all_positional": "SELECT s_suppkey AS k, s_name AS nm FROM supplier "
@@ -248,6 +250,7 @@ def oracle_sql() -> dict[str, str]:
                                          'CAST(month(arrival_date) AS INTEGER) AS "month", '
                                          "COUNT(*) AS n FROM fact GROUP BY 1, 2"),
         "dim_date_time": with_(fact, DATE_DIM),
+        "dim_date_time_sql": with_(fact, DATE_DIM),
         # quality and contracts
         "dq_null_measure": with_(st3 + [("dim_st", dim_st(CHECK_YEARS))],
                                  "SELECT COUNT(*) AS n FROM dim_st WHERE avg_temperature IS NULL"),

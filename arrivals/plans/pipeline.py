@@ -27,6 +27,7 @@ from arrivals.operators import transforms as J
 from arrivals.sinks import parquet as K
 from arrivals.sinks.tables import Warehouse
 from arrivals.sources import raw as R
+from arrivals.session import path_exists
 from arrivals.sources.files import read_csv, scan_files
 
 # Output keys below the Parquet root, one per table.
@@ -67,25 +68,42 @@ def read_arrivals(spark: SparkSession, inp: Inputs) -> DataFrame:
 
 
 def build_layout(spark: SparkSession, inp: Inputs, out: str, years: int = 10,
-                 parallel: bool = True) -> dict[str, str]:
-    """Stage 1: the four raw sources to partitioned Parquet under ``out``."""
+                 parallel: bool = True, resume: bool = False) -> dict[str, str]:
+    """Stage 1: the four raw sources to partitioned Parquet under ``out``.
+
+    With ``resume``, an output whose write committed before (its
+    ``_SUCCESS`` marker exists) is kept and its job skipped, so a run that
+    failed later restarts from the finished outputs.  Use it only when the
+    inputs are unchanged since that run, e.g. with a per-run ``out``.
+    """
     out = out.rstrip("/")
     paths = {k: f"{out}/{v}" for k, v in
              [("fact", FACT_KEY), ("city", CITY_KEY), ("temp", STATE_TEMP_KEY), ("country", COUNTRY_KEY)]}
 
+    def done(key: str) -> bool:
+        return resume and path_exists(spark, f"{paths[key]}/_SUCCESS")
+
     def fact():
+        if done("fact"):
+            return
         K.write_fact(J.fact_arrivals(read_arrivals(spark, inp)), paths["fact"])
 
     def city():
+        if done("city"):
+            return
         raw = read_csv(spark, inp.demographics, R.RAW_DEMOGRAPHICS, sep=";")
         K.write_by_column(J.city_demographics(raw), paths["city"], "state_code")
 
     def temp():
+        if done("temp"):
+            return
         raw = read_csv(spark, inp.temperature, R.RAW_TEMPERATURE)
         K.write_by_copy(J.state_temperature_staging(raw, years), paths["temp"],
                         "state", "partition_state")
 
     def country():
+        if done("country"):
+            return
         K.write_overwrite(J.country_codes(read_csv(spark, inp.country_code, R.RAW_COUNTRY_CODES)),
                           paths["country"])
 
@@ -129,14 +147,14 @@ def quality_report(wh: Warehouse, contracts: bool = False) -> DataFrame:
 
 def run_pipeline(spark: SparkSession, inputs: Inputs, out: str, wh: Warehouse,
                  years: int = 10, parallel: bool = True, gate: bool = True,
-                 contracts: bool = False) -> DataFrame:
+                 contracts: bool = False, resume: bool = False) -> DataFrame:
     """Run both stages and the checks; return the check report.
 
     With ``gate`` the checks' failures raise :class:`DataQualityError`
     after all of them ran.  ``contracts`` adds the table-contract checks
     (not null, length, key) of all six tables to the report.
     """
-    build_layout(spark, inputs, out, years, parallel)
+    build_layout(spark, inputs, out, years, parallel, resume)
     load_warehouse(spark, wh, out, years, parallel)
     rep = quality_report(wh, contracts)
     if gate:

@@ -55,3 +55,16 @@ def test_sql_specs_run_against_the_warehouse(spark, tmp_root):
         spark.catalog.setCurrentDatabase("default")
     assert [r.passed for r in rep] == [True, True, True, False]
     assert int(rep[3].actual) == wh.read("fact_immigration").count()
+
+
+def test_resume_skips_committed_outputs(spark, tmp_root):
+    import os
+    paths = FX.write_raw_inputs(spark, SF_SMALL, f"{tmp_root}/raw", repeat_arrivals=False)
+    out = f"{tmp_root}/layout"
+    P.build_layout(spark, P.Inputs.of(paths), out)
+    marker = f"{out}/{P.FACT_KEY}/_SUCCESS".replace("file:", "")
+    before = os.path.getmtime(marker)
+    P.build_layout(spark, P.Inputs.of(paths), out, resume=True)
+    assert os.path.getmtime(marker) == before
+    P.build_layout(spark, P.Inputs.of(paths), out, resume=False)
+    assert os.path.getmtime(marker) >= before

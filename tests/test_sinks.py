@@ -97,6 +97,29 @@ def test_insert_column_list_maps_by_name(spark, tmp_root):
     assert (out.state, out.month, out.avg_temperature) == ("Texas", 7, 1.5)
 
 
+def test_hot_layout_value_split_into_several_files(spark, tmp_root):
+    # One month holds two thirds of the rows: with adaptive execution the
+    # rebalance splits it into advisory-size pieces, so no single task
+    # writes the whole folder.
+    from pyspark.sql import functions as F
+    df = (spark.range(60000).repartition(8)
+          .withColumn("m", F.when(F.col("id") < 40000, 1).otherwise(F.col("id") % 5))
+          .withColumn("pad", F.sha2(F.col("id").cast("string"), 256)))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        K.write_partitioned(df, f"{tmp_root}/hot", ["m"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot = [f for f in os.listdir(_local(f"{tmp_root}/hot/m=1")) if f.endswith(".parquet")]
+    assert len(hot) > 1
+    # small values are merged, not written by every input task
+    cold = [len([f for f in os.listdir(_local(f"{tmp_root}/hot/m={m}")) if f.endswith(".parquet")])
+            for m in (0, 2, 3, 4)]
+    assert min(cold) == 1
+    assert spark.read.parquet(f"{tmp_root}/hot").count() == 60000
+
+
 def test_layout_balancing_without_adaptive_execution(spark, tmp_root):
     from pyspark.sql import functions as F
     df = spark.range(3000).withColumn("m", F.when(F.col("id") < 2000, 1).otherwise(F.col("id") % 5))

@@ -18,11 +18,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrivals.contracts import FACT_ARRIVALS
+from arrivals.functions.dates import sas_date
 from arrivals.operators.transforms import ARRIVAL_COLUMNS, fact_arrivals
 from arrivals.session import path_exists
 from arrivals.sinks.parquet import write_partitioned
@@ -35,16 +36,47 @@ def _with_layout(fact: DataFrame) -> DataFrame:
     return fact.withColumns({"year": F.year("arrival_date"), "month": F.month("arrival_date")})
 
 
+def touched_months(batch: DataFrame) -> list[tuple[int | None, int | None]]:
+    """The (year, month) folders a raw micro-batch writes into.
+
+    Reads only the arrival day number.  The list is bounded by the calendar
+    (at most 12 per year of years 1-9999, plus one null folder for rows
+    without a date), not by the data, so it may come to the driver.
+    """
+    d = sas_date("arrdate")
+    rows = batch.select(F.year(d).alias("year"), F.month(d).alias("month")).distinct().collect()
+    return [(r.year, r.month) for r in rows]
+
+
+def _in_months(months: list[tuple[int | None, int | None]]) -> Column:
+    """Partition filter on the layout columns covering ``months``.
+
+    Kept to ``IN`` / ``IS NULL`` on each layout column so the Parquet scan
+    lists only matching folders (static partition pruning); it may admit a
+    few extra folders (year x month product), which the exact anti join
+    then sees as non-matching.
+    """
+    cond = None
+    for name, vals in (("year", {m[0] for m in months}), ("month", {m[1] for m in months})):
+        known = sorted(v for v in vals if v is not None)
+        c = F.col(name).isin(known) if known else F.lit(False)
+        if None in vals:
+            c = c | F.col(name).isNull()
+        cond = c if cond is None else cond & c
+    return cond
+
+
 def merge_into_fact(spark: SparkSession, batch: DataFrame, fact_path: str) -> None:
     """Append the batch's typed rows that the fact does not hold yet."""
-    new = _with_layout(fact_arrivals(batch.select(*ARRIVAL_COLUMNS)))
+    batch = batch.select(*ARRIVAL_COLUMNS)
+    new = _with_layout(fact_arrivals(batch))
     if path_exists(spark, fact_path):
-        stored = spark.read.parquet(fact_path)
-        # Only folders of months this batch touches are read.  The month
-        # list is bounded by the calendar (12 per year), so broadcasting it
-        # is safe at any data size.
-        months = F.broadcast(new.select(*LAYOUT).distinct())
-        stored = stored.join(months, LAYOUT, "left_semi")
+        months = touched_months(batch)
+        if not months:
+            return
+        # Only the folders of months this batch touches are listed and read;
+        # the null-date folder is included when the batch has such rows.
+        stored = spark.read.parquet(fact_path).filter(_in_months(months))
         same = reduce(lambda a, b: a & b,
                       [new[c].eqNullSafe(stored[c]) for c in FACT_ARRIVALS.names + LAYOUT])
         new = new.join(stored, same, "left_anti")

@@ -66,21 +66,26 @@ def _in_months(months: list[tuple[int | None, int | None]]) -> Column:
     return cond
 
 
-def merge_into_fact(spark: SparkSession, batch: DataFrame, fact_path: str) -> None:
-    """Append the batch's typed rows that the fact does not hold yet."""
+def unseen_rows(spark: SparkSession, batch: DataFrame, fact_path: str) -> DataFrame:
+    """The batch's typed, distinct rows (with layout columns) not yet in the fact."""
     batch = batch.select(*ARRIVAL_COLUMNS)
     new = _with_layout(fact_arrivals(batch))
-    if path_exists(spark, fact_path):
-        months = touched_months(batch)
-        if not months:
-            return
-        # Only the folders of months this batch touches are listed and read;
-        # the null-date folder is included when the batch has such rows.
-        stored = spark.read.parquet(fact_path).filter(_in_months(months))
-        same = reduce(lambda a, b: a & b,
-                      [new[c].eqNullSafe(stored[c]) for c in FACT_ARRIVALS.names + LAYOUT])
-        new = new.join(stored, same, "left_anti")
-    write_partitioned(new, fact_path, LAYOUT, mode="append")
+    if not path_exists(spark, fact_path):
+        return new
+    months = touched_months(batch)
+    if not months:
+        return new  # an empty batch
+    # Only the folders of months this batch touches are listed and read;
+    # the null-date folder is included when the batch has such rows.
+    stored = spark.read.parquet(fact_path).filter(_in_months(months))
+    same = reduce(lambda a, b: a & b,
+                  [new[c].eqNullSafe(stored[c]) for c in FACT_ARRIVALS.names + LAYOUT])
+    return new.join(stored, same, "left_anti")
+
+
+def merge_into_fact(spark: SparkSession, batch: DataFrame, fact_path: str) -> None:
+    """Append the batch's typed rows that the fact does not hold yet."""
+    write_partitioned(unseen_rows(spark, batch, fact_path), fact_path, LAYOUT, mode="append")
 
 
 def ingest_deliveries(spark: SparkSession, source: str, fact_path: str, checkpoint: str,

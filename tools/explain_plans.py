@@ -16,12 +16,15 @@ from arrivals.operators import analytics as A  # noqa: E402
 from arrivals.operators import quality as Q  # noqa: E402
 from arrivals.operators import transforms as J  # noqa: E402
 from arrivals import contracts as C  # noqa: E402
+from arrivals.functions.dates import sas_date  # noqa: E402
 from arrivals.plans import pipeline as P  # noqa: E402
 from arrivals.session import build_session, scratch_dir  # noqa: E402
 from arrivals.sinks import parquet as K  # noqa: E402
 from arrivals.sources import fixtures as FX  # noqa: E402
 from arrivals.sources import raw as R  # noqa: E402
 from arrivals.sources.files import read_csv  # noqa: E402
+from arrivals.streaming import daily as DY  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 
 def formatted(df) -> str:
@@ -43,8 +46,11 @@ def main() -> None:
     city = J.city_demographics(read_csv(spark, inp.demographics, R.RAW_DEMOGRAPHICS, sep=";"))
     staging = J.state_temperature_staging(read_csv(spark, inp.temperature, R.RAW_TEMPERATURE), 10)
     dim = J.state_temperature_dim(staging, 10)
-    laid = fact.withColumns({"year": __import__("pyspark.sql.functions", fromlist=["f"]).year("arrival_date"),
-                             "month": __import__("pyspark.sql.functions", fromlist=["f"]).month("arrival_date")})
+    laid = fact.withColumns({"year": F.year("arrival_date"), "month": F.month("arrival_date")})
+    # one month of deliveries arriving again, against the stored fact
+    batch = P.read_arrivals(spark, inp)
+    first = batch.select(F.min(sas_date("arrdate"))).first()[0]
+    batch = batch.filter(sas_date("arrdate") < F.add_months(F.lit(first), 1))
     plans = [
         ("J1 fact from delivery files", fact),
         ("K1 fact layout write input (rebalanced)", K.balanced_for_layout(laid, ["year", "month"])),
@@ -55,6 +61,8 @@ def main() -> None:
         ("D2 correlation with demographics", A.corr_travel_demographics(stored, city)),
         ("D3 correlation with temperature", A.corr_travel_temperature(stored, A.state_bridge(city), dim)),
         ("Contract report of the fact (one pass + key check)", Q.contract_report(stored, C.FACT_ARRIVALS)),
+        ("Incremental merge: batch rows not yet stored (month-pruned read)",
+         DY.unseen_rows(spark, batch, f"{root}/fact")),
     ]
     out = ["# PLANS", "",
            f"Formatted physical plans (before adaptive re-planning) on `{sf}`, made by",

@@ -45,7 +45,10 @@ def main() -> None:
     stored = spark.read.parquet(f"{root}/fact").select(*C.FACT_ARRIVALS.names)
     city = J.city_demographics(read_csv(spark, inp.demographics, R.RAW_DEMOGRAPHICS, sep=";"))
     staging = J.state_temperature_staging(read_csv(spark, inp.temperature, R.RAW_TEMPERATURE), 10)
-    dim = J.state_temperature_dim(staging, 10)
+    # As in the pipeline, the dimension reads the staged rows, not their lineage.
+    K.write_by_copy(staging, f"{root}/staging", "state", "partition_state")
+    staged = spark.read.parquet(f"{root}/staging").select(*C.STAGING_STATE_TEMPERATURE.names)
+    dim = J.state_temperature_dim(staged, 10)
     laid = fact.withColumns({"year": F.year("arrival_date"), "month": F.month("arrival_date")})
     # one month of deliveries arriving again, against the stored fact
     batch = P.read_arrivals(spark, inp)

@@ -39,3 +39,47 @@ def test_partitioned_write_is_rebalanced(spark):
     from pyspark.sql import functions as F
     df = spark.range(100).withColumn("m", F.col("id") % 3).hint("rebalance", "m")
     assert "RebalancePartitions" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _shuffle_records_written(df) -> list[int]:
+    """``shuffleRecordsWritten`` of every exchange of an executed plan."""
+    out = []
+
+    def walk(p):
+        name = p.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(p.executedPlan())
+        if name == "ShuffleQueryStageExec":
+            return walk(p.plan())
+        if name == "ShuffleExchangeExec":
+            out.append(int(p.metrics().apply("shuffleRecordsWritten").value()))
+        ch = p.children()
+        for i in range(ch.size()):
+            walk(ch.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return out
+
+
+def test_hot_group_of_copies_collapses_before_the_shuffle(spark, tmp_root):
+    # Half of all records are copies of one record, spread over 8 files.
+    from pyspark.sql import functions as F
+    from arrivals.plans import pipeline as P
+    from arrivals.sources import raw as R
+    files, unique, copies = 8, 500, 500
+    hot = (F.col("id") % (unique + copies)) >= unique
+    rows = spark.range(files * (unique + copies)).select(
+        F.when(hot, F.lit(-1.0)).otherwise(F.col("id").cast("double")).alias("cicid"),
+        *[F.lit(1.0).alias(c) for c in ("i94cit", "i94res")],
+        F.lit(20454.0).alias("arrdate"), F.lit(1.0).alias("i94mode"), F.lit("NY").alias("i94addr"),
+        *[F.lit(1.0).alias(c) for c in ("i94bir", "i94visa", "biryear")],
+        F.lit("F").alias("gender"), F.lit("B2").alias("visatype"),
+        (F.col("id") / (unique + copies)).cast("int").alias("f"))
+    rows.repartition(files, "f").drop("f").write.parquet(f"{tmp_root}/hot")
+    fact = J.fact_arrivals(P.read_arrivals(spark, P.Inputs(f"{tmp_root}/hot", "", "", "")))
+    assert fact.count() == files * unique + 1
+    fact.write.format("noop").mode("overwrite").save()
+    # The map-side partial aggregate leaves at most one copy per input task.
+    written = _shuffle_records_written(fact)
+    n_files = len(spark.read.schema(R.RAW_ARRIVALS).parquet(f"{tmp_root}/hot").inputFiles())
+    assert written and files * unique < max(written) <= files * unique + n_files

@@ -49,7 +49,7 @@ def _shuffle_records_written(df) -> list[int]:
         name = p.getClass().getSimpleName()
         if name == "AdaptiveSparkPlanExec":
             return walk(p.executedPlan())
-        if name == "ShuffleQueryStageExec":
+        if name.endswith("QueryStageExec"):  # shuffle, broadcast and the final result stage
             return walk(p.plan())
         if name == "ShuffleExchangeExec":
             out.append(int(p.metrics().apply("shuffleRecordsWritten").value()))

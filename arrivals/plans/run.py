@@ -37,6 +37,12 @@ Example file::
     years = 10
     parallel = true
     contracts = false
+    checks_file = /etc/arrivals/checks.json
+
+``checks_file`` (optional, a local file read on the driver like this one) holds more checks in the form
+``[{"table": ..., "sql": ..., "expected_result": ...}, ...]``; their SQL names
+warehouse tables without the database.  An expected result of ``""`` means
+"no rows".
 """
 
 from __future__ import annotations
@@ -62,7 +68,7 @@ DEFAULTS = {
     "inputs": {"arrivals_format": "parquet", "arrivals_glob": "*.parquet"},
     "warehouse": {"database": "arrivals", "location": ""},
     "run": {"years": "10", "parallel": "true", "contracts": "false", "resume": "false",
-            "daily_checkpoint": ""},
+            "daily_checkpoint": "", "checks_file": ""},
 }
 
 
@@ -155,9 +161,8 @@ def run_command(spark: SparkSession, command: str, cfg: configparser.ConfigParse
     if command in ("warehouse", "all"):
         P.load_warehouse(spark, warehouse_of(spark, cfg), layout, years, parallel)
     if command in ("check", "all"):
-        rep = P.quality_report(warehouse_of(spark, cfg), _flag(cfg, "run", "contracts"))
         try:
-            rows = Q.assert_passed(rep, log=lambda msg: print(msg, file=sys.stderr))
+            rows = _checked(spark, cfg)
         except Q.DataQualityError as e:
             print(str(e), file=sys.stderr)
             return 1
@@ -166,6 +171,33 @@ def run_command(spark: SparkSession, command: str, cfg: configparser.ConfigParse
     return 0
 
 
+def load_specs(path: str) -> list[dict]:
+    """The check specs of a JSON file: a list of ``{table, sql, expected_result}``."""
+    with open(path, encoding="utf-8") as fh:
+        specs = json.load(fh)
+    if not isinstance(specs, list) or not all(isinstance(s, dict) and "sql" in s for s in specs):
+        raise ConfigError(f"{path}: want a JSON list of objects with 'sql'")
+    return specs
+
+
+def _checked(spark: SparkSession, cfg: configparser.ConfigParser) -> list[dict]:
+    """Run the gating checks (and the file's checks); raise if any failed."""
+    wh = warehouse_of(spark, cfg)
+    rep = P.quality_report(wh, _flag(cfg, "run", "contracts"))
+    specs_path = cfg.get("run", "checks_file", fallback="").strip()
+    if not specs_path:
+        return Q.assert_passed(rep, log=lambda msg: print(msg, file=sys.stderr))
+    specs = load_specs(specs_path)
+    # Unqualified table names in the specs resolve in the warehouse database.
+    previous = spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase(wh.database)
+    try:
+        rep = rep.unionByName(Q.report(Q.checks_from_specs(spark, specs)))
+        return Q.assert_passed(rep, log=lambda msg: print(msg, file=sys.stderr))
+    finally:
+        spark.catalog.setCurrentDatabase(previous)
+
+
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
     ap = argparse.ArgumentParser(prog="python -m arrivals", description=__doc__.split("\n")[0])
     ap.add_argument("command", choices=COMMANDS)
@@ -178,6 +210,6 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         cfg = load_config(args.config, args.set)
         session = spark or build_session(args.master)
         return run_command(session, args.command, cfg)
-    except (ConfigError, OSError) as e:
+    except (ConfigError, OSError, json.JSONDecodeError) as e:
         print(f"error: {e}", file=sys.stderr)
         return 2

@@ -9,7 +9,9 @@
 A scheduler (cron or any workflow tool) runs these commands; the exit status
 is the task's outcome: 0 done, 1 a data-quality check failed, 2 bad usage or
 configuration.  ``--set section.key=value`` overrides the file, for instance
-a per-run output folder.  Every command is a thin driver over the library's
+a per-run output folder.  ``--context key=value`` fills ``{key}`` fields of
+the input and output paths (for instance ``{ds}``, the run date), so a
+backfill is the same command with another context.  Every command is a thin driver over the library's
 Spark jobs; the report of ``check`` (one row per check) is the only result
 that comes back to the driver, and it is printed as JSON lines.
 
@@ -59,6 +61,7 @@ from arrivals.operators import quality as Q
 from arrivals.plans import pipeline as P
 from arrivals.session import build_session, shared_root
 from arrivals.sinks.tables import Warehouse
+from arrivals.sources.files import render_path
 from arrivals.streaming import daily as DY
 
 COMMANDS = ("layout", "warehouse", "check", "all", "daily")
@@ -72,11 +75,17 @@ DEFAULTS = {
 }
 
 
+# The settings that are paths and take ``{field}`` templates.
+TEMPLATED = [("inputs", "arrivals"), ("inputs", "demographics"), ("inputs", "temperature"),
+             ("inputs", "country_code"), ("output", "layout")]
+
+
 class ConfigError(ValueError):
     """A missing or malformed setting."""
 
 
-def load_config(path: str | None, overrides: Sequence[str] = ()) -> configparser.ConfigParser:
+def load_config(path: str | None, overrides: Sequence[str] = (),
+                context: Sequence[str] = ()) -> configparser.ConfigParser:
     cfg = configparser.ConfigParser(interpolation=None)
     cfg.read_dict(DEFAULTS)
     if path:
@@ -90,6 +99,19 @@ def load_config(path: str | None, overrides: Sequence[str] = ()) -> configparser
         if not cfg.has_section(section):
             cfg.add_section(section)
         cfg.set(section, option, value)
+    fields = {}
+    for item in context:
+        key, sep, value = item.partition("=")
+        if not sep or not key:
+            raise ConfigError(f"--context wants key=value, got {item!r}")
+        fields[key] = value
+    if fields:
+        for section, option in TEMPLATED:
+            value = cfg.get(section, option, fallback="")
+            try:
+                cfg.set(section, option, render_path(value, fields))
+            except (KeyError, ValueError, IndexError) as e:
+                raise ConfigError(f"[{section}] {option} = {value!r}: {e}") from None
     return cfg
 
 
@@ -204,10 +226,12 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     ap.add_argument("-c", "--config", help="INI file with [inputs], [output], [warehouse], [run]")
     ap.add_argument("--set", action="append", default=[], metavar="SECTION.KEY=VALUE",
                     help="override one setting (repeatable)")
+    ap.add_argument("--context", action="append", default=[], metavar="KEY=VALUE",
+                    help="fill {KEY} in the input and output paths (repeatable)")
     ap.add_argument("--master", help="Spark master when not given by spark-submit")
     args = ap.parse_args(argv)
     try:
-        cfg = load_config(args.config, args.set)
+        cfg = load_config(args.config, args.set, args.context)
         session = spark or build_session(args.master)
         return run_command(session, args.command, cfg)
     except (ConfigError, OSError, json.JSONDecodeError) as e:

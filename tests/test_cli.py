@@ -123,3 +123,19 @@ def test_checks_file_adds_spec_checks(spark, tmp_root, tmp_path):
     (tmp_path / "wrong.json").write_text('{"sql": "SELECT 1"}')
     assert main(["check", "-c", cfg, "--set", f"run.checks_file={tmp_path / 'wrong.json'}"],
                 spark=spark) == 2
+
+
+def test_context_fills_path_templates(spark, tmp_root, tmp_path):
+    cfg = load_config(None, ["inputs.arrivals=s3a://b/raw/{ds}/arrivals", "output.layout=/out/{ds}",
+                             "inputs.arrivals_glob=*.{a,b}"], ["ds=2016-04-01"])
+    assert cfg.get("inputs", "arrivals") == "s3a://b/raw/2016-04-01/arrivals"
+    assert cfg.get("output", "layout") == "/out/2016-04-01"
+    assert cfg.get("inputs", "arrivals_glob") == "*.{a,b}"  # globs are not templates
+    assert main(["layout", "--set", "output.layout=/out/{run}", "--context", "ds=1"],
+                spark=spark) == 2
+    # A backfill: the same file, another context, another layout folder.
+    paths = FX.write_raw_inputs(spark, SF_SMALL, f"{tmp_root}/raw", repeat_arrivals=False)
+    cfg_path = _config(tmp_path, paths, f"{tmp_root}/layout/{{ds}}", "unused", "")
+    assert main(["layout", "-c", cfg_path, "--context", "ds=2016-04-01"], spark=spark) == 0
+    fact = spark.read.parquet(f"{tmp_root}/layout/2016-04-01/{P.FACT_KEY}")
+    assert fact.count() > 0

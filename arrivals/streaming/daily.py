@@ -9,6 +9,10 @@ already read, so each run reads only new files, then stops.
 Each micro-batch is typed and de-duplicated like the batch job and merged
 into the partitioned fact with a left anti join against the rows already
 stored in the same (year, month) folders, comparing whole rows null-safely.
+Only stored rows whose arrival id lies in the batch's id range (or is null,
+when the batch has null ids) can match, so that range is pushed into the
+stored scan too: the fact's files are sorted by id within each month, and
+Parquet skips row groups outside the range.
 The result is the same set of rows the batch job would produce, and the merge
 is idempotent: a micro-batch that is replayed after a failure finds its rows
 already present and adds nothing.
@@ -23,10 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrivals.contracts import FACT_ARRIVALS
+from arrivals.functions import casts as X
 from arrivals.functions.dates import sas_date
 from arrivals.operators.transforms import ARRIVAL_COLUMNS, fact_arrivals
 from arrivals.session import path_exists
-from arrivals.sinks.parquet import write_partitioned
+from arrivals.sinks.parquet import FACT_CLUSTER, write_partitioned
 from arrivals.sources.raw import RAW_ARRIVALS
 
 LAYOUT = ["year", "month"]
@@ -36,16 +41,33 @@ def _with_layout(fact: DataFrame) -> DataFrame:
     return fact.withColumns({"year": F.year("arrival_date"), "month": F.month("arrival_date")})
 
 
-def touched_months(batch: DataFrame) -> list[tuple[int | None, int | None]]:
-    """The (year, month) folders a raw micro-batch writes into.
+def batch_summary(batch: DataFrame) -> list[tuple[int | None, int | None, int | None, int | None, bool]]:
+    """Per (year, month) folder a raw micro-batch writes into: id range, null ids.
 
-    Reads only the arrival day number.  The list is bounded by the calendar
-    (at most 12 per year of years 1-9999, plus one null folder for rows
-    without a date), not by the data, so it may come to the driver.
+    One aggregate over two columns, typed as the fact job types them.  The
+    result has one row per folder, so it is bounded by the calendar (at most
+    12 per year of years 1-9999, plus one null folder for rows without a
+    date), not by the data, and may come to the driver.
     """
     d = sas_date("arrdate")
-    rows = batch.select(F.year(d).alias("year"), F.month(d).alias("month")).distinct().collect()
-    return [(r.year, r.month) for r in rows]
+    cid = X.to_bigint("cicid")
+    rows = (batch.groupBy(F.year(d).alias("year"), F.month(d).alias("month"))
+            .agg(F.min(cid).alias("lo"), F.max(cid).alias("hi"),
+                 F.bool_or(cid.isNull()).alias("null_ids"))
+            .collect())
+    return [(r.year, r.month, r.lo, r.hi, bool(r.null_ids)) for r in rows]
+
+
+def touched_months(batch: DataFrame) -> list[tuple[int | None, int | None]]:
+    """The (year, month) folders a raw micro-batch writes into."""
+    return [(y, m) for y, m, *_ in batch_summary(batch)]
+
+
+def _in_ids(lo: int | None, hi: int | None, null_ids: bool) -> Column:
+    """Stored rows that can equal a batch row: id in the batch's range, or null."""
+    c = F.col("cic_id")
+    cond = c.between(lo, hi) if lo is not None else F.lit(False)
+    return cond | c.isNull() if null_ids else cond
 
 
 def _in_months(months: list[tuple[int | None, int | None]]) -> Column:
@@ -72,12 +94,18 @@ def unseen_rows(spark: SparkSession, batch: DataFrame, fact_path: str) -> DataFr
     new = _with_layout(fact_arrivals(batch))
     if not path_exists(spark, fact_path):
         return new
-    months = touched_months(batch)
-    if not months:
+    summary = batch_summary(batch)
+    if not summary:
         return new  # an empty batch
     # Only the folders of months this batch touches are listed and read;
-    # the null-date folder is included when the batch has such rows.
-    stored = spark.read.parquet(fact_path).filter(_in_months(months))
+    # the null-date folder is included when the batch has such rows.  Within
+    # them, only row groups whose ids overlap the batch's are read.
+    months = [(y, m) for y, m, *_ in summary]
+    los = [s[2] for s in summary if s[2] is not None]
+    his = [s[3] for s in summary if s[3] is not None]
+    ids = _in_ids(min(los) if los else None, max(his) if his else None,
+                  any(s[4] for s in summary))
+    stored = spark.read.parquet(fact_path).filter(_in_months(months) & ids)
     same = reduce(lambda a, b: a & b,
                   [new[c].eqNullSafe(stored[c]) for c in FACT_ARRIVALS.names + LAYOUT])
     return new.join(stored, same, "left_anti")
@@ -85,7 +113,8 @@ def unseen_rows(spark: SparkSession, batch: DataFrame, fact_path: str) -> DataFr
 
 def merge_into_fact(spark: SparkSession, batch: DataFrame, fact_path: str) -> None:
     """Append the batch's typed rows that the fact does not hold yet."""
-    write_partitioned(unseen_rows(spark, batch, fact_path), fact_path, LAYOUT, mode="append")
+    write_partitioned(unseen_rows(spark, batch, fact_path), fact_path, LAYOUT, mode="append",
+                      cluster_by=FACT_CLUSTER)
 
 
 def ingest_deliveries(spark: SparkSession, source: str, fact_path: str, checkpoint: str,

@@ -64,7 +64,7 @@ def main() -> None:
         ("D2 correlation with demographics", A.corr_travel_demographics(stored, city)),
         ("D3 correlation with temperature", A.corr_travel_temperature(stored, A.state_bridge(city), dim)),
         ("Contract report of the fact (one pass + key check)", Q.contract_report(stored, C.FACT_ARRIVALS)),
-        ("Incremental merge: batch rows not yet stored (month-pruned read)",
+        ("Incremental merge: batch rows not yet stored (month- and id-range-pruned read)",
          DY.unseen_rows(spark, batch, f"{root}/fact")),
     ]
     out = ["# PLANS", "",

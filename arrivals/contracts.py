@@ -12,6 +12,7 @@ is (city, state, race), because rows are per month and per race.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -66,11 +67,17 @@ class Contract:
         raise KeyError(name)
 
     def ddl(self, table: str | None = None, using: str = "parquet",
-            location: str | None = None) -> str:
-        cols = ",\n  ".join(f"`{c.name}` {c.sql_type}" for c in self.columns)
+            location: str | None = None,
+            partitions: Sequence[tuple[str, str]] = ()) -> str:
+        """``CREATE TABLE IF NOT EXISTS``; ``partitions`` adds (name, SQL type)
+        folder columns after the contract's and partitions the table by them."""
+        cols = ",\n  ".join([f"`{c.name}` {c.sql_type}" for c in self.columns]
+                            + [f"`{n}` {t}" for n, t in partitions])
+        part = (" PARTITIONED BY (" + ", ".join(f"`{n}`" for n, _ in partitions) + ")"
+                if partitions else "")
         loc = f"\nLOCATION '{location}'" if location else ""
         return (f"CREATE TABLE IF NOT EXISTS {table or self.name} (\n  {cols}\n)"
-                f" USING {using}{loc}")
+                f" USING {using}{part}{loc}")
 
     def conform(self, df: DataFrame) -> DataFrame:
         """Select the contract's columns in order, typed with ``try_cast``.

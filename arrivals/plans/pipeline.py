@@ -37,6 +37,15 @@ STATE_TEMP_KEY = "state_temperature/states.parquet"
 COUNTRY_KEY = "country_code/countries.parquet"
 
 
+def fact_path(out: str) -> str:
+    """Where the fact's Parquet layout lives below the output root ``out``.
+
+    Give it to ``Warehouse(..., fact_layout=...)`` to register the fact in
+    place instead of copying it on every load.
+    """
+    return f"{out.rstrip('/')}/{FACT_KEY}"
+
+
 @dataclass
 class Inputs:
     arrivals: str

@@ -34,6 +34,7 @@ Example file::
     [warehouse]
     database = arrivals
     location = s3a://bucket/warehouse
+    fact_in_place = true
 
     [run]
     years = 10
@@ -41,6 +42,11 @@ Example file::
     contracts = false
     checks_file = /etc/arrivals/checks.json
 
+With ``fact_in_place`` the warehouse's fact table is registered over the
+fact's Parquet layout (partitioned by year and month) instead of being
+copied on each ``warehouse`` run, and ``daily`` makes new rows visible in it
+at once.  Use a database of its own for that mode.
+
 ``checks_file`` (optional, a local file read on the driver like this one) holds more checks in the form
 ``[{"table": ..., "sql": ..., "expected_result": ...}, ...]``; their SQL names
 warehouse tables without the database.  An expected result of ``""`` means
@@ -69,7 +75,7 @@ COMMANDS = ("layout", "warehouse", "check", "all", "daily")
 # Defaults for keys a file may leave out.
 DEFAULTS = {
     "inputs": {"arrivals_format": "parquet", "arrivals_glob": "*.parquet"},
-    "warehouse": {"database": "arrivals", "location": ""},
+    "warehouse": {"database": "arrivals", "location": "", "fact_in_place": "false"},
     "run": {"years": "10", "parallel": "true", "contracts": "false", "resume": "false",
             "daily_checkpoint": "", "checks_file": ""},
 }
@@ -144,9 +150,12 @@ def inputs_of(cfg: configparser.ConfigParser) -> P.Inputs:
     )
 
 
-def warehouse_of(spark: SparkSession, cfg: configparser.ConfigParser) -> Warehouse:
+def warehouse_of(spark: SparkSession, cfg: configparser.ConfigParser, layout: str = "") -> Warehouse:
     location = cfg.get("warehouse", "location", fallback="").strip() or None
-    return Warehouse(spark, _get(cfg, "warehouse", "database"), location=location)
+    fact_layout = (P.fact_path(layout)
+                   if layout and _flag(cfg, "warehouse", "fact_in_place") else None)
+    return Warehouse(spark, _get(cfg, "warehouse", "database"), location=location,
+                     fact_layout=fact_layout)
 
 
 def _years(cfg: configparser.ConfigParser) -> int:
@@ -178,10 +187,14 @@ def run_command(spark: SparkSession, command: str, cfg: configparser.ConfigParse
         ckpt = (cfg.get("run", "daily_checkpoint", fallback="").strip()
                 or shared_root(spark).rstrip("/") + "/arrivals-daily-sources")
         inp = inputs_of(cfg)
-        DY.ingest_deliveries(spark, inp.arrivals, f"{layout.rstrip('/')}/{P.FACT_KEY}", ckpt,
+        DY.ingest_deliveries(spark, inp.arrivals, P.fact_path(layout), ckpt,
                              fmt=inp.arrivals_format, glob=inp.arrivals_glob)
+        wh = warehouse_of(spark, cfg, layout)
+        if wh.in_place("fact_immigration") and spark.catalog.tableExists(
+                wh.table("fact_immigration")):
+            wh.register("fact_immigration")  # new months and files, no copy
     if command in ("warehouse", "all"):
-        P.load_warehouse(spark, warehouse_of(spark, cfg), layout, years, parallel)
+        P.load_warehouse(spark, warehouse_of(spark, cfg, layout), layout, years, parallel)
     if command in ("check", "all"):
         try:
             rows = _checked(spark, cfg)

@@ -6,6 +6,13 @@ Loads are whole-table replacements (``insertInto(overwrite=True)`` /
 a retried load therefore never leaves a half-cleared table or a double copy.
 Parquet tables do not enforce NOT NULL or keys, so a load conforms the
 frame to the contract first and the contract checks do the rest.
+
+With ``fact_layout`` the fact table is not a copy: it is an external table
+partitioned by ``year`` and ``month`` over the fact's Parquet layout
+itself, and staging it only registers the layout's folders (a metadata
+step).  This is for large facts, where copying the whole fact on every run
+would cost a full scan and a full write.  Reads still give the contract's
+columns only.
 """
 
 from __future__ import annotations
@@ -15,31 +22,76 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from arrivals import contracts as C
+from arrivals.sinks.parquet import write_fact
 from arrivals.sources.files import render_path
 
 MODES = ("overwrite", "append")
 
+# The folder columns of the fact's layout, with their SQL types.
+FACT_LAYOUT_COLUMNS = [("year", "INT"), ("month", "INT")]
+
+
+def _same_path(a: str, b: str) -> bool:
+    def norm(p: str) -> str:
+        return (p[len("file:"):] if p.startswith("file:") else p).rstrip("/")
+    return norm(a) == norm(b)
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, database: str = "arrivals",
-                 location: str | None = None):
+                 location: str | None = None, fact_layout: str | None = None):
         self.spark = spark
         self.database = database
         self.location = location
+        self.fact_layout = fact_layout
 
     def table(self, name: str) -> str:
         return f"`{self.database}`.`{name}`"
 
+    def in_place(self, name: str) -> bool:
+        """Whether ``name`` is registered over its layout instead of copied."""
+        return self.fact_layout is not None and name == C.FACT_ARRIVALS.name
+
+    def _ddl(self, c: C.Contract) -> str:
+        if self.in_place(c.name):
+            return c.ddl(self.table(c.name), location=self.fact_layout,
+                         partitions=FACT_LAYOUT_COLUMNS)
+        return c.ddl(self.table(c.name))
+
     def create_tables(self, contracts: Sequence[C.Contract] = C.ALL) -> list[str]:
         """``CREATE TABLE IF NOT EXISTS`` for every contract; idempotent."""
         loc = f" LOCATION '{self.location}'" if self.location else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`{loc}")
         for c in contracts:
-            self.spark.sql(c.ddl(self.table(c.name)))
+            self.spark.sql(self._ddl(c))
         return [self.table(c.name) for c in contracts]
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.table(self.table(name))
+        """The table's rows in the contract's columns (layout columns left out)."""
+        df = self.spark.table(self.table(name))
+        contract = C.BY_NAME.get(name)
+        return df.select(*[f"`{n}`" for n in contract.names]) if contract else df
+
+    def register(self, name: str) -> DataFrame:
+        """Make an in-place table mirror its layout folder: a metadata step.
+
+        The external table is defined again (dropping an external table
+        keeps its files) and its partitions are found from the folder
+        names, so months that a rewrite removed disappear too.  The listing
+        is Spark's own, parallel for many folders.
+        """
+        if not self.in_place(name):
+            raise ValueError(f"{name} is not registered in place")
+        t = self.table(name)
+        if self.spark.catalog.tableExists(t):
+            kind = self.spark.sql(f"DESCRIBE TABLE EXTENDED {t}").filter("col_name = 'Type'").first()
+            if kind is None or kind.data_type.strip().upper() != "EXTERNAL":
+                raise ValueError(f"{t} exists as a copied table; use another database for in-place")
+            self.spark.sql(f"DROP TABLE {t}")
+        self.spark.sql(self._ddl(C.BY_NAME[name]))
+        self.spark.sql(f"ALTER TABLE {t} RECOVER PARTITIONS")
+        self.spark.sql(f"REFRESH TABLE {t}")
+        return self.read(name)
 
     def load(self, name: str, df: DataFrame, mode: str) -> DataFrame:
         """Conform ``df`` to the table's contract and load it.
@@ -50,6 +102,10 @@ class Warehouse:
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
         contract = C.BY_NAME[name]
+        if self.in_place(name):
+            # The table is the layout: write there, then register the folders.
+            write_fact(contract.conform(df), self.fact_layout, mode)
+            return self.register(name)
         contract.conform(df).write.insertInto(self.table(name), overwrite=(mode == "overwrite"))
         return self.read(name)
 
@@ -62,6 +118,8 @@ class Warehouse:
         layout columns read back from folder names are dropped.
         """
         path = base.rstrip("/") + "/" + render_path(key_template, context or {}).lstrip("/")
+        if self.in_place(name) and _same_path(path, self.fact_layout):
+            return self.register(name)
         return self.load(name, self.spark.read.parquet(path), "overwrite")
 
     def insert_select(self, name: str, columns: Sequence[str], select_sql: str,

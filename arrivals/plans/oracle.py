@@ -203,6 +203,7 @@ def oracle_sql() -> dict[str, str]:
         "write_overwrite": CC,
         "write_error_if_exists": CC,
         "load_stage_overwrite": with_(fact, "SELECT * FROM fact"),
+        "load_stage_in_place": with_(fact, "SELECT * FROM fact"),
         "load_fact_overwrite": with_(fact, "SELECT * FROM fact"),
         "load_dimension_overwrite": with_(st3 + [("dim_st", dim_st(CHECK_YEARS))],
                                           "SELECT * FROM dim_st"),

@@ -67,8 +67,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for scratch output: ``spark.checkpoint.dir``.
 
-    Read from the session; set to a fresh local folder only when unset
-    (local mode and tests), so a cluster's own setting always wins.
+    Read from the session; set to a fresh local folder only when unset in
+    local mode (tests), so a cluster's own setting always wins.  A cluster
+    session without the setting is an error, never a machine-local folder.
     """
     with _LOCK:
         sc = spark.sparkContext
@@ -79,6 +80,9 @@ def shared_root(spark: SparkSession) -> str:
             except Exception:  # noqa: BLE001 - unset key
                 root = None
         if not root:
+            if not str(sc.master).startswith("local"):
+                # A machine-local folder is not shared between executors.
+                raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
             root = tempfile.mkdtemp(prefix="arrivals-ckpt-")
             sc.setCheckpointDir(root)
         elif not sc.getCheckpointDir():

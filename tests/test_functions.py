@@ -52,3 +52,32 @@ def test_casts_forgiving(spark):
     f = _one(spark, vals, casts.to_float)
     assert f[0] is None and math.isnan(f[1]) and math.isinf(f[2])
     assert _one(spark, ["2016-04-01", "nope"], casts.to_date, "string") == [dt.date(2016, 4, 1), None]
+
+
+def test_cluster_session_without_checkpoint_dir_is_refused():
+    import pytest
+    from arrivals.session import shared_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Ctx:
+        master = "spark://cluster:7077"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class RuntimeConf:
+        def get(self, key):
+            raise KeyError(key)
+
+    class Session:
+        sparkContext = Ctx()
+        conf = RuntimeConf()
+
+    with pytest.raises(RuntimeError, match="shared storage"):
+        shared_root(Session())

@@ -40,6 +40,7 @@ Example file::
     years = 10
     parallel = true
     contracts = false
+    daily_max_files = 1000
     checks_file = /etc/arrivals/checks.json
 
 With ``fact_in_place`` the warehouse's fact table is registered over the
@@ -77,7 +78,7 @@ DEFAULTS = {
     "inputs": {"arrivals_format": "parquet", "arrivals_glob": "*.parquet"},
     "warehouse": {"database": "arrivals", "location": "", "fact_in_place": "false"},
     "run": {"years": "10", "parallel": "true", "contracts": "false", "resume": "false",
-            "daily_checkpoint": "", "checks_file": ""},
+            "daily_checkpoint": "", "daily_max_files": "", "checks_file": ""},
 }
 
 
@@ -186,9 +187,16 @@ def run_command(spark: SparkSession, command: str, cfg: configparser.ConfigParse
         # default it lives below the cluster's shared checkpoint folder.
         ckpt = (cfg.get("run", "daily_checkpoint", fallback="").strip()
                 or shared_root(spark).rstrip("/") + "/arrivals-daily-sources")
+        # A bound on files per micro-batch turns a long backlog (a first run
+        # over the whole history) into batches that each commit on their own,
+        # so a failure restarts after the last committed batch.
+        max_files = cfg.get("run", "daily_max_files", fallback="").strip()
+        if max_files and not (max_files.isdigit() and int(max_files) > 0):
+            raise ConfigError("[run] daily_max_files must be a positive integer")
         inp = inputs_of(cfg)
         DY.ingest_deliveries(spark, inp.arrivals, P.fact_path(layout), ckpt,
-                             fmt=inp.arrivals_format, glob=inp.arrivals_glob)
+                             fmt=inp.arrivals_format, glob=inp.arrivals_glob,
+                             max_files_per_trigger=int(max_files) if max_files else None)
         wh = warehouse_of(spark, cfg, layout)
         if wh.in_place("fact_immigration") and spark.catalog.tableExists(
                 wh.table("fact_immigration")):

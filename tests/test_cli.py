@@ -65,6 +65,8 @@ def test_missing_setting_is_a_usage_error(spark, tmp_path):
     cfg.write_text("[output]\nlayout = /nowhere\n")
     assert main(["layout", "-c", str(cfg)], spark=spark) == 2
     assert main(["all", "--set", "no-dot=1"], spark=spark) == 2
+    assert main(["daily", "--set", "output.layout=/x", "--set", "run.daily_max_files=0"],
+                spark=spark) == 2
 
 
 def test_overrides_and_defaults():
@@ -79,7 +81,8 @@ def test_daily_runs_merge_only_new_deliveries(spark, tmp_root, tmp_path):
     paths = FX.write_raw_inputs(spark, SF_SMALL, f"{tmp_root}/raw")
     layout = f"{tmp_root}/layout"
     cfg = _config(tmp_path, paths, layout, "unused", "")
-    sets = ["--set", f"run.daily_checkpoint={tmp_root}/daily-ckpt"]
+    sets = ["--set", f"run.daily_checkpoint={tmp_root}/daily-ckpt",
+            "--set", "run.daily_max_files=7"]  # the backlog in several batches
     assert main(["daily", "-c", cfg, *sets], spark=spark) == 0
     fact_path = f"{layout}/{P.FACT_KEY}"
     first = _rows(spark.read.parquet(fact_path))

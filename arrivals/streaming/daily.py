@@ -88,6 +88,29 @@ def _in_months(months: list[tuple[int | None, int | None]]) -> Column:
     return cond
 
 
+# The stored fact as read back: contract columns, then the folder columns.
+STORED_SCHEMA = T.StructType(FACT_ARRIVALS.schema.fields + [
+    T.StructField(c, T.IntegerType(), True) for c in LAYOUT])
+
+# Fixed value: the folder name Spark writes for a null partition value.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def month_folders(fact_path: str, months: list[tuple[int | None, int | None]]) -> list[str]:
+    """The ``year=/month=`` folders of ``months`` below the fact's root.
+
+    Reading these paths (with the root as ``basePath``) lists only them, not
+    every folder of the fact, which is what a read of the root would do
+    before pruning.
+    """
+    root = fact_path.rstrip("/")
+
+    def v(x):
+        return NULL_FOLDER if x is None else str(x)
+
+    return [f"{root}/year={v(y)}/month={v(m)}" for y, m in sorted(set(months), key=str)]
+
+
 def unseen_rows(spark: SparkSession, batch: DataFrame, fact_path: str) -> DataFrame:
     """The batch's typed, distinct rows (with layout columns) not yet in the fact."""
     batch = batch.select(*ARRIVAL_COLUMNS)
@@ -97,15 +120,20 @@ def unseen_rows(spark: SparkSession, batch: DataFrame, fact_path: str) -> DataFr
     summary = batch_summary(batch)
     if not summary:
         return new  # an empty batch
-    # Only the folders of months this batch touches are listed and read;
-    # the null-date folder is included when the batch has such rows.  Within
-    # them, only row groups whose ids overlap the batch's are read.
+    # Only the folders of months this batch touches are listed and read (the
+    # null-date folder too when the batch has such rows); checking which of
+    # them exist costs one call per month.  Within them, only row groups
+    # whose ids overlap the batch's are read.
     months = [(y, m) for y, m, *_ in summary]
     los = [s[2] for s in summary if s[2] is not None]
     his = [s[3] for s in summary if s[3] is not None]
     ids = _in_ids(min(los) if los else None, max(his) if his else None,
                   any(s[4] for s in summary))
-    stored = spark.read.parquet(fact_path).filter(_in_months(months) & ids)
+    folders = [f for f in month_folders(fact_path, months) if path_exists(spark, f)]
+    if not folders:
+        return new  # none of these months is stored yet
+    stored = (spark.read.schema(STORED_SCHEMA).option("basePath", fact_path)
+              .parquet(*folders).filter(_in_months(months) & ids))
     same = reduce(lambda a, b: a & b,
                   [new[c].eqNullSafe(stored[c]) for c in FACT_ARRIVALS.names + LAYOUT])
     return new.join(stored, same, "left_anti")

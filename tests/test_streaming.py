@@ -129,3 +129,23 @@ def test_replays_with_null_and_out_of_range_ids_stay_exact(spark, tmp_root):
     want = J.fact_arrivals(P.read_arrivals(spark, P.Inputs(src, "", "", "")))
     assert got.count() == want.count() == 7
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_merge_lists_only_the_touched_month_folders(spark, tmp_root):
+    from arrivals.sources import fixtures as FX
+    from tests.conftest import SF_SMALL
+    from pyspark.sql import functions as F
+    fact = f"{tmp_root}/fact"
+    raw = FX.raw_arrivals(spark, SF_SMALL)
+    K.write_fact(J.fact_arrivals(raw), fact)
+    assert len(spark.read.parquet(fact).select("year", "month").distinct().collect()) > 12
+    # A batch of one month, plus a null-date row whose folder is not stored.
+    first = raw.agg(F.min("arrdate")).first()[0]
+    batch = raw.filter(F.col("arrdate") == first).unionByName(
+        _raw(spark, [ROWS[2]]))
+    unseen = D.unseen_rows(spark, batch, fact)
+    scan = [ln for ln in unseen._jdf.queryExecution().executedPlan().toString().splitlines()
+            if "FileScan parquet" in ln][0]
+    assert "InMemoryFileIndex(1 paths)" in scan
+    # Only the null-date row is new.
+    assert [r.cic_id for r in unseen.collect()] == [3]

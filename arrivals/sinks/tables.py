@@ -10,7 +10,7 @@ frame to the contract first and the contract checks do the rest.
 With ``fact_layout`` the fact table is not a copy: it is an external table
 partitioned by ``year`` and ``month`` over the fact's Parquet layout
 itself, and staging it only registers the layout's folders (a metadata
-step).  This is for large facts, where copying the whole fact on every run
+step that never drops the table).  This is for large facts, where copying the whole fact on every run
 would cost a full scan and a full write.  Reads still give the contract's
 columns only.
 """
@@ -22,7 +22,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from arrivals import contracts as C
-from arrivals.sinks.parquet import write_fact
+from arrivals.session import path_exists
+from arrivals.sinks.parquet import NULL_FOLDER, write_fact
 from arrivals.sources.files import render_path
 
 MODES = ("overwrite", "append")
@@ -31,6 +32,19 @@ MODES = ("overwrite", "append")
 FACT_LAYOUT_COLUMNS = [("year", "INT"), ("month", "INT")]
 
 
+def _partition_sql(spec: str) -> str:
+    """``year=2016/month=4`` -> ``year=2016, month=4`` (the null folder -> NULL)."""
+    out = []
+    for part in spec.split("/"):
+        col, _, value = part.partition("=")
+        if value == NULL_FOLDER:
+            value = "NULL"
+        elif not value.lstrip("-").isdigit():
+            raise ValueError(f"unexpected partition value in {spec!r}")
+        out.append(f"`{col}`={value}")
+    return ", ".join(out)
+
+
 def _same_path(a: str, b: str) -> bool:
     def norm(p: str) -> str:
         return (p[len("file:"):] if p.startswith("file:") else p).rstrip("/")
@@ -75,10 +89,12 @@ class Warehouse:
     def register(self, name: str) -> DataFrame:
         """Make an in-place table mirror its layout folder: a metadata step.
 
-        The external table is defined again (dropping an external table
-        keeps its files) and its partitions are found from the folder
-        names, so months that a rewrite removed disappear too.  The listing
-        is Spark's own, parallel for many folders.
+        The table is created when missing and never dropped, so readers
+        always find it.  Its partitions are found from the folder names
+        (Spark's own listing, parallel for many folders), and partitions
+        whose folders a rewrite removed are dropped; the partition list is
+        bounded by the calendar, so checking each folder is cheap.  Dropping
+        a partition of an external table keeps its files.
         """
         if not self.in_place(name):
             raise ValueError(f"{name} is not registered in place")
@@ -87,9 +103,13 @@ class Warehouse:
             kind = self.spark.sql(f"DESCRIBE TABLE EXTENDED {t}").filter("col_name = 'Type'").first()
             if kind is None or kind.data_type.strip().upper() != "EXTERNAL":
                 raise ValueError(f"{t} exists as a copied table; use another database for in-place")
-            self.spark.sql(f"DROP TABLE {t}")
-        self.spark.sql(self._ddl(C.BY_NAME[name]))
+        else:
+            self.create_tables([C.BY_NAME[name]])
         self.spark.sql(f"ALTER TABLE {t} RECOVER PARTITIONS")
+        root = self.fact_layout.rstrip("/")
+        for (spec,) in self.spark.sql(f"SHOW PARTITIONS {t}").collect():
+            if not path_exists(self.spark, f"{root}/{spec}"):
+                self.spark.sql(f"ALTER TABLE {t} DROP IF EXISTS PARTITION ({_partition_sql(spec)})")
         self.spark.sql(f"REFRESH TABLE {t}")
         return self.read(name)
 

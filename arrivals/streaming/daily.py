@@ -31,7 +31,7 @@ from arrivals.functions import casts as X
 from arrivals.functions.dates import sas_date
 from arrivals.operators.transforms import ARRIVAL_COLUMNS, fact_arrivals
 from arrivals.session import path_exists
-from arrivals.sinks.parquet import FACT_CLUSTER, write_partitioned
+from arrivals.sinks.parquet import FACT_CLUSTER, NULL_FOLDER, write_partitioned
 from arrivals.sources.raw import RAW_ARRIVALS
 
 LAYOUT = ["year", "month"]
@@ -92,10 +92,6 @@ def _in_months(months: list[tuple[int | None, int | None]]) -> Column:
 STORED_SCHEMA = T.StructType(FACT_ARRIVALS.schema.fields + [
     T.StructField(c, T.IntegerType(), True) for c in LAYOUT])
 
-# Fixed value: the folder name Spark writes for a null partition value.
-NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
-
-
 def month_folders(fact_path: str, months: list[tuple[int | None, int | None]]) -> list[str]:
     """The ``year=/month=`` folders of ``months`` below the fact's root.
 

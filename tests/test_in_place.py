@@ -107,3 +107,26 @@ def test_daily_run_shows_new_rows_in_the_in_place_table(spark, tmp_root, tmp_pat
     assert got.count() == before + 1
     want = dt.date(1960, 1, 1) + dt.timedelta(days=int(30000.5))
     assert got.filter("cic_id = 99999999").first().arrival_date == want
+
+
+def test_register_keeps_the_table_and_drops_only_vanished_months(spark, tmp_root):
+    from arrivals.sinks import parquet as K
+    from arrivals.sinks.tables import _partition_sql
+    layout = f"{tmp_root}/fact"
+    wh = Warehouse(spark, _db(), fact_layout=layout)
+    no_date = (3,) + ROW[1:-1] + (None,)
+    K.write_fact(_fact_rows(spark, [ROW, no_date]), layout)
+    wh.register("fact_immigration")
+    t = wh.table("fact_immigration")
+    before = spark.table(t)  # a reader's frame, made before the next rewrite
+    assert sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {t}").collect()) == [
+        "year=2016/month=4", "year=__HIVE_DEFAULT_PARTITION__/month=__HIVE_DEFAULT_PARTITION__"]
+    may = (2,) + ROW[1:-1] + (dt.date(2016, 5, 2),)
+    K.write_fact(_fact_rows(spark, [may]), layout)  # a rewrite with May only
+    wh.register("fact_immigration")
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {t}").collect()] == ["year=2016/month=5"]
+    assert [r.cic_id for r in wh.read("fact_immigration").collect()] == [2]
+    assert before.columns == spark.table(t).columns  # the table was never dropped
+    assert _partition_sql("year=__HIVE_DEFAULT_PARTITION__/month=7") == "`year`=NULL, `month`=7"
+    with pytest.raises(ValueError):
+        _partition_sql("year=1; DROP TABLE x/month=1")

@@ -56,8 +56,14 @@ def test_all_then_a_seeded_defect_fails_the_check(spark, tmp_root, tmp_path):
     assert _rows(wh.read("fact_immigration")) == _rows(ref.read("fact_immigration"))
     # A second copy of every country code row: the duplicate check fails.
     wh.load("country_code", spark.read.parquet(f"{tmp_root}/layout/{P.COUNTRY_KEY}"), "append")
-    with redirect_stdout(io.StringIO()):
+    buf = io.StringIO()
+    with redirect_stdout(buf):
         assert main(["check", "-c", cfg], spark=spark) == 1
+    # The whole report is printed, the failed row included.
+    report = {json.loads(line)["check_name"]: json.loads(line)["passed"]
+              for line in buf.getvalue().splitlines()}
+    assert report == {"fact_null_cic_id": True, "state_temperature_null_avg": True,
+                      "country_code_duplicates": False}
 
 
 def test_missing_setting_is_a_usage_error(spark, tmp_path):

@@ -29,6 +29,7 @@ from arrivals.sinks.tables import Warehouse
 from arrivals.sources import raw as R
 from arrivals.session import path_exists
 from arrivals.sources.files import read_csv, scan_files
+from arrivals.streaming import daily as DY
 
 # Output keys below the Parquet root, one per table.
 FACT_KEY = "immigration/immigrations.parquet"
@@ -144,6 +145,21 @@ def load_warehouse(spark: SparkSession, wh: Warehouse, out: str, years: int = 10
     _run_all([fact_then_dates, staging_then_dim, city, country], parallel)
 
 
+def add_new_dates(wh: Warehouse, fact_path: str,
+                  months: list[tuple[int | None, int | None]]) -> None:
+    """Append to ``date_time`` the arrival dates of ``months`` it lacks.
+
+    A daily run's new dates can only lie in the months its deliveries
+    touched, so only those folders' date column is read, not the whole
+    fact.  The anti join on the date makes a repeated call add nothing.
+    """
+    stored = DY.read_months(wh.spark, fact_path, months)
+    if stored is None:
+        return
+    known = wh.read("date_time").select("date")
+    wh.load("date_time", J.date_dim(stored).join(known, "date", "left_anti"), "append")
+
+
 def quality_report(wh: Warehouse, contracts: bool = False) -> DataFrame:
     """The three gating checks; with ``contracts`` also every table's contract."""
     rep = Q.report(Q.reference_checks(wh.read("fact_immigration"), wh.read("state_temperature"),

@@ -47,7 +47,8 @@ Example file::
 With ``fact_in_place`` the warehouse's fact table is registered over the
 fact's Parquet layout (partitioned by year and month) instead of being
 copied on each ``warehouse`` run, and ``daily`` makes new rows visible in it
-at once.  Use a database of its own for that mode.
+at once and adds their new dates to ``date_time``.  Use a database of its own
+for that mode.
 
 ``checks_file`` (optional, a local file read on the driver like this one)
 holds more checks in the form ``[{"table": ..., "sql": ...,
@@ -195,12 +196,20 @@ def run_command(spark: SparkSession, command: str, cfg: configparser.ConfigParse
         if max_files and not (max_files.isdigit() and int(max_files) > 0):
             raise ConfigError("[run] daily_max_files must be a positive integer")
         inp = inputs_of(cfg)
+        wh = warehouse_of(spark, cfg, layout)
+        live = wh.in_place("fact_immigration") and spark.catalog.tableExists(
+            wh.table("fact_immigration"))
+        # With the fact in place, each micro-batch also adds its new dates to
+        # the date dimension (only its months are read; replay-safe).
+        after = None
+        if live and spark.catalog.tableExists(wh.table("date_time")):
+            def after(months):
+                P.add_new_dates(wh, P.fact_path(layout), months)
         DY.ingest_deliveries(spark, inp.arrivals, P.fact_path(layout), ckpt,
                              fmt=inp.arrivals_format, glob=inp.arrivals_glob,
-                             max_files_per_trigger=int(max_files) if max_files else None)
-        wh = warehouse_of(spark, cfg, layout)
-        if wh.in_place("fact_immigration") and spark.catalog.tableExists(
-                wh.table("fact_immigration")):
+                             max_files_per_trigger=int(max_files) if max_files else None,
+                             after_merge=after)
+        if live:
             wh.register("fact_immigration")  # new months and files, no copy
     if command in ("warehouse", "all"):
         P.load_warehouse(spark, warehouse_of(spark, cfg, layout), layout, years, parallel)

@@ -20,6 +20,7 @@ already present and adds nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,6 +93,7 @@ def _in_months(months: list[tuple[int | None, int | None]]) -> Column:
 STORED_SCHEMA = T.StructType(FACT_ARRIVALS.schema.fields + [
     T.StructField(c, T.IntegerType(), True) for c in LAYOUT])
 
+
 def month_folders(fact_path: str, months: list[tuple[int | None, int | None]]) -> list[str]:
     """The ``year=/month=`` folders of ``months`` below the fact's root.
 
@@ -107,57 +109,92 @@ def month_folders(fact_path: str, months: list[tuple[int | None, int | None]]) -
     return [f"{root}/year={v(y)}/month={v(m)}" for y, m in sorted(set(months), key=str)]
 
 
-def unseen_rows(spark: SparkSession, batch: DataFrame, fact_path: str) -> DataFrame:
+def read_months(spark: SparkSession, fact_path: str,
+                months: list[tuple[int | None, int | None]]) -> DataFrame | None:
+    """The stored fact rows of ``months`` (with layout columns), or None.
+
+    Only those month folders are listed and read (the null-date folder too
+    when asked for); checking which of them exist costs one call per month.
+    """
+    if not path_exists(spark, fact_path):
+        return None
+    folders = [f for f in month_folders(fact_path, months) if path_exists(spark, f)]
+    if not folders:
+        return None
+    return (spark.read.schema(STORED_SCHEMA).option("basePath", fact_path)
+            .parquet(*folders).filter(_in_months(months)))
+
+
+Summary = list[tuple[int | None, int | None, int | None, int | None, bool]]
+
+
+def unseen_rows(spark: SparkSession, batch: DataFrame, fact_path: str,
+                summary: Summary | None = None) -> DataFrame:
     """The batch's typed, distinct rows (with layout columns) not yet in the fact."""
     batch = batch.select(*ARRIVAL_COLUMNS)
     new = _with_layout(fact_arrivals(batch))
     if not path_exists(spark, fact_path):
         return new
-    summary = batch_summary(batch)
+    summary = batch_summary(batch) if summary is None else summary
     if not summary:
         return new  # an empty batch
-    # Only the folders of months this batch touches are listed and read (the
-    # null-date folder too when the batch has such rows); checking which of
-    # them exist costs one call per month.  Within them, only row groups
-    # whose ids overlap the batch's are read.
-    months = [(y, m) for y, m, *_ in summary]
+    # Only the folders of months this batch touches are read, and within
+    # them only row groups whose ids overlap the batch's.
     los = [s[2] for s in summary if s[2] is not None]
     his = [s[3] for s in summary if s[3] is not None]
     ids = _in_ids(min(los) if los else None, max(his) if his else None,
                   any(s[4] for s in summary))
-    folders = [f for f in month_folders(fact_path, months) if path_exists(spark, f)]
-    if not folders:
+    stored = read_months(spark, fact_path, [(y, m) for y, m, *_ in summary])
+    if stored is None:
         return new  # none of these months is stored yet
-    stored = (spark.read.schema(STORED_SCHEMA).option("basePath", fact_path)
-              .parquet(*folders).filter(_in_months(months) & ids))
+    stored = stored.filter(ids)
     same = reduce(lambda a, b: a & b,
                   [new[c].eqNullSafe(stored[c]) for c in FACT_ARRIVALS.names + LAYOUT])
     return new.join(stored, same, "left_anti")
 
 
-def merge_into_fact(spark: SparkSession, batch: DataFrame, fact_path: str) -> None:
-    """Append the batch's typed rows that the fact does not hold yet."""
-    write_partitioned(unseen_rows(spark, batch, fact_path), fact_path, LAYOUT, mode="append",
-                      cluster_by=FACT_CLUSTER)
+def merge_into_fact(spark: SparkSession, batch: DataFrame,
+                    fact_path: str) -> list[tuple[int | None, int | None]]:
+    """Append the batch's typed rows that the fact does not hold yet.
+
+    Returns the (year, month) folders the batch touches (bounded by the
+    calendar), whether or not any of its rows were new.
+    """
+    summary = batch_summary(batch.select(*ARRIVAL_COLUMNS))
+    write_partitioned(unseen_rows(spark, batch, fact_path, summary), fact_path, LAYOUT,
+                      mode="append", cluster_by=FACT_CLUSTER)
+    return [(y, m) for y, m, *_ in summary]
 
 
 def ingest_deliveries(spark: SparkSession, source: str, fact_path: str, checkpoint: str,
                       fmt: str = "parquet", glob: str | None = "*.parquet",
                       schema: T.StructType = RAW_ARRIVALS,
-                      max_files_per_trigger: int | None = None) -> None:
+                      max_files_per_trigger: int | None = None,
+                      after_merge: Callable[[list[tuple[int | None, int | None]]], None]
+                      | None = None) -> None:
     """Process every delivery file not seen before, then stop.
 
     ``checkpoint`` must be on shared storage (for example below
     ``spark.checkpoint.dir``); it is the record of which files were read.
+    ``after_merge`` is called in each micro-batch, after its rows were
+    merged, with the months the batch touched; it runs again when a batch is
+    replayed, so it must be idempotent.
     """
+    if not path_exists(spark, source):
+        return  # no delivery has arrived yet: nothing to read or merge
     reader = (spark.readStream.format(fmt).schema(schema)
               .option("recursiveFileLookup", "true"))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    def _each(batch: DataFrame) -> None:
+        months = merge_into_fact(spark, batch, fact_path)
+        if after_merge is not None and months:
+            after_merge(months)
+
     q = (reader.load(source).writeStream
-         .foreachBatch(lambda batch, _epoch: merge_into_fact(spark, batch, fact_path))
+         .foreachBatch(lambda batch, _epoch: _each(batch))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())

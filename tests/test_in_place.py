@@ -107,6 +107,14 @@ def test_daily_run_shows_new_rows_in_the_in_place_table(spark, tmp_root, tmp_pat
     assert got.count() == before + 1
     want = dt.date(1960, 1, 1) + dt.timedelta(days=int(30000.5))
     assert got.filter("cic_id = 99999999").first().arrival_date == want
+    # The date dimension gained the new date, and equals a full rebuild.
+    from arrivals.operators import transforms as J
+    dates = wh.read("date_time")
+    assert dates.filter(dates.date == want).count() == 1
+    assert _rows(dates) == _rows(J.date_dim(got))
+    # Adding the same months again changes nothing.
+    P.add_new_dates(wh, P.fact_path(f"{tmp_root}/layout"), [(2042, 2)])
+    assert _rows(wh.read("date_time")) == _rows(dates)
 
 
 def test_register_keeps_the_table_and_drops_only_vanished_months(spark, tmp_root):

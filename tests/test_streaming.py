@@ -149,3 +149,13 @@ def test_merge_lists_only_the_touched_month_folders(spark, tmp_root):
     assert "InMemoryFileIndex(1 paths)" in scan
     # Only the null-date row is new.
     assert [r.cic_id for r in unseen.collect()] == [3]
+
+
+def test_daily_run_before_any_delivery_does_nothing(spark, tmp_root):
+    src, fact, ckpt = f"{tmp_root}/in", f"{tmp_root}/fact", f"{tmp_root}/_log"
+    D.ingest_deliveries(spark, src, fact, ckpt)  # the folder does not exist yet
+    from arrivals.session import path_exists
+    assert not path_exists(spark, fact)
+    _raw(spark, ROWS).write.parquet(f"{src}/day=1")
+    D.ingest_deliveries(spark, src, fact, ckpt)
+    assert spark.read.parquet(fact).count() == 4

@@ -54,6 +54,9 @@ def main() -> None:
     batch = P.read_arrivals(spark, inp)
     first = batch.select(F.min(sas_date("arrdate"))).first()[0]
     batch = batch.filter(sas_date("arrdate") < F.add_months(F.lit(first), 1))
+    # The stored date dimension, as the daily update sees it.
+    J.date_dim(stored).write.parquet(f"{root}/dates")
+    known_dates = spark.read.parquet(f"{root}/dates").select("date")
     plans = [
         ("J1 fact from delivery files", fact),
         ("K1 fact layout write input (rebalanced)", K.balanced_for_layout(laid, ["year", "month"])),
@@ -66,6 +69,9 @@ def main() -> None:
         ("Contract report of the fact (one pass + key check)", Q.contract_report(stored, C.FACT_ARRIVALS)),
         ("Incremental merge: batch rows not yet stored (month- and id-range-pruned read)",
          DY.unseen_rows(spark, batch, f"{root}/fact")),
+        ("Daily date dimension update: dates of the touched months only, not yet known",
+         J.date_dim(DY.read_months(spark, f"{root}/fact", DY.touched_months(batch)))
+         .join(known_dates, "date", "left_anti")),
     ]
     out = ["# PLANS", "",
            f"Formatted physical plans (before adaptive re-planning) on `{sf}`, made by",

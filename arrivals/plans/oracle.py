@@ -252,6 +252,7 @@ def oracle_sql() -> dict[str, str]:
                                          "COUNT(*) AS n FROM fact GROUP BY 1, 2"),
         "dim_date_time": with_(fact, DATE_DIM),
         "dim_date_time_sql": with_(fact, DATE_DIM),
+        "dim_date_time_incremental": with_(fact, DATE_DIM),
         # quality and contracts
         "dq_null_measure": with_(st3 + [("dim_st", dim_st(CHECK_YEARS))],
                                  "SELECT COUNT(*) AS n FROM dim_st WHERE avg_temperature IS NULL"),

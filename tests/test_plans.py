@@ -83,3 +83,43 @@ def test_hot_group_of_copies_collapses_before_the_shuffle(spark, tmp_root):
     written = _shuffle_records_written(fact)
     n_files = len(spark.read.schema(R.RAW_ARRIVALS).parquet(f"{tmp_root}/hot").inputFiles())
     assert written and files * unique < max(written) <= files * unique + n_files
+
+
+def test_recent_years_bound_skips_row_groups_of_older_years(spark, tmp_root):
+    from pyspark.sql import functions as F
+    from arrivals.operators.filters import recent_years
+    n = 200_000
+    path = f"{tmp_root}/years"
+    rows = spark.range(n).select((F.lit(1900) + (F.col("id") * 100 / n).cast("int")).alias("year"),
+                                 F.col("id").cast("double").alias("v"))
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    old = hconf.get("parquet.block.size")
+    hconf.set("parquet.block.size", str(128 * 1024))  # many row groups, years in order
+    try:
+        rows.coalesce(1).sortWithinPartitions("year").write.parquet(path)
+    finally:
+        if old is None:
+            hconf.unset("parquet.block.size")
+        else:
+            hconf.set("parquet.block.size", old)
+    df = recent_years(spark.read.parquet(path), "year", 10)
+    got = df.collect()
+    assert {r.year for r in got} == set(range(1990, 2000)) and len(got) == n // 10
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(year,ScalarSubquery" in p
+    scanned = []
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if name == "FileSourceScanExec" and "v" in node.output().toString():
+            scanned.append(int(node.metrics().apply("numOutputRows").value()))
+        ch = node.children()
+        for i in range(ch.size()):
+            walk(ch.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    assert scanned and scanned[0] < n // 4  # older years' row groups were not read

@@ -77,9 +77,9 @@ def main() -> None:
            f"Formatted physical plans (before adaptive re-planning) on `{sf}`, made by",
            "`tools/explain_plans.py`. Look for `ReadSchema` (column pruning),",
            "`PushedFilters`, and the number of `Exchange` nodes. The recent-years",
-           "window refers to its `max(year)` subquery twice; before execution both",
-           "copies are listed, at run time the second is a `ReusedSubquery` (one",
-           "computation).", ""]
+           "window is one scalar subquery (`max(year) - N`); Parquet scans list it",
+           "as `GreaterThan(year,ScalarSubquery...)` in `PushedFilters`, and its",
+           "value is filled in at run time.", ""]
     for title, df in plans:
         out += [f"## {title}", "", "```", formatted(df).strip(), "```", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as fh:

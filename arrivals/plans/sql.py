@@ -4,7 +4,8 @@ Same results as :func:`arrivals.operators.transforms.state_temperature_dim`
 and :func:`~arrivals.operators.transforms.date_dim`, for loads driven by SQL
 templates (``Warehouse.insert_select``).  The source table is bound through
 ``IDENTIFIER(:src)`` and the window length through ``:years``, never by
-string formatting.
+string formatting.  The window is the lower bound alone (every year is at
+most the latest one), as one subquery value the Parquet scan can push down.
 """
 
 from __future__ import annotations
@@ -14,8 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 STATE_TEMPERATURE_SELECT = """
 SELECT state, month, CAST(AVG(avg_temp) AS FLOAT) AS avg_temperature
 FROM IDENTIFIER(:src)
-WHERE year <= (SELECT MAX(year) FROM IDENTIFIER(:src))
-  AND year > (SELECT MAX(year) FROM IDENTIFIER(:src)) - :years
+WHERE year > (SELECT MAX(year) - :years FROM IDENTIFIER(:src))
 GROUP BY state, month
 """
 

@@ -144,3 +144,15 @@ def test_register_keeps_the_table_and_drops_only_vanished_months(spark, tmp_root
     assert _partition_sql("year=__HIVE_DEFAULT_PARTITION__/month=7") == "`year`=NULL, `month`=7"
     with pytest.raises(ValueError):
         _partition_sql("year=1; DROP TABLE x/month=1")
+
+
+def test_add_new_dates_is_a_no_op_without_stored_months(spark, tmp_root):
+    wh = Warehouse(spark, _db(), location=f"{tmp_root}/wh")
+    wh.create_tables([C.DATE_TIME])
+    P.add_new_dates(wh, f"{tmp_root}/no-fact", [(2016, 4)])  # no fact folder at all
+    from arrivals.sinks import parquet as K
+    K.write_fact(_fact_rows(spark, [ROW]), f"{tmp_root}/fact")
+    P.add_new_dates(wh, f"{tmp_root}/fact", [(2030, 1)])  # a month with no folder
+    assert wh.read("date_time").count() == 0
+    P.add_new_dates(wh, f"{tmp_root}/fact", [(2016, 4)])
+    assert [r.date for r in wh.read("date_time").collect()] == [dt.date(2016, 4, 1)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 
@@ -13,15 +14,14 @@ from arrivals.session import scratch_dir
 
 #: Rows per Arrow batch: bounds a Python worker's memory when texts are long.
 BATCH_ROWS = 512
-#: Bits of the candidate filter (2 MB), whatever the size of the input.
-FILTER_BITS = 1 << 24
+#: Bits of the candidate filter (4 MB), whatever the size of the input.
+FILTER_BITS = 1 << 25
 #: Groups up to this size compare all their members; larger ones start from leaders.
 SMALL_GROUP = 24
 LEADERS = 8
 
 U = np.uint64
 _PRIME, _M1, _M2 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
-_CHUNK = 1 << 22
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,22 +55,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def _byte_codes() -> np.ndarray:
-    low = np.arange(256, dtype=np.uint64)
-    low[65:91] += U(32)  # A-Z as a-z
-    return mix((low + U(1)) * _PRIME)
-
-
-_CODE = _byte_codes()
+_FACTORS = mix(np.arange(1, 17, dtype=np.uint64) * _PRIME) | U(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _INVERSE = U(pow(int(_PRIME), -1, 1 << 64))
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Words kept per worker.
+_WORDS_KEPT = 500_000
+#: The two low bits of a word's code: it ends a sentence; it starts with a capital.
+ENDS, CAPITAL = U(1), U(2)
 
 
 def _power_tables(n: int) -> list[np.ndarray]:
     if len(_powers[0]) < n:
-        n = max(n, 1 << 16)
+        n = max(n, 1 << 12, 2 * len(_powers[0]))
         for i, base in enumerate((_PRIME, _INVERSE)):
             steps = np.full(n, base, np.uint64)
             steps[0] = 1
@@ -78,26 +76,37 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of UTF-8 bytes: a 64-bit hash of each word
-    with A-Z lower-cased, and its start and end byte.  Long texts are hashed in
-    chunks that end at white space."""
-    raw = np.frombuffer(data, np.uint8)
-    gap = _SPACE[raw]
+class _Words(dict):
+    """Codes of words met in this worker: 8 bytes each."""
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= _WORDS_KEPT:
+            self.clear()
+        low = hashlib.blake2b(word.lower(), digest_size=8).digest()
+        capital = 65 <= word[0] <= 90 or (word[0] == 0xC3 and len(word) > 1 and 0x80 <= word[1] <= 0x9E)
+        code = bytes((low[0] & 0xFC | 2 * capital | (word[-1] in b".!?"),)) + low[1:]
+        self[word] = code
+        return code
+
+
+_words = _Words()
+
+
+def word_codes(data: bytes) -> np.ndarray:
+    """Codes of the words ``[^\\x20\\x09-\\x0D]+`` of UTF-8 bytes, in order: a
+    62-bit hash of the word with A-Z lower-cased, and two flag bits."""
+    return np.frombuffer(b"".join(map(_words.__getitem__, data.split())), "<u8")
+
+
+def word_hashes(codes: np.ndarray) -> np.ndarray:
+    return codes >> U(2)
+
+
+def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end byte of each word."""
+    gap = _SPACE[np.frombuffer(data, np.uint8)]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], gap, [True])).view(np.int8)))
-    start, end = edge[0::2], edge[1::2]
-    hashes = np.empty(len(start), np.uint64)
-    at = 0
-    while at < len(start):
-        lo = start[at]
-        to = max(at + 1, int(np.searchsorted(end, lo + _CHUNK, "right")))
-        hi = end[to - 1]
-        power, inverse = _power_tables(hi - lo)
-        summed = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_CODE[raw[lo:hi]] * power[:hi - lo])))
-        s, e = start[at:to] - lo, end[at:to] - lo
-        hashes[at:to] = mix((summed[e] - summed[s]) * inverse[s] + (e - s).astype(np.uint64))
-        at = to
-    return hashes, start, end
+    return edge[0::2], edge[1::2]
 
 
 def windows(words: np.ndarray, k: int) -> np.ndarray:
@@ -105,10 +114,10 @@ def windows(words: np.ndarray, k: int) -> np.ndarray:
     n = len(words) - k + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    h = np.full(n, U(k))
-    for i in range(k):
-        h = mix(h * _PRIME + words[i:n + i])
-    return h
+    h = words[:n] * _FACTORS[0] + U(k)
+    for i in range(1, k):
+        h += words[i:n + i] * _FACTORS[i]
+    return mix(h)
 
 
 def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
@@ -118,13 +127,17 @@ def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
     return np.unique(windows(words, min(k, len(words))))
 
 
-def sequence_hash(values: np.ndarray, tag: int = 0) -> int:
+def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, tag: int = 0) -> np.ndarray:
+    """A signed 64-bit hash of each range of a sequence of 64-bit values."""
+    power, inverse = _power_tables(len(values) + 1)
+    summed = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(values) * power[:len(values)])))
+    total = (summed[ends] - summed[starts]) * inverse[starts]
+    return mix(total + (ends - starts).astype(np.uint64) * _M1 + U(tag * int(_M2) % (1 << 64))).view(np.int64)
+
+
+def sequence_hash(values: np.ndarray) -> int:
     """One signed 64-bit hash of a sequence of 64-bit values."""
-    n = len(values)
-    power, _ = _power_tables(n)
-    with np.errstate(over="ignore"):
-        total = np.sum(mix(values) * power[:n], dtype=np.uint64) + U(n) * _M1 + U(tag) * _M2
-    return int(mix(np.array([total], np.uint64)).view(np.int64)[0])
+    return int(range_hashes(values, np.array([0]), np.array([len(values)]))[0])
 
 
 # ---- a bounded filter of candidates ---------------------------------------
@@ -209,12 +222,20 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         e = stored(points_down(small.union(low2.select("a", "m"))), label)
 
 
+# ---- keys that several senders share -----------------------------------------
+
+def met_twice(keys: DataFrame) -> DataFrame:
+    """The ``key`` values that occur more than once; rows of one small column
+    travel, and partial aggregates make a hot key small."""
+    return keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+
+
 # ---- links between members that share a key --------------------------------
 
 def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
     """Components of the links between members that share a key.
 
-    ``members``: distinct (key, id, size, rest), stored; ``rest`` is an upper
+    ``members``: distinct (key, id, size, rest); ``rest`` is an upper
     bound of the overlap of two members whose first shared key this is.
     ``verify`` keeps the linked ones of distinct pairs (a, b).  Small groups
     compare all their members.  A large group first compares every member
@@ -224,12 +245,13 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], la
     Returns (id, label) of every id that has a link.
     """
     possible = F.expr("9 * least(x.rest, y.rest) >= 4 * (x.size + y.size)")
-    counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    sized = members.join(counts, "key")
+    members = stored(members, label)
+    counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    sized = stored(members.join(counts, "key"), label)
     few = sized.filter(F.col("n") <= SMALL_GROUP).drop("n")
     within = (few.alias("x").join(few.alias("y"), F.expr("x.key = y.key and x.id < y.id") & possible)
               .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
-    many = stored(sized.filter(F.col("n") > SMALL_GROUP).drop("n"), label)
+    many = sized.filter(F.col("n") > SMALL_GROUP).drop("n")
     leaders = (many.groupBy("key")
                .agg(F.array_distinct(F.array(*[
                    F.min(F.struct(F.xxhash64("id", F.lit(j)), F.struct("id", "size", "rest"))).getField("col2")

@@ -34,7 +34,7 @@ COMMON_SHINGLES = 200_000
 def shingles_of(text: str | None) -> np.ndarray:
     if not text:
         return np.empty(0, np.uint64)
-    return C.shingle_set(C.word_spans(text.encode("utf-8", "surrogatepass"))[0], SHINGLE)
+    return C.shingle_set(C.word_hashes(C.word_codes(text.encode("utf-8", "surrogatepass"))), SHINGLE)
 
 
 def class_of(s: np.ndarray) -> int:
@@ -70,8 +70,8 @@ def common_shingles(docs: DataFrame, text: str) -> np.ndarray:
 
     rows = (sample.select(F.col(text).alias("t")).dropDuplicates().mapInPandas(count, "s long")
             .groupBy("s").count().filter(F.col("count") >= COMMON_IN_SAMPLE)
-            .orderBy(F.desc("count"), "s").limit(COMMON_SHINGLES).select("s").toPandas())
-    return np.sort(rows["s"].to_numpy(np.int64).view(np.uint64))
+            .orderBy(F.desc("count"), "s").limit(COMMON_SHINGLES).select("s").toArrow())
+    return np.sort(rows["s"].to_numpy().astype(np.int64).view(np.uint64))
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -84,14 +84,15 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     """
     spark = docs.sparkSession
     C.small_batches(spark)
-    docs = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t"))
+    docs = (docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t"))
+            .withColumn("row", F.xxhash64("t")))
     common = spark.sparkContext.broadcast(common_shingles(docs, "t"))
 
     def sets(batches):
         seen: set[int] = set()
         for b in batches:
             out = []
-            for k, t in zip(b["k"], b["t"]):
+            for k, row, t in zip(b["k"], b["row"], b["t"]):
                 s = shingles_of(t)
                 c = class_of(s) if len(s) else None
                 new = c is not None and c not in seen
@@ -99,50 +100,37 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
                     if len(seen) > 500_000:
                         seen.clear()
                     seen.add(c)
-                out.append((k, len(s), c, prefix_of(s, common.value).view(np.int64) if new else None))
-            frame = pd.DataFrame(out, columns=["k", "n", "cls", "keys"])
-            yield frame.astype({"k": "Int64", "n": "int64", "cls": "Int64"})
-
-    sets_of = C.stored(docs.mapInPandas(sets, "k long, n long, cls long, keys array<long>"), "jaccard-sets")
-    spread = (sets_of.filter("keys is not null")
-              .select("cls", "n", F.posexplode("keys").alias("pos", "key")))
-    shared = (spread.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"))
-              .filter("lo < hi").select("key"))
-    # Tiles: a shingle and a size band; a set of band b meets bands b - 1 to b + 1.
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT)) + 1e-9).cast("int")
-    members = C.stored(
-        spread.join(shared, "key").select("key", "cls", "n", "pos").distinct()
-        .withColumn("band", band)
-        .select(F.explode(F.array("band", F.col("band") + 1)).alias("tile"), "key", "cls", "n", "pos")
-        .select(F.xxhash64("key", "tile").alias("key"), F.col("cls").alias("id"),
-                F.col("n").alias("size"), (F.col("n") - F.col("pos")).alias("rest")), "jaccard-tiles")
-    wanted = C.bit_filter(members.select("id"), "id")
-
-    def arrays(batches):
-        seen: set[int] = set()
+                out.append((k, row, len(s), c, prefix_of(s, common.value).view(np.int64) if new else None,
+                            signature(s) if new else None))
+            frame = pd.DataFrame(out, columns=["k", "row", "n", "cls", "keys", "bits"])
+            yield frame.astype({"k": "Int64", "row": "int64", "n": "int64", "cls": "Int64"})
+
+    sets_of = C.stored(docs.mapInPandas(
+        sets, "k long, row long, n long, cls long, keys array<long>, bits binary"), "jaccard-sets")
+    senders = sets_of.filter("keys is not null")
+    wanted = C.bit_filter(C.met_twice(senders.select(F.explode("keys").alias("key"))), "key")
+
+    def spread(batches):
         for b in batches:
-            out = []
-            for t in b["t"]:
-                s = shingles_of(t)
-                if len(s) == 0:
-                    continue
-                c = class_of(s)
-                if c in seen or not C.in_filter(wanted.value, np.array([c]))[0]:
-                    continue
-                if len(seen) > 500_000:
-                    seen.clear()
-                seen.add(c)
-                out.append((c, len(s), signature(s), s.tobytes()))
-            yield pd.DataFrame(out, columns=["id", "size", "bits", "items"])
-
-    arrays_of = C.stored(docs.select("t").mapInPandas(arrays, "id long, size long, bits binary, items binary")
-                         .dropDuplicates(["id"]), "jaccard-arrays")
+            sizes = b["keys"].map(len).to_numpy(np.int64)
+            key = np.concatenate([*b["keys"], np.empty(0, np.int64)]).astype(np.int64)
+            pos = np.concatenate([*map(np.arange, sizes), np.empty(0, np.int64)]).astype(np.int64)
+            keep = C.in_filter(wanted.value, key)
+            frame = pd.DataFrame({c: np.repeat(b[x].to_numpy(np.int64), sizes)[keep]
+                                  for c, x in (("id", "cls"), ("size", "n"))})
+            yield frame.assign(key=key[keep], rest=frame["size"] - pos[keep])
+
+    # Tiles: a shingle and a size band; a set of band b meets bands b - 1 to b + 1.
+    band = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / PERCENT)) + 1e-9).cast("int")
+    members = (senders.select("cls", "n", "keys").mapInPandas(spread, "id long, size long, key long, rest long")
+               .select("key", "id", "size", "rest", F.explode(F.array(band, band + 1)).alias("tile"))
+               .select(F.xxhash64("key", "tile").alias("key"), "id", "size", "rest").distinct())
 
     def may_link(batches):
         for b in batches:
             if len(b):
                 x, y = (np.frombuffer(b"".join(b[c]), np.uint64).reshape(len(b), -1) for c in ("xb", "yb"))
-                sx, sy = b["xs"].to_numpy(), b["ys"].to_numpy()
+                sx, sy = b["xn"].to_numpy(), b["yn"].to_numpy()
                 most = np.minimum(sx - np.bitwise_count(x & ~y).sum(1), sy - np.bitwise_count(y & ~x).sum(1))
                 b = b[(100 + PERCENT) * most >= PERCENT * (sx + sy)]
             yield b[["a", "b"]]
@@ -156,15 +144,39 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
                 keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
             yield b.loc[np.array(keep, bool), ["a", "b"]]
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        for fn, cols in ((may_link, ("bits", "size")), (link, ("items",))):
-            for side, end in (("x", "a"), ("y", "b")):
-                own = arrays_of.select(F.col("id").alias(end), *[F.col(c).alias(side + c[0]) for c in cols])
-                pairs = pairs.join(own, end)
-            pairs = pairs.mapInPandas(fn, "a long, b long")
+    def joined(pairs: DataFrame, own: DataFrame) -> DataFrame:
+        for side, end in (("x", "a"), ("y", "b")):
+            pairs = pairs.join(own.select(F.col("id").alias(end), *[
+                F.col(c).alias(side + c[0]) for c in own.columns if c != "id"]), end)
         return pairs
 
-    # bits/size of a pair are named xb, xs, yb, ys; items xi, yi
+    def verify(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        bits = (senders.join(ends, F.col("cls") == F.col("id"), "left_semi")
+                .groupBy(F.col("cls").alias("id")).agg(F.first("bits").alias("b"), F.first("n").alias("n")))
+        near = C.stored(joined(pairs, bits).mapInPandas(may_link, "a long, b long"), "jaccard-near")
+        ends = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        rows = C.bit_filter(senders.join(ends, F.col("cls") == F.col("id"), "left_semi")
+                            .groupBy("cls").agg(F.min("row").alias("row")), "row")
+
+        def arrays(batches):
+            seen: set[int] = set()
+            for b in batches:
+                out = []
+                for t in b["t"][C.in_filter(rows.value, b["row"].to_numpy(np.int64))]:
+                    s = shingles_of(t)
+                    c = class_of(s) if len(s) else None
+                    if c is not None and c not in seen:
+                        if len(seen) > 500_000:
+                            seen.clear()
+                        seen.add(c)
+                        out.append((c, s.tobytes()))
+                yield pd.DataFrame(out, columns=["id", "items"])
+
+        items = C.stored(docs.select("row", "t").mapInPandas(arrays, "id long, items binary")
+                         .dropDuplicates(["id"]), "jaccard-arrays")
+        return joined(near, items).mapInPandas(link, "a long, b long")
+
     labels = C.link_groups(members, verify, "jaccard-links")
     grouped = (sets_of.filter("cls is not null").select("k", "n", "cls")
                .join(labels.withColumnRenamed("id", "cls"), "cls", "left")

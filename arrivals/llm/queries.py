@@ -10,13 +10,75 @@ from pyspark.sql import functions as F
 from arrivals.llm import common as C
 
 
+#: The vocabulary that queries 7 and 8 are asked to use; operators take a path.
+VOCABULARY = "word_bpe_49k.json"
+
+
+def vocabulary_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path(VOCABULARY)
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arrivals.llm import language_id as L
+    docs = C.table(spark, sf_dir, "documents")
+    out = L.held_out("doc_id", 4, 2)
+    profiles = L.learn(docs.filter(~out))
+    return (L.identify(docs.select("doc_id", "text"), profiles)
+            .select("doc_id", out.alias("held_out"), "lang_pred", "score"))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arrivals.llm import secrets_scan as S
+    return S.scan(C.table(spark, sf_dir, "documents"), S.train(S.labelled_findings(spark)))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arrivals.llm import toxicity as T
+    docs, labels = C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels")
+    out = T.held_out("doc_id", 5, 0)
+    model = T.learn(docs, labels.filter(~out))
+    return (T.score(docs.select("doc_id", "text"), model)
+            .select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arrivals.llm.topk import top_inner_products
+    return top_inner_products(C.table(spark, sf_dir, "embeddings"))
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arrivals.llm.fingerprints import edit_study
+    return edit_study(C.table(spark, sf_dir, "documents"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arrivals.llm.packing import pack
+    return pack(C.table(spark, sf_dir, "documents"), vocabulary_path()).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arrivals.llm import bpe
+    path = vocabulary_path()
+    coded = bpe.encode(C.table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    return bpe.decode(coded, path).select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op9_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arrivals.llm.paragraph_dedup import repeated_paragraphs
+    return repeated_paragraphs(C.table(spark, sf_dir, "documents"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arrivals.llm.jaccard_join import jaccard_components
     return jaccard_components(C.table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+    return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit() and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -23,6 +23,8 @@ WINDOW = 64
 NEIGHBOURS, WINS = 64, 16
 FILTER_BYTES, HASHES, FILL = 256, 5, 160
 _NEVER = 1 << 20
+#: Texts of fewer bytes use every 8-byte window.
+SHORT = 384
 _BITS = FILTER_BYTES * 8
 #: Bytes handled at once: bounds memory for very long texts.
 BLOCK = 1 << 20
@@ -84,8 +86,8 @@ def features_of(texts: list[bytes]) -> list[np.ndarray]:
     _select(block, owners, out)
     found = []
     for data, parts in zip(texts, out):
-        h = np.concatenate(parts) if parts else np.empty(0, np.uint64)
-        if len(h) == 0:  # too short to have neighbourhoods, or too even
+        h = np.concatenate(parts) if parts and len(data) >= SHORT else np.empty(0, np.uint64)
+        if len(h) == 0:  # too short to have many neighbourhoods, or too even
             h = _plain_features(data)
         _, first = np.unique(h, return_index=True)
         found.append(h[np.sort(first)])
@@ -120,7 +122,7 @@ def _select(block: list[bytes], owners: list[int], out: list[list[np.ndarray]])
 def _plain_features(data: bytes) -> np.ndarray:
     """Short texts have no rare windows to pick: every 8-byte window counts (or
     the text, if shorter); long even ones count as a whole."""
-    if 8 <= len(data) < WINDOW + NEIGHBOURS:
+    if 8 <= len(data) < SHORT:
         raw = np.frombuffer(data, np.uint8)
         return C.mix(np.lib.stride_tricks.sliding_window_view(raw, 8).copy().view(np.uint64).ravel())
     return np.array([C.sequence_hash(np.frombuffer(data, np.uint8).astype(np.uint64))], np.int64).view(np.uint64)
@@ -148,7 +150,7 @@ def _chain(found: np.ndarray) -> bytes:
 
 def _filters(d: bytes) -> tuple[np.ndarray, np.ndarray]:
     rows = np.frombuffer(d, np.uint8).reshape(-1, FILTER_BYTES + 2)
-    return rows[:, 0].astype(int) + 256 * rows[:, 1], rows[:, 2:].copy().view(np.uint64)
+    return rows[:, :2].copy().view("<u2").ravel().astype(int), rows[:, 2:].copy().view(np.uint64)
 
 
 def likeness(a: bytes, b: bytes) -> float:

@@ -75,12 +75,13 @@ def common_shingles(docs: DataFrame, text: str) -> np.ndarray:
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: (``key``, n_shingles, component_id).
+    """One row per input row: (``key``, n_shingles, component_id, text_hash).
 
     ``component_id`` is the smallest key reachable over links, itself
     included.  Null, empty and blank texts have no shingles and no links.
     Rows with the same key are kept; rows with a null key link like others,
-    and a component of null keys only has a null id.  Other columns are ignored.
+    and a component of null keys only has a null id.  ``text_hash`` is xxhash64
+    of the text, to tell rows of one key apart.  Other columns are ignored.
     """
     spark = docs.sparkSession
     C.small_batches(spark)
@@ -178,11 +179,24 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
         return joined(near, items).mapInPandas(link, "a long, b long")
 
     labels = C.link_groups(members, verify, "jaccard-links")
-    grouped = (sets_of.filter("cls is not null").select("k", "n", "cls")
+    grouped = (sets_of.filter("cls is not null").select("k", "n", "row", "cls")
                .join(labels.withColumnRenamed("id", "cls"), "cls", "left")
-               .select("k", "n", F.coalesce("label", "cls").alias("label")))
+               .select("k", "n", "row", F.coalesce("label", "cls").alias("label")))
     grouped = C.stored(grouped, "jaccard-labels")
     first = grouped.groupBy("label").agg(F.min("k").alias("component_id"))
-    alone = sets_of.filter("cls is null").select("k", "n", F.col("k").alias("component_id"))
-    return (grouped.join(first, "label").select("k", "n", "component_id").unionByName(alone)
-            .select(F.col("k").alias(key), F.col("n").alias("n_shingles"), "component_id"))
+    alone = sets_of.filter("cls is null").select("k", "n", F.col("k").alias("component_id"), "row")
+    return (grouped.join(first, "label").select("k", "n", "component_id", "row").unionByName(alone)
+            .select(F.col("k").alias(key), F.col("n").alias("n_shingles"), "component_id",
+                    F.col("row").alias("text_hash")))
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one document of each component: the one whose key names
+    it.  Of rows that repeat a key and text one stays; rows with a null key,
+    and texts without shingles, stay unless such a repeat."""
+    own = C.fresh("text_hash", docs.columns)
+    out = (jaccard_components(docs, key, text).filter(F.col(key) != F.col("component_id"))
+           .select(F.col(key).alias("k"), F.col("text_hash").alias("h")).distinct())
+    named = docs.withColumn(own, F.xxhash64(F.col(text).cast("string")))
+    return (named.join(out, F.col(key).cast("long").eqNullSafe(F.col("k")) & (F.col(own) == F.col("h")), "left_anti")
+            .dropDuplicates([key, own]).drop(own))

@@ -133,19 +133,21 @@ def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
     left = pieces.filter("sequence_id is null")
     parts = 1 + (left.agg(F.max("part")).first()[0] or 0)
     rounds = max(1, math.ceil(math.log(parts, FAN_IN) - 1e-9))
-    for r in range(1, rounds + 1):
-        last = r == rounds
 
-        def merge(group: tuple, rows: pd.DataFrame, r=r, last=last) -> pd.DataFrame:
+    def merging(r: int, last: bool):
+        def merge(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             windows = Windows((r << 58) + (int(group[0]) << 36), int(group[0]))
             rows = rows.sort_values(["part", "k", "start"], kind="stable")
             for k, start, ids, total in zip(rows["k"], rows["start"], rows["ids"], rows["doc_tokens"]):
                 windows.add(None if pd.isna(k) else int(k), int(start), bytes(ids), int(total))
             windows.finish() if last else windows.leave_open()
             return windows.frame()
+        return merge
 
+    for r in range(1, rounds + 1):
+        last = r == rounds
         group = F.floor(F.col("part") / FAN_IN).cast("long")
-        merged = left.groupBy(group.alias("part_group")).applyInPandas(merge, _SCHEMA)
+        merged = left.groupBy(group.alias("part_group")).applyInPandas(merging(r, last), _SCHEMA)
         if not last:
             merged = C.stored(merged, "packing-round")
         closed = closed.unionByName(merged.filter("sequence_id is not null"))

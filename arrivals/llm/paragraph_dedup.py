@@ -28,7 +28,7 @@ BANDS, ROWS = 12, 3
 LINE_WORDS, SENTENCE_WORDS = 20, 5
 PASSAGE_WORDS = 30
 #: Words between two repeated paragraphs that still belong to one passage.
-BRIDGE = 5
+BRIDGE = 10
 _SEEDS = C.mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * C._PRIME)
 _A, _B = _SEEDS[::2] | np.uint64(1), _SEEDS[1::2]
 _BREAK = re.compile(rb"[\n\r]")
@@ -100,14 +100,15 @@ class Units:
 
 
 def repeated_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(``key``, start, end, n_words, component_id, removed): one row per
-    paragraph that belongs to a passage repeated across documents.
+    """(``key``, start, end, n_words, component_id, removed, text_hash): one
+    row per paragraph that belongs to a passage repeated across documents.
 
     Offsets are code points, the end exclusive.  ``removed`` is false for the
     first occurrence (by key, then place) of each cluster, true for the
     others.  ``component_id`` is the key of that first occurrence's document.
     Null and empty texts, and rows with a null key, have no rows; rows that
-    repeat a key are one document, so they do not repeat one another; other
+    repeat a key are one document, so they do not repeat one another
+    (``text_hash``, xxhash64 of the text, tells their texts apart); other
     columns are ignored.
     """
     spark = docs.sparkSession
@@ -206,35 +207,36 @@ def repeated_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text"
             flat = {c: np.concatenate([*b[c], np.empty(0, np.int64)]).astype(np.int64)
                     for c in ("every", "a", "z", "start", "end")}
             keep = C.in_filter(repeated.value, flat["every"])
-            yield pd.DataFrame({"k": np.repeat(b["k"].to_numpy(np.int64), sizes)[keep],
+            yield pd.DataFrame({**{c: np.repeat(b[c].to_numpy(np.int64), sizes)[keep] for c in ("k", "row")},
                                 **{c: v[keep] for c, v in flat.items()}}).rename(columns={"every": "id"})
 
-    places = (indexed.select("k", "every", "a", "z", "start", "end")
-              .mapInPandas(find, "k long, id long, a long, z long, start long, end long")
+    places = (indexed.select("k", "row", "every", "a", "z", "start", "end")
+              .mapInPandas(find, "k long, row long, id long, a long, z long, start long, end long")
               .distinct().join(flagged, "id").drop("id"))
     places = C.stored(places, "paragraph-places")
     clusters = (places.groupBy("label").agg(F.min(F.struct("k", "a")).alias("first"), F.max("k").alias("hi"))
                 .filter("first.k < hi").select("label", "first"))
     own = places.join(clusters, "label")
     # Passages: repeated paragraphs of a document that follow one another.
-    by = Window.partitionBy("k").orderBy("a", "z", "label")
+    by = Window.partitionBy("k", "row").orderBy("a", "z", "label")
     before = by.rowsBetween(Window.unboundedPreceding, -1)
     own = (own.withColumn("reach", F.coalesce(F.max("z").over(before), F.lit(-1 - BRIDGE)))
            .withColumn("run", F.sum((F.col("a") > F.col("reach") + BRIDGE).cast("long")).over(by))
            .withColumn("new", F.greatest(F.col("z") - F.greatest("a", "reach"), F.lit(0)))
-           .withColumn("words", F.sum("new").over(Window.partitionBy("k", "run")))
+           .withColumn("words", F.sum("new").over(Window.partitionBy("k", "row", "run")))
            .filter(F.col("words") >= PASSAGE_WORDS))
     return own.select(F.col("k").alias(key), "start", "end", (F.col("z") - F.col("a")).alias("n_words"),
                       F.col("first.k").alias("component_id"),
-                      (~((F.col("k") == F.col("first.k")) & (F.col("a") == F.col("first.a")))).alias("removed"))
+                      (~((F.col("k") == F.col("first.k")) & (F.col("a") == F.col("first.a")))).alias("removed"),
+                      F.col("row").alias("text_hash"))
 
 
 def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the removed paragraphs; columns and rows stay.  What is
     left of a text keeps its own white space, less what stood at a cut's end."""
     found = repeated_paragraphs(docs, key, text).filter("removed")
-    own, cuts = (C.fresh(x, docs.columns) for x in ("own_key", "cuts"))
-    spans = (found.groupBy(F.col(key).alias(own))
+    own, row, cuts = (C.fresh(x, docs.columns) for x in ("own_key", "own_row", "cuts"))
+    spans = (found.groupBy(F.col(key).alias(own), F.col("text_hash").alias(row))
              .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias(cuts)))
 
     @F.pandas_udf("string")
@@ -254,6 +256,8 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                        if kept else "")
         return pd.Series(out, dtype=object)
 
-    return (docs.join(spans, F.col(key).cast("long") == F.col(own), "left")
-            .withColumn(text, F.when(F.col(cuts).isNull(), F.col(text)).otherwise(cut(F.col(text).cast("string"), F.col(cuts))))
+    body = F.col(text).cast("string")
+    mine = (F.col(key).cast("long") == F.col(own)) & (F.xxhash64(body) == F.col(row))
+    return (docs.join(spans, mine, "left")
+            .withColumn(text, F.when(F.col(cuts).isNull(), F.col(text)).otherwise(cut(body, F.col(cuts))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -28,6 +28,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", out.alias("held_out"), "lang_pred", "score"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arrivals.llm.html_text import main_text
+    return main_text(C.table(spark, sf_dir, "pages"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arrivals.llm import secrets_scan as S
     return S.scan(C.table(spark, sf_dir, "documents"), S.train(S.labelled_findings(spark)))

@@ -23,7 +23,7 @@ from arrivals.llm.language_id import held_out
 LEARN_ROWS = 20_000
 WORDS = 4000
 MIN_DOCS = 4
-RIDGE, SWAP_PENALTY, ROUNDS, RATE = 2e-4, 2.0, 400, 0.2
+RIDGE, SWAP_PENALTY, ROUNDS, RATE = 2e-5, 2.0, 500, 0.2
 CHUNK_CHARS = 1 << 20
 #: Groups of terms that stand for one another in a neutral mention.
 IDENTITY_TERMS = (

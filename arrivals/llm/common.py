@@ -19,6 +19,8 @@ FILTER_BITS = 1 << 25
 #: Groups up to this size compare all their members; larger ones start from leaders.
 SMALL_GROUP = 24
 LEADERS = 8
+#: Edges that one task turns into stars.
+TASK_EDGES = 250_000
 
 U = np.uint64
 _PRIME, _M1, _M2 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -188,38 +190,47 @@ def _forest(batches):
             x, y = root(a), root(b)
             if x != y:
                 parent[max(x, y)] = min(x, y)
-        if len(parent) > 500_000:  # bounded memory; the later steps join the pieces
-            yield stars()
-            parent.clear()
     yield stars()
 
 
+def few_tasks(df: DataFrame, rows: int, each: int = 100_000) -> DataFrame:
+    """``df`` in as many tasks as ``rows`` of work need, at least one per core."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // each)))
+
+
 def components(edges: DataFrame, label: str) -> DataFrame:
     """(id, label): the smallest id reachable, for every id of ``edges(a, b)``.
 
-    Alternates a large star and a small star step over edges that point from
-    the larger to the smaller id; each round is stored, and rounds end when
-    the edges are one star per component.
+    Tasks of at most ``TASK_EDGES`` edges replace their edges by stars.  With
+    one task that is the result; else large star and small star steps join the
+    tasks' stars over edges that point from the larger to the smaller id, each
+    round stored, until the edges are one star per component.
     """
+    edges = stored(edges.filter("a <> b").select("a", "b"), label)
+    tasks = max(1, -(-edges.count() // TASK_EDGES))
+
     def points_down(e: DataFrame) -> DataFrame:
         return (e.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                .mapInPandas(_forest, "a long, b long").distinct())
+                .coalesce(tasks).mapInPandas(_forest, "a long, b long"))
+
+    def labelled(e: DataFrame) -> DataFrame:
+        return e.select(F.col("a").alias("id"), F.col("b").alias("label")).union(e.select("b", "b").distinct())
 
     e = stored(points_down(edges), label)
-    while True:
+    while tasks > 1:
         # A star: no lower end is itself an upper end, and one lower end for each upper.
         centres = e.select(F.col("b").alias("a")).distinct().join(e, "a", "left_semi")
         many = e.groupBy("a").count().filter("count > 1").select("a")
         if centres.union(many).isEmpty():
-            return e.select(F.col("a").alias("id"), F.col("b").alias("label")).union(
-                e.select("b", "b").distinct())
+            break
         both = e.union(e.select("b", "a"))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         e2 = points_down(large.union(low.select("a", "m")))
         low2 = e2.groupBy("a").agg(F.min("b").alias("m"))
         small = e2.join(low2, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        e = stored(points_down(small.union(low2.select("a", "m"))), label)
+        e = stored(points_down(small.union(low2.select("a", "m"))).distinct(), label)
+    return labelled(e)
 
 
 # ---- keys that several senders share -----------------------------------------
@@ -237,7 +248,7 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], la
 
     ``members``: distinct (key, id, size, rest); ``rest`` is an upper
     bound of the overlap of two members whose first shared key this is.
-    ``verify`` keeps the linked ones of distinct pairs (a, b).  Small groups
+    ``verify`` keeps the linked ones of distinct, stored pairs (a, b).  Small groups
     compare all their members.  A large group first compares every member
     with a few leaders; what the links so far leave in different components
     is then compared in full, so no link between components is lost while a
@@ -245,33 +256,39 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], la
     Returns (id, label) of every id that has a link.
     """
     possible = F.expr("9 * least(x.rest, y.rest) >= 4 * (x.size + y.size)")
+    sizes_fit = F.expr("9 * least(x.size, y.size) >= 4 * (x.size + y.size)")
     members = stored(members, label)
     counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     sized = stored(members.join(counts, "key"), label)
     few = sized.filter(F.col("n") <= SMALL_GROUP).drop("n")
     within = (few.alias("x").join(few.alias("y"), F.expr("x.key = y.key and x.id < y.id") & possible)
               .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
-    many = sized.filter(F.col("n") > SMALL_GROUP).drop("n")
+    many = sized.filter(F.col("n") > SMALL_GROUP)
     leaders = (many.groupBy("key")
                .agg(F.array_distinct(F.array(*[
-                   F.min(F.struct(F.xxhash64("id", F.lit(j)), F.struct("id", "size", "rest"))).getField("col2")
-                   for j in range(LEADERS)])).alias("leaders"))
-               .select("key", F.explode("leaders").alias("y")).select("key", "y.*"))
-    starred = (many.alias("x").join(leaders.alias("y"), F.expr("x.key = y.key and x.id <> y.id") & possible)
+                   F.min(F.struct(F.xxhash64("id", F.lit(j)), F.struct("id", "size"))).getField("col2")
+                   for j in range(LEADERS)])).alias("leaders")))
+    # Each member meets the leaders of its largest group only.
+    largest = many.groupBy("id", "size").agg(F.max(F.struct("n", "key")).getField("key").alias("key"))
+    starred = (largest.join(leaders, "key").select("id", "size", F.explode("leaders").alias("y"))
+               .select(F.struct("id", "size").alias("x"), "y").filter("x.id <> y.id").filter(sizes_fit)
                .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")))
-    links = stored(verify(within.union(starred).distinct()), label)
+    links = stored(verify(stored(within.union(starred).distinct(), label)), label)
     labels = components(links, label)
     if many.isEmpty():
         return labels
     known = (many.join(labels, "id", "left")
-             .select("key", "id", "size", "rest", F.coalesce("label", "id").alias("label")))
+             .select("key", "id", "size", F.coalesce("label", "id").alias("label")))
     apart = (known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
                                       F.mode("label").alias("main")).filter("lo < hi").select("key", "main"))
     known = stored(known.join(apart, "key"), label)
     if known.isEmpty():
         return labels
-    rest = (known.filter("label <> main").alias("x")
-            .join(known.alias("y"), F.expr("x.key = y.key and x.label <> y.label") & possible)
+    # A pair is taken at one of the keys it shares, so it comes once.
+    keyed = known.join(known.groupBy("id").agg(F.collect_set("key").alias("keys")), "id")
+    once = F.expr("x.key = array_min(array_intersect(x.keys, y.keys))")
+    minor = F.expr("x.key = y.key and x.label <> y.label and (y.label = y.main or x.id < y.id)")
+    rest = (keyed.filter("label <> main").alias("x").join(keyed.alias("y"), minor & sizes_fit & once)
             .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
-    later = stored(verify(rest), label)
+    later = stored(verify(stored(rest, label)), label)
     return labels if later.isEmpty() else components(links.union(later), label)

@@ -103,11 +103,13 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
                     seen.add(c)
                 out.append((k, row, len(s), c, prefix_of(s, common.value).view(np.int64) if new else None,
                             signature(s) if new else None))
-            frame = pd.DataFrame(out, columns=["k", "row", "n", "cls", "keys", "bits"])
-            yield frame.astype({"k": "Int64", "row": "int64", "n": "int64", "cls": "Int64"})
+            frame = pd.DataFrame(out, columns=["k", "row", "n", "cls", "keys", "bits"], dtype=object)
+            yield frame.astype({"row": "int64", "n": "int64", "cls": "Int64"})
 
-    sets_of = C.stored(docs.mapInPandas(
-        sets, "k long, row long, n long, cls long, keys array<long>, bits binary"), "jaccard-sets")
+    # Keys travel as text: pandas would turn longs with nulls into doubles.
+    sets_of = C.stored(docs.withColumn("k", F.col("k").cast("string")).mapInPandas(
+        sets, "k string, row long, n long, cls long, keys array<long>, bits binary")
+        .withColumn("k", F.col("k").cast("long")), "jaccard-sets")
     senders = sets_of.filter("keys is not null")
     wanted = C.bit_filter(C.met_twice(senders.select(F.explode("keys").alias("key"))), "key")
 
@@ -152,10 +154,10 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
         return pairs
 
     def verify(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        bits = (senders.join(ends, F.col("cls") == F.col("id"), "left_semi")
-                .groupBy(F.col("cls").alias("id")).agg(F.first("bits").alias("b"), F.first("n").alias("n")))
-        near = C.stored(joined(pairs, bits).mapInPandas(may_link, "a long, b long"), "jaccard-near")
+        bits = senders.select(F.col("cls").alias("id"), F.col("bits").alias("b"), "n")
+        near = C.stored(C.few_tasks(joined(pairs, bits), pairs.count()).mapInPandas(may_link, "a long, b long"),
+                        "jaccard-near")
+        some = near.count()
         ends = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         rows = C.bit_filter(senders.join(ends, F.col("cls") == F.col("id"), "left_semi")
                             .groupBy("cls").agg(F.min("row").alias("row")), "row")
@@ -176,7 +178,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
         items = C.stored(docs.select("row", "t").mapInPandas(arrays, "id long, items binary")
                          .dropDuplicates(["id"]), "jaccard-arrays")
-        return joined(near, items).mapInPandas(link, "a long, b long")
+        return C.few_tasks(joined(near.distinct(), items), some, 20_000).mapInPandas(link, "a long, b long")
 
     labels = C.link_groups(members, verify, "jaccard-links")
     grouped = (sets_of.filter("cls is not null").select("k", "n", "row", "cls")
@@ -194,9 +196,10 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """``docs`` with one document of each component: the one whose key names
     it.  Of rows that repeat a key and text one stays; rows with a null key,
     and texts without shingles, stay unless such a repeat."""
-    own = C.fresh("text_hash", docs.columns)
+    own, gone, gone_hash = (C.fresh(x, docs.columns) for x in ("text_hash", "gone", "gone_hash"))
     out = (jaccard_components(docs, key, text).filter(F.col(key) != F.col("component_id"))
-           .select(F.col(key).alias("k"), F.col("text_hash").alias("h")).distinct())
+           .select(F.col(key).alias(gone), F.col("text_hash").alias(gone_hash)).distinct())
     named = docs.withColumn(own, F.xxhash64(F.col(text).cast("string")))
-    return (named.join(out, F.col(key).cast("long").eqNullSafe(F.col("k")) & (F.col(own) == F.col("h")), "left_anti")
+    same = F.col(key).cast("long").eqNullSafe(F.col(gone)) & (F.col(own) == F.col(gone_hash))
+    return (named.join(out, same, "left_anti")
             .dropDuplicates([key, own]).drop(own))

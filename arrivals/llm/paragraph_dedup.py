@@ -192,9 +192,9 @@ def repeated_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text"
             yield b.loc[np.array(keep, bool), ["a", "b"]]
 
     def verify(pairs: DataFrame) -> DataFrame:
-        return (pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a")
-                .join(sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
-                .mapInPandas(alike, "a long, b long"))
+        both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a")
+                .join(sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b"))
+        return C.few_tasks(both, pairs.count(), 20_000).mapInPandas(alike, "a long, b long")
 
     labels = C.link_groups(members, verify, "paragraph-links")
     flagged = C.stored(copied.select(F.col("cls").alias("id")).join(labels, "id", "full_outer")

@@ -192,7 +192,7 @@ def fingerprints(docs: DataFrame, text: str = "text", target: str = "fingerprint
 
 # ---- how digests hold up: each text, an edit of it, and the next text --------
 
-_EDIT_SCHEMA = ("k long, n_chars long, edited_sha256 string, fingerprint string, "
+_EDIT_SCHEMA = ("k string, n_chars long, edited_sha256 string, fingerprint string, "
                 "edited_fingerprint string, near_edited double, near_next double")
 
 
@@ -203,7 +203,7 @@ def _study(held: list[tuple]) -> pd.DataFrame:
     edited = [t[:len(t) - len(t) // 3] + n[:len(t) // 3] for _, t, n in held]
     own, changed, after = (digests(x) for x in ([t for _, t, _ in held], edited, [n for _, _, n in held]))
     frame = pd.DataFrame({
-        "k": pd.array([k for k, _, _ in held], "Int64"), "n_chars": [len(t) for _, t, _ in held],
+        "k": pd.Series([k for k, _, _ in held], dtype=object), "n_chars": [len(t) for _, t, _ in held],
         "edited_sha256": [hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest() for e in edited],
         "fingerprint": list(map(show, own)), "edited_fingerprint": list(map(show, changed)),
         "near_edited": list(map(likeness, own, changed)), "near_next": list(map(likeness, own, after))})
@@ -257,8 +257,10 @@ def edit_study(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             for peek, k, t in zip(b["peek"], b["k"], b["t"]):
                 if held is not None:
                     out.append((*held, t))
-                held = None if peek else (None if pd.isna(k) else int(k), t)
+                held = None if peek else (k, t)
             if out:
                 yield _study(out)
 
-    return dealt.mapInPandas(study, _EDIT_SCHEMA).withColumnRenamed("k", key)
+    # Keys travel as text: pandas would turn longs with nulls into doubles.
+    out = dealt.select("peek", F.col("k").cast("string").alias("k"), "t").mapInPandas(study, _EDIT_SCHEMA)
+    return out.withColumn("k", F.col("k").cast("long")).withColumnRenamed("k", key)

@@ -26,14 +26,15 @@ END_ID = 2
 FAN_IN = 64
 
 _COLUMNS = ["k", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "part"]
-_SCHEMA = ("k long, start long, length long, ids binary, doc_tokens long, "
+#: Keys travel as text: pandas would turn longs with nulls into doubles.
+_SCHEMA = ("k string, start long, length long, ids binary, doc_tokens long, "
            "sequence_id long, offset long, part long")
 
 
 class Windows:
     """Open windows of one task; a piece is (key, start, ids, doc_tokens)."""
 
-    def __init__(self, first_id: int, part: int, count: int = OPEN_WINDOWS):
+    def __init__(self, first_id: int, part: int, count: int):
         self.next_id, self.part, self.count = first_id, part, count
         self.open: list[list] = []  # [tokens used, pieces]
         self.rows: list[tuple] = []
@@ -91,9 +92,9 @@ class Windows:
             left -= size
 
     def frame(self) -> pd.DataFrame:
-        out = pd.DataFrame(self.rows, columns=_COLUMNS)
+        out = pd.DataFrame(self.rows, columns=_COLUMNS, dtype=object)
         self.rows = []
-        return out.astype({c: "Int64" for c in _COLUMNS if c != "ids"})
+        return out.astype({c: "Int64" for c in _COLUMNS if c not in ("k", "ids")})
 
 
 def _library(own: Vocabulary, words: list[str]) -> list[list[int]]:
@@ -111,13 +112,13 @@ def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
     """
     spark = docs.sparkSession
     C.small_batches(spark)
-    end = END_ID.to_bytes(4, "little")
+    end, count = END_ID.to_bytes(4, "little"), OPEN_WINDOWS
 
     def first(batches):
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        windows = Windows(part << 36, part)
+        windows = Windows(part << 36, part, count)
         vocabulary = Vocabulary.load(path, _library)
         for b in batches:
             for k, t in zip(b["k"], b["t"]):
@@ -127,7 +128,7 @@ def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
         windows.leave_open()
         yield windows.frame()
 
-    source = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t"))
+    source = docs.select(F.col(key).cast("long").cast("string").alias("k"), F.col(text).cast("string").alias("t"))
     pieces = C.stored(source.mapInPandas(first, _SCHEMA), "packing")
     closed = pieces.filter("sequence_id is not null")
     left = pieces.filter("sequence_id is null")
@@ -136,10 +137,10 @@ def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
 
     def merging(r: int, last: bool):
         def merge(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-            windows = Windows((r << 58) + (int(group[0]) << 36), int(group[0]))
+            windows = Windows((r << 58) + (int(group[0]) << 36), int(group[0]), count)
             rows = rows.sort_values(["part", "k", "start"], kind="stable")
             for k, start, ids, total in zip(rows["k"], rows["start"], rows["ids"], rows["doc_tokens"]):
-                windows.add(None if pd.isna(k) else int(k), int(start), bytes(ids), int(total))
+                windows.add(k, int(start), bytes(ids), int(total))
             windows.finish() if last else windows.leave_open()
             return windows.frame()
         return merge
@@ -152,4 +153,4 @@ def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
             merged = C.stored(merged, "packing-round")
         closed = closed.unionByName(merged.filter("sequence_id is not null"))
         left = merged.filter("sequence_id is null")
-    return closed.select(F.col("k").alias(key), *_COLUMNS[1:-1])
+    return closed.select(F.col("k").cast("long").alias(key), *_COLUMNS[1:-1])

@@ -82,12 +82,24 @@ class Contract:
     def conform(self, df: DataFrame) -> DataFrame:
         """Select the contract's columns in order, typed with ``try_cast``.
 
-        A value that does not fit the type becomes null; the not-null and
-        length checks then report it instead of the load failing midway.
+        A value that does not fit the type becomes null, which the not-null
+        check then reports.  A text over its VARCHAR limit fails the load,
+        which leaves the table's old rows.
         """
         return df.select(*[conform_col(df[c.name], c.dtype).alias(c.name) for c in self.columns])
 
 
+    def limited(self, df: DataFrame) -> DataFrame:
+        """``df``, failing on a text over its VARCHAR limit as a table load does."""
+        def held(c: Col) -> Column:
+            v = F.col(f"`{c.name}`")
+            if c.max_len is None:
+                return v
+            says = F.raise_error(F.lit(f"{self.name}.{c.name} exceeds {c.max_len} characters"))
+            return F.when(F.length(v) > c.max_len, says.cast("string")).otherwise(v).alias(c.name)
+        return df.select(*[held(c) for c in self.columns])
+
+
 def conform_col(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         return c.cast("string")

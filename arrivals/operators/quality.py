@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,9 +85,10 @@ def schema_problems(df: DataFrame, contract: Contract) -> list[str]:
 class Check:
     """A named check: a frame and what its result must be.
 
-    ``kind`` is ``"scalar"`` (first column of the one-row result must equal
-    ``expected``) or ``"empty"`` (the frame must have no rows; the report
-    shows how many it has).
+    ``kind`` is ``"scalar"`` (the first cell of the result must equal
+    ``expected``: as numbers, as booleans, or else as text), ``"empty"`` (the
+    frame must have no rows) or ``"filled"`` (it must have some); for the last
+    two the report shows how many it has.
     """
     name: str
     table: str
@@ -100,12 +101,18 @@ class Check:
             actual = self.frame.agg(F.count(F.lit(1)).cast("string").alias("actual"))
             expected = F.lit("0")
             passed = F.col("actual") == expected
+        elif self.kind == "filled":
+            actual = self.frame.agg(F.count(F.lit(1)).cast("string").alias("actual"))
+            expected = F.lit("more than 0")
+            passed = F.col("actual") != "0"
         elif self.kind == "scalar":
             first = self.frame.columns[0]
-            # The one-row aggregate; an empty result gives a null cell.
-            actual = self.frame.agg(F.max(F.col(first)).cast("string").alias("actual"))
+            # The first row only; an empty result gives a null cell.
+            cell = self.frame.select(F.col(f"`{first}`").alias("cell")).limit(1).agg(F.first("cell").alias("cell"))
+            passed = _same(F.col("cell"), cell.schema["cell"].dataType, self.expected)
+            actual = cell.select(F.col("cell").cast("string").alias("actual"), passed.alias("same"))
             expected = F.lit(None if self.expected is None else str(self.expected)).cast("string")
-            passed = F.col("actual").eqNullSafe(expected)
+            passed = F.col("same")
         else:
             raise ValueError(f"unknown check kind {self.kind!r}")
         return actual.select(
@@ -117,6 +124,21 @@ class Check:
         )
 
 
+def _same(cell: Column, kind: T.DataType, expected: object) -> Column:
+    """Whether a cell equals an expected value; numbers of any type compare as
+    numbers, booleans as 1 and 0."""
+    if expected is None:
+        return cell.isNull()
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        number = cell.cast("int") if isinstance(kind, T.BooleanType) else cell
+        if isinstance(expected, str) and expected.strip().lower() in ("true", "false"):
+            expected = expected.strip().lower() == "true"
+        text = str(int(expected)) if isinstance(expected, bool) else str(expected)
+        exact = "decimal(38,6)" if not isinstance(kind, (T.FloatType, T.DoubleType)) else "double"
+        return F.coalesce(number.try_cast(exact) == F.lit(text).try_cast(exact), F.lit(False))
+    return F.coalesce(cell.cast("string") == F.lit(str(expected)), F.lit(False))
+
+
 def report(checks: Sequence[Check]) -> DataFrame:
     """All checks as one frame (one row each), computed in one job."""
     rows = [c.row() for c in checks]
@@ -138,8 +160,22 @@ def assert_passed(rep: DataFrame, log=print) -> list[dict]:
     return rows
 
 
-def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
-    """Report rows for every contract check of one table.
+def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, n): how many rows each table has."""
+    out = None
+    for name, df in tables.items():
+        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def filled_checks(tables: dict[str, DataFrame]) -> list[Check]:
+    """One check per table that it has rows: a run that lost its input fails."""
+    return [Check(f"{name}_has_rows", name, df, kind="filled") for name, df in tables.items()]
+
+
+def contract_report(df: DataFrame, contract: Contract, keys: bool = True) -> DataFrame:
+    """Report rows for every contract check of one table (``keys``: the key too).
 
     All column checks (nulls in NOT NULL columns, values over a VARCHAR
     limit) are counted in one aggregate, so the table is scanned once for
@@ -163,8 +199,9 @@ def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
             "check_name", F.lit(contract.name).alias("table_name"),
             F.col("n").cast("string").alias("actual"), F.lit("0").alias("expected"),
             (F.col("n") == 0).alias("passed")))
-    parts.append(Check(f"{contract.name}.key_unique", contract.name,
-                       key_duplicates(df, contract), kind="empty").row())
+    if keys:
+        parts.append(Check(f"{contract.name}.key_unique", contract.name,
+                           key_duplicates(df, contract), kind="empty").row())
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -177,8 +214,7 @@ def checks_from_specs(spark, specs) -> list[Check]:
     The SQL runs in the session (set the current database to the
     warehouse's first).  An expected result of ``''`` or ``None`` means
     "the query returns no rows"; any other value is compared with the first
-    column of a one-row result.  The check's name is the SQL text's first
-    table after FROM when the spec gives none.
+    cell of the result.  A spec without a name is called by its position.
     """
     out = []
     for i, spec in enumerate(specs):

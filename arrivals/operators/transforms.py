@@ -91,21 +91,23 @@ def city_demographics(raw: DataFrame) -> DataFrame:
     return cast_keep_names(rename(raw, DEMOGRAPHICS_RENAME), DEMOGRAPHICS_TYPES).distinct()
 
 
-def state_temperature_staging(raw: DataFrame, years: int = 10,
-                              country: str = "United States") -> DataFrame:
-    """Raw readings -> one country's readings of the last ``years`` years.
+def country_readings(raw: DataFrame, country: str = "United States") -> DataFrame:
+    """Raw readings -> one country's readings with their month and year.
 
     The country filter runs before the projection that drops ``Country``,
     so Parquet/CSV readers see it first.  ``partition_state`` is a copy of
     ``state`` used only as folder layout, so the file keeps ``state``.
     """
-    df = (raw.filter(F.col("Country") == F.lit(country))
-          .select(F.col("dt"), F.col("AverageTemperature").alias("avg_temp"),
-                  F.col("State").alias("state"))
-          .withColumns({"month": F.month("dt"), "year": F.year("dt"),
-                        "partition_state": F.col("state")}))
-    df = recent_years(df, "year", years)
-    return df.select(
+    return (raw.filter(F.col("Country") == F.lit(country))
+            .select(F.col("dt"), F.col("AverageTemperature").alias("avg_temp"),
+                    F.col("State").alias("state"))
+            .withColumns({"month": F.month("dt"), "year": F.year("dt"),
+                          "partition_state": F.col("state")}))
+
+
+def recent_readings(readings: DataFrame, years: int = 10) -> DataFrame:
+    """A country's readings of the last ``years`` years, typed and distinct."""
+    return recent_years(readings, "year", years).select(
         X.to_date("dt").alias("dt"),
         X.to_str("state").alias("state"),
         X.to_float("avg_temp").alias("avg_temp"),
@@ -115,6 +117,12 @@ def state_temperature_staging(raw: DataFrame, years: int = 10,
     ).distinct()
 
 
+def state_temperature_staging(raw: DataFrame, years: int = 10,
+                              country: str = "United States") -> DataFrame:
+    """Raw readings -> one country's readings of the last ``years`` years."""
+    return recent_readings(country_readings(raw, country), years)
+
+
 def country_codes(raw: DataFrame) -> DataFrame:
     """Country codes as delivered, typed to the table contract."""
     return C.COUNTRY_CODE.conform(raw)

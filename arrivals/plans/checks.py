@@ -46,13 +46,22 @@ def _demographics(spark, sf):
 
 
 def _staging(spark, sf, years):
-    return J.state_temperature_staging(FX.raw_temperature(spark, sf), years)
+    return P.staged_temperature(FX.raw_temperature(spark, sf), years)
 
 
 def _dim_st(spark, sf, years):
     return J.state_temperature_dim(_staging(spark, sf, years), years)
 
 
+def _faulty_fact(spark, sf):
+    return J.fact_arrivals(FX.raw_arrivals_with_defects(spark, sf))
+
+
+def _faulty_dim_st(spark, sf, years):
+    staging = P.staged_temperature(FX.raw_temperature_with_defects(spark, sf), years)
+    return J.state_temperature_dim(staging, years)
+
+
 def _warehouse(spark, label: str) -> Warehouse:
     db = f"{label}_{uuid.uuid4().hex[:10]}"
     return Warehouse(spark, db, location=scratch_dir(spark, db))
@@ -93,6 +102,16 @@ def scan_csv_semicolon(spark, sf):
     return S.read_csv(spark, path, R.RAW_DEMOGRAPHICS, sep=";")
 
 
+def csv_malformed_lines(spark, sf):
+    """Lines of a code file that do not fit: every tenth code is no number."""
+    c = FX.table(spark, sf, "customer")
+    path = scratch_dir(spark, "malformed-csv")
+    code = F.when(F.col("c_custkey") % 10 == 3, F.concat(F.lit("x"), F.col("c_custkey").cast("string"))
+                  ).otherwise(F.col("c_custkey").cast("string"))
+    _csv(c.select(code.alias("code"), F.col("c_name").alias("country")), path)
+    return S.malformed_lines(spark, path, R.RAW_COUNTRY_CODES).select(F.col(S.MALFORMED).alias("line"))
+
+
 def scan_parquet(spark, sf):
     o = S.read_parquet(spark, f"{sf.rstrip('/')}/orders.parquet")
     return o.select("o_orderkey", "o_custkey", "o_totalprice",
@@ -101,8 +120,7 @@ def scan_parquet(spark, sf):
 
 def empty_typed_relation(spark, sf):
     """The fold's start: the typed empty relation, then every record."""
-    empty = S.scan_files(spark, scratch_dir(spark, "no-files"), "parquet", "*.parquet",
-                         schema=R.RAW_ARRIVALS)
+    empty = S.empty_frame(spark, R.RAW_ARRIVALS)
     return U.union_all([empty, FX.raw_arrivals(spark, sf)])
 
 
@@ -229,12 +247,22 @@ def insert_column_list(spark, sf):
 
 
 def create_tables(spark, sf):
-    """All six tables, created twice (idempotent), then one loaded."""
+    """All six tables, created twice (idempotent) and loaded: their columns and rows."""
     wh = _warehouse(spark, "ddl")
     wh.create_tables()
-    names = wh.create_tables()
-    assert len(names) == len(C.ALL)
-    return wh.load("date_time", J.date_dim(_fact(spark, sf)), "overwrite")
+    wh.create_tables()
+    fact, staging = _fact(spark, sf), _staging(spark, sf, CHECK_YEARS)
+    frames = {"fact_immigration": fact, "date_time": J.date_dim(fact),
+              "city_demographics": _demographics(spark, sf), "staging_state_temperature": staging,
+              "state_temperature": J.state_temperature_dim(staging, CHECK_YEARS),
+              "country_code": J.country_codes(FX.raw_country_codes_of_customers(spark, sf))}
+    for name, df in frames.items():
+        wh.load(name, df, "overwrite")
+    shape = {n: ", ".join(f"{r.col_name} {r.data_type}" for r in spark.sql(f"DESCRIBE {wh.table(n)}").collect())
+             for n in frames}
+    return (Q.row_counts({n: wh.read(n) for n in frames})
+            .select("table_name", F.create_map(*[F.lit(x) for kv in shape.items() for x in kv])[F.col("table_name")]
+                    .alias("columns"), F.col("n").alias("n_rows")))
 
 
 # ---- projections --------------------------------------------------------
@@ -251,6 +279,11 @@ def fact_typed_projection(spark, sf):
     return _fact(spark, sf)
 
 
+def fact_bad_values(spark, sf):
+    """Values that do not fit their type, and records that merge once typed."""
+    return _faulty_fact(spark, sf)
+
+
 def project_cast_keep_name(spark, sf):
     return J.cast_keep_names(J.rename(FX.raw_demographics(spark, sf), J.DEMOGRAPHICS_RENAME),
                              J.DEMOGRAPHICS_TYPES)
@@ -279,7 +312,7 @@ def recent_window_filter(spark, sf):
 
 
 def dq_null_count(spark, sf):
-    return Q.null_count(_fact(spark, sf), "cic_id")
+    return Q.null_count(_faulty_fact(spark, sf), "cic_id")
 
 
 def dq_duplicate_keys(spark, sf):
@@ -355,11 +388,11 @@ def dim_date_time_sql(spark, sf):
 # ---- quality and contracts ----------------------------------------------
 
 def dq_null_measure(spark, sf):
-    return Q.null_count(_dim_st(spark, sf, CHECK_YEARS), "avg_temperature")
+    return Q.null_count(_faulty_dim_st(spark, sf, CHECK_YEARS), "avg_temperature")
 
 
 def contract_not_null(spark, sf):
-    return Q.not_null_counts(_fact(spark, sf), C.FACT_ARRIVALS)
+    return Q.not_null_counts(_faulty_fact(spark, sf), C.FACT_ARRIVALS)
 
 
 def contract_unique_key(spark, sf):
@@ -367,7 +400,7 @@ def contract_unique_key(spark, sf):
 
 
 def contract_max_length(spark, sf):
-    return Q.too_long_counts(_fact(spark, sf), C.FACT_ARRIVALS)
+    return Q.too_long_counts(_faulty_fact(spark, sf), C.FACT_ARRIVALS)
 
 
 def contract_schema(spark, sf):
@@ -379,12 +412,20 @@ def contract_schema(spark, sf):
 
 
 def contract_report(spark, sf):
-    return Q.contract_report(_fact(spark, sf), C.FACT_ARRIVALS)
+    return Q.contract_report(_faulty_fact(spark, sf), C.FACT_ARRIVALS)
 
 
 def dq_report(spark, sf):
-    cc = J.country_codes(FX.raw_country_codes_of_customers(spark, sf))
-    return Q.report(Q.reference_checks(_fact(spark, sf), _dim_st(spark, sf, PIPELINE_YEARS), cc))
+    cc = J.country_codes(FX.country_codes_with_defects(spark, sf))
+    return Q.report(Q.reference_checks(_faulty_fact(spark, sf), _faulty_dim_st(spark, sf, PIPELINE_YEARS), cc))
+
+
+def dq_row_count(spark, sf):
+    """How many rows each table of a run would have; the gate wants some in each."""
+    fact = _fact(spark, sf)
+    return Q.row_counts({
+        "fact_immigration": fact, "date_time": J.date_dim(fact), "city_demographics": _demographics(spark, sf),
+        "country_code": J.country_codes(FX.raw_country_codes_of_customers(spark, sf))})
 
 
 # ---- jobs ---------------------------------------------------------------
@@ -402,7 +443,7 @@ def job_city_demographics(spark, sf):
 
 def job_state_temperature_staging(spark, sf):
     path = _csv(FX.raw_temperature(spark, sf), scratch_dir(spark, "temperature-csv"))
-    return J.state_temperature_staging(S.read_csv(spark, path, R.RAW_TEMPERATURE), PIPELINE_YEARS)
+    return P.staged_temperature(S.read_csv(spark, path, R.RAW_TEMPERATURE), PIPELINE_YEARS)
 
 
 def job_country_code(spark, sf):
@@ -455,7 +496,13 @@ def job_pipeline(spark, sf):
     root = scratch_dir(spark, "pipeline")
     paths = FX.write_raw_inputs(spark, sf, f"{root}/raw")
     wh = Warehouse(spark, "pipeline_" + uuid.uuid4().hex[:10], location=f"{root}/warehouse")
-    return P.run_pipeline(spark, P.Inputs.of(paths), f"{root}/layout", wh, PIPELINE_YEARS)
+    P.run_pipeline(spark, P.Inputs.of(paths), f"{root}/layout", wh, PIPELINE_YEARS)
+    # Each table by its rows and the sum of a column.
+    sums = {"fact_immigration": "cic_id", "date_time": "day", "city_demographics": "count",
+            "staging_state_temperature": "month", "state_temperature": "month", "country_code": "code"}
+    parts = [wh.read(n).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(c).cast("bigint").alias("total"))
+             .select(F.lit(n).alias("table_name"), "n_rows", "total") for n, c in sums.items()]
+    return U.union_all(parts)
 
 
 # ---- analyses -----------------------------------------------------------
@@ -475,13 +522,13 @@ def corr_travel_temperature(spark, sf):
 
 def queries() -> dict[str, Query]:
     names = [
-        "scan_multi_file", "scan_csv", "scan_csv_semicolon", "scan_parquet", "empty_typed_relation",
+        "scan_multi_file", "scan_csv", "scan_csv_semicolon", "csv_malformed_lines", "scan_parquet", "empty_typed_relation",
         "scan_templated_path", "temp_view_query", "table_read",
         "write_partitioned_year_month", "write_partitioned_by_column", "write_partitioned_by_copy",
         "write_overwrite", "write_error_if_exists", "load_stage_overwrite", "load_stage_in_place",
         "load_fact_overwrite",
         "load_dimension_overwrite", "load_dimension_append", "insert_column_list", "create_tables",
-        "project_columns", "project_rename", "fact_typed_projection", "project_cast_keep_name",
+        "project_columns", "project_rename", "fact_typed_projection", "fact_bad_values", "project_cast_keep_name",
         "derive_columns", "drop_column",
         "filter_unprojected_col", "recent_window_filter", "dq_null_count", "dq_duplicate_keys",
         "distinct_rows", "union_distinct_fold", "global_max", "dim_state_temperature",
@@ -490,7 +537,7 @@ def queries() -> dict[str, Query]:
         "sas_date_convert", "partition_columns", "dim_date_time", "dim_date_time_sql",
         "dim_date_time_incremental",
         "dq_null_measure", "contract_not_null", "contract_unique_key", "contract_max_length",
-        "contract_schema", "contract_report", "dq_report",
+        "contract_schema", "contract_report", "dq_report", "dq_row_count",
         "job_fact_arrivals", "job_city_demographics", "job_state_temperature_staging",
         "job_country_code", "job_fact_incremental", "job_pipeline",
         "travel_by_state_month", "corr_travel_demographics", "corr_travel_temperature",

@@ -37,6 +37,33 @@ SELECT DISTINCT o_orderkey AS cic_id,
        CAST(o_orderdate AS DATE) AS arrival_date
 FROM orders JOIN customer ON o_custkey = c_custkey"""
 
+FAULTY_FACT = """
+SELECT DISTINCT CASE WHEN o_orderkey % 50 = 3 THEN NULL ELSE o_orderkey END AS cic_id,
+       c_nationkey AS born_country,
+       c_nationkey AS res_country,
+       CAST(1 + o_orderkey % 3 AS INTEGER) AS i94_mode,
+       CASE WHEN o_orderkey % 40 = 7 THEN 'LONGX' ELSE upper(substr(c_mktsegment, 1, 2)) END AS arr_state,
+       CASE WHEN o_orderkey % 7 = 2 THEN NULL ELSE CAST(20 + o_custkey % 60 AS INTEGER) END AS age,
+       CAST(1 + o_custkey % 3 AS INTEGER) AS i94_visa,
+       CASE WHEN o_orderkey % 9 = 4 THEN NULL
+            ELSE CAST(year(o_orderdate) - (20 + o_custkey % 60) AS INTEGER) END AS birth_year,
+       o_orderstatus AS gender,
+       CASE WHEN o_orderkey % 45 = 13 THEN 'LONG' ELSE substr(o_orderpriority, 1, 1) END AS visa_type,
+       CASE WHEN o_orderkey % 60 = 11 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS arrival_date
+FROM orders JOIN customer ON o_custkey = c_custkey"""
+
+FAULTY_TMP_RAW = """
+SELECT CAST(o_orderdate AS DATE) AS dt,
+       CASE WHEN month(o_orderdate) = 2 AND c_mktsegment LIKE 'A%' THEN NULL ELSE l_quantity END AS "AverageTemperature",
+       c_mktsegment AS "State",
+       CASE WHEN o_orderstatus = 'P' THEN 'Canada' ELSE 'United States' END AS "Country"
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"""
+
+FAULTY_CC = """
+SELECT CAST(c_custkey AS INTEGER) AS code, concat(' ', c_name) AS country FROM customer
+UNION ALL
+SELECT CAST(c_custkey AS INTEGER), concat(' ', c_name) FROM customer WHERE c_custkey % 25 = 1"""
+
 DEM_RAW = """
 SELECT n_name AS "City",
        c_mktsegment AS "State",
@@ -120,8 +147,8 @@ DEM_CTES = [("dem_raw", DEM_RAW), ("dem_renamed", DEM_RENAMED), ("dem_typed", DE
 DEMO = "SELECT DISTINCT * FROM dem_typed"
 
 
-def tmp_ctes(years: int) -> list[tuple[str, str]]:
-    return [("tmp_raw", TMP_RAW), ("tmp_us", TMP_US), ("staging", staging(years))]
+def tmp_ctes(years: int, raw: str = TMP_RAW) -> list[tuple[str, str]]:
+    return [("tmp_raw", raw), ("tmp_us", TMP_US), ("staging", staging(years))]
 
 
 # Window of the "recent years" checks: the data cover about seven years,
@@ -177,16 +204,34 @@ def contract_report_sql(table: str, source: str) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+# The six tables, the relation that fills each, and their columns as Spark types.
+TABLE_COLUMNS = [
+    ("fact_immigration", "fact", "cic_id bigint, born_country int, res_country int, i94_mode int, arr_state varchar(3), "
+     "age int, i94_visa int, birth_year int, gender varchar(1), visa_type varchar(3), arrival_date date"),
+    ("date_time", "dd", "date date, day int, week int, month varchar(20), year int, weekday varchar(20)"),
+    ("city_demographics", "demo", "city varchar(256), state varchar(256), med_age float, male_pop bigint, "
+     "female_pop bigint, tot_pop bigint, num_veterans bigint, foreign_born bigint, avg_household float, "
+     "race varchar(256), count bigint"),
+    ("staging_state_temperature", "staging", "dt date, state varchar(256), avg_temp float, month int, year int"),
+    ("state_temperature", "dim_st", "state varchar(256), month int, avg_temperature float"),
+    ("country_code", "cc", "code int, country varchar(256)"),
+]
+
+
 def oracle_sql() -> dict[str, str]:
     fact = [("fact", FACT)]
     raw = [("raw_arr", RAW_ARR)]
     st3 = tmp_ctes(CHECK_YEARS)
     st10 = tmp_ctes(PIPELINE_YEARS)
+    faulty = [("fact", FAULTY_FACT)]
+    faulty3, faulty10 = tmp_ctes(CHECK_YEARS, FAULTY_TMP_RAW), tmp_ctes(PIPELINE_YEARS, FAULTY_TMP_RAW)
     return {
         # sources
         "scan_multi_file": with_(raw, "SELECT * FROM raw_arr"),
         "scan_csv": with_([("tmp_raw", TMP_RAW)], "SELECT * FROM tmp_raw"),
         "scan_csv_semicolon": with_([("dem_raw", DEM_RAW)], "SELECT * FROM dem_raw"),
+        "csv_malformed_lines": "SELECT concat('x', CAST(c_custkey AS VARCHAR), ',', c_name) AS line "
+                               "FROM customer WHERE c_custkey % 10 = 3",
         "scan_parquet": "SELECT o_orderkey, o_custkey, o_totalprice, "
                         "CAST(o_orderdate AS DATE) AS o_orderdate FROM orders",
         "empty_typed_relation": with_(raw, "SELECT * FROM raw_arr"),
@@ -210,11 +255,15 @@ def oracle_sql() -> dict[str, str]:
         "load_dimension_append": with_(fact + [("dd", DATE_DIM)],
                                        "SELECT * FROM dd UNION ALL SELECT * FROM dd"),
         "insert_column_list": with_(fact, DATE_DIM),
-        "create_tables": with_(fact, DATE_DIM),
+        "create_tables": with_(
+            fact + DEM_CTES + st3 + [("demo", DEMO), ("dim_st", dim_st(CHECK_YEARS)), ("dd", DATE_DIM), ("cc", CC)],
+            "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, '{c}' AS \"columns\", COUNT(*) AS n_rows FROM {r}"
+                                 for t, r, c in TABLE_COLUMNS)),
         # projections
         "project_columns": "SELECT l_orderkey, l_partkey, l_quantity FROM lineitem",
         "project_rename": with_(DEM_CTES[:2], "SELECT * FROM dem_renamed"),
         "fact_typed_projection": with_(fact, "SELECT * FROM fact"),
+        "fact_bad_values": with_(faulty, "SELECT * FROM fact"),
         "project_cast_keep_name": with_(DEM_CTES, "SELECT * FROM dem_typed"),
         "derive_columns": with_([("tmp_raw", TMP_RAW)],
                                 'SELECT dt, "State" AS state, CAST(month(dt) AS INTEGER) AS "month", '
@@ -228,7 +277,7 @@ def oracle_sql() -> dict[str, str]:
                                         'SELECT dt, "AverageTemperature" AS avg_temp, "State" AS state '
                                         "FROM tmp_raw WHERE \"Country\" = 'United States'"),
         "recent_window_filter": with_(st3, "SELECT * FROM staging"),
-        "dq_null_count": with_(fact, "SELECT COUNT(*) AS n FROM fact WHERE cic_id IS NULL"),
+        "dq_null_count": with_(faulty, "SELECT COUNT(*) AS n FROM fact WHERE cic_id IS NULL"),
         "dq_duplicate_keys": "SELECT c_nationkey AS code, c_mktsegment AS country, "
                              "COUNT(c_nationkey) AS n FROM customer "
                              "GROUP BY c_nationkey, c_mktsegment HAVING COUNT(c_nationkey) > 1",
@@ -254,30 +303,40 @@ def oracle_sql() -> dict[str, str]:
         "dim_date_time_sql": with_(fact, DATE_DIM),
         "dim_date_time_incremental": with_(fact, DATE_DIM),
         # quality and contracts
-        "dq_null_measure": with_(st3 + [("dim_st", dim_st(CHECK_YEARS))],
+        "dq_null_measure": with_(faulty3 + [("dim_st", dim_st(CHECK_YEARS))],
                                  "SELECT COUNT(*) AS n FROM dim_st WHERE avg_temperature IS NULL"),
-        "contract_not_null": with_(fact, "SELECT COUNT(*) FILTER (WHERE cic_id IS NULL) AS cic_id_nulls, "
+        "contract_not_null": with_(faulty, "SELECT COUNT(*) FILTER (WHERE cic_id IS NULL) AS cic_id_nulls, "
                                          "COUNT(*) FILTER (WHERE arrival_date IS NULL) AS arrival_date_nulls "
                                          "FROM fact"),
         "contract_unique_key": with_(DEM_CTES + [("demo", DEMO)],
                                      "SELECT city, state, race, COUNT(*) AS n FROM demo "
                                      "GROUP BY city, state, race HAVING COUNT(*) > 1"),
-        "contract_max_length": with_(fact, "SELECT COUNT(*) FILTER (WHERE length(arr_state) > 3) AS arr_state_too_long, "
+        "contract_max_length": with_(faulty, "SELECT COUNT(*) FILTER (WHERE length(arr_state) > 3) AS arr_state_too_long, "
                                            "COUNT(*) FILTER (WHERE length(gender) > 1) AS gender_too_long, "
                                            "COUNT(*) FILTER (WHERE length(visa_type) > 3) AS visa_type_too_long "
                                            "FROM fact"),
         "contract_schema": with_(DEM_CTES + [("demo", DEMO)],
                                  'SELECT city, state, med_age, male_pop, female_pop, tot_pop, num_veterans, '
                                  'foreign_born, avg_household, race, "count" FROM demo'),
-        "contract_report": with_(fact, contract_report_sql("fact_immigration", "fact")),
-        "dq_report": with_(fact + st10 + [("dim_st", dim_st(PIPELINE_YEARS)), ("cc", CC)], DQ_REPORT),
+        "contract_report": with_(faulty, contract_report_sql("fact_immigration", "fact")),
+        "dq_report": with_(faulty + faulty10 + [("dim_st", dim_st(PIPELINE_YEARS)), ("cc", FAULTY_CC)], DQ_REPORT),
+        "dq_row_count": with_(fact + DEM_CTES + [("dd", DATE_DIM), ("demo", DEMO), ("cc", CC)], "\nUNION ALL\n".join(
+            f"SELECT '{t}' AS table_name, COUNT(*) AS n FROM {r}" for t, r in (
+                ("fact_immigration", "fact"), ("date_time", "dd"), ("city_demographics", "demo"),
+                ("country_code", "cc")))),
         # jobs
         "job_fact_arrivals": with_(fact, "SELECT * FROM fact"),
         "job_city_demographics": with_(DEM_CTES, DEMO),
         "job_state_temperature_staging": with_(st10, "SELECT * FROM staging"),
         "job_country_code": CC,
         "job_fact_incremental": with_(fact, "SELECT * FROM fact"),
-        "job_pipeline": with_(fact + st10 + [("dim_st", dim_st(PIPELINE_YEARS)), ("cc", CC)], DQ_REPORT),
+        "job_pipeline": with_(
+            fact + DEM_CTES + st10 + [("demo", DEMO), ("dim_st", dim_st(PIPELINE_YEARS)), ("dd", DATE_DIM), ("cc", CC)],
+            "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows, CAST(SUM({c}) AS BIGINT) AS total FROM {r}"
+                                 for t, r, c in (
+                ("fact_immigration", "fact", "cic_id"), ("date_time", "dd", '"day"'), ("city_demographics", "demo", '"count"'),
+                ("staging_state_temperature", "staging", '"month"'), ("state_temperature", "dim_st", '"month"'),
+                ("country_code", "cc", "code")))),
         # analyses
         "travel_by_state_month": with_(fact, 'SELECT arr_state, CAST(year(arrival_date) AS INTEGER) AS "year", '
                                              'CAST(month(arrival_date) AS INTEGER) AS "month", '

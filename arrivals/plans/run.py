@@ -68,7 +68,7 @@ from pyspark.sql import SparkSession
 
 from arrivals.operators import quality as Q
 from arrivals.plans import pipeline as P
-from arrivals.session import build_session, shared_root
+from arrivals.session import build_session
 from arrivals.sinks.tables import Warehouse
 from arrivals.sources.files import render_path
 from arrivals.streaming import daily as DY
@@ -185,10 +185,10 @@ def run_command(spark: SparkSession, command: str, cfg: configparser.ConfigParse
         P.build_layout(spark, inputs_of(cfg), layout, years, parallel,
                        resume=_flag(cfg, "run", "resume"))
     if command == "daily":
-        # The file-source checkpoint must stay at one place between runs; by
-        # default it lives below the cluster's shared checkpoint folder.
+        # The file-source checkpoint must stay at one place between runs, in
+        # whatever application; by default it lies beside the fact's layout.
         ckpt = (cfg.get("run", "daily_checkpoint", fallback="").strip()
-                or shared_root(spark).rstrip("/") + "/arrivals-daily-sources")
+                or layout.rstrip("/") + "/_daily_sources")
         # A bound on files per micro-batch turns a long backlog (a first run
         # over the whole history) into batches that each commit on their own,
         # so a failure restarts after the last committed batch.
@@ -208,7 +208,7 @@ def run_command(spark: SparkSession, command: str, cfg: configparser.ConfigParse
         DY.ingest_deliveries(spark, inp.arrivals, P.fact_path(layout), ckpt,
                              fmt=inp.arrivals_format, glob=inp.arrivals_glob,
                              max_files_per_trigger=int(max_files) if max_files else None,
-                             after_merge=after)
+                             options=inp.arrivals_options, after_merge=after)
         if live:
             wh.register("fact_immigration")  # new months and files, no copy
     if command in ("warehouse", "all"):

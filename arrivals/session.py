@@ -8,7 +8,6 @@ tests) do we pick one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import threading
 import uuid
@@ -96,19 +95,38 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{root}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
 def local_fs_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The path's Hadoop FileSystem (the default one for a path without a
+    scheme, as Spark's readers and writers see it) and the path."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), jpath
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through Hadoop's FileSystem, so it works on any store."""
-    if is_local_path(path):
-        return os.path.exists(local_fs_path(path))
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, jpath = _file_system(spark, path)
     return fs.exists(jpath)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, jpath = _file_system(spark, path)
+    fs.delete(jpath, True)
+
+
+def rename_path(spark: SparkSession, old: str, new: str) -> None:
+    fs, jold = _file_system(spark, old)
+    if not fs.rename(jold, _file_system(spark, new)[1]):
+        raise OSError(f"cannot rename {old} to {new}")
+
+
+def folders_below(spark: SparkSession, root: str, levels: int) -> set[str]:
+    """Folders ``levels`` below ``root``, as paths relative to it: one listing."""
+    fs, jpath = _file_system(spark, root.rstrip("/") + "/*" * levels)
+    found = set()
+    for status in fs.globStatus(jpath) or []:
+        if status.isDirectory():
+            found.add("/".join(status.getPath().toString().rsplit("/", levels)[1:]))
+    return found

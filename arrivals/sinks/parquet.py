@@ -11,11 +11,40 @@ about ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arrivals.session import delete_path, path_exists, rename_path
+
+
+def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Replace the folder ``path`` by what ``write(new_path)`` writes.
+
+    The new files go to a folder beside it, which takes its place only after
+    the write has committed; a failed write leaves the old folder as it was.
+    """
+    path = path.rstrip("/")
+    tag = uuid.uuid4().hex[:12]
+    new, old = f"{path}.new-{tag}", f"{path}.old-{tag}"
+    try:
+        write(new)
+    except BaseException:
+        delete_path(spark, new)
+        raise
+    if path_exists(spark, path):
+        rename_path(spark, path, old)
+    try:
+        rename_path(spark, new, path)
+    except BaseException:
+        if path_exists(spark, old):
+            rename_path(spark, old, path)
+        raise
+    delete_path(spark, old)
+    spark.catalog.refreshByPath(path)
+
 
 def balanced_for_layout(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Distribute rows so each layout folder gets a few full-size files.
@@ -47,7 +76,10 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "
     laid = balanced_for_layout(df, by)
     if cluster_by:
         laid = laid.sortWithinPartitions(*by, *cluster_by)
-    laid.write.mode(mode).partitionBy(*by).parquet(path)
+    if mode == "overwrite":
+        replace_folder(df.sparkSession, path, lambda to: laid.write.partitionBy(*by).parquet(to))
+    else:
+        laid.write.mode(mode).partitionBy(*by).parquet(path)
 
 
 # The fact's files are sorted by the arrival id within each month folder.
@@ -79,7 +111,7 @@ def write_by_copy(df: DataFrame, path: str, column: str, copy: str | None = None
 
 def write_overwrite(df: DataFrame, path: str) -> None:
     """Unpartitioned Parquet, replacing what is there."""
-    df.write.mode("overwrite").parquet(path)
+    replace_folder(df.sparkSession, path, df.write.parquet)
 
 
 def write_new(df: DataFrame, path: str) -> None:

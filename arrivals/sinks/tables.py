@@ -1,9 +1,10 @@
 """Warehouse tables in the session catalog.
 
 The warehouse is a database of Parquet tables made from the contracts.
-Loads are whole-table replacements (``insertInto(overwrite=True)`` /
-``INSERT OVERWRITE``), which Spark commits atomically per job, or appends;
-a retried load therefore never leaves a half-cleared table or a double copy.
+Loads are whole-table replacements or appends.  A replacement is written to
+a new folder first, and the table's location is switched to it only after
+the write has committed: a load that fails leaves the old rows, and a
+retried load never leaves a double copy.
 Parquet tables do not enforce NOT NULL or keys, so a load conforms the
 frame to the contract first and the contract checks do the rest.
 
@@ -17,12 +18,13 @@ columns only.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from arrivals import contracts as C
-from arrivals.session import path_exists
+from arrivals.session import delete_path, folders_below
 from arrivals.sinks.parquet import NULL_FOLDER, write_fact
 from arrivals.sources.files import render_path
 
@@ -93,7 +95,7 @@ class Warehouse:
         always find it.  Its partitions are found from the folder names
         (Spark's own listing, parallel for many folders), and partitions
         whose folders a rewrite removed are dropped; the partition list is
-        bounded by the calendar, so checking each folder is cheap.  Dropping
+        bounded by the calendar and compared with one listing.  Dropping
         a partition of an external table keeps its files.
         """
         if not self.in_place(name):
@@ -106,9 +108,9 @@ class Warehouse:
         else:
             self.create_tables([C.BY_NAME[name]])
         self.spark.sql(f"ALTER TABLE {t} RECOVER PARTITIONS")
-        root = self.fact_layout.rstrip("/")
+        there = folders_below(self.spark, self.fact_layout, len(FACT_LAYOUT_COLUMNS))
         for (spec,) in self.spark.sql(f"SHOW PARTITIONS {t}").collect():
-            if not path_exists(self.spark, f"{root}/{spec}"):
+            if spec not in there:
                 self.spark.sql(f"ALTER TABLE {t} DROP IF EXISTS PARTITION ({_partition_sql(spec)})")
         self.spark.sql(f"REFRESH TABLE {t}")
         return self.read(name)
@@ -124,11 +126,41 @@ class Warehouse:
         contract = C.BY_NAME[name]
         if self.in_place(name):
             # The table is the layout: write there, then register the folders.
-            write_fact(contract.conform(df), self.fact_layout, mode)
+            write_fact(contract.limited(contract.conform(df)), self.fact_layout, mode)
             return self.register(name)
-        contract.conform(df).write.insertInto(self.table(name), overwrite=(mode == "overwrite"))
+        rows = contract.conform(df)
+        if mode == "append":
+            rows.write.insertInto(self.table(name))
+        else:
+            self._replace(name, lambda table: rows.write.insertInto(table))
         return self.read(name)
 
+    def _location(self, name: str) -> str:
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table(name)}").filter("col_name = 'Location'")
+        return rows.first().data_type.rstrip("/")
+
+    def _replace(self, name: str, fill: Callable[[str], object]) -> None:
+        """Fill a new version of the table, then switch the table to it.
+
+        ``fill`` writes into a table of the same columns over a new folder.
+        The old folder goes only after the switch.
+        """
+        old = self._location(name)
+        tag = uuid.uuid4().hex[:12]
+        new = f"{old.rsplit('/', 1)[0]}/{name}.v-{tag}"
+        version = f"{name}_v_{tag}"
+        self.spark.sql(C.BY_NAME[name].ddl(self.table(version), location=new))
+        try:
+            fill(f"{self.database}.{version}")
+        except BaseException:
+            delete_path(self.spark, new)
+            raise
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.table(version)}")
+        self.spark.sql(f"ALTER TABLE {self.table(name)} SET LOCATION '{new}'")
+        self.spark.sql(f"REFRESH TABLE {self.table(name)}")
+        delete_path(self.spark, old)
+
     def stage(self, name: str, base: str, key_template: str,
               context: Mapping[str, object] | None = None) -> DataFrame:
         """Replace a table with the Parquet files under ``base/key``.
@@ -144,11 +176,17 @@ class Warehouse:
 
     def insert_select(self, name: str, columns: Sequence[str], select_sql: str,
                       mode: str, args: Mapping[str, object] | None = None) -> DataFrame:
-        """``INSERT {INTO|OVERWRITE} t (cols) <select>`` with the name bound safely."""
+        """``INSERT INTO t (cols) <select>`` with the name bound safely; with
+        ``"overwrite"`` into a new version that then replaces the rows."""
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-        verb = "OVERWRITE TABLE" if mode == "overwrite" else "INTO"
         cols = ", ".join(f"`{c}`" for c in columns)
-        params = {"t": f"{self.database}.{name}", **(args or {})}
-        self.spark.sql(f"INSERT {verb} IDENTIFIER(:t) ({cols}) {select_sql}", args=params)
+
+        def insert(table: str) -> None:
+            self.spark.sql(f"INSERT INTO IDENTIFIER(:t) ({cols}) {select_sql}", args={"t": table, **(args or {})})
+
+        if mode == "append":
+            insert(f"{self.database}.{name}")
+        else:
+            self._replace(name, insert)
         return self.read(name)

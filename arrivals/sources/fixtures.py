@@ -58,6 +58,40 @@ def raw_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_arrivals_with_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrival records with faults a check must find, by the order key.
+
+    Missing ids and dates, ages beyond an integer, codes over their length,
+    and records delivered twice with ids that differ only in a fraction, so
+    that they merge when typed.
+    """
+    raw = raw_arrivals(spark, sf_dir)
+    k = F.col("cicid").cast("bigint")
+    faulty = raw.withColumns({
+        "i94addr": F.when(k % 40 == 7, F.lit("LONGX")).otherwise(F.col("i94addr")),
+        "visatype": F.when(k % 45 == 13, F.lit("LONG")).otherwise(F.col("visatype")),
+        "i94bir": F.when(k % 7 == 2, F.lit(1e20)).otherwise(F.col("i94bir")),
+        "biryear": F.when(k % 9 == 4, F.lit(float("nan"))).otherwise(F.col("biryear")),
+        "arrdate": F.when(k % 60 == 11, F.lit(None).cast("double")).otherwise(F.col("arrdate")),
+        "cicid": F.when(k % 50 == 3, F.lit(None).cast("double")).otherwise(F.col("cicid")),
+    })
+    again = faulty.filter(F.col("cicid").cast("bigint") % 30 == 5)
+    return faulty.unionByName(again.withColumn("cicid", F.col("cicid") + 0.25))
+
+
+def raw_temperature_with_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings whose values are missing for some states in every February."""
+    gone = (F.month("dt") == 2) & F.col("State").startswith("A")
+    value = F.when(gone, F.lit(None).cast("double")).otherwise(F.col("AverageTemperature"))
+    return raw_temperature(spark, sf_dir).withColumn("AverageTemperature", value)
+
+
+def country_codes_with_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Country codes, some of them twice."""
+    cc = raw_country_codes_of_customers(spark, sf_dir)
+    return cc.unionByName(cc.filter(F.col("code") % 25 == 1))
+
+
 def raw_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """City demographics in the raw CSV shape (header names with blanks).
 

@@ -20,7 +20,7 @@ already present and adds nothing.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,33 +28,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrivals.contracts import FACT_ARRIVALS
-from arrivals.functions import casts as X
-from arrivals.functions.dates import sas_date
 from arrivals.operators.transforms import ARRIVAL_COLUMNS, fact_arrivals
-from arrivals.session import path_exists
+from arrivals.session import delete_path, folders_below, path_exists, scratch_dir
 from arrivals.sinks.parquet import FACT_CLUSTER, NULL_FOLDER, write_partitioned
 from arrivals.sources.raw import RAW_ARRIVALS
 
 LAYOUT = ["year", "month"]
 
+Summary = list[tuple[int | None, int | None, int | None, int | None, bool]]
+
 
 def _with_layout(fact: DataFrame) -> DataFrame:
     return fact.withColumns({"year": F.year("arrival_date"), "month": F.month("arrival_date")})
 
 
-def batch_summary(batch: DataFrame) -> list[tuple[int | None, int | None, int | None, int | None, bool]]:
-    """Per (year, month) folder a raw micro-batch writes into: id range, null ids.
+def batch_summary(batch: DataFrame) -> Summary:
+    """Per (year, month) folder a raw micro-batch writes into: id range, null ids."""
+    return _summary(_with_layout(fact_arrivals(batch.select(*ARRIVAL_COLUMNS))))
+
 
-    One aggregate over two columns, typed as the fact job types them.  The
-    result has one row per folder, so it is bounded by the calendar (at most
-    12 per year of years 1-9999, plus one null folder for rows without a
-    date), not by the data, and may come to the driver.
+def _summary(typed: DataFrame) -> Summary:
+    """One aggregate over two columns of the typed batch.  The result has one
+    row per folder, so it is bounded by the calendar (at most 12 per year of
+    years 1-9999, plus one null folder for rows without a date), not by the
+    data, and may come to the driver.
     """
-    d = sas_date("arrdate")
-    cid = X.to_bigint("cicid")
-    rows = (batch.groupBy(F.year(d).alias("year"), F.month(d).alias("month"))
-            .agg(F.min(cid).alias("lo"), F.max(cid).alias("hi"),
-                 F.bool_or(cid.isNull()).alias("null_ids"))
+    rows = (typed.groupBy(*LAYOUT)
+            .agg(F.min("cic_id").alias("lo"), F.max("cic_id").alias("hi"),
+                 F.bool_or(F.col("cic_id").isNull()).alias("null_ids"))
             .collect())
     return [(r.year, r.month, r.lo, r.hi, bool(r.null_ids)) for r in rows]
 
@@ -113,31 +114,27 @@ def read_months(spark: SparkSession, fact_path: str,
                 months: list[tuple[int | None, int | None]]) -> DataFrame | None:
     """The stored fact rows of ``months`` (with layout columns), or None.
 
-    Only those month folders are listed and read (the null-date folder too
-    when asked for); checking which of them exist costs one call per month.
+    Only those month folders are read (the null-date folder too when asked
+    for); one listing tells which of them exist.
     """
-    if not path_exists(spark, fact_path):
-        return None
-    folders = [f for f in month_folders(fact_path, months) if path_exists(spark, f)]
+    there = {f"{fact_path.rstrip('/')}/{f}" for f in folders_below(spark, fact_path, len(LAYOUT))}
+    folders = [f for f in month_folders(fact_path, months) if f in there]
     if not folders:
         return None
     return (spark.read.schema(STORED_SCHEMA).option("basePath", fact_path)
             .parquet(*folders).filter(_in_months(months)))
 
 
-Summary = list[tuple[int | None, int | None, int | None, int | None, bool]]
-
-
 def unseen_rows(spark: SparkSession, batch: DataFrame, fact_path: str,
                 summary: Summary | None = None) -> DataFrame:
     """The batch's typed, distinct rows (with layout columns) not yet in the fact."""
-    batch = batch.select(*ARRIVAL_COLUMNS)
-    new = _with_layout(fact_arrivals(batch))
-    if not path_exists(spark, fact_path):
-        return new
-    summary = batch_summary(batch) if summary is None else summary
-    if not summary:
-        return new  # an empty batch
+    new = _with_layout(fact_arrivals(batch.select(*ARRIVAL_COLUMNS)))
+    return _unseen(spark, new, fact_path, _summary(new) if summary is None else summary)
+
+
+def _unseen(spark: SparkSession, new: DataFrame, fact_path: str, summary: Summary) -> DataFrame:
+    if not summary or not path_exists(spark, fact_path):
+        return new  # an empty batch, or nothing stored yet
     # Only the folders of months this batch touches are read, and within
     # them only row groups whose ids overlap the batch's.
     los = [s[2] for s in summary if s[2] is not None]
@@ -160,9 +157,15 @@ def merge_into_fact(spark: SparkSession, batch: DataFrame,
     Returns the (year, month) folders the batch touches (bounded by the
     calendar), whether or not any of its rows were new.
     """
-    summary = batch_summary(batch.select(*ARRIVAL_COLUMNS))
-    write_partitioned(unseen_rows(spark, batch, fact_path, summary), fact_path, LAYOUT,
+    # The typed batch is written once: the summary, the anti join and the
+    # append then read it instead of the delivery files.
+    kept = scratch_dir(spark, "daily-batch")
+    _with_layout(fact_arrivals(batch.select(*ARRIVAL_COLUMNS))).write.parquet(kept)
+    new = spark.read.parquet(kept)
+    summary = _summary(new)
+    write_partitioned(_unseen(spark, new, fact_path, summary), fact_path, LAYOUT,
                       mode="append", cluster_by=FACT_CLUSTER)
+    delete_path(spark, kept)
     return [(y, m) for y, m, *_ in summary]
 
 
@@ -170,12 +173,15 @@ def ingest_deliveries(spark: SparkSession, source: str, fact_path: str, checkpoi
                       fmt: str = "parquet", glob: str | None = "*.parquet",
                       schema: T.StructType = RAW_ARRIVALS,
                       max_files_per_trigger: int | None = None,
+                      options: Mapping[str, str] | None = None,
                       after_merge: Callable[[list[tuple[int | None, int | None]]], None]
                       | None = None) -> None:
     """Process every delivery file not seen before, then stop.
 
-    ``checkpoint`` must be on shared storage (for example below
-    ``spark.checkpoint.dir``); it is the record of which files were read.
+    ``checkpoint`` must be on shared storage and the same in every run (not
+    below Spark's checkpoint folder, which is another one in each
+    application); it is the record of which files were read.  A format that
+    Spark cannot read as a stream is refused; its deliveries need the batch run.
     ``after_merge`` is called in each micro-batch, after its rows were
     merged, with the months the batch touched; it runs again when a batch is
     replayed, so it must be idempotent.
@@ -188,12 +194,19 @@ def ingest_deliveries(spark: SparkSession, source: str, fact_path: str, checkpoi
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
+    try:
+        stream = reader.load(source)
+    except Exception as e:  # each source has its own error for this
+        raise ValueError(f"format {fmt!r} cannot be read as a stream: {e}") from e
+
     def _each(batch: DataFrame) -> None:
         months = merge_into_fact(spark, batch, fact_path)
         if after_merge is not None and months:
             after_merge(months)
 
-    q = (reader.load(source).writeStream
+    q = (stream.writeStream
          .foreachBatch(lambda batch, _epoch: _each(batch))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)

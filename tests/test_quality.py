@@ -80,3 +80,21 @@ def test_contract_report_scans_table_once_for_column_checks(spark):
     # one scan for the column checks, one for the key check
     assert plan.count("LocalRelation") <= 2
     assert all(r.passed for r in Q.contract_report(fact, C.FACT_ARRIVALS).collect())
+
+
+@pytest.mark.parametrize("sql, expected, passed", [
+    ("select true", True, True), ("select true", "true", True), ("select false", True, False),
+    ("select 0.00", 0, True), ("select 0", 0.0, True), ("select 0", "0.0", True), ("select 1", 0, False),
+    ("select x from values (1), (9) t(x) order by x", 9, False),
+    ("select x from values (9), (1) t(x) order by x desc", 9, True),
+    ("select 'abc'", "abc", True), ("select 'abc'", "abd", False), ("select cast(null as int)", 0, False),
+    ("select 1 where false", 1, False), ("select 1 where false", "", True), ("select cast('nan' as double)", 0, False),
+])
+def test_first_cell_compares_by_type(spark, sql, expected, passed):
+    spec = [{"table": "t", "sql": sql, "expected_result": expected}]
+    assert Q.report(Q.checks_from_specs(spark, spec)).first().passed is passed
+
+
+def test_filled_check(spark):
+    checks = Q.filled_checks({"a": spark.range(3), "b": spark.range(0)})
+    assert [(r.actual, r.passed) for r in Q.report(checks).collect()] == [("3", True), ("0", False)]

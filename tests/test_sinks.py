@@ -133,3 +133,70 @@ def test_layout_balancing_without_adaptive_execution(spark, tmp_root):
     # the hot value (2/3 of rows) is spread over several tasks
     assert max(sizes) < 2000
     assert spark.read.parquet(f"{tmp_root}/noaqe").count() == 3000
+
+
+def _breaking(df):
+    """Rows of which the last breaks inside a write task."""
+    from pyspark.sql import functions as F
+    last = F.col(df.columns[0]) == 99
+    return df.withColumn(df.columns[0], F.when(last, F.raise_error(F.lit("broken row")).cast("int"))
+                         .otherwise(F.col(df.columns[0])))
+
+
+def test_a_failed_overwrite_keeps_the_old_rows(spark, tmp_root):
+    wh = _wh(spark, tmp_root)
+    wh.create_tables([C.COUNTRY_CODE])
+    wh.load("country_code", spark.createDataFrame([(1, "A")], "code int, country string"), "overwrite")
+    bad = _breaking(spark.createDataFrame([(2, "B"), (99, "C")], "code int, country string"))
+    with pytest.raises(Exception):
+        wh.load("country_code", bad, "overwrite")
+    bad.createOrReplaceTempView("bad_codes")
+    with pytest.raises(Exception):
+        wh.insert_select("country_code", ["code", "country"], "SELECT code, country FROM bad_codes", "overwrite")
+    assert [tuple(r) for r in wh.read("country_code").collect()] == [(1, "A")]
+    assert not [t for t in spark.catalog.listTables(wh.database) if "_v_" in t.name]
+    wh.load("country_code", spark.createDataFrame([(3, "D")], "code int, country string"), "overwrite")
+    wh.load("country_code", spark.createDataFrame([(4, "E")], "code int, country string"), "append")
+    assert sorted(r.code for r in wh.read("country_code").collect()) == [3, 4]
+
+
+def test_a_failed_layout_write_keeps_the_old_folder(spark, tmp_root):
+    old = spark.createDataFrame([(1, "TX")], "n int, state string")
+    for write in (lambda d, p: K.write_by_column(d, p, "state"), K.write_overwrite):
+        path = f"{tmp_root}/w{id(write)}"
+        write(old, path)
+        with pytest.raises(Exception):
+            write(_breaking(spark.createDataFrame([(2, "CA"), (99, "CA")], "n int, state string")), path)
+        assert [r.n for r in spark.read.parquet(path).collect()] == [1]
+        assert [f for f in os.listdir(_local(path.rsplit("/", 1)[0])) if ".new-" in f or ".old-" in f] == []
+
+
+def test_paths_are_asked_of_the_default_filesystem(spark, tmp_root):
+    """With a default filesystem that is not local, paths without a scheme are its own."""
+    from arrivals.sources import raw as R
+    from arrivals.streaming import daily as DY
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    os.makedirs(_local(f"{tmp_root}/mount"))
+    conf.set("fs.viewfs.mounttable.checks.link./data", f"file://{_local(f'{tmp_root}/mount')}")
+    conf.set("fs.defaultFS", "viewfs://checks/")
+    try:
+        row = (1.0, 1.0, 1.0, 20545.5, 1.0, "NY", 30.0, 2.0, 1986.0, "F", "B2")
+        batch = spark.createDataFrame([row, (2.0, *row[1:])], R.RAW_ARRIVALS)
+        for _ in range(2):
+            DY.merge_into_fact(spark, batch, "/data/fact")
+        assert spark.read.parquet("/data/fact").count() == 2
+        wh = Warehouse(spark, "t_" + uuid.uuid4().hex[:8], location=f"file://{_local(tmp_root)}/wh",
+                       fact_layout="viewfs://checks/data/fact")
+        for _ in range(2):
+            wh.register("fact_immigration")
+        assert wh.read("fact_immigration").count() == 2
+    finally:
+        conf.set("fs.defaultFS", before)
+
+
+def test_order_by_keys_is_ordered(spark):
+    from arrivals.plans import checks
+    from tests.conftest import SF_SMALL
+    got = [(r.c_nationkey, r.c_custkey) for r in checks.order_by_keys(spark, SF_SMALL).collect()]
+    assert got == sorted(got) and len(got) > 100

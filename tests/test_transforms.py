@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from arrivals.contracts import FACT_ARRIVALS
@@ -32,13 +33,32 @@ def test_rows_equal_after_typing_merge(spark):
     assert fact.first().arrival_date == dt.date(2016, 4, 1)
 
 
-def test_zero_files_gives_empty_typed_fact(spark, tmp_root):
-    raw = S.scan_files(spark, f"{tmp_root}/missing", "parquet", "*.parquet", schema=R.RAW_ARRIVALS)
+def test_missing_input_is_an_error(spark, tmp_root):
+    good, gone = f"{tmp_root}/good", f"{tmp_root}/missing"
+    spark.createDataFrame([arrival(1.0), arrival(2.0)], R.RAW_ARRIVALS).write.parquet(good)
+    for root, glob in ((gone, "*.parquet"), ([good, gone], "*.parquet"), ([], None), (good, "*.sas")):
+        with pytest.raises(Exception):
+            S.scan_files(spark, root, "parquet", glob, schema=R.RAW_ARRIVALS)
+    with pytest.raises(Exception):
+        S.scan_files(spark, [good, gone], "parquet", schema=R.RAW_ARRIVALS, allow_empty=True)
+
+
+def test_empty_typed_fact_where_that_is_allowed(spark, tmp_root):
+    raw = S.scan_files(spark, f"{tmp_root}/missing", "parquet", "*.parquet", schema=R.RAW_ARRIVALS, allow_empty=True)
     fact = J.fact_arrivals(raw)
     assert fact.count() == 0
     assert [f.dataType for f in fact.schema.fields] == [c.dtype for c in FACT_ARRIVALS.columns]
 
 
+def test_arrivals_from_csv_deliveries(spark, tmp_root):
+    df = spark.createDataFrame([arrival(1.0), arrival(2.0), arrival(2.0)], R.RAW_ARRIVALS)
+    df.write.option("header", "true").csv(f"{tmp_root}/csv/d1")
+    inp = P.Inputs(f"{tmp_root}/csv", "", "", "", arrivals_format="csv", arrivals_glob="*.csv",
+                   arrivals_options={"header": "true", "inferSchema": "true"})
+    got = J.fact_arrivals(P.read_arrivals(spark, inp))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, J.fact_arrivals(df).collect()))
+
+
 def test_glob_filter_skips_other_files(spark, tmp_root):
     spark.createDataFrame([arrival(1.0)], R.RAW_ARRIVALS).write.parquet(f"{tmp_root}/g/p")
     spark.createDataFrame([("junk",)], "x string").write.json(f"{tmp_root}/g/j")
@@ -76,12 +96,18 @@ def test_country_codes_keep_leading_blank_and_quoted_commas(spark, tmp_root):
     import os
     os.makedirs(path.replace("file:", ""), exist_ok=True)
     with open(path.replace("file:", "") + "/part.csv", "w", newline="") as fh:
-        fh.write('code,country\r\n582,"MEXICO Air Sea, and Not Reported (I-94, no land arrivals)"\r\n'
-                 '236, AFGHANISTAN\r\n101, ALBANIA\r\n')
+        fh.write('code,country\r\n903,"NORTH ISLES, upper and lower (one, or both)"\r\n'
+                 '17, WESTMARK\r\n5, EASTMARK\r\n')
     cc = J.country_codes(S.read_csv(spark, path, R.RAW_COUNTRY_CODES)).orderBy("code").collect()
-    assert [r.code for r in cc] == [101, 236, 582]
-    assert cc[0].country == " ALBANIA"
-    assert cc[2].country == "MEXICO Air Sea, and Not Reported (I-94, no land arrivals)"
+    assert [r.code for r in cc] == [5, 17, 903]
+    assert cc[0].country == " EASTMARK"
+    assert cc[2].country == "NORTH ISLES, upper and lower (one, or both)"
+    swapped = f"{tmp_root}/swapped.csv"
+    os.makedirs(swapped.replace("file:", ""), exist_ok=True)
+    with open(swapped.replace("file:", "") + "/part.csv", "w", newline="") as fh:
+        fh.write("country,code\nEASTMARK,5\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        S.read_csv(spark, swapped, R.RAW_COUNTRY_CODES).collect()
 
 
 def test_city_demographics_typed_and_distinct(spark):

@@ -2,7 +2,9 @@
 
 Paragraphs are lines and, within lines, sentences, so that a passage set into
 a longer line is found too.  Equal paragraphs are one class.  Lines of at
-least ``LINE_WORDS`` words send out MinHash bands of their 5-word shingles;
+least ``LINE_WORDS`` words send out MinHash bands of their 5-word shingles,
+unless copied sentences already make up ``COPIED_SHARE`` of them (else every
+line that holds one common passage would collide with all others that do);
 lines that collide in a band are verified by exact Jaccard similarity of 0.8
 or more and clustered by connected components.  Paragraphs whose cluster
 spans several documents are joined to passages where they stand side by side;
@@ -27,6 +29,7 @@ SHINGLE, PERCENT = 5, 80
 BANDS, ROWS = 12, 3
 LINE_WORDS, SENTENCE_WORDS = 20, 5
 PASSAGE_WORDS = 30
+COPIED_SHARE = 0.25
 #: Words between two repeated paragraphs that still belong to one passage.
 BRIDGE = 10
 _SEEDS = C.mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * C._PRIME)
@@ -130,17 +133,38 @@ def repeated_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text"
                 ranges = np.concatenate((u.lines, u.sentences))
                 start, end = u.places(ranges)
                 out.append((k, row, np.concatenate((lines, u.classes(_SENTENCE))), ranges[:, 0], ranges[:, 1], start,
-                            end, lines[fresh], (u.lines[fresh, 1] - u.lines[fresh, 0] - SHINGLE + 1),
-                            u.bands(u.lines[fresh]).ravel()))
-            yield pd.DataFrame(out, columns=["k", "row", "every", "a", "z", "start", "end", "lines", "sizes", "bands"])
+                            end, len(lines), np.flatnonzero(fresh), u.bands(u.lines[fresh]).ravel()))
+            yield pd.DataFrame(out, columns=["k", "row", "every", "a", "z", "start", "end", "n_lines", "fresh", "bands"])
 
     indexed = C.stored(rows.mapInPandas(
         index, "k long, row long, every array<long>, a array<int>, z array<int>, start array<int>, end array<int>, "
-               "lines array<long>, sizes array<long>, bands array<long>"), "paragraphs")
+               "n_lines int, fresh array<int>, bands array<long>"), "paragraphs")
     # Classes in two documents or more; partial aggregates make a hot one small.
-    copied = (indexed.select("k", F.explode("every").alias("cls")).groupBy("cls")
-              .agg(F.min("k").alias("lo"), F.max("k").alias("hi")).filter("lo < hi").select("cls"))
-    senders = indexed.filter("size(lines) > 0").select("lines", "sizes", "bands")
+    copied = C.stored(indexed.select("k", F.explode("every").alias("cls")).groupBy("cls")
+                      .agg(F.min("k").alias("lo"), F.max("k").alias("hi")).filter("lo < hi").select("cls"),
+                      "paragraph-copies")
+    known = C.bit_filter(copied, "cls")
+
+    def to_compare(batches):
+        for b in batches:
+            out = []
+            for row, every, a, z, n, fresh, bands in zip(*(b[c] for c in (
+                    "row", "every", "a", "z", "n_lines", "fresh", "bands"))):
+                if not len(fresh):
+                    continue
+                own = np.zeros(int(z.max()) + 1, np.int64)  # words in copied sentences
+                for i in n + np.flatnonzero(C.in_filter(known.value, every[n:].astype(np.int64))):
+                    own[a[i]:z[i]] = 1
+                upto = np.concatenate(([0], np.cumsum(own)))
+                share = (upto[z[fresh]] - upto[a[fresh]]) / (z[fresh] - a[fresh])
+                use = share < COPIED_SHARE
+                if use.any():
+                    at = fresh[use]
+                    out.append((row, every[at], z[at] - a[at] - SHINGLE + 1, bands.reshape(-1, BANDS)[use].ravel()))
+            yield pd.DataFrame(out, columns=["row", "lines", "sizes", "bands"])
+
+    senders = C.stored(indexed.select("row", "every", "a", "z", "n_lines", "fresh", "bands").mapInPandas(
+        to_compare, "row long, lines array<long>, sizes array<long>, bands array<long>"), "paragraph-lines")
     shared = C.bit_filter(C.met_twice(senders.select(F.explode("bands").alias("key"))), "key")
 
     def spread(batches):
@@ -150,8 +174,8 @@ def repeated_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text"
             size = np.repeat(sizes, BANDS)[keep]
             yield pd.DataFrame({"key": keys[keep], "id": np.repeat(ids, BANDS)[keep], "size": size, "rest": size})
 
-    members = C.stored(senders.mapInPandas(spread, "key long, id long, size long, rest long").distinct(),
-                       "paragraph-bands")
+    members = C.stored(senders.select("lines", "sizes", "bands").mapInPandas(
+        spread, "key long, id long, size long, rest long").distinct(), "paragraph-bands")
     # Only ids that share a key with another id need their shingles.
     met = members.join(members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
                        .filter("lo < hi").select("key"), "key", "left_semi")
@@ -161,7 +185,7 @@ def repeated_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text"
         for b in batches:
             yield b.loc[[bool(C.in_filter(wanted.value, x).any()) for x in b["lines"]], ["row"]]
 
-    texts = C.bit_filter(indexed.filter("size(lines) > 0").select("row", "lines").mapInPandas(having, "row long"), "row")
+    texts = C.bit_filter(senders.select("row", "lines").mapInPandas(having, "row long"), "row")
 
     def arrays(batches):
         seen: set[int] = set()

@@ -243,7 +243,14 @@ def met_twice(keys: DataFrame) -> DataFrame:
 
 # ---- links between members that share a key --------------------------------
 
-def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+#: Bits of one signature that another lacks, and what that leaves for the overlap.
+_ONLY = "aggregate(zip_with({0}.bits, {1}.bits, (p, q) -> bit_count(p & ~q)), 0, (s, n) -> s + n)"
+_SIGNATURES_ALLOW = (f"9 * least(x.size - {_ONLY.format('x', 'y')}, y.size - {_ONLY.format('y', 'x')})"
+                     " >= 4 * (x.size + y.size)")
+
+
+def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], label: str,
+                signatures: DataFrame | None = None) -> DataFrame:
     """Components of the links between members that share a key.
 
     ``members``: distinct (key, id, size, rest); ``rest`` is an upper
@@ -252,7 +259,9 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], la
     compare all their members.  A large group first compares every member
     with a few leaders; what the links so far leave in different components
     is then compared in full, so no link between components is lost while a
-    group of n copies costs about n comparisons.
+    group of n copies costs about n comparisons.  ``signatures`` (id, bits:
+    array of longs) bound the overlap there: a bit that one id has alone is an
+    element that it has alone.
     Returns (id, label) of every id that has a link.
     """
     possible = F.expr("9 * least(x.rest, y.rest) >= 4 * (x.size + y.size)")
@@ -285,10 +294,14 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], la
     if known.isEmpty():
         return labels
     # A pair is taken at one of the keys it shares, so it comes once.
-    keyed = known.join(known.groupBy("id").agg(F.collect_set("key").alias("keys")), "id")
+    own = known.groupBy("id").agg(F.collect_set("key").alias("keys"))
+    if signatures is not None:
+        own = own.join(signatures.dropDuplicates(["id"]), "id")
+        sizes_fit = sizes_fit & F.expr(_SIGNATURES_ALLOW)
+    keyed = known.join(own, "id")
     once = F.expr("x.key = array_min(array_intersect(x.keys, y.keys))")
     minor = F.expr("x.key = y.key and x.label <> y.label and (y.label = y.main or x.id < y.id)")
-    rest = (keyed.filter("label <> main").alias("x").join(keyed.alias("y"), minor & sizes_fit & once)
+    rest = (keyed.filter("label <> main").alias("x").join(keyed.alias("y"), minor & once & sizes_fit)
             .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
     later = stored(verify(stored(rest, label)), label)
     return labels if later.isEmpty() else components(links.union(later), label)

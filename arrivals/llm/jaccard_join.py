@@ -51,10 +51,10 @@ def prefix_of(s: np.ndarray, common: np.ndarray) -> np.ndarray:
     return rare[:take] if len(rare) >= take else np.concatenate((rare, s[hot][:take - len(rare)]))
 
 
-def signature(s: np.ndarray) -> bytes:
+def signature(s: np.ndarray) -> np.ndarray:
     bits = np.zeros(SIGNATURE, np.uint8)
     bits[(s >> np.uint64(17)) % np.uint64(SIGNATURE)] = 1
-    return np.packbits(bits).tobytes()
+    return np.packbits(bits).view(np.int64)
 
 
 def common_shingles(docs: DataFrame, text: str) -> np.ndarray:
@@ -108,7 +108,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
     # Keys travel as text: pandas would turn longs with nulls into doubles.
     sets_of = C.stored(docs.withColumn("k", F.col("k").cast("string")).mapInPandas(
-        sets, "k string, row long, n long, cls long, keys array<long>, bits binary")
+        sets, "k string, row long, n long, cls long, keys array<long>, bits array<long>")
         .withColumn("k", F.col("k").cast("long")), "jaccard-sets")
     senders = sets_of.filter("keys is not null")
     wanted = C.bit_filter(C.met_twice(senders.select(F.explode("keys").alias("key"))), "key")
@@ -132,7 +132,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     def may_link(batches):
         for b in batches:
             if len(b):
-                x, y = (np.frombuffer(b"".join(b[c]), np.uint64).reshape(len(b), -1) for c in ("xb", "yb"))
+                x, y = (np.stack(b[c].to_list()).view(np.uint64) for c in ("xb", "yb"))
                 sx, sy = b["xn"].to_numpy(), b["yn"].to_numpy()
                 most = np.minimum(sx - np.bitwise_count(x & ~y).sum(1), sy - np.bitwise_count(y & ~x).sum(1))
                 b = b[(100 + PERCENT) * most >= PERCENT * (sx + sy)]
@@ -180,7 +180,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
                          .dropDuplicates(["id"]), "jaccard-arrays")
         return C.few_tasks(joined(near.distinct(), items), some, 20_000).mapInPandas(link, "a long, b long")
 
-    labels = C.link_groups(members, verify, "jaccard-links")
+    labels = C.link_groups(members, verify, "jaccard-links",
+                           senders.select(F.col("cls").alias("id"), "bits"))
     grouped = (sets_of.filter("cls is not null").select("k", "n", "row", "cls")
                .join(labels.withColumnRenamed("id", "cls"), "cls", "left")
                .select("k", "n", "row", F.coalesce("label", "cls").alias("label")))

@@ -12,6 +12,7 @@ import heapq
 import json
 import re
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -21,8 +22,8 @@ from pyspark.sql import functions as F
 
 from arrivals.llm import common as C
 
-#: Words kept per worker, and characters handled at once.
-WORDS_KEPT = 300_000
+#: Words, and runs between white space, kept per worker; characters handled at once.
+WORDS_KEPT = 500_000
 CHUNK_CHARS = 1 << 20
 #: Texts within these characters need no normalisation beyond lower case;
 #: others take the vocabulary's own normaliser and word splitter.
@@ -62,6 +63,7 @@ class Vocabulary:
         self.strings = [""] * (1 + max([*self.ids.values(), *self.special.values()]))
         for text, i in [*self.ids.items(), *self.special.items()]:
             self.strings[i] = text
+        self.ends_word = np.array([t.endswith(self.end) for t in self.strings])
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.word = regex.compile(next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"]
                                        if p["type"] == "Split"))
@@ -71,7 +73,8 @@ class Vocabulary:
         self.library.no_truncation()
         self.library.no_padding()
         self.missing = missing or (lambda own, words: [own.merge(w) for w in words])
-        self.known: dict[str, bytes] = {}
+        self.known_words: dict[str, bytes] = {}
+        self.known_runs: dict[str, bytes] = {}
 
     @classmethod
     def load(cls, path: str, missing=None) -> Vocabulary:
@@ -117,21 +120,42 @@ class Vocabulary:
     # ---- a text ----------------------------------------------------------
 
     def words(self, text: str) -> list[str]:
+        """The words of a text as the vocabulary's own splitter gives them."""
         if _PLAIN.search(text) is None:
             return self.word.findall(text.lower())
         shown = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
         return [bytes(self.bytes_of[c] for c in w).decode("utf-8", "surrogatepass") for w, _ in shown]
 
+    def _learn_words(self, words: set[str]) -> None:
+        new = [w for w in words if w not in self.known_words]
+        if len(self.known_words) + len(new) > WORDS_KEPT:
+            self.known_words.clear()
+            new = list(words)
+        if new:
+            found = self.missing(self, new)
+            flat = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
+            at = 0
+            for w, ids in zip(new, found):
+                self.known_words[w] = flat[at:at + 4 * len(ids)]
+                at += 4 * len(ids)
+
     def _plain_ids(self, text: str) -> bytes:
-        words = self.words(text)
-        new = [w for w in set(words) if w not in self.known]
+        if _PLAIN.search(text) is not None:
+            words = self.words(text)
+            self._learn_words(set(words))
+            return b"".join(map(self.known_words.__getitem__, words))
+        # No word reaches over white space: whatever stands between is looked up whole.
+        runs = text.lower().split()
+        new = [r for r in set(runs) if r not in self.known_runs]
         if new:
-            if len(self.known) + len(new) > WORDS_KEPT:
-                self.known.clear()
-                new = list(set(words))
-            for w, ids in zip(new, self.missing(self, new)):
-                self.known[w] = np.array(ids, "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, words))
+            if len(self.known_runs) + len(new) > WORDS_KEPT:
+                self.known_runs.clear()
+                new = list(set(runs))
+            split = list(map(self.word.findall, new))
+            self._learn_words(set(chain.from_iterable(split)))
+            for r, words in zip(new, split):
+                self.known_runs[r] = b"".join(map(self.known_words.__getitem__, words))
+        return b"".join(map(self.known_runs.__getitem__, runs))
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -97,8 +98,12 @@ class Windows:
         return out.astype({c: "Int64" for c in _COLUMNS if c not in ("k", "ids")})
 
 
-def _library(own: Vocabulary, words: list[str]) -> list[list[int]]:
-    return [e.ids for e in own.library.encode_batch(words, add_special_tokens=False)]
+def _library(own: Vocabulary, words: list[str]) -> list[np.ndarray]:
+    """Ids of distinct words by the tokenizers library: one call for all, cut
+    where a token ends a word."""
+    ids = np.array(own.library.encode(" ".join(words), add_special_tokens=False).ids, np.int64)
+    ends = np.flatnonzero(own.ends_word[ids]) + 1
+    return np.split(ids, ends[:-1])
 
 
 def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -50,7 +50,8 @@ def grams_of(text: str) -> tuple[np.ndarray, np.ndarray]:
         grams, run = [code[code != 32]], code
         for n in range(1, GRAMS):
             run = (run[:-1] << 21) | code[n:]
-            grams.append(run)
+            # A space only at either end: no n-gram reaches from word to word.
+            grams.append(run[code[1:-1] != 32] if n == 2 else run)
         part = np.unique(np.concatenate(grams), return_counts=True)
         found = part if found is None else _added([found, part])
     return found or (np.empty(0, np.int64), np.empty(0, np.int64))

@@ -16,7 +16,7 @@ def plain_rank(texts):
         while "  " in s:
             s = s.replace("  ", " ")
         for n in (1, 2, 3):
-            c.update(g for i in range(len(s) - n + 1) if (g := s[i:i + n]) != " ")
+            c.update(g for i in range(len(s) - n + 1) if (g := s[i:i + n]) != " " and g[1:-1] != " ")
     return [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], len(x[0]), x[0]))][:L.PROFILE]
 
 

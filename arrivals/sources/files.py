@@ -89,10 +89,10 @@ def malformed_lines(spark: SparkSession, path: str | Sequence[str], schema: T.St
           .option("sep", sep).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", MALFORMED)
           .csv(path if isinstance(path, str) else list(path)))
-    # All columns are read: whether a line fits depends on every one of them.
-    fits = F.struct(*[F.col(f"`{f.name}`") for f in schema.fields])
-    return df.select(fits.alias("fits"), MALFORMED).filter(
-        F.col(MALFORMED).isNotNull() & F.col("fits").isNotNull()).select(MALFORMED)
+    # Whether a line fits depends on every column, so none may be pruned: the
+    # condition on their hash always holds.
+    read_all = F.xxhash64(*[F.col(f"`{f.name}`") for f in schema.fields]).between(-(1 << 63), (1 << 63) - 1)
+    return df.filter(F.col(MALFORMED).isNotNull() & read_all).select(MALFORMED)
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:

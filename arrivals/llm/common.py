@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,12 +166,20 @@ def in_filter(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
+def split_by_filter(docs: DataFrame, bits, column: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``docs`` whose long ``column`` may be in the filter, and the
+    others, which certainly are not and need no shuffle."""
+    @F.pandas_udf("boolean")
+    def may_be(values: pd.Series) -> pd.Series:
+        return pd.Series(in_filter(bits.value, values.to_numpy(np.int64)))
+
+    return docs.filter(may_be(F.col(column))), docs.filter(~may_be(F.col(column)))
+
+
 # ---- connected components --------------------------------------------------
 
 def _forest(batches):
     """Each task replaces its edges by a star for each tree it sees."""
-    import pandas as pd
-
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:

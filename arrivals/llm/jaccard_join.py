@@ -197,10 +197,13 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """``docs`` with one document of each component: the one whose key names
     it.  Of rows that repeat a key and text one stays; rows with a null key,
     and texts without shingles, stay unless such a repeat."""
-    own, gone, gone_hash = (C.fresh(x, docs.columns) for x in ("text_hash", "gone", "gone_hash"))
-    out = (jaccard_components(docs, key, text).filter(F.col(key) != F.col("component_id"))
-           .select(F.col(key).alias(gone), F.col("text_hash").alias(gone_hash)).distinct())
-    named = docs.withColumn(own, F.xxhash64(F.col(text).cast("string")))
-    same = F.col(key).cast("long").eqNullSafe(F.col(gone)) & (F.col(own) == F.col(gone_hash))
-    return (named.join(out, same, "left_anti")
-            .dropDuplicates([key, own]).drop(own))
+    own, gone = (C.fresh(x, docs.columns) for x in ("row_hash", "gone"))
+    found = jaccard_components(docs, key, text).withColumn("row", F.xxhash64(key, "text_hash"))
+    out = found.filter(F.col(key) != F.col("component_id")).select(F.col("row").alias(gone)).distinct()
+    again = found.groupBy("row").count().filter("count > 1").select(F.col("row").alias(gone))
+    # Only rows that may go, or repeat, are shuffled.
+    touched = C.bit_filter(out.union(again), gone)
+    named = docs.withColumn(own, F.xxhash64(F.col(key).cast("long"), F.xxhash64(F.col(text).cast("string"))))
+    some, others = C.split_by_filter(named, touched, own)
+    kept = some.join(out, F.col(own) == F.col(gone), "left_anti").dropDuplicates([own])
+    return others.unionByName(kept).drop(own)

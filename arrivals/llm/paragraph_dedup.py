@@ -259,9 +259,9 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """``docs`` without the removed paragraphs; columns and rows stay.  What is
     left of a text keeps its own white space, less what stood at a cut's end."""
     found = repeated_paragraphs(docs, key, text).filter("removed")
-    own, row, cuts = (C.fresh(x, docs.columns) for x in ("own_key", "own_row", "cuts"))
-    spans = (found.groupBy(F.col(key).alias(own), F.col("text_hash").alias(row))
-             .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias(cuts)))
+    own, row, cuts = (C.fresh(x, docs.columns) for x in ("row_hash", "row", "cuts"))
+    spans = C.stored(found.groupBy(F.xxhash64(key, "text_hash").alias(row))
+                     .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias(cuts)), "paragraph-cuts")
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
@@ -280,8 +280,11 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                        if kept else "")
         return pd.Series(out, dtype=object)
 
+    # Only rows that may lose something are shuffled.
     body = F.col(text).cast("string")
-    mine = (F.col(key).cast("long") == F.col(own)) & (F.xxhash64(body) == F.col(row))
-    return (docs.join(spans, mine, "left")
-            .withColumn(text, F.when(F.col(cuts).isNull(), F.col(text)).otherwise(cut(body, F.col(cuts))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    named = docs.withColumn(own, F.xxhash64(F.col(key).cast("long"), F.xxhash64(body)))
+    some, others = C.split_by_filter(named, C.bit_filter(spans, row), own)
+    changed = (some.join(spans, F.col(own) == F.col(row), "left")
+               .withColumn(text, F.when(F.col(cuts).isNull(), F.col(text)).otherwise(cut(body, F.col(cuts)))))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return others.select(*columns).unionByName(changed.select(*columns))

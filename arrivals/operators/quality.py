@@ -174,8 +174,9 @@ def filled_checks(tables: dict[str, DataFrame]) -> list[Check]:
     return [Check(f"{name}_has_rows", name, df, kind="filled") for name, df in tables.items()]
 
 
-def contract_report(df: DataFrame, contract: Contract, keys: bool = True) -> DataFrame:
-    """Report rows for every contract check of one table (``keys``: the key too).
+def contract_report(df: DataFrame, contract: Contract, keys: bool = True, rows: bool = False) -> DataFrame:
+    """Report rows for every contract check of one table (``keys``: the key
+    too; ``rows``: that it has rows, counted in the same scan).
 
     All column checks (nulls in NOT NULL columns, values over a VARCHAR
     limit) are counted in one aggregate, so the table is scanned once for
@@ -188,17 +189,22 @@ def contract_report(df: DataFrame, contract: Contract, keys: bool = True) -> Dat
             counts[f"{contract.name}.{c.name}_not_null"] = F.count_if(F.col(c.name).isNull())
         if c.max_len is not None:
             counts[f"{contract.name}.{c.name}_max_length"] = F.count_if(F.length(c.name) > c.max_len)
+    filled = f"{contract.name}_has_rows"
+    if rows:
+        counts[filled] = F.count(F.lit(1))
     parts = []
     if counts:
         one = df.agg(*[v.cast("bigint").alias(f"c{i}") for i, v in enumerate(counts.values())])
         names = list(counts)
-        rows = one.select(F.explode(F.array(*[
+        found = one.select(F.explode(F.array(*[
             F.struct(F.lit(n).alias("check_name"), F.col(f"c{i}").alias("n"))
             for i, n in enumerate(names)])).alias("r")).select("r.*")
-        parts.append(rows.select(
+        wants_rows = F.col("check_name") == filled
+        parts.append(found.select(
             "check_name", F.lit(contract.name).alias("table_name"),
-            F.col("n").cast("string").alias("actual"), F.lit("0").alias("expected"),
-            (F.col("n") == 0).alias("passed")))
+            F.col("n").cast("string").alias("actual"),
+            F.when(wants_rows, "more than 0").otherwise("0").alias("expected"),
+            ((F.col("n") > 0) == wants_rows).alias("passed")))
     if keys:
         parts.append(Check(f"{contract.name}.key_unique", contract.name,
                            key_duplicates(df, contract), kind="empty").row())

@@ -59,7 +59,7 @@ def main() -> None:
         J.city_demographics(read_csv(spark, inp.demographics, R.RAW_DEMOGRAPHICS, sep=";")),
         f"{out}/{P.CITY_KEY}", "state_code"))
     timed("j3_state_temperature_staging", lambda: K.write_by_copy(
-        J.state_temperature_staging(read_csv(spark, inp.temperature, R.RAW_TEMPERATURE), years),
+        P.staged_temperature(read_csv(spark, inp.temperature, R.RAW_TEMPERATURE), years),
         f"{out}/{P.STATE_TEMP_KEY}", "state", "partition_state"))
     timed("j4_country_code", lambda: K.write_overwrite(
         J.country_codes(read_csv(spark, inp.country_code, R.RAW_COUNTRY_CODES)),

@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from arrivals.llm import common as C
 
-#: Words, and runs between white space, kept per worker; characters handled at once.
-WORDS_KEPT = 500_000
+#: Words, and runs between white space, kept per worker and generation; characters
+#: handled at once.
+WORDS_KEPT, RUNS_KEPT = 100_000, 200_000
 CHUNK_CHARS = 1 << 20
 #: Texts within these characters need no normalisation beyond lower case;
 #: others take the vocabulary's own normaliser and word splitter.
@@ -73,8 +74,8 @@ class Vocabulary:
         self.library.no_truncation()
         self.library.no_padding()
         self.missing = missing or (lambda own, words: [own.merge(w) for w in words])
-        self.known_words: dict[str, bytes] = {}
-        self.known_runs: dict[str, bytes] = {}
+        self.known_words = C.Recent(WORDS_KEPT)  # ids, 4 bytes each
+        self.known_runs = C.Recent(RUNS_KEPT)
 
     @classmethod
     def load(cls, path: str, missing=None) -> Vocabulary:
@@ -127,10 +128,7 @@ class Vocabulary:
         return [bytes(self.bytes_of[c] for c in w).decode("utf-8", "surrogatepass") for w, _ in shown]
 
     def _learn_words(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.known_words]
-        if len(self.known_words) + len(new) > WORDS_KEPT:
-            self.known_words.clear()
-            new = list(words)
+        new = self.known_words.absent(words)
         if new:
             found = self.missing(self, new)
             flat = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
@@ -146,11 +144,8 @@ class Vocabulary:
             return b"".join(map(self.known_words.__getitem__, words))
         # No word reaches over white space: whatever stands between is looked up whole.
         runs = text.lower().split()
-        new = [r for r in set(runs) if r not in self.known_runs]
+        new = self.known_runs.absent(set(runs))
         if new:
-            if len(self.known_runs) + len(new) > WORDS_KEPT:
-                self.known_runs.clear()
-                new = list(set(runs))
             split = list(map(self.word.findall, new))
             self._learn_words(set(chain.from_iterable(split)))
             for r, words in zip(new, split):

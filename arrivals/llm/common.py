@@ -63,8 +63,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _INVERSE = U(pow(int(_PRIME), -1, 1 << 64))
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-#: Words kept per worker.
-_WORDS_KEPT = 500_000
+#: Words kept per worker and generation.
+_WORDS_KEPT = 120_000
 #: The two low bits of a word's code: it ends a sentence; it starts with a capital.
 ENDS, CAPITAL = U(1), U(2)
 
@@ -79,20 +79,51 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
-class _Words(dict):
+class Recent(dict):
+    """What a worker has looked up lately, in two generations of at most
+    ``limit`` entries; what is used again moves to the younger one."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.old = limit, {}
+
+    def make_room(self, n: int) -> bool:
+        if len(self) + n <= self.limit:
+            return False
+        self.old = self.copy()
+        self.clear()
+        return True
+
+    def absent(self, keys: set) -> list:
+        """The keys that must be looked up anew; the caller adds them."""
+        new = [k for k in keys if k not in self]
+        if new and self.make_room(len(new)):
+            new = list(keys)
+        out = []
+        for k in new:
+            known = self.old.get(k)
+            if known is None:
+                out.append(k)
+            else:
+                self[k] = known
+        return out
+
+
+class _Words(Recent):
     """Codes of words met in this worker: 8 bytes each."""
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= _WORDS_KEPT:
-            self.clear()
-        low = hashlib.blake2b(word.lower(), digest_size=8).digest()
-        capital = 65 <= word[0] <= 90 or (word[0] == 0xC3 and len(word) > 1 and 0x80 <= word[1] <= 0x9E)
-        code = bytes((low[0] & 0xFC | 2 * capital | (word[-1] in b".!?"),)) + low[1:]
+        self.make_room(1)
+        code = self.old.get(word)
+        if code is None:
+            low = hashlib.blake2b(word.lower(), digest_size=8).digest()
+            capital = 65 <= word[0] <= 90 or (word[0] == 0xC3 and len(word) > 1 and 0x80 <= word[1] <= 0x9E)
+            code = bytes((low[0] & 0xFC | 2 * capital | (word[-1] in b".!?"),)) + low[1:]
         self[word] = code
         return code
 
 
-_words = _Words()
+_words = _Words(_WORDS_KEPT)
 
 
 def word_codes(data: bytes) -> np.ndarray:

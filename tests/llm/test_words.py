@@ -60,3 +60,14 @@ def test_components_of_chains_stars_and_loops(spark):
     want = {i: 10 for i in range(10, 42)} | {i: 100 for i in range(100, 130)} | {3: 3, 5: 3}
     assert got == want
     assert C.components(spark.createDataFrame([], "a long, b long"), "test").count() == 0
+
+
+def test_small_lookups_give_the_same_results(monkeypatch):
+    texts = [b"one two three two one four five six one", b"six five one seven eight nine one two"]
+    whole = [C.word_codes(t).tolist() for t in texts]
+    monkeypatch.setattr(C, "_words", C._Words(2))
+    assert [C.word_codes(t).tolist() for t in texts] == whole
+    kept = C.Recent(3)
+    kept.update({"a": 1, "b": 2, "c": 3})
+    assert kept.absent({"a", "d"}) == ["d"]  # a comes back from the older generation
+    assert dict(kept) == {"a": 1} and kept.old == {"a": 1, "b": 2, "c": 3}

@@ -335,13 +335,13 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], la
         return labels
     # A pair is taken at one of the keys it shares, so it comes once.
     own = known.groupBy("id").agg(F.collect_set("key").alias("keys"))
+    once = F.expr("x.key = array_min(array_intersect(x.keys, y.keys))")
     if signatures is not None:
         own = own.join(signatures.dropDuplicates(["id"]), "id")
-        sizes_fit = sizes_fit & F.expr(_SIGNATURES_ALLOW)
+        once = once & F.expr(_SIGNATURES_ALLOW)
     keyed = known.join(own, "id")
-    once = F.expr("x.key = array_min(array_intersect(x.keys, y.keys))")
     minor = F.expr("x.key = y.key and x.label <> y.label and (y.label = y.main or x.id < y.id)")
-    rest = (keyed.filter("label <> main").alias("x").join(keyed.alias("y"), minor & once & sizes_fit)
+    rest = (keyed.filter("label <> main").alias("x").join(keyed.alias("y"), minor & sizes_fit & once)
             .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
     later = stored(verify(stored(rest, label)), label)
     return labels if later.isEmpty() else components(links.union(later), label)

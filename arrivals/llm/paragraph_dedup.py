@@ -1,12 +1,12 @@
 """Operator 9, substring dedup by paragraph MinHash banding.
 
 Paragraphs are lines and, within lines, sentences, so that a passage set into
-a longer line is found too.  Equal paragraphs are one class.  Lines of at
-least ``LINE_WORDS`` words send out MinHash bands of their 5-word shingles,
-unless copied sentences already make up ``COPIED_SHARE`` of them (else every
-line that holds one common passage would collide with all others that do);
-lines that collide in a band are verified by exact Jaccard similarity of 0.8
-or more and clustered by connected components.  Paragraphs whose cluster
+a longer line is found too.  Equal paragraphs are one class.  One of each class
+of lines of at least ``LINE_WORDS`` words sends out MinHash bands of its 5-word
+shingles; lines that collide in a band are verified by exact Jaccard similarity
+of 0.8 or more and clustered by connected components.  Lines that hold one
+common passage all collide; their signatures bound the overlap inside the join,
+so that only pairs that may be similar leave it.  Paragraphs whose cluster
 spans several documents are joined to passages where they stand side by side;
 passages of at least ``PASSAGE_WORDS`` words count, and all but the first
 occurrence of each are removed.
@@ -29,7 +29,8 @@ SHINGLE, PERCENT = 5, 80
 BANDS, ROWS = 12, 3
 LINE_WORDS, SENTENCE_WORDS = 20, 5
 PASSAGE_WORDS = 30
-COPIED_SHARE = 0.25
+#: Bits of a line's signature.
+SIGNATURE = 512
 #: Words between two repeated paragraphs that still belong to one passage.
 BRIDGE = 10
 _SEEDS = C.mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * C._PRIME)
@@ -85,6 +86,13 @@ class Units:
     def shingles(self, a: int, b: int) -> np.ndarray:
         return C.shingle_set(self.hash[a:b], SHINGLE)
 
+    def signatures(self, ranges: np.ndarray) -> np.ndarray:
+        """A bitmap of the shingles of lines (rows: lines)."""
+        bits = np.zeros((len(ranges), SIGNATURE), np.uint8)
+        for own, (a, z) in zip(bits, ranges):
+            own[(self.shingles(a, z) >> np.uint64(17)) % np.uint64(SIGNATURE)] = 1
+        return np.packbits(bits, axis=1).view(np.int64)
+
     def bands(self, ranges: np.ndarray) -> np.ndarray:
         """Band keys of lines (rows: lines; columns: BANDS)."""
         if not len(ranges):
@@ -132,39 +140,21 @@ def repeated_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text"
                 seen.update(lines.tolist())
                 ranges = np.concatenate((u.lines, u.sentences))
                 start, end = u.places(ranges)
+                own = u.lines[fresh]
                 out.append((k, row, np.concatenate((lines, u.classes(_SENTENCE))), ranges[:, 0], ranges[:, 1], start,
-                            end, len(lines), np.flatnonzero(fresh), u.bands(u.lines[fresh]).ravel()))
-            yield pd.DataFrame(out, columns=["k", "row", "every", "a", "z", "start", "end", "n_lines", "fresh", "bands"])
+                            end, lines[fresh], own[:, 1] - own[:, 0] - SHINGLE + 1, u.bands(own).ravel(),
+                            u.signatures(own).ravel()))
+            yield pd.DataFrame(out, columns=["k", "row", "every", "a", "z", "start", "end", "fresh", "sizes", "bands",
+                                             "bits"])
 
     indexed = C.stored(rows.mapInPandas(
         index, "k long, row long, every array<long>, a array<int>, z array<int>, start array<int>, end array<int>, "
-               "n_lines int, fresh array<int>, bands array<long>"), "paragraphs")
+               "fresh array<long>, sizes array<long>, bands array<long>, bits array<long>"), "paragraphs")
     # Classes in two documents or more; partial aggregates make a hot one small.
     copied = C.stored(indexed.select("k", F.explode("every").alias("cls")).groupBy("cls")
                       .agg(F.min("k").alias("lo"), F.max("k").alias("hi")).filter("lo < hi").select("cls"),
                       "paragraph-copies")
-    known = C.bit_filter(copied, "cls")
-
-    def to_compare(batches):
-        for b in batches:
-            out = []
-            for row, every, a, z, n, fresh, bands in zip(*(b[c] for c in (
-                    "row", "every", "a", "z", "n_lines", "fresh", "bands"))):
-                if not len(fresh):
-                    continue
-                own = np.zeros(int(z.max()) + 1, np.int64)  # words in copied sentences
-                for i in n + np.flatnonzero(C.in_filter(known.value, every[n:].astype(np.int64))):
-                    own[a[i]:z[i]] = 1
-                upto = np.concatenate(([0], np.cumsum(own)))
-                share = (upto[z[fresh]] - upto[a[fresh]]) / (z[fresh] - a[fresh])
-                use = share < COPIED_SHARE
-                if use.any():
-                    at = fresh[use]
-                    out.append((row, every[at], z[at] - a[at] - SHINGLE + 1, bands.reshape(-1, BANDS)[use].ravel()))
-            yield pd.DataFrame(out, columns=["row", "lines", "sizes", "bands"])
-
-    senders = C.stored(indexed.select("row", "every", "a", "z", "n_lines", "fresh", "bands").mapInPandas(
-        to_compare, "row long, lines array<long>, sizes array<long>, bands array<long>"), "paragraph-lines")
+    senders = indexed.filter(F.size("fresh") > 0)
     shared = C.bit_filter(C.met_twice(senders.select(F.explode("bands").alias("key"))), "key")
 
     def spread(batches):
@@ -174,7 +164,7 @@ def repeated_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text"
             size = np.repeat(sizes, BANDS)[keep]
             yield pd.DataFrame({"key": keys[keep], "id": np.repeat(ids, BANDS)[keep], "size": size, "rest": size})
 
-    members = C.stored(senders.select("lines", "sizes", "bands").mapInPandas(
+    members = C.stored(senders.select("fresh", "sizes", "bands").mapInPandas(
         spread, "key long, id long, size long, rest long").distinct(), "paragraph-bands")
     # Only ids that share a key with another id need their shingles.
     met = members.join(members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
@@ -183,9 +173,9 @@ def repeated_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text"
 
     def having(batches):
         for b in batches:
-            yield b.loc[[bool(C.in_filter(wanted.value, x).any()) for x in b["lines"]], ["row"]]
+            yield b.loc[[bool(C.in_filter(wanted.value, x).any()) for x in b["fresh"]], ["row"]]
 
-    texts = C.bit_filter(senders.select("row", "lines").mapInPandas(having, "row long"), "row")
+    texts = C.bit_filter(senders.select("row", "fresh").mapInPandas(having, "row long"), "row")
 
     def arrays(batches):
         seen: set[int] = set()
@@ -220,7 +210,14 @@ def repeated_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text"
                 .join(sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b"))
         return C.few_tasks(both, pairs.count(), 20_000).mapInPandas(alike, "a long, b long")
 
-    labels = C.link_groups(members, verify, "paragraph-links")
+    def signed(batches):
+        for b in batches:
+            ids, bits = (np.concatenate([*b[c], np.empty(0, np.int64)]).astype(np.int64) for c in b)
+            keep = C.in_filter(wanted.value, ids)
+            yield pd.DataFrame({"id": ids[keep], "bits": list(bits.reshape(-1, SIGNATURE // 64)[keep])})
+
+    labels = C.link_groups(members, verify, "paragraph-links", senders.select("fresh", "bits").mapInPandas(
+        signed, "id long, bits array<long>"))
     flagged = C.stored(copied.select(F.col("cls").alias("id")).join(labels, "id", "full_outer")
                        .select("id", F.coalesce("label", "id").alias("label")), "paragraph-classes")
     repeated = C.bit_filter(flagged.select("id"), "id")

@@ -47,6 +47,21 @@ def test_near_lines_match_brute_force(spark):
     assert {r["doc_id"] for r in found} == linked and len(linked) > 4
 
 
+def test_copied_lines_meet_their_edited_copies(spark):
+    rnd = random.Random(6)
+    lines = [prose(700 + i, 54) for i in range(6)]
+    rows = [(i, t) for i, t in enumerate(lines)] + [(10 + i, t) for i, t in enumerate(lines[:4])]
+    rows += [(20 + i, near(lines[i % 6], rnd, 1 + i % 3)) for i in range(12)]
+    s = [" ".join(f"{c}{j}" for j in range(18)) + "." for c in "abc"]  # the outer sentences are copied
+    rows += [(40, " ".join(s)), (41, " ".join([s[0], s[1].replace("b9", "x"), s[2]])), (42, PASSAGE)]
+    sets = {k: set(P.Units(t).shingles(0, len(t.split())).tolist()) for k, t in rows}
+    linked = {i for i, a in sets.items() for j, b in sets.items()
+              if i != j and 100 * len(a & b) >= 80 * len(a | b)}
+    whole = {r["doc_id"] for r in rows_of(P.repeated_paragraphs(documents(spark, rows)))
+             if r["n_words"] == len(dict(rows)[r["doc_id"]].split())}
+    assert whole == linked and {40, 41} < linked and 12 < len(linked) < len(rows)
+
+
 def test_edges(spark):
     assert P.repeated_paragraphs(empty(spark)).count() == 0
     long = " ".join(prose(i, 200) for i in range(60))

@@ -18,13 +18,17 @@ from arrivals.llm import common as C
 
 KEYWORD = (r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|secret[_-]?key|auth|credentials?)"
            r"[A-Za-z0-9_]{0,16}[\"']?\s{0,3}[:=]{1,2}\s{0,3}[\"']?)")
-#: Candidates: key headers, provider prefixes, assignments, long tokens with digits.
+#: A private key up to its end, or else the lines of it that are there.
+KEY_BLOCK = (r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----"
+             r"(?:(?:[^-]|-(?!----))*+-----END [A-Z ]{0,20}KEY(?: BLOCK)?-----"
+             r"|(?:(?:\\[nr]|\s){1,4}[A-Za-z0-9+/=]{30,}+)*+)")
+#: Candidates: private keys, provider prefixes, assignments, long tokens with digits.
 CANDIDATE = "|".join([
-    r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----",
+    KEY_BLOCK,
     r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
-    r"\b(?:gh[pousr]_|sk_live_|sk_test_|xox[abprs]-|glpat-|AIza)[0-9A-Za-z_-]{10,200}",
-    KEYWORD + r"[^\s\"',;<>]{6,200}",
-    r"\b(?=[A-Za-z]{0,40}[0-9])[A-Za-z0-9+/_=-]{20,400}",
+    r"\b(?:gh[pousr]_|sk_live_|sk_test_|xox[abprs]-|glpat-|AIza)[0-9A-Za-z_-]{10,}+",
+    KEYWORD + r"[^\s\"',;<>]{6,}+",
+    r"\b(?=[A-Za-z]{0,40}[0-9])[A-Za-z0-9+/_=-]{20,}+",
 ])
 REPLACEMENT = "[SECRET]"
 CONTEXT = 48
@@ -69,7 +73,8 @@ def features(hit: Column, left: Column, right: Column) -> Column:
 def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
     """(hit, left, right, label): findings of known kind, made from a rule.
 
-    Secrets: assigned hex and base64 values, provider keys.  No secrets:
+    Secrets: assigned hex and base64 values, short and long, provider keys,
+    private keys.  No secrets:
     placeholders, checksums, UUIDs, path parts, long words with numbers, order
     numbers, documentation keys.  A caller with real labelled findings passes
     those to :func:`train` instead.
@@ -83,12 +88,15 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
     word = pick(9, "the of", "and then", "was in", "to a", "ing thest", "de la", "und die", "ererth")
     name = pick(10, "password=", "token = \"", "api_key: ", "secret=", "PASSWORD: ", "auth_token=\"", "access_key=")
     size = (F.pmod(rnd(11), F.lit(33)) + 16).cast("int")
+    long = F.repeat(F.concat(mixed, F.reverse(mixed)), (F.pmod(rnd(28), F.lit(40)) + 2).cast("int"))
     kinds = [  # hit, words to the left, label
         (F.concat(name, F.substring(hexes, F.lit(1), size)), word, 1),
         (F.concat(name, F.substring(mixed, F.lit(1), size)), word, 1),
         (F.concat(pick(12, "AKIA", "ASIA"), F.substring(upper, 1, 16)), word, 1),
         (F.concat(pick(13, "ghp_", "sk_live_", "xoxb-", "glpat-"), F.substring(mixed, 1, 36)), word, 1),
         (F.lit("-----BEGIN RSA PRIVATE KEY-----"), word, 1),
+        (F.concat(F.lit("-----BEGIN RSA PRIVATE KEY-----\n"), long, F.lit("\n-----END RSA PRIVATE KEY-----")), word, 1),
+        (F.concat(name, long), word, 1),
         (F.substring(mixed, F.lit(1), size + 8), F.concat(word, pick(14, " secret ", " token is ", " key: ")), 1),
         (F.concat(name, pick(15, "changeme", "your_password_here", "example", "placeholder", "null_value",
                              "your-token", "test_user_name", "password")), word, 0),

@@ -1,5 +1,8 @@
 """Operator 3: findings, offsets, false positives, edges, native plans."""
 
+import random
+import string
+
 import pytest
 
 from arrivals.llm import secrets_scan as S
@@ -59,6 +62,25 @@ def test_redact_changes_secrets_only(model, table):
             assert t == texts[k].replace(HEX[:18], S.REPLACEMENT)
 
 
+def test_long_values_and_keys_are_taken_whole(spark, model):
+    rnd = random.Random(5)
+
+    def value(n):
+        return "".join(rnd.choice(string.ascii_letters + string.digits) for _ in range(n))
+
+    body = "\n".join(value(10) + "+/" + value(52) for _ in range(50))
+    head, tail = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    whole = [value(500), value(6000), "ghp_" + value(3000), f"{head}\n{body}\n{tail}",
+             f"{head}\nProc-Type: 4,ENCRYPTED\n\n{body}\n{tail}", f"{head}\\n{value(1600)}\\n{tail}", f"{head}\n{body}"]
+    names = ['token = "', "password=", "", "", "", "", ""]
+    rows = [(i, f"{prose(i, 12)} {n}{v}\n{prose(i + 50, 9)}") for i, (n, v) in enumerate(zip(names, whole))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["secret"] for r in S.scan(df, model).collect()} == dict(enumerate(whole))
+    for r in S.redact(df, model).collect():
+        i = r["doc_id"]
+        assert r["text"] == rows[i][1].replace(whole[i], S.REPLACEMENT)
+
+
 def test_empty_table_and_native_plan(spark, model, table, capsys):
     none = empty(spark)
     assert S.scan(none, model).count() == 0 and S.redact(none, model).count() == 0

@@ -16,8 +16,13 @@ from pyspark.sql import functions as F
 
 from arrivals.llm import common as C
 
-KEYWORD = (r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|secret[_-]?key|auth|credentials?)"
+KEYWORD = (r"(?i:(?<![A-Za-z0-9])[A-Za-z0-9_.-]{0,40}?"
+           r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|secret[_-]?key|auth|credentials?)"
            r"[A-Za-z0-9_]{0,16}[\"']?\s{0,3}[:=]{1,2}\s{0,3}[\"']?)")
+#: What stands in front of the password in a URL.
+URL_USER = r"(?:\b[A-Za-z][A-Za-z0-9+.-]{1,20}://[^\s/:@\"'<>]{0,100}:)"
+#: The part of a candidate that is no secret itself.
+NAME = f"^(?:{KEYWORD}|{URL_USER})"
 #: A private key up to its end, or else the lines of it that are there.
 KEY_BLOCK = (r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----"
              r"(?:(?:[^-]|-(?!----))*+-----END [A-Z ]{0,20}KEY(?: BLOCK)?-----"
@@ -27,6 +32,7 @@ CANDIDATE = "|".join([
     KEY_BLOCK,
     r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
     r"\b(?:gh[pousr]_|sk_live_|sk_test_|xox[abprs]-|glpat-|AIza)[0-9A-Za-z_-]{10,}+",
+    URL_USER + r"[^\s/@\"'<>]{3,}+(?=@[A-Za-z0-9\[])",
     KEYWORD + r"[^\s\"',;<>]{6,}+",
     r"\b(?=[A-Za-z]{0,40}[0-9])[A-Za-z0-9+/_=-]{20,}+",
 ])
@@ -52,7 +58,7 @@ def _share(value: Column, drop: str) -> Column:
 
 def features(hit: Column, left: Column, right: Column) -> Column:
     """The forest's inputs, in the order of FEATURES, as an array of doubles."""
-    value = F.regexp_replace(hit, "^" + KEYWORD, "")
+    value = F.regexp_replace(hit, NAME, "")
     n = F.greatest(F.length(value), F.lit(1))
     classes = reduce(lambda v, p: F.regexp_replace(v, *p),
                      (("[a-z]", "a"), ("[A-Z]", "b"), ("[0-9]", "c"), ("[^abc]", "d"), (r"(.)\1+", "$1")), value)
@@ -65,7 +71,7 @@ def features(hit: Column, left: Column, right: Column) -> Column:
         F.length(value), (F.length(classes) - 1) / n, _share(value, "[^0-9]"), F.size(letters) / n, entropy,
         1 - _share(F.lower(value), _WORDS),
         flag(left.rlike(r"(https?://|www\.|/|\\)[^\s]*$") | right.rlike(r"^[/\\.][A-Za-z]")),
-        flag(left.rlike(_SECRET_NEAR) | hit.rlike("^" + KEYWORD)), flag(left.rlike(_HARMLESS_NEAR)),
+        flag(left.rlike(_SECRET_NEAR) | hit.rlike(NAME)), flag(left.rlike(_HARMLESS_NEAR)),
         flag(value.rlike(r"^(AKIA|ASIA|gh[pousr]_|sk_live_|xox[abprs]-|glpat-|AIza|-----BEGIN)")),
         flag(value.rlike("^[0-9a-fA-F-]+$")), _share(value, "[^A-Z]"))])
 
@@ -86,7 +92,13 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
     pick = lambda k, *xs: F.element_at(F.array(*[F.lit(x) for x in xs]),
                                        (F.pmod(rnd(k), F.lit(len(xs))) + 1).cast("int"))
     word = pick(9, "the of", "and then", "was in", "to a", "ing thest", "de la", "und die", "ererth")
-    name = pick(10, "password=", "token = \"", "api_key: ", "secret=", "PASSWORD: ", "auth_token=\"", "access_key=")
+    name = pick(10, "password=", "token = \"", "api_key: ", "secret=", "PASSWORD: ", "auth_token=\"", "access_key=",
+                "DB_PASSWORD=", "client_secret: ", "GITHUB_TOKEN=", "spring.datasource.password=")
+    url = F.concat(pick(29, "postgres", "https", "redis", "mongodb+srv", "ftp"), F.lit("://"),
+                   pick(30, "app", "root", "svc_user", ""), F.lit(":"))
+    digits = F.substring(F.abs(rnd(31)).cast("string"), F.lit(1), (F.pmod(rnd(32), F.lit(4)) + 1).cast("int"))
+    chosen = F.concat(pick(33, "hunter", "Dragon", "tr0ub", "s3cr", "abc", "Summer", "kitty", "Zx"), digits,
+                      pick(34, "def", "lV", "Moon", "or&", "q_", "hunter"), digits, pick(35, "", "!", "#", "x"))
     size = (F.pmod(rnd(11), F.lit(33)) + 16).cast("int")
     long = F.repeat(F.concat(mixed, F.reverse(mixed)), (F.pmod(rnd(28), F.lit(40)) + 2).cast("int"))
     kinds = [  # hit, words to the left, label
@@ -97,6 +109,13 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
         (F.lit("-----BEGIN RSA PRIVATE KEY-----"), word, 1),
         (F.concat(F.lit("-----BEGIN RSA PRIVATE KEY-----\n"), long, F.lit("\n-----END RSA PRIVATE KEY-----")), word, 1),
         (F.concat(name, long), word, 1),
+        (F.concat(name, chosen), word, 1),
+        (F.concat(url, pick(36, "", "p"), chosen), word, 1),
+        (F.concat(url, F.substring(mixed, F.lit(1), size)), word, 1),
+        (F.concat(pick(37, "postgres://user:", "https://username:", "ftp://name:"),
+                  pick(38, "password", "changeme", "your_password", "example", "secret")), word, 0),
+        (F.concat(name, pick(39, "required", "forgotten", "string", "undefined", "${PASSWORD}", "os.getenv(", "********",
+                             "xxxxxxxx", "process.env.SECRET", "something")), word, 0),
         (F.substring(mixed, F.lit(1), size + 8), F.concat(word, pick(14, " secret ", " token is ", " key: ")), 1),
         (F.concat(name, pick(15, "changeme", "your_password_here", "example", "placeholder", "null_value",
                              "your-token", "test_user_name", "password")), word, 0),
@@ -181,7 +200,7 @@ def scan(docs: DataFrame, model, key: str = "doc_id", text: str = "text") -> Dat
     return (with_findings(own, model, "t", "pieces", "findings")
             .select("k", F.explode("findings").alias("f")).filter(F.col("f.score") >= THRESHOLD)
             .select(F.col("k").alias(key), F.col("f.start").alias("start"), F.col("f.end").alias("end"),
-                    F.regexp_replace("f.hit", "^" + KEYWORD, "").alias("secret"), F.col("f.score").alias("score")))
+                    F.regexp_replace("f.hit", NAME, "").alias("secret"), F.col("f.score").alias("score")))
 
 
 def redact(docs: DataFrame, model, text: str = "text") -> DataFrame:
@@ -189,7 +208,7 @@ def redact(docs: DataFrame, model, text: str = "text") -> DataFrame:
     assigned to stays); all else, and rows without secrets, unchanged."""
     pieces, findings = (C.fresh(x, docs.columns) for x in ("pieces", "findings"))
     found = with_findings(docs, model, text, pieces, findings)
-    name = lambda hit: F.regexp_extract(hit, "^" + KEYWORD, 0)
+    name = lambda hit: F.regexp_extract(hit, NAME, 0)
     shown = F.transform(findings, lambda f: F.when(
         f["score"] >= THRESHOLD, F.concat(name(f["hit"]), F.lit(REPLACEMENT))).otherwise(f["hit"]))
     joined = F.array_join(F.flatten(F.zip_with(F.col(pieces), shown, lambda p, s: F.array(

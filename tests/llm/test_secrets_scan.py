@@ -81,6 +81,22 @@ def test_long_values_and_keys_are_taken_whole(spark, model):
         assert r["text"] == rows[i][1].replace(whole[i], S.REPLACEMENT)
 
 
+def test_named_assignments_and_url_credentials(spark, model):
+    found = {"DB_PASSWORD=": "Tr0ub4dor&3", "client_secret: ": "s3cr3tV4lue!", "GITHUB_TOKEN=": "abc123def456",
+             'db_password = "': "hunter2hunter2", "my.app.api-key: ": "Zk93hQ0vTx7LmP2c", "dbPassword=": "Kw7!pq92xZ",
+             "postgres://app:": "Gr8pass77w0rd", "https://ci-bot:": HEX[:20]}
+    kept = ["DB_PASSWORD=changeme", "client_secret: your_secret_here", "http://localhost:8080/index.html",
+            "postgres://user:password@host/db", "DB_PASSWORD=${DB_PASSWORD}", "https://a.example/x:y", "ratio 12:34"]
+    end = {n: "@db.example:5432/x" if "//" in n else '"' if '"' in n else "" for n in found}
+    rows = [(i, f"{prose(i, 9)} {n}{v}{end[n]} {prose(i + 50, 9)}") for i, (n, v) in enumerate(found.items())]
+    rows += [(100 + i, f"{prose(i, 9)} {t} {prose(i + 50, 9)}") for i, t in enumerate(kept)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["secret"] for r in S.scan(df, model).collect()} == dict(enumerate(found.values()))
+    for r in S.redact(df, model).collect():
+        i, t = r["doc_id"], dict(rows)[r["doc_id"]]
+        assert r["text"] == (t if i >= 100 else t.replace([*found.values()][i], S.REPLACEMENT))
+
+
 def test_empty_table_and_native_plan(spark, model, table, capsys):
     none = empty(spark)
     assert S.scan(none, model).count() == 0 and S.redact(none, model).count() == 0

@@ -2,6 +2,9 @@
 
 import random
 
+import numpy as np
+
+from arrivals.llm import common as C
 from arrivals.llm import paragraph_dedup as P
 from tests.llm.helpers import documents, empty, prose
 from tests.llm.test_jaccard_join import near
@@ -62,6 +65,19 @@ def test_copied_lines_meet_their_edited_copies(spark):
     assert whole == linked and {40, 41} < linked and 12 < len(linked) < len(rows)
 
 
+def test_collisions_in_the_bit_sets_exclude_nothing(spark, monkeypatch):
+    lines = [prose(i, 60) for i in range(3)]
+    rows = list(enumerate([*lines, *[near(t, random.Random(7), 1) for t in lines]]))
+
+    def found():
+        return sorted(map(str, rows_of(P.repeated_paragraphs(documents(spark, rows)))))
+
+    want = found()
+    full = np.full(C.FILTER_BITS // 8, 255, np.uint8)
+    monkeypatch.setattr(C, "bit_filter", lambda ids, column: spark.sparkContext.broadcast(full))
+    assert found() == want and len(want) >= 6
+
+
 def test_edges(spark):
     assert P.repeated_paragraphs(empty(spark)).count() == 0
     long = " ".join(prose(i, 200) for i in range(60))

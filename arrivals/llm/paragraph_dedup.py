@@ -86,12 +86,13 @@ class Units:
     def shingles(self, a: int, b: int) -> np.ndarray:
         return C.shingle_set(self.hash[a:b], SHINGLE)
 
-    def signatures(self, ranges: np.ndarray) -> np.ndarray:
-        """A bitmap of the shingles of lines (rows: lines)."""
-        bits = np.zeros((len(ranges), SIGNATURE), np.uint8)
-        for own, (a, z) in zip(bits, ranges):
-            own[(self.shingles(a, z) >> np.uint64(17)) % np.uint64(SIGNATURE)] = 1
-        return np.packbits(bits, axis=1).view(np.int64)
+    def signatures(self, ranges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of distinct shingles of lines, and a bitmap of them (rows: lines)."""
+        bits, sizes = np.zeros((len(ranges), SIGNATURE), np.uint8), np.zeros(len(ranges), np.int64)
+        for i, (a, z) in enumerate(ranges):
+            s = self.shingles(a, z)
+            bits[i, (s >> np.uint64(17)) % np.uint64(SIGNATURE)], sizes[i] = 1, len(s)
+        return sizes, np.packbits(bits, axis=1).view(np.int64)
 
     def bands(self, ranges: np.ndarray) -> np.ndarray:
         """Band keys of lines (rows: lines; columns: BANDS)."""
@@ -141,9 +142,9 @@ def repeated_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text"
                 ranges = np.concatenate((u.lines, u.sentences))
                 start, end = u.places(ranges)
                 own = u.lines[fresh]
+                sizes, bits = u.signatures(own)
                 out.append((k, row, np.concatenate((lines, u.classes(_SENTENCE))), ranges[:, 0], ranges[:, 1], start,
-                            end, lines[fresh], own[:, 1] - own[:, 0] - SHINGLE + 1, u.bands(own).ravel(),
-                            u.signatures(own).ravel()))
+                            end, lines[fresh], sizes, u.bands(own).ravel(), bits.ravel()))
             yield pd.DataFrame(out, columns=["k", "row", "every", "a", "z", "start", "end", "fresh", "sizes", "bands",
                                              "bits"])
 

@@ -78,6 +78,11 @@ def test_collisions_in_the_bit_sets_exclude_nothing(spark, monkeypatch):
     assert found() == want and len(want) >= 6
 
 
+def test_lines_that_repeat_themselves(spark):
+    rows = [(i, " ".join(["five words come back often"] * n)) for i, n in enumerate((10, 16, 40))]
+    assert {r["doc_id"] for r in rows_of(P.repeated_paragraphs(documents(spark, rows)))} == {0, 1, 2}
+
+
 def test_edges(spark):
     assert P.repeated_paragraphs(empty(spark)).count() == 0
     long = " ".join(prose(i, 200) for i in range(60))

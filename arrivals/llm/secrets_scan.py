@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from arrivals.llm import common as C
 
-KEYWORD = (r"(?i:(?<![A-Za-z0-9])[A-Za-z0-9_.-]{0,40}?"
+#: The look ahead passes words that no : or = follows at low cost.
+KEYWORD = (r"(?i:(?<![A-Za-z0-9])(?=[A-Za-z0-9_.-]{3,80}+[\"']?\s{0,3}[:=])[A-Za-z0-9_.-]{0,40}?"
            r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|secret[_-]?key|auth|credentials?)"
            r"[A-Za-z0-9_]{0,16}[\"']?\s{0,3}[:=]{1,2}\s{0,3}[\"']?)")
 #: What stands in front of the password in a URL.

@@ -215,7 +215,9 @@ def repeated_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text"
         for b in batches:
             ids, bits = (np.concatenate([*b[c], np.empty(0, np.int64)]).astype(np.int64) for c in b)
             keep = C.in_filter(wanted.value, ids)
-            yield pd.DataFrame({"id": ids[keep], "bits": list(bits.reshape(-1, SIGNATURE // 64)[keep])})
+            # An object column even where nothing is kept: Arrow takes no empty column of doubles for lists.
+            rows = pd.Series(list(bits.reshape(-1, SIGNATURE // 64)[keep]), dtype=object)
+            yield pd.DataFrame({"id": ids[keep], "bits": rows})
 
     labels = C.link_groups(members, verify, "paragraph-links", senders.select("fresh", "bits").mapInPandas(
         signed, "id long, bits array<long>"))

@@ -118,7 +118,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     def split(batches):
         for b in batches:
-            yield pd.DataFrame({"y": b["y"], "words": [sorted(words_of(t)) for t in b["t"]]})
+            yield pd.DataFrame({"y": b["y"], "words": pd.Series([sorted(words_of(t)) for t in b["t"]], dtype=object)})
 
     bags = C.stored(source.mapInPandas(split, "y int, words array<string>"), "toxicity-words")
     y = F.col("y") > 0

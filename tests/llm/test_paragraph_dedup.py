@@ -98,3 +98,19 @@ def test_edges(spark):
     assert {r["doc_id"] for r in found} == {4, 5, 9}
     cut = sorted(r["text"] for r in P.drop_repeats(twice).filter("doc_id = 9").collect())
     assert cut[1] == "a text of its own" and len(cut[0]) < 100
+
+
+def test_batches_that_keep_no_line_while_tiles_are_left_apart(spark, monkeypatch):
+    """A hot tile left apart, and workers whose batches hold no wanted line."""
+    monkeypatch.setattr(C, "SMALL_GROUP", 2)
+    monkeypatch.setattr(C, "LEADERS", 1)
+    rnd = random.Random(11)
+    shared = " ".join(f"s{j}" for j in range(60))
+    lines = [shared + " " + " ".join(f"x{i}y{j}" for j in range(40)) for i in range(6)]
+    rows = [(i, t) for i, t in enumerate(lines)] + [(10 + i, near(t, rnd, 1)) for i, t in enumerate(lines)]
+    rows += [(100 + i, " ".join(f"only{i}w{j}" for j in range(30))) for i in range(40)] + [(200, ""), (201, None)]
+    sets = {k: set(P.Units(t).shingles(0, len(t.split())).tolist()) for k, t in rows if t}
+    linked = {i for i, a in sets.items() for j, b in sets.items()
+              if i != j and 100 * len(a & b) >= 80 * len(a | b)}
+    found = rows_of(P.repeated_paragraphs(documents(spark, rows).repartition(20)))
+    assert {r["doc_id"] for r in found if r["n_words"] >= 90} == linked and len(linked) >= 6

@@ -82,9 +82,45 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(C.table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arrivals.llm.hard_negatives import mine
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(C.table(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit() and callable(f)}
 
 
+#: Floored vectors and their integer inner product, in DuckDB.
+_VECTORS = """
+v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+      FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+_PRODUCT = "CAST(list_sum(list_transform(range(1, len({a}.e) + 1), lambda i: {a}.e[i] * {b}.e[i])) AS BIGINT)"
+
+_TOPK = f"""
+WITH {_VECTORS.format(scale=64)},
+s AS (SELECT q.vec_id AS query_id, c.vec_id, {_PRODUCT.format(a="q", b="c")} AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
+
+_NEGATIVES = f"""
+WITH {_VECTORS.format(scale=256)},
+w AS (SELECT vec_id, e, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+      FROM v WHERE label IS NOT NULL),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, {_PRODUCT.format(a="a", b="c")} AS score
+      FROM w a JOIN w c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score, CAST(row_number() OVER (
+      PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+      AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for the two operators it can express and run over the whole table."""
+    return {"op5_exact_topk": _TOPK, "op13_hard_negatives": _NEGATIVES}

@@ -1,0 +1,72 @@
+"""Operator 13 against brute force."""
+
+import math
+import random
+
+import numpy as np
+
+from arrivals.llm import hard_negatives as H
+
+LO, HI = -(1 << 63), (1 << 63) - 1
+
+
+def brute(rows, every=50):
+    width = max((len(v) for i, v, y in rows if v is not None), default=0)
+    ok = [(i, [math.floor(256 * x) for x in v] + [0] * (width - len(v)), y) for i, v, y in rows
+          if i is not None and v is not None and y is not None and all(x is not None and math.isfinite(x) for x in v)]
+    anchors = {}
+    for i, v, y in sorted(ok, key=lambda r: (r[2], r[1])):
+        if i % every == 0:
+            anchors.setdefault(i, (v, y))
+    out = []
+    for a, (av, ay) in anchors.items():
+        scored = sorted((-max(LO, min(HI, sum(p * q for p, q in zip(av, v)))), i, y) for i, v, y in ok)
+        for s, i, _ in [x for x in scored if x[2] == ay and x[1] != a][:5]:
+            fit = [(-t, j) for t, j, y in scored if y != ay and 50 * -s <= 100 * -t <= 95 * -s][:3]
+            out += [(a, i, r + 1, j, -s, t) for r, (t, j) in enumerate(fit)]
+    return sorted(out)
+
+
+def check(spark, rows, kind="float"):
+    df = spark.createDataFrame([(i, v, y, 1.0, 2) for i, v, y in rows],
+                               f"vec_id long, embedding array<{kind}>, label int, rank double, id int")
+    got = sorted(tuple(r) for r in H.mine(df.repartition(3)).collect())
+    want = brute([(r["vec_id"], r["embedding"], r["label"]) for r in df.collect()])
+    assert got == want
+    return got
+
+
+def test_labels_ties_bad_rows_and_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(H, "LEAST_ROWS", 100)
+    monkeypatch.setattr(H, "CELL_ANCHORS", 4)
+    monkeypatch.setattr(H, "TILE_ROWS", 64)
+    rnd = random.Random(3)
+    centres = [[rnd.gauss(0, 1) for _ in range(9)] for _ in range(4)]
+    rows = [(i, [x + rnd.gauss(0, .7) for x in centres[i % 4]], rnd.randrange(4) if i % 3 == 0 else i % 4)
+            for i in range(-100, 500)]
+    rows += [(1000 + i, centres[1], i % 3) for i in range(30)]  # ties
+    rows += [(2000, None, 1), (2050, [1.0, None], 1), (2100, [float("nan")] * 9, 1), (2150, centres[2], None),
+             (None, centres[2], 2), (2200, [], 2), (2250, [2.0, 1.0], 0), (50, centres[0], 2)]
+    rows += [(150, centres[3], 3), (3001, centres[3], 2), (3001, centres[3], 2)]
+    assert len(check(spark, rows)) > 100
+
+
+def test_large_numbers_and_empty_tables(spark):
+    rows = [(50 * i, [1e18 * (i + 1), 3.0], i % 2) for i in range(3)] + [(3, [6e17, 1.0], 1), (7, [1.2e18, 0.0], 0)]
+    check(spark, rows, "double")
+    check(spark, [(0, [1e150, 1.0], 0), (1, [1.0, 1e150], 0), (2, [0.5, 0.5], 1), (50, [-3.0, 2.0], 1)], "double")
+    check(spark, [(0, [1.0], 0)])
+    assert H.mine(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_products_are_exact():
+    rnd = np.random.default_rng(5)
+    for width, size in ((1, 3), (300, 1000), (700, 40_000)):
+        a, c = (rnd.integers(-size, size, (7, width)).astype(float) for _ in range(2))
+        moduli = H.primes(H.score_bound(a, c))
+        got = H.products(H.Residues(a, moduli).parts, H.Residues(c, moduli).parts, moduli)
+        assert (got == a.astype(np.int64) @ c.astype(np.int64).T).all()
+    worst = np.full((1, H.SEGMENT), H.PRIME // 2, float)
+    moduli = H.primes(H.score_bound(worst, worst))
+    got = H.products(H.Residues(worst, moduli).parts, H.Residues(-worst, moduli).parts, moduli)
+    assert got[0, 0] == -H.SEGMENT * (H.PRIME // 2) ** 2

@@ -14,9 +14,9 @@ from arrivals.llm import common as C
 VOCABULARY = "word_bpe_49k.json"
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +82,12 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(C.table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arrivals.llm.token_alignment import align
+    return align(C.table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"),
+                 vocabulary_path("piece_bpe_32k.model"), digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arrivals.llm.hard_negatives import mine
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))

@@ -88,6 +88,14 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                  vocabulary_path("piece_bpe_32k.model"), digest=True).withColumnRenamed("groups", "groups_sha256")
 
 
+def op12_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arrivals.llm.language_id import held_out
+    from arrivals.llm.pitman_yor import score
+    scored = score(C.table(spark, sf_dir, "documents"), ~held_out("doc_id", 10, 0))
+    return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arrivals.llm.hard_negatives import mine
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))

@@ -18,6 +18,7 @@ key and the round alone, so chunks that hold the same key draw the same.
 from __future__ import annotations
 
 import math
+import re
 import uuid
 from statistics import NormalDist
 
@@ -30,7 +31,9 @@ from arrivals.llm import common as C
 from arrivals.session import scratch_dir
 
 #: Tokens of one chunk, about, and of one part of the keys.
-CHUNK_TOKENS, PART_TOKENS = 1 << 20, 1 << 20
+CHUNK_TOKENS, PART_TOKENS = 1 << 19, 1 << 20
+#: Bytes of text hashed together, about, and where a long text may be cut.
+CALL_BYTES, _GAP = 1 << 18, re.compile(rb"[ \t-\r]")
 #: Sampled seatings whose probabilities are averaged, and the strength of all restaurants.
 SAMPLES, STRENGTH = 2, 1.0
 #: Customers of a dish whose number of tables is drawn in one block; those
@@ -89,8 +92,8 @@ def draw_tables(customers: np.ndarray, opening: np.ndarray, discount: float, key
     many = many[np.argsort(block[many], kind="stable")]
     sizes, starts = np.unique(block[many], return_index=True)
     for c, at, to in zip(sizes.tolist(), starts, [*starts[1:], len(many)]):
-        for i in range(at, to, max(1, (1 << 20) // c)):  # bounds the matrix
-            own = many[i:min(to, i + max(1, (1 << 20) // c))]
+        for i in range(at, to, max(1, (1 << 18) // c)):  # bounds the matrix
+            own = many[i:min(to, i + max(1, (1 << 18) // c))]
             t = np.arange(1, c + 1)
             w = np.log(opening[own])[:, None] * t + weights[c, 1:c + 1]
             w = np.cumsum(np.exp(w - w.max(1, keepdims=True)), axis=1)
@@ -231,8 +234,33 @@ class Model:
         return draw_tables(counts, opening, self.discount, chunk.pairs, at)
 
 
-def _words_of(data: bytes) -> np.ndarray:
-    return C.word_hashes(C.word_codes(data))
+def word_hashes(texts: list[str | None]) -> list[np.ndarray]:
+    """A 62-bit hash of each word of each text, A-Z lower-cased.  Texts are
+    hashed together, long ones in pieces that end before white space."""
+    pieces, of = [], []
+    for i, t in enumerate(texts):
+        data, at = (t or "").encode("utf-8", "surrogatepass"), 0
+        while at < len(data) or not at:
+            gap = _GAP.search(data, at + CALL_BYTES)
+            to = gap.start() if gap else len(data)
+            pieces.append(data[at:to])
+            of.append(i)
+            at = max(to, 1)
+    out: list[list[np.ndarray]] = [[] for _ in texts]
+    first = size = 0
+    for last, piece in enumerate(pieces):
+        size += len(piece)
+        if size >= CALL_BYTES or last == len(pieces) - 1:
+            whole = b" ".join(pieces[first:last + 1])
+            start, end = C.word_spans(whole)
+            values = np.frombuffer(whole, np.uint8)
+            values = (values + 32 * ((values >= 65) & (values <= 90))).astype(np.uint64)
+            hashes = C.range_hashes(values, start, end).view(np.uint64) >> np.uint64(2)
+            cuts = np.cumsum([len(p) + 1 for p in pieces[first:last]])
+            for i, own in zip(of[first:last + 1], np.split(hashes, np.searchsorted(start, cuts))):
+                out[i].append(own)
+            first, size = last + 1, 0
+    return [np.concatenate(own) for own in out]
 
 
 def _chunks(batches):
@@ -260,8 +288,7 @@ def _chunks(batches):
                             columns=[c.split()[0] for c in _CHUNKS.split(", ")])
 
     for b in batches:
-        for k, flag, t in zip(b["k"], b["f"], b["t"]):
-            h = _words_of((t or "").encode("utf-8", "surrogatepass"))
+        for k, flag, h in zip(b["k"], b["f"], word_hashes(b["t"].tolist())):
             keys.append(k)
             train.append(bool(flag))
             hashes.append(h)

@@ -108,6 +108,15 @@ def test_held_out_copies_score_better_than_single_tokens(spark):
     assert all(out[1000 + i]["score"] < out[i]["score"] - 10 for i in range(0, 40, 10))
 
 
+def test_hashes_do_not_depend_on_what_is_hashed_together(monkeypatch):
+    texts = ["One two  THREE\tfour", None, "", " \n ", "é ÉÀ zwei" * 50, "x" * 300, "two one"]
+    want = P.word_hashes(texts)
+    assert list(map(len, want)) == [len(tokens(t)) for t in texts]
+    assert want[0][0] == want[6][1] == P.word_hashes(["oNE"])[0][0] and want[0][1] == want[6][0]
+    monkeypatch.setattr(P, "CALL_BYTES", 10)
+    assert all((a == b).all() for a, b in zip(P.word_hashes(texts), want))
+
+
 def test_edges(spark):
     assert P.score(empty(spark), F.lit(True)).count() == 0
     out = P.score(documents(spark, [(None, "a b"), (1, None)]), F.lit(None).cast("boolean")).collect()

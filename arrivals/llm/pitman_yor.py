@@ -20,10 +20,12 @@ from __future__ import annotations
 import math
 import re
 import uuid
+from functools import reduce
 from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -188,7 +190,17 @@ def _sent(kind: int, chunk: int, keys: np.ndarray, added: list[np.ndarray], bits
     cuts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
     for a, z in zip(cuts, [*cuts[1:], len(keys)]):
         yield (kind, int(part[a]), chunk, C.planes(np.diff(keys[a:z], prepend=np.uint64(0))),
-               C.planes(np.concatenate([x[a:z] for x in added]).astype("<u8")))
+               _packed(np.concatenate([x[a:z] for x in added])))
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Integers of at least 0 in as few bytes as their greatest takes, compressed."""
+    size = max(1, 1 << ((int(x.max(initial=0)).bit_length() + 7) // 8 - 1).bit_length())
+    return bytes((size,)) + zstandard.compress(C.planes(x.astype(f"<u{size}")), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return C.from_planes(zstandard.decompress(data[1:]), f"<u{data[0]}").astype(np.int64)
 
 
 class Replies:
@@ -198,7 +210,7 @@ class Replies:
         by: dict[tuple[int, int], list] = {}
         for r in rows:
             by.setdefault((r["round"], r["kind"]), []).append((r["part"], r["totals"]))
-        self.by = {k: [C.from_planes(bytes(b), "<i8") for _, b in sorted(v, key=lambda x: x[0])]
+        self.by = {k: [_unpacked(bytes(b)) for _, b in sorted(v, key=lambda x: x[0])]
                    for k, v in by.items()}
 
     def get(self, at: int, kind: int, width: int) -> list[np.ndarray]:
@@ -221,15 +233,20 @@ class Model:
     def __init__(self, tokens: int, types: int, discount: float):
         self.tokens, self.types, self.discount = tokens, types, discount
         self.parent_discount = 0.5
-        self.parents: list[Parent] = []  # by round, from 1
+        self.parents: list[Parent] = []  # by round
 
     def seating(self, chunk: Chunk, replies: Replies, at: int, counts: np.ndarray) -> np.ndarray:
-        """Tables of the chunk's pairs in round ``at``: one each in round 1,
-        then drawn given the totals of the round before."""
+        """Tables of the chunk's pairs in round ``at``, drawn given the totals
+        of the round before; at first every customer has a table of its own,
+        and every dish one in the parent."""
         if at == 1:
-            return np.minimum(counts, 1)
-        tables, customers, own = replies.words(at - 1, chunk, 3)
-        parent = self.parents[at - 2](customers, own)
+            tables = replies.words(0, chunk, 1)[0]
+            customers = tables.copy()
+            customers[0] = 0  # BEGIN is no dish
+            own = np.minimum(customers, 1)
+        else:
+            tables, customers, own = replies.words(at - 1, chunk, 3)
+        parent = self.parents[at - 1](customers, own)
         opening = (STRENGTH + self.discount * tables[chunk.pair_u]) * parent[chunk.pair_w]
         return draw_tables(counts, opening, self.discount, chunk.pairs, at)
 
@@ -331,13 +348,11 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
     bits = max(0, math.ceil(math.log2(max(1, total / PART_TOKENS)))) + 2
     replies: list[DataFrame] = []
 
-    def answered() -> DataFrame:
-        """Chunks with all they have got back."""
-        if not replies:
+    def answered(rounds) -> DataFrame:
+        """Chunks with what they have got back in ``rounds``."""
+        if not rounds:
             return chunks.withColumn("replies", F.lit(None).cast("array<int>"))
-        every = replies[0]
-        for r in replies[1:]:
-            every = every.unionByName(r)
+        every = reduce(DataFrame.unionByName, [replies[r] for r in rounds])
         own = every.groupBy("chunk").agg(F.collect_list(F.struct("round", "kind", "part", "totals")).alias("replies"))
         return chunks.join(own, "chunk")
 
@@ -353,11 +368,11 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
         def settled(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             rows = rows.sort_values("chunk", kind="stable")
             keys = [np.cumsum(C.from_planes(bytes(x), "<u8"), dtype=np.uint64) for x in rows["keys"]]
-            added = [C.from_planes(bytes(x), "<u8").reshape(-1, len(k)) for x, k in zip(rows["added"], keys)]
+            added = [_unpacked(bytes(x)).reshape(-1, len(k)) for x, k in zip(rows["added"], keys)]
             ends = np.cumsum(list(map(len, keys)))
             distinct, first, number = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
             sums = []
-            for column in np.concatenate(added, axis=1).astype(np.int64):
+            for column in np.concatenate(added, axis=1):
                 s = np.zeros(len(distinct), np.int64)
                 np.add.at(s, number, column)
                 sums.append(s)
@@ -368,11 +383,11 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
                 speaks[first] = 1
                 back.append(speaks)
             out = [(at, int(group[0]), int(group[1]), int(c),
-                    C.planes(np.concatenate([x[a:z] for x in back]).astype("<i8")), *(scalars if a == 0 else (0,) * 4))
+                    _packed(np.concatenate([x[a:z] for x in back])), *(scalars if a == 0 else (0,) * 4))
                    for c, a, z in zip(rows["chunk"], [0, *ends[:-1]], ends)]
             return pd.DataFrame(out, columns=[c.split()[0] for c in _REPLIES.split(", ")])
 
-        got = C.stored(answered().mapInPandas(ask, _ASKS).groupBy("kind", "part").applyInPandas(settled, _REPLIES),
+        got = C.stored(answered(sorted({0, at - 1} if at else ())).mapInPandas(ask, _ASKS).groupBy("kind", "part").applyInPandas(settled, _REPLIES),
                        f"pitman-yor-round{at}")
         replies.append(got)
         sums = got.groupBy("kind").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(4)]).collect()
@@ -411,16 +426,16 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
         def settled(kind, keys, sums):
             own = draw_tables(sums[1], np.full(len(keys), opening), model.parent_discount, keys, 100 + at)
             dish = sums[1]
-            return [*sums, own], (int(dish.sum()), int(own.sum()), int((dish == 1).sum()), int((dish == 2).sum()))
+            return [*sums, own], (int(dish.sum()), int(own.sum()), 0, 0)
         return settled
 
+    model.parent_discount = discount_of(found[6], found[7])
+    model.parents.append(Parent(model.parent_discount, model.tokens, model.types, model.types))
     parent_tables = model.types
-    for at in range(1, samples + 2):
+    for at in range(1, samples + 1):
         found = exchange(at, tables_asked(at), tables_settled(at, parent_tables))[4:]
         parent_tables = found[1]
         model.parents.append(Parent(model.parent_discount, found[0], found[1], model.types))
-        if at == 1:
-            model.parent_discount = discount_of(found[2], found[3])
 
     def scored(batches):
         for b in batches:
@@ -429,10 +444,10 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
                 counts, _ = got.get(0, _PAIRS, 2)
                 seen = got.words(0, chunk, 1)[0]
                 mean = np.zeros(len(chunk.pairs))
-                for at in range(2, samples + 2):
+                for at in range(1, samples + 1):
                     context, customers, own = got.words(at, chunk, 3)
                     mean += predictive(counts, model.seating(chunk, got, at, counts), seen[chunk.pair_u],
-                                       context[chunk.pair_u], model.parents[at - 1](customers, own)[chunk.pair_w],
+                                       context[chunk.pair_u], model.parents[at](customers, own)[chunk.pair_w],
                                        model.discount) / samples
                 known = seen > 0
                 known[0] = False
@@ -443,7 +458,7 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
                                     "n_known": by_text[0], "train_tokens": model.tokens,
                                     "base_score": by_text[1], "score": by_text[2]})
 
-    result = C.stored(answered().mapInPandas(
+    result = C.stored(answered(range(samples + 1)).mapInPandas(
         scored, "k string, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
                 "score double"), "pitman-yor-scores") if total else spark.createDataFrame(
         [], "k string, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -19,7 +19,7 @@ def tokens(text):
 def plain(rows, trained, samples=P.SAMPLES):
     """The same model from dictionaries in one process."""
     def key(w):
-        return int(P.BEGIN if w == "<" else P.END if w == ">" else P._words_of(w.encode())[0])
+        return int(P.BEGIN if w == "<" else P.END if w == ">" else P.word_hashes([w])[0][0])
 
     def draws(counts, opening, d, keys, salt):
         return P.draw_tables(np.array(counts, np.int64), np.array(opening, float), d, np.array(keys, np.uint64), salt)
@@ -36,12 +36,16 @@ def plain(rows, trained, samples=P.SAMPLES):
     order = list(pairs)
     pair_keys = [int(P.C.mix(P.C.mix(np.array([key(u)], np.uint64) * P.C._FACTORS[0])
                              + np.array([key(w)], np.uint64) * P.C._FACTORS[1])[0]) for u, w in order]
-    tables = dict.fromkeys(order, 1)
-    d0, top, history = 0.5, v, []
-    for at in range(1, samples + 2):
-        if at > 1:
-            opening = [(P.STRENGTH + d * context[u]) * parent(w) for u, w in order]
-            tables = dict(zip(order, draws([pairs[p] for p in order], opening, d, pair_keys, at).tolist()))
+    once, twice = (sum(x == i for x in c.values()) for i in (1, 2))
+    d0, top, history = P.discount_of(once, twice), v, []
+    context = Counter(c) + Counter({"<": begin})  # at first every customer has a table of its own
+
+    def parent(w):
+        return (max(c[w] - d0 * (c[w] > 0), 0) + (P.STRENGTH + d0 * v) / (v + 1)) / (P.STRENGTH + n)
+
+    for at in range(1, samples + 1):
+        opening = [(P.STRENGTH + d * context[u]) * parent(w) for u, w in order]
+        tables = dict(zip(order, draws([pairs[p] for p in order], opening, d, pair_keys, at).tolist()))
         context, dish = Counter(), Counter()
         for (u, w), t in tables.items():
             context[u] += t
@@ -55,12 +59,10 @@ def plain(rows, trained, samples=P.SAMPLES):
             return (max(dish.get(w, 0) - d0 * own.get(w, 0), 0)
                     + (P.STRENGTH + d0 * top) / (v + 1)) / (P.STRENGTH + total)
         history.append((tables, context, parent))
-        if at == 1:
-            d0 = P.discount_of(sum(x == 1 for x in dish.values()), sum(x == 2 for x in dish.values()))
 
     def p(u, w):
         out = 0
-        for tables, context, parent in history[1:]:
+        for tables, context, parent in history:
             cu = begin if u == "<" else c[u]
             out += (max(pairs[u, w] - d * tables.get((u, w), 0), 0)
                     + (P.STRENGTH + d * context[u]) * parent(w)) / (P.STRENGTH + cu)

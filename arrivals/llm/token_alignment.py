@@ -25,7 +25,7 @@ from arrivals.llm import common as C
 from arrivals.llm.bpe import _byte_letters
 
 #: Windows kept per worker and generation, and the tokens of one that is kept.
-WINDOWS_KEPT, WINDOW_TOKENS = 100_000, 48
+WINDOWS_KEPT, WINDOW_TOKENS = 200_000, 48
 #: Id pairs, the most frequent ones, that are broadcast: 13 bytes each.
 FREQUENT = 1 << 20
 #: Pairs that a task counts before it passes them on.
@@ -36,7 +36,12 @@ CALL_CHARS = 1 << 20
 SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Texts that the fast encoder surely splits as the library does.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e -ſ‐-‧€]*")
-_LONG_RUN = re.compile(r"\S{1000}|\s{1000}")
+_LONG, _LONG_GAP = 1000, re.compile(r"\s{1000}")
+
+
+def _is_plain(t: str) -> bool:
+    return (_PLAIN.fullmatch(t) is not None and _LONG_GAP.search(t) is None
+            and max(map(len, t.split()), default=0) < _LONG)
 
 
 class ByteLevel:
@@ -68,7 +73,7 @@ class ByteLevel:
                                       special_tokens={}) if ordered else None
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [self.fast.encode_ordinary(t) if self.fast and _PLAIN.fullmatch(t) and not _LONG_RUN.search(t)
+        return [self.fast.encode_ordinary(t) if self.fast and _is_plain(t)
                 else self.library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
@@ -89,21 +94,6 @@ class Pieces:
         return self.library.encode(texts, num_threads=1)
 
 
-class _Windows(C.Recent):
-    """(groups, links) of windows by their ids, as bytes of each side."""
-
-    def __init__(self, own: Aligner):
-        super().__init__(WINDOWS_KEPT)
-        self.own = own
-
-    def __missing__(self, ids: tuple[bytes, bytes]) -> tuple[str, bytes]:
-        self.make_room(1)
-        found = self.old.get(ids) or self.own.window(*(np.frombuffer(x, "<u4").tolist() for x in ids))
-        if len(ids[0]) + len(ids[1]) <= 4 * WINDOW_TOKENS:
-            self[ids] = found
-        return found
-
-
 class Aligner:
     """Two tokenizers, and the windows this worker has aligned."""
 
@@ -112,10 +102,15 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
         self.shift = (self.b.size - 1).bit_length()
-        self.kind = "<u4" if self.shift + (self.a.size - 1).bit_length() <= 32 else "<u8"
+        small = self.shift + (self.a.size - 1).bit_length() <= 32
+        self.kind = "<u4" if small else "<u8"
         self.sizes = [np.array(list(map(len, t.bytes)), np.int64) for t in (self.a, self.b)]
         self.spaced = [np.array([x.startswith(b" ") for x in t.bytes]) for t in (self.a, self.b)]
-        self.windows = _Windows(self)
+        #: (groups, links) of windows by their ids, as bytes.
+        self.windows = C.Recent(WINDOWS_KEPT)
+        # Each id as text and what follows it: in its group; at its end; for B at a window's end.
+        self.pieces = [f"{i}{mark}" for t, marks in ((self.a, ",|"), (self.b, ",;\n"))
+                       for i in range(t.size) for mark in marks]
 
     @classmethod
     def load(cls, path_a: str, path_b: str) -> Aligner:
@@ -123,33 +118,30 @@ class Aligner:
             cls._loaded[path_a, path_b] = cls(path_a, path_b)
         return cls._loaded[path_a, path_b]
 
-    def window(self, a: list[int], b: list[int]) -> tuple[str, bytes]:
-        """Groups, as text, and links of two id sequences over the same bytes."""
-        size_a, size_b = self.sizes
-        groups, links = [], []
-        i = j = from_i = from_j = 0
-        end_a, end_b = int(size_a[a[0]]), int(size_b[b[0]])
-        while True:
-            links.append(a[i] << self.shift | b[j])
-            least = min(end_a, end_b)
-            both = end_a == end_b
-            if end_a == least:
-                i += 1
-            if end_b == least:
-                j += 1
-            if both:
-                groups.append(f"{','.join(map(str, a[from_i:i]))}|{','.join(map(str, b[from_j:j]))}")
-                from_i, from_j = i, j
-                if i == len(a):
-                    return ";".join(groups), np.array(links, self.kind).tobytes()
-                end_a, end_b = end_a + int(size_a[a[i]]), end_b + int(size_b[b[j]])
-            elif end_a == least:
-                end_a += int(size_a[a[i]])
-            else:
-                end_b += int(size_b[b[j]])
-
-    def align(self, data: bytes, a: list[int], b: list[int]) -> tuple[str, np.ndarray] | None:
-        """Groups and links of a text's ids; None where they do not spell ``data``."""
+    def solve(self, windows: list[bytes]) -> list[tuple[str, bytes]]:
+        """Groups, as text, and links of windows; all are aligned at once, end to end."""
+        ids = np.frombuffer(b"".join(windows), "<u4")
+        ends = np.cumsum(list(map(len, windows))) // 4
+        of_b = ids >= self.a.size
+        a, b = ids[~of_b], ids[of_b] - np.uint32(self.a.size)
+        last_b = np.cumsum(of_b)[ends - 1] - 1
+        end_a, end_b = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
+        ends = np.union1d(end_a, end_b)  # each stretch between ends is one link
+        links = (a[np.searchsorted(end_a, ends)].astype(self.kind) << self.shift) | b[np.searchsorted(end_b, ends)]
+        cuts = np.searchsorted(ends, end_b[last_b], "right").tolist()
+        shared = np.intersect1d(end_a, end_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(shared, end_a), np.searchsorted(shared, end_b)
+        mark_a, mark_b = shared[group_a] == end_a, (shared[group_b] == end_b).astype(np.int64)
+        mark_b[last_b] = 2
+        order = np.argsort(np.concatenate((2 * group_a, 2 * group_b + 1)), kind="stable")
+        piece = np.concatenate((2 * a.astype(np.int64) + mark_a, 2 * self.a.size + 3 * b.astype(np.int64) + mark_b))
+        groups = "".join(map(self.pieces.__getitem__, piece[order].tolist())).split("\n")
+        data, size = links.tobytes(), links.itemsize
+        return [(g, data[size * i:size * j]) for g, i, j in zip(groups, [0, *cuts], cuts)]
+
+    def cut(self, data: bytes, a: list[int], b: list[int]) -> list[bytes] | None:
+        """The windows of a text's ids: those of A, then those of B, which count
+        on after A's.  None where the ids do not spell ``data``."""
         if not a or not b or any(b"".join(map(t.bytes.__getitem__, ids)) != data for t, ids in ((self.a, a), (self.b, b))):
             return None
         a, b = np.array(a, "<u4"), np.array(b, "<u4")
@@ -158,24 +150,41 @@ class Aligner:
         i = np.flatnonzero(end_b[at] == end_a)[:-1]  # verified shared ends, less the last
         j = at[i]
         anchor = self.spaced[0][a[i + 1]] & self.spaced[1][b[j + 1]]
-        i, j = (4 * (x[anchor] + 1) for x in (i, j))
-        ab, bb = a.tobytes(), b.tobytes()
-        i, j = i.tolist(), j.tolist()
-        found = list(map(self.windows.__getitem__, (
-            (ab[p:q], bb[r:s]) for p, q, r, s in zip([0, *i], [*i, len(ab)], [0, *j], [*j, len(bb)]))))
-        return ";".join([g for g, _ in found]), np.frombuffer(b"".join([x for _, x in found]), self.kind)
+        i, j = i[anchor] + 1, j[anchor] + 1
+        # A's ids of a window stand after B's of all windows before it, and the other way round.
+        ids = np.empty(len(a) + len(b), "<u4")
+        starts_a, starts_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        starts_a[i], starts_b[j] = np.diff(j, prepend=0), np.diff(np.append(i, len(a)))
+        starts_b[0] = i[0] if len(i) else len(a)
+        ids[np.arange(len(a)) + np.cumsum(starts_a)] = a
+        ids[np.arange(len(b)) + np.cumsum(starts_b)] = b + np.uint32(self.a.size)
+        whole, cuts = ids.tobytes(), (4 * (i + j)).tolist()
+        return [whole[p:q] for p, q in zip([0, *cuts], [*cuts, len(whole)])]
 
     def texts(self, texts: list[str | None]):
-        """For each text None, or (ids of A, ids of B, groups, links)."""
+        """For each text None, or (number of ids of A, of B, groups, links)."""
         whole = [t for t in texts if t]
         coded = iter(zip(whole, self.a.encode([" " + t for t in whole]), self.b.encode(whole)))
+        found: list = []
         for t in texts:
             if not t:
-                yield None
+                found.append(None)
                 continue
             t, a, b = next(coded)
-            found = self.align((" " + t).encode("utf-8", "surrogatepass"), a, b)
-            yield found and (len(a), len(b), *found)
+            cuts = self.cut((" " + t).encode("utf-8", "surrogatepass"), a, b)
+            found.append(cuts and (len(a), len(b), cuts))
+        new = self.windows.absent({w for f in found if f for w in f[2]})
+        if new:
+            self.windows.update(zip(new, self.solve(new)))
+        for f in found:
+            if f is None:
+                yield None
+                continue
+            own = list(map(self.windows.__getitem__, f[2]))
+            yield f[0], f[1], ";".join([g for g, _ in own]), np.frombuffer(b"".join([x for _, x in own]), self.kind)
+        for w in new:  # long ones are not kept
+            if len(w) > 4 * WINDOW_TOKENS:
+                del self.windows[w]
 
 
 def _pairs(frame: pd.DataFrame, kind: str) -> list[np.ndarray]:

@@ -214,6 +214,55 @@ def contract_report(df: DataFrame, contract: Contract, keys: bool = True, rows:
     return out
 
 
+# ---- metrics from the load itself ------------------------------------------
+
+def metric_names(contract: Contract) -> list[str]:
+    return ["rows", *[f"{c.name}.nulls" for c in contract.columns],
+            *[f"{c.name}.too_long" for c in contract.columns if c.max_len is not None]]
+
+
+def load_metrics(contract: Contract) -> list[Column]:
+    """Aggregates that a load observes while it writes: rows, nulls of every
+    column, texts over their limit.  All are counts, so parts add up."""
+    def counted(name: str) -> Column:
+        column, _, what = name.rpartition(".")
+        if not column:
+            return F.count(F.lit(1))
+        v = F.col(f"`{column}`")
+        return F.count_if(v.isNull() if what == "nulls" else F.length(v) > contract.column(column).max_len)
+
+    return [counted(n).alias(n) for n in metric_names(contract)]
+
+
+def contract_rows(contract: Contract, metrics: dict[str, int]) -> list[tuple]:
+    """The rows of :func:`contract_report` (without the key, with the row
+    count) from a load's metrics: no table is read."""
+    out = []
+    for c in contract.columns:
+        if c.not_null:
+            out.append((f"{contract.name}.{c.name}_not_null", metrics[f"{c.name}.nulls"]))
+        if c.max_len is not None:
+            out.append((f"{contract.name}.{c.name}_max_length", metrics[f"{c.name}.too_long"]))
+    rows = [(check, contract.name, str(n), "0", n == 0) for check, n in out]
+    return [*rows, (f"{contract.name}_has_rows", contract.name, str(metrics["rows"]), "more than 0",
+                    metrics["rows"] > 0)]
+
+
+#: The gating checks of null values: check name, table, column.
+NULL_CHECKS = [("fact_null_cic_id", "fact_immigration", "cic_id"),
+               ("state_temperature_null_avg", "state_temperature", "avg_temperature")]
+
+
+def null_rows(metrics: dict[str, dict[str, int]]) -> list[tuple]:
+    """Report rows of those null checks whose table has metrics."""
+    out = []
+    for check, table, column in NULL_CHECKS:
+        if table in metrics:
+            n = metrics[table][f"{column}.nulls"]
+            out.append((check, table, str(n), "0", n == 0))
+    return out
+
+
 def checks_from_specs(spark, specs) -> list[Check]:
     """Checks from ``{"table", "sql", "expected_result"}`` specs.
 
@@ -243,10 +292,11 @@ def reference_checks(fact: DataFrame, state_temperature: DataFrame,
     Null arrival ids, null temperature averages, and (code, country) pairs
     that occur more than once; the last passes when no such pair exists.
     """
-    return [
-        Check("fact_null_cic_id", "fact_immigration", null_count(fact, "cic_id")),
-        Check("state_temperature_null_avg", "state_temperature",
-              null_count(state_temperature, "avg_temperature")),
-        Check("country_code_duplicates", "country_code",
-              duplicate_groups(country_code, ["code", "country"], counted="code"), kind="empty"),
-    ]
+    tables = {"fact_immigration": fact, "state_temperature": state_temperature}
+    return [Check(check, table, null_count(tables[table], column)) for check, table, column in NULL_CHECKS] + [
+        country_duplicates(country_code)]
+
+
+def country_duplicates(country_code: DataFrame) -> Check:
+    return Check("country_code_duplicates", "country_code",
+                 duplicate_groups(country_code, ["code", "country"], counted="code"), kind="empty")

@@ -211,11 +211,21 @@ def run_command(spark: SparkSession, command: str, cfg: configparser.ConfigParse
                              options=inp.arrivals_options, after_merge=after)
         if live:
             wh.register("fact_immigration")  # new months and files, no copy
-    if command in ("warehouse", "all"):
+    if command == "warehouse":
         P.load_warehouse(spark, warehouse_of(spark, cfg, layout), layout, years, parallel)
     if command in ("check", "all"):
         # The whole report (one row per check) is printed, failed or not.
-        rows = _checked(spark, cfg)
+        if command == "all":
+            # Written, audited, and only then made current: all tables or none.
+            new = P.write_release(spark, warehouse_of(spark, cfg, layout), layout, years, parallel)
+            rows = [r.asDict() for r in new.report(_flag(cfg, "run", "contracts")).collect()]
+            if all(r["passed"] for r in rows):
+                new.publish()
+                rows += _checked(spark, cfg, own=False)
+            else:
+                new.discard()
+        else:
+            rows = _checked(spark, cfg)
         for r in rows:
             print(json.dumps(r, default=str), file=out)
         failed = [r for r in rows if not r["passed"]]
@@ -237,20 +247,18 @@ def load_specs(path: str) -> list[dict]:
     return specs
 
 
-def _checked(spark: SparkSession, cfg: configparser.ConfigParser) -> list[dict]:
-    """The report rows of the gating checks (and of the file's checks)."""
+def _checked(spark: SparkSession, cfg: configparser.ConfigParser, own: bool = True) -> list[dict]:
+    """The report rows of the gating checks (``own``) and of the file's checks."""
     wh = warehouse_of(spark, cfg)
-    rep = P.quality_report(wh, _flag(cfg, "run", "contracts"))
+    reports = [P.quality_report(wh, _flag(cfg, "run", "contracts"))] if own else []
     specs_path = cfg.get("run", "checks_file", fallback="").strip()
-    if not specs_path:
-        return [r.asDict() for r in rep.collect()]
-    specs = load_specs(specs_path)
     # Unqualified table names in the specs resolve in the warehouse database.
     previous = spark.catalog.currentDatabase()
-    spark.catalog.setCurrentDatabase(wh.database)
     try:
-        rep = rep.unionByName(Q.report(Q.checks_from_specs(spark, specs)))
-        return [r.asDict() for r in rep.collect()]
+        if specs_path:
+            spark.catalog.setCurrentDatabase(wh.database)
+            reports.append(Q.report(Q.checks_from_specs(spark, load_specs(specs_path))))
+        return [r.asDict() for rep in reports for r in rep.collect()]
     finally:
         spark.catalog.setCurrentDatabase(previous)
 

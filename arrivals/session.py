@@ -122,6 +122,57 @@ def rename_path(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"cannot rename {old} to {new}")
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, or None where there is no such file."""
+    fs, jpath = _file_system(spark, path)
+    if not fs.exists(jpath):
+        return None
+    stream = fs.open(jpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that readers see the old text or the new one.
+
+    It is written beside the old file and renamed over it, which file systems
+    do in one step; a store without such a rename replaces an object in one
+    step itself.
+    """
+    jvm = spark.sparkContext._jvm
+    fs, jpath = _file_system(spark, path)
+    fresh = f"{path}.{uuid.uuid4().hex[:12]}"
+    _, jfresh = _file_system(spark, fresh)
+    for target in (jfresh, jpath):
+        stream = fs.create(target, True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        if target is jpath:
+            break
+        try:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                jpath.toUri(), spark._jsparkSession.sessionState().newHadoopConf())
+        except Exception:  # noqa: BLE001 - no such rename for this store
+            fs.delete(jfresh, False)
+            continue
+        kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        how = spark.sparkContext._gateway.new_array(kind, 1)
+        how[0] = kind.OVERWRITE
+        context.rename(fs.makeQualified(jfresh), fs.makeQualified(jpath), how)
+        break
+
+
+def folder_size(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Files and bytes below a folder: one listing."""
+    fs, jpath = _file_system(spark, path)
+    if not fs.exists(jpath):
+        return 0, 0
+    summary = fs.getContentSummary(jpath)
+    return summary.getFileCount(), summary.getLength()
+
+
 def folders_below(spark: SparkSession, root: str, levels: int) -> set[str]:
     """Folders ``levels`` below ``root``, as paths relative to it: one listing."""
     fs, jpath = _file_system(spark, root.rstrip("/") + "/*" * levels)

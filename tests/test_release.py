@@ -1,0 +1,144 @@
+"""Write, audit, publish: observed metrics, all tables together or none, recovery."""
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from arrivals import contracts as C
+from arrivals.operators import quality as Q
+from arrivals.plans import pipeline as P
+from arrivals.session import path_exists
+from arrivals.sinks.release import Release
+from arrivals.sinks.tables import Warehouse
+from arrivals.sources import fixtures as FX
+from tests.conftest import SF_SMALL
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def _all(wh):
+    return {c.name: _rows(wh.read(c.name)) for c in C.ALL}
+
+
+@pytest.fixture(scope="module")
+def loaded(spark):
+    from arrivals.session import scratch_dir
+    root = scratch_dir(spark, "release-test")
+    paths = FX.write_raw_inputs(spark, SF_SMALL, f"{root}/raw", repeat_arrivals=False)
+    wh = Warehouse(spark, f"rel_{uuid.uuid4().hex[:8]}", location=f"{root}/wh")
+    P.run_pipeline(spark, P.Inputs.of(paths), f"{root}/layout", wh)
+    return wh, f"{root}/layout", paths, root
+
+
+def test_observed_metrics_give_the_report_of_a_scan(loaded):
+    wh = loaded[0]
+    assert set(wh.metrics()) == {c.name for c in C.ALL}
+    for contracts in (False, True):
+        assert _rows(P.quality_report(wh, contracts)) == _rows(P.quality_report(wh, contracts, rescan=True))
+
+
+def test_the_gate_reads_no_table_but_for_keys(loaded):
+    wh = loaded[0]
+    read = []
+
+    class Watched(Warehouse):
+        def read(self, name):
+            read.append(name)
+            return super().read(name)
+
+    P.quality_report(Watched(wh.spark, wh.database, wh.location)).collect()
+    assert read == ["country_code"]
+
+
+def test_one_bad_table_leaves_all_six_as_they_were(loaded, spark):
+    wh, layout, paths, root = loaded
+    before, where = _all(wh), {c.name: wh.table_location(c.name) for c in C.ALL}
+    raw = spark.read.option("header", True).csv(paths["country_code"])
+    raw.union(raw).write.option("header", True).csv(f"{root}/twice")  # every code twice
+    with pytest.raises(Q.DataQualityError):
+        P.run_pipeline(spark, P.Inputs.of({**paths, "country_code": f"{root}/twice"}), f"{root}/bad", wh, years=2)
+    assert _all(wh) == before and {c.name: wh.table_location(c.name) for c in C.ALL} == where
+    assert path_exists(spark, where["country_code"])
+    # Without the gate the same run is published, in all tables.
+    P.run_pipeline(spark, P.Inputs.of({**paths, "country_code": f"{root}/twice"}), f"{root}/bad", wh, years=2, gate=False)
+    after = _all(wh)
+    assert len(after["country_code"]) == 2 * len(before["country_code"])
+    assert all(wh.table_location(n) != w for n, w in where.items())
+    rep = {r.check_name: r.passed for r in P.quality_report(wh).collect()}
+    assert not rep["country_code_duplicates"] and rep["fact_null_cic_id"]
+    P.load_warehouse(spark, wh, layout)
+    assert _all(wh) == before
+
+
+def test_a_failed_step_leaves_no_version_behind(loaded, spark, monkeypatch):
+    wh, layout, *_ = loaded
+    before = _all(wh)
+    written = []
+    real = Warehouse.write_version
+
+    def write(self, name, df, path):
+        if name == "state_temperature":
+            raise RuntimeError("lost")
+        written.append(path)
+        return real(self, name, df, path)
+
+    monkeypatch.setattr(Warehouse, "write_version", write)
+    with pytest.raises(RuntimeError):
+        P.load_warehouse(spark, wh, layout, parallel=False)
+    assert _all(wh) == before and written and not any(path_exists(spark, p) for p in written)
+
+
+def test_a_crash_in_the_switch_is_completed(loaded, spark, monkeypatch):
+    wh, layout, *_ = loaded
+    new = Release(wh)
+    for c in C.ALL:
+        new.load(c.name, wh.read(c.name).limit(3))
+    moved = []
+    real = Warehouse._point
+
+    def point(self, name, path):
+        if len(moved) == 2:
+            raise RuntimeError("driver lost")
+        moved.append(name)
+        real(self, name, path)
+
+    monkeypatch.setattr(Warehouse, "_point", point)
+    with pytest.raises(RuntimeError):
+        new.publish()
+    monkeypatch.undo()
+    # The manifest is the release; the next run completes the catalog.
+    other = Warehouse(spark, wh.database, wh.location)
+    assert len(other.recover()) == 4 and other.recover() == []
+    assert all(other.read(c.name).count() == 3 for c in C.ALL)
+    P.load_warehouse(spark, wh, layout)
+
+
+def test_appends_add_up_and_foreign_writes_are_scanned(loaded, spark):
+    wh = loaded[0]
+    n = wh.read("date_time").count()
+    extra = wh.read("date_time").limit(2).withColumn("week", F.lit(None).cast("int"))
+    wh.load("date_time", extra, "append")
+    m = wh.metrics()["date_time"]
+    assert m["rows"] == n + 2 and m["week.nulls"] == 2
+    spark.sql(f"INSERT INTO {wh.table('country_code')} VALUES (NULL, 'nowhere')")
+    assert "country_code" not in wh.metrics()
+    rep = {r.check_name: r.actual for r in P.quality_report(wh).collect()}
+    assert rep["country_code.code_not_null"] == "1"
+    P.load_warehouse(spark, wh, loaded[1])
+    assert "country_code" in wh.metrics()
+
+
+def test_empty_loads_are_observed_and_one_version_is_kept(loaded, spark):
+    wh = loaded[0]
+    first = wh.table_location("country_code")
+    for df in (spark.createDataFrame([], C.COUNTRY_CODE.schema), wh.read("country_code").filter("1 = 0")):
+        wh.load("country_code", df, "overwrite")
+        assert set(wh.metrics()["country_code"].values()) == {0}
+    assert not path_exists(spark, first) and path_exists(spark, wh.manifest()["country_code"]["previous"])
+    with pytest.raises(Exception, match="exceeds"):
+        wh.load("country_code", spark.createDataFrame([(1, "x" * 300)], C.COUNTRY_CODE.schema), "overwrite")
+    assert wh.read("country_code").count() == 0
+    P.load_warehouse(spark, wh, loaded[1])

@@ -7,6 +7,8 @@ casts into one codegen stage and plans a single de-duplicating aggregate
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +30,12 @@ def fact_arrivals(raw: DataFrame) -> DataFrame:
     typing gives the same set as de-duplicating per file, then across
     files, then after typing: the casts are deterministic per row.
     """
-    typed = raw.select(
+    return typed_arrivals(raw).distinct()
+
+
+def typed_arrivals(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The fact's typed columns of each raw record, and the columns ``keep``."""
+    return raw.select(
         X.to_bigint("cicid").alias("cic_id"),
         X.to_int("i94cit").alias("born_country"),
         X.to_int("i94res").alias("res_country"),
@@ -40,8 +47,8 @@ def fact_arrivals(raw: DataFrame) -> DataFrame:
         X.to_str("gender").alias("gender"),
         X.to_str("visatype").alias("visa_type"),
         sas_date("arrdate").alias("arrival_date"),
+        *keep,
     )
-    return typed.distinct()
 
 
 # Raw demographics header -> table column, in output order.

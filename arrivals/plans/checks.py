@@ -26,7 +26,9 @@ from arrivals.operators import transforms as J
 from arrivals.plans import pipeline as P
 from arrivals.plans.oracle import CHECK_YEARS, PIPELINE_YEARS
 from arrivals.session import scratch_dir
+from arrivals.sinks import months as MO
 from arrivals.sinks import parquet as K
+from arrivals.sinks.release import Release
 from arrivals.sinks.tables import Warehouse
 from arrivals.sources import files as S
 from arrivals.sources import fixtures as FX
@@ -465,6 +467,89 @@ def job_fact_incremental(spark, sf):
     return spark.read.parquet(fact_path).select(*C.FACT_ARRIVALS.names)
 
 
+def job_fact_corrections(spark, sf):
+    """Four daily runs merged by arrival id: all records, corrections that also
+    move the arrival to another month, corrections of these, and a repeat."""
+    from arrivals.streaming import ingest_deliveries
+    work = scratch_dir(spark, "corrections")
+    src, fact_path, ckpt = f"{work}/incoming", f"{work}/fact", f"{work}/_source_log"
+    raw = FX.raw_arrivals(spark, sf)
+    k = F.col("cicid").cast("bigint")
+    moved = raw.filter(k % 7 == 1).withColumns({"i94bir": F.col("i94bir") + 1, "arrdate": F.col("arrdate") + 40})
+    again = raw.filter(k % 21 == 1).withColumns({"i94bir": F.lit(99.0), "gender": F.lit("X")})
+    for day, delivery in enumerate((raw, moved, again, again), 1):
+        delivery.write.parquet(f"{src}/day={day}")
+        ingest_deliveries(spark, src, fact_path, ckpt, merge="keys")
+    return spark.read.parquet(fact_path).select(*C.FACT_ARRIVALS.names)
+
+
+def load_backfill_period(spark, sf):
+    """A fact built from wrong deliveries, and half a year of it built anew."""
+    path = scratch_dir(spark, "backfill")
+    raw = FX.raw_arrivals(spark, sf)
+    K.write_fact(J.fact_arrivals(raw.withColumn("i94bir", F.col("i94bir") + 5)), path)
+    for _ in range(2):  # a rerun leaves the same rows
+        MO.backfill(spark, raw, path, (1994, 10), (1995, 3))
+    return spark.read.parquet(path)
+
+
+def compact_months(spark, sf):
+    """The fact appended in five deliveries, then its small files packed."""
+    path = scratch_dir(spark, "compaction")
+    fact = _fact(spark, sf)
+    for part in range(5):
+        K.write_fact(fact.filter(F.col("cic_id") % 5 == part), path, "append")
+    MO.compact(spark, path, 1 << 20)
+    files = spark.read.parquet(path).select("year", "month", F.col("_metadata.file_path").alias("file"))
+    return files.groupBy("year", "month").agg(F.count_distinct("file").alias("n_files"),
+                                              F.count(F.lit(1)).alias("n_rows"))
+
+
+def _six_tables(spark, sf):
+    fact, staging = _fact(spark, sf), _staging(spark, sf, PIPELINE_YEARS)
+    return {"fact_immigration": fact, "date_time": J.date_dim(fact), "city_demographics": _demographics(spark, sf),
+            "staging_state_temperature": staging,
+            "state_temperature": J.state_temperature_dim(staging, PIPELINE_YEARS),
+            "country_code": J.country_codes(FX.raw_country_codes_of_customers(spark, sf))}
+
+
+def load_audited(spark, sf):
+    """A release that passes its audit and is published, and one that does not:
+    all six tables keep the rows of the first."""
+    wh = _warehouse(spark, "audited")
+    wh.create_tables()
+    good = Release(wh)
+    for name, df in _six_tables(spark, sf).items():
+        good.load(name, df)
+    Q.assert_passed(good.report())
+    good.publish()
+    bad = Release(wh)
+    for c in C.ALL:
+        bad.load(c.name, wh.read(c.name).limit(10))
+    bad.load("country_code", J.country_codes(FX.country_codes_with_defects(spark, sf)))
+    try:
+        Q.assert_passed(bad.report(), log=lambda *_: None)
+    except Q.DataQualityError:
+        bad.discard()
+    else:
+        raise AssertionError("an audit passed repeated country codes")
+    return _table_sums(wh)
+
+
+def dq_observed(spark, sf):
+    """The report of a release over faulty records, counted by its own writes."""
+    wh = _warehouse(spark, "observed")
+    wh.create_tables()
+    new = Release(wh)
+    short = {"arr_state": F.substring("arr_state", 1, 3), "visa_type": F.substring("visa_type", 1, 3)}
+    new.load("fact_immigration", _faulty_fact(spark, sf).withColumns(short))
+    new.load("state_temperature", _faulty_dim_st(spark, sf, PIPELINE_YEARS))
+    new.load("country_code", J.country_codes(FX.country_codes_with_defects(spark, sf)))
+    rows = new.report().filter(F.col("table_name").isin(*new.versions)).collect()  # one row per check
+    new.discard()
+    return spark.createDataFrame(rows, Q.REPORT_SCHEMA)
+
+
 def dim_date_time_incremental(spark, sf):
     """The date dimension kept up by daily runs into an in-place warehouse.
 
@@ -497,7 +582,11 @@ def job_pipeline(spark, sf):
     paths = FX.write_raw_inputs(spark, sf, f"{root}/raw")
     wh = Warehouse(spark, "pipeline_" + uuid.uuid4().hex[:10], location=f"{root}/warehouse")
     P.run_pipeline(spark, P.Inputs.of(paths), f"{root}/layout", wh, PIPELINE_YEARS)
-    # Each table by its rows and the sum of a column.
+    return _table_sums(wh)
+
+
+def _table_sums(wh):
+    """Each table by its rows and the sum of a column."""
     sums = {"fact_immigration": "cic_id", "date_time": "day", "city_demographics": "count",
             "staging_state_temperature": "month", "state_temperature": "month", "country_code": "code"}
     parts = [wh.read(n).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(c).cast("bigint").alias("total"))
@@ -540,6 +629,7 @@ def queries() -> dict[str, Query]:
         "contract_schema", "contract_report", "dq_report", "dq_row_count",
         "job_fact_arrivals", "job_city_demographics", "job_state_temperature_staging",
         "job_country_code", "job_fact_incremental", "job_pipeline",
+        "job_fact_corrections", "load_backfill_period", "compact_months", "load_audited", "dq_observed",
         "travel_by_state_month", "corr_travel_demographics", "corr_travel_temperature",
     ]
     g = globals()

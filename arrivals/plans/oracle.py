@@ -183,7 +183,7 @@ SELECT 'country_code_duplicates', 'country_code', CAST(COUNT(*) AS VARCHAR), '0'
 FROM (SELECT code, country FROM cc GROUP BY code, country HAVING COUNT(code) > 1) d"""
 
 
-def contract_report_sql(table: str, source: str) -> str:
+def contract_report_sql(table: str, source: str, keys: bool = True) -> str:
     """Report rows of one table's contract checks, over relation ``source``."""
     from arrivals.contracts import BY_NAME
     c = BY_NAME[table]
@@ -198,9 +198,10 @@ def contract_report_sql(table: str, source: str) -> str:
             parts.append(f"SELECT '{name}' AS check_name, '{table}' AS table_name, "
                          f"CAST(COUNT(*) FILTER (WHERE {cond}) AS VARCHAR) AS actual, '0' AS expected, "
                          f"COUNT(*) FILTER (WHERE {cond}) = 0 AS passed FROM {source}")
-    keys = ", ".join(f'"{k}"' for k in c.key)
-    parts.append(f"SELECT '{table}.key_unique', '{table}', CAST(COUNT(*) AS VARCHAR), '0', COUNT(*) = 0 "
-                 f"FROM (SELECT {keys} FROM {source} GROUP BY {keys} HAVING COUNT(*) > 1) d")
+    if keys:
+        key = ", ".join(f'"{k}"' for k in c.key)
+        parts.append(f"SELECT '{table}.key_unique', '{table}', CAST(COUNT(*) AS VARCHAR), '0', COUNT(*) = 0 "
+                     f"FROM (SELECT {key} FROM {source} GROUP BY {key} HAVING COUNT(*) > 1) d")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -225,6 +226,13 @@ def oracle_sql() -> dict[str, str]:
     st10 = tmp_ctes(PIPELINE_YEARS)
     faulty = [("fact", FAULTY_FACT)]
     faulty3, faulty10 = tmp_ctes(CHECK_YEARS, FAULTY_TMP_RAW), tmp_ctes(PIPELINE_YEARS, FAULTY_TMP_RAW)
+    six_tables = with_(
+        fact + DEM_CTES + st10 + [("demo", DEMO), ("dim_st", dim_st(PIPELINE_YEARS)), ("dd", DATE_DIM), ("cc", CC)],
+        "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows, CAST(SUM({c}) AS BIGINT) AS total FROM {r}"
+                             for t, r, c in (
+            ("fact_immigration", "fact", "cic_id"), ("date_time", "dd", '"day"'), ("city_demographics", "demo", '"count"'),
+            ("staging_state_temperature", "staging", '"month"'), ("state_temperature", "dim_st", '"month"'),
+            ("country_code", "cc", "code"))))
     return {
         # sources
         "scan_multi_file": with_(raw, "SELECT * FROM raw_arr"),
@@ -330,13 +338,30 @@ def oracle_sql() -> dict[str, str]:
         "job_state_temperature_staging": with_(st10, "SELECT * FROM staging"),
         "job_country_code": CC,
         "job_fact_incremental": with_(fact, "SELECT * FROM fact"),
-        "job_pipeline": with_(
-            fact + DEM_CTES + st10 + [("demo", DEMO), ("dim_st", dim_st(PIPELINE_YEARS)), ("dd", DATE_DIM), ("cc", CC)],
-            "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows, CAST(SUM({c}) AS BIGINT) AS total FROM {r}"
-                                 for t, r, c in (
-                ("fact_immigration", "fact", "cic_id"), ("date_time", "dd", '"day"'), ("city_demographics", "demo", '"count"'),
-                ("staging_state_temperature", "staging", '"month"'), ("state_temperature", "dim_st", '"month"'),
-                ("country_code", "cc", "code")))),
+        "job_pipeline": six_tables,
+        "load_audited": six_tables,
+        "job_fact_corrections": with_(fact + [("deliveries", """
+SELECT *, 1 AS day FROM fact
+UNION ALL SELECT * REPLACE (age + 1 AS age, arrival_date + 40 AS arrival_date), 2 FROM fact WHERE cic_id % 7 = 1
+UNION ALL SELECT * REPLACE (99 AS age, 'X' AS gender), 3 FROM fact WHERE cic_id % 21 = 1""")],
+            "SELECT * EXCLUDE (day) FROM deliveries "
+            "QUALIFY row_number() OVER (PARTITION BY cic_id ORDER BY day DESC) = 1"),
+        "load_backfill_period": with_(fact, """
+SELECT * REPLACE (CASE WHEN arrival_date >= DATE '1994-10-01' AND arrival_date < DATE '1995-04-01'
+                       THEN age ELSE age + 5 END AS age),
+       CAST(year(arrival_date) AS INTEGER) AS "year", CAST(month(arrival_date) AS INTEGER) AS "month" FROM fact"""),
+        # Every month is smaller than the target, so one file is left.
+        "compact_months": with_(fact, 'SELECT CAST(year(arrival_date) AS INTEGER) AS "year", '
+                                      'CAST(month(arrival_date) AS INTEGER) AS "month", '
+                                      "CAST(1 AS BIGINT) AS n_files, COUNT(*) AS n_rows FROM fact GROUP BY 1, 2"),
+        "dq_observed": with_(
+            faulty + faulty10 + [("dim_st", dim_st(PIPELINE_YEARS)), ("cc", FAULTY_CC),
+                                 ("short", "SELECT * REPLACE (substr(arr_state, 1, 3) AS arr_state, "
+                                           "substr(visa_type, 1, 3) AS visa_type) FROM fact")],
+            "\nUNION ALL\n".join([DQ_REPORT] + [
+                contract_report_sql(t, r, keys=False) + f"\nUNION ALL\nSELECT '{t}_has_rows', '{t}', "
+                f"CAST(COUNT(*) AS VARCHAR), 'more than 0', COUNT(*) > 0 FROM {r}"
+                for t, r in (("fact_immigration", "short"), ("state_temperature", "dim_st"), ("country_code", "cc"))])),
         # analyses
         "travel_by_state_month": with_(fact, 'SELECT arr_state, CAST(year(arrival_date) AS INTEGER) AS "year", '
                                              'CAST(month(arrival_date) AS INTEGER) AS "month", '

@@ -69,18 +69,20 @@ from pyspark.sql import SparkSession
 from arrivals.operators import quality as Q
 from arrivals.plans import pipeline as P
 from arrivals.session import build_session
+from arrivals.sinks import months as MO
 from arrivals.sinks.tables import Warehouse
 from arrivals.sources.files import render_path
 from arrivals.streaming import daily as DY
 
-COMMANDS = ("layout", "warehouse", "check", "all", "daily")
+COMMANDS = ("layout", "warehouse", "check", "all", "daily", "backfill", "compact")
 
 # Defaults for keys a file may leave out.
 DEFAULTS = {
     "inputs": {"arrivals_format": "parquet", "arrivals_glob": "*.parquet"},
     "warehouse": {"database": "arrivals", "location": "", "fact_in_place": "false"},
     "run": {"years": "10", "parallel": "true", "contracts": "false", "resume": "false",
-            "daily_checkpoint": "", "daily_max_files": "", "checks_file": ""},
+            "daily_checkpoint": "", "daily_max_files": "", "daily_merge": "rows",
+            "compact_bytes": str(256 << 20), "checks_file": ""},
 }
 
 
@@ -171,6 +173,14 @@ def _years(cfg: configparser.ConfigParser) -> int:
     return years
 
 
+def _month(cfg: configparser.ConfigParser, option: str) -> tuple[int, int]:
+    text = _get(cfg, "run", option)
+    year, _, month = text.partition("-")
+    if not (year.isdigit() and month.isdigit() and 1 <= int(month) <= 12):
+        raise ConfigError(f"[run] {option} wants YYYY-MM, got {text!r}")
+    return int(year), int(month)
+
+
 def run_command(spark: SparkSession, command: str, cfg: configparser.ConfigParser,
                 out=None) -> int:
     """Run one command; return the exit status."""
@@ -195,6 +205,9 @@ def run_command(spark: SparkSession, command: str, cfg: configparser.ConfigParse
         max_files = cfg.get("run", "daily_max_files", fallback="").strip()
         if max_files and not (max_files.isdigit() and int(max_files) > 0):
             raise ConfigError("[run] daily_max_files must be a positive integer")
+        merge = _get(cfg, "run", "daily_merge")
+        if merge not in ("rows", "keys"):
+            raise ConfigError("[run] daily_merge must be rows or keys")
         inp = inputs_of(cfg)
         wh = warehouse_of(spark, cfg, layout)
         live = wh.in_place("fact_immigration") and spark.catalog.tableExists(
@@ -208,9 +221,23 @@ def run_command(spark: SparkSession, command: str, cfg: configparser.ConfigParse
         DY.ingest_deliveries(spark, inp.arrivals, P.fact_path(layout), ckpt,
                              fmt=inp.arrivals_format, glob=inp.arrivals_glob,
                              max_files_per_trigger=int(max_files) if max_files else None,
-                             options=inp.arrivals_options, after_merge=after)
+                             options=inp.arrivals_options, after_merge=after, merge=merge)
         if live:
             wh.register("fact_immigration")  # new months and files, no copy
+    if command in ("backfill", "compact"):
+        path = P.fact_path(layout)
+        if command == "backfill":
+            MO.backfill(spark, P.read_arrivals(spark, inputs_of(cfg)), path, *(
+                _month(cfg, option) for option in ("backfill_first", "backfill_last")))
+        else:
+            size = _get(cfg, "run", "compact_bytes")
+            if not size.isdigit() or not int(size):
+                raise ConfigError("[run] compact_bytes must be a positive integer")
+            for folder, n in MO.compact(spark, path, int(size)).items():
+                print(json.dumps({"folder": folder, "files_packed": n}), file=out)
+        wh = warehouse_of(spark, cfg, layout)
+        if wh.in_place("fact_immigration") and spark.catalog.tableExists(wh.table("fact_immigration")):
+            wh.register("fact_immigration")
     if command == "warehouse":
         P.load_warehouse(spark, warehouse_of(spark, cfg, layout), layout, years, parallel)
     if command in ("check", "all"):

@@ -118,7 +118,9 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 def rename_path(spark: SparkSession, old: str, new: str) -> None:
     fs, jold = _file_system(spark, old)
-    if not fs.rename(jold, _file_system(spark, new)[1]):
+    jnew = _file_system(spark, new)[1]
+    fs.mkdirs(jnew.getParent())
+    if not fs.rename(jold, jnew):
         raise OSError(f"cannot rename {old} to {new}")
 
 
@@ -173,6 +175,24 @@ def folder_size(spark: SparkSession, path: str) -> tuple[int, int]:
     return summary.getFileCount(), summary.getLength()
 
 
+def files_below(spark: SparkSession, root: str, levels: int) -> list[tuple[str, int]]:
+    """Files in the folders ``levels`` below ``root``, as (relative path,
+    bytes): one listing."""
+    fs, jpath = _file_system(spark, root.rstrip("/") + "/*" * (levels + 1))
+    found = []
+    for status in fs.globStatus(jpath) or []:
+        if status.isFile():
+            path = "/".join(status.getPath().toString().rsplit("/", levels + 1)[1:])
+            found.append((path, status.getLen()))
+    return found
+
+
+def remove_empty_folder(spark: SparkSession, path: str) -> None:
+    fs, jpath = _file_system(spark, path)
+    if fs.exists(jpath) and not any(s.getPath().getName()[:1] not in "._" for s in fs.listStatus(jpath)):
+        fs.delete(jpath, True)
+
+
 def folders_below(spark: SparkSession, root: str, levels: int) -> set[str]:
     """Folders ``levels`` below ``root``, as paths relative to it: one listing."""
     fs, jpath = _file_system(spark, root.rstrip("/") + "/*" * levels)

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from arrivals.contracts import FACT_ARRIVALS
 from arrivals.operators.transforms import ARRIVAL_COLUMNS, fact_arrivals
 from arrivals.session import delete_path, folders_below, path_exists, scratch_dir
+from arrivals.sinks.months import complete
 from arrivals.sinks.parquet import FACT_CLUSTER, NULL_FOLDER, write_partitioned
 from arrivals.sources.raw import RAW_ARRIVALS
 
@@ -157,6 +158,7 @@ def merge_into_fact(spark: SparkSession, batch: DataFrame,
     Returns the (year, month) folders the batch touches (bounded by the
     calendar), whether or not any of its rows were new.
     """
+    complete(spark, fact_path)
     # The typed batch is written once: the summary, the anti join and the
     # append then read it instead of the delivery files.
     kept = scratch_dir(spark, "daily-batch")
@@ -175,9 +177,13 @@ def ingest_deliveries(spark: SparkSession, source: str, fact_path: str, checkpoi
                       max_files_per_trigger: int | None = None,
                       options: Mapping[str, str] | None = None,
                       after_merge: Callable[[list[tuple[int | None, int | None]]], None]
-                      | None = None) -> None:
+                      | None = None, merge: str = "rows") -> None:
     """Process every delivery file not seen before, then stop.
 
+    ``merge``: with ``"rows"`` every distinct record is kept, as the batch job
+    does; with ``"keys"`` a record replaces the stored one of the same arrival
+    id (:mod:`arrivals.streaming.corrections`).
+
     ``checkpoint`` must be on shared storage and the same in every run (not
     below Spark's checkpoint folder, which is another one in each
     application); it is the record of which files were read.  A format that
@@ -186,6 +192,8 @@ def ingest_deliveries(spark: SparkSession, source: str, fact_path: str, checkpoi
     merged, with the months the batch touched; it runs again when a batch is
     replayed, so it must be idempotent.
     """
+    if merge not in ("rows", "keys"):
+        raise ValueError(f"merge must be 'rows' or 'keys', got {merge!r}")
     if not path_exists(spark, source):
         return  # no delivery has arrived yet: nothing to read or merge
     reader = (spark.readStream.format(fmt).schema(schema)
@@ -201,8 +209,12 @@ def ingest_deliveries(spark: SparkSession, source: str, fact_path: str, checkpoi
     except Exception as e:  # each source has its own error for this
         raise ValueError(f"format {fmt!r} cannot be read as a stream: {e}") from e
 
+    if merge == "keys":
+        from arrivals.streaming.corrections import upsert_into_fact, with_delivery
+        stream = with_delivery(stream)
+
     def _each(batch: DataFrame) -> None:
-        months = merge_into_fact(spark, batch, fact_path)
+        months = (merge_into_fact if merge == "rows" else upsert_into_fact)(spark, batch, fact_path)
         if after_merge is not None and months:
             after_merge(months)
 

@@ -171,14 +171,20 @@ def test_compaction_after_many_daily_runs(spark, tmp_root):
     # Footers of many tiny files made the sizes look larger; it soon settles.
     assert any(M.compact(spark, path, target) == {} for _ in range(4))
     assert _rows(spark, path) == rows
-    # A smaller target: several files a month, each under it.
-    sizes = sum(f.size for f in M.stored_files(spark, path, ["year=2016/month=1"])) // 3
-    for day in range(3):
-        more = [record(200_000 + 3000 * day + i, JAN, float(i % 70)) for i in range(3000)]
-        K.write_fact(J.fact_arrivals(_raw(spark, more)).repartition(6), path, "append")
-    rows = _rows(spark, path)
-    n = len(M.stored_files(spark, path, ["year=2016/month=1"]))
-    M.compact(spark, path, sizes)
-    new = M.stored_files(spark, path, ["year=2016/month=1"])
-    assert 2 < len(new) < n and _rows(spark, path) == rows
-    assert sorted(f.size for f in new)[-2] <= 1.2 * max(sizes, large.size)
+
+
+def test_compaction_cuts_a_large_month_into_ranges(spark, tmp_root):
+    path = f"{tmp_root}/fact"
+    rnd = random.Random(2)
+    for _ in range(8):
+        rows = [record(rnd.randrange(10**9), JAN, float(rnd.randrange(90)), rnd.choice("ABCDE")) for _ in range(2000)]
+        K.write_fact(J.fact_arrivals(_raw(spark, rows)).coalesce(1), path, "append")
+    rows, files = _rows(spark, path), M.stored_files(spark, path)
+    assert len(files) == 8
+    target = 3 * max(f.size for f in files)
+    assert M.compact(spark, path, target) == {"year=2016/month=1": 8}
+    new = M.stored_files(spark, path)
+    assert len(new) == 3 and all(f.size < 1.1 * target for f in new) and _rows(spark, path) == rows
+    spans = (spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("f"))
+             .agg(F.min("cic_id").alias("lo"), F.max("cic_id").alias("hi")).orderBy("lo").collect())
+    assert all(a.hi < b.lo for a, b in zip(spans, spans[1:]))

@@ -47,7 +47,11 @@ def corr_travel_demographics(fact: DataFrame, demographics: DataFrame) -> DataFr
     Demographics repeat a city's population on every race row, so each
     (city, state, population) counts once before summing per state.
     """
-    arrivals = fact.groupBy("arr_state").agg(F.count(F.lit(1)).alias("n"))
+    return corr_arrivals_demographics(fact.groupBy("arr_state").agg(F.count(F.lit(1)).alias("n")), demographics)
+
+
+def corr_arrivals_demographics(arrivals: DataFrame, demographics: DataFrame) -> DataFrame:
+    """The same from arrivals (arr_state, n) that are counted already."""
     pop = (demographics.select("city", "state_code", "tot_pop").distinct()
            .groupBy("state_code").agg(F.sum("tot_pop").alias("pop")))
     j = arrivals.join(pop, arrivals.arr_state == pop.state_code)
@@ -60,7 +64,23 @@ def corr_travel_temperature(fact: DataFrame, bridge: DataFrame,
     """Correlation of arrivals per (state, month) with that month's mean temperature."""
     arrivals = (fact.groupBy("arr_state", F.month("arrival_date").alias("month"))
                 .agg(F.count(F.lit(1)).alias("n")))
+    return corr_arrivals_temperature(arrivals, bridge, state_temperature)
+
+
+def corr_arrivals_temperature(arrivals: DataFrame, bridge: DataFrame, state_temperature: DataFrame) -> DataFrame:
+    """The same from arrivals (arr_state, month, n) that are counted already."""
     a = arrivals.join(bridge, arrivals.arr_state == bridge.state_code)
     j = a.join(state_temperature, ["state", "month"])
     return j.agg(F.round(safe_corr(F.col("n").cast("double"),
                                    F.col("avg_temperature").cast("double")), 6).alias("r"))
+
+
+def corr_counts_demographics(counts: DataFrame, demographics: DataFrame) -> DataFrame:
+    """:func:`corr_travel_demographics` from kept counts per state, year and month."""
+    return corr_arrivals_demographics(counts.groupBy("arr_state").agg(F.sum("arrivals").alias("n")), demographics)
+
+
+def corr_counts_temperature(counts: DataFrame, bridge: DataFrame, state_temperature: DataFrame) -> DataFrame:
+    """:func:`corr_travel_temperature` from kept counts per state, year and month."""
+    return corr_arrivals_temperature(counts.groupBy("arr_state", "month").agg(F.sum("arrivals").alias("n")),
+                                     bridge, state_temperature)

@@ -550,6 +550,48 @@ def dq_observed(spark, sf):
     return spark.createDataFrame(rows, Q.REPORT_SCHEMA)
 
 
+def _kept_counts(spark, sf):
+    """Arrivals per state and month kept up by three daily runs, the last a repeat."""
+    from arrivals.streaming import ingest_deliveries
+    from arrivals.streaming import maintained as MA
+    work = scratch_dir(spark, "kept-counts")
+    src, fact_path, counts = f"{work}/incoming", f"{work}/fact", f"{work}/counts"
+    raw = FX.raw_arrivals(spark, sf)
+    first = sas_date("arrdate") < F.lit("1996-06-15").cast("date")
+    for day, delivery in enumerate((raw.filter(first), raw.filter(~first), raw.filter(~first)), 1):
+        delivery.write.parquet(f"{src}/day={day}")
+        ingest_deliveries(spark, src, fact_path, f"{work}/_source_log",
+                          after_merge=lambda months: MA.refresh_travel_counts(spark, fact_path, counts, months))
+    return MA.travel_counts(spark, counts)
+
+
+def travel_counts_incremental(spark, sf):
+    return _kept_counts(spark, sf).select("arr_state", "year", "month", "arrivals")
+
+
+def corr_incremental(spark, sf):
+    """Both correlations from the kept counts and the kept sums of readings."""
+    from arrivals.streaming import maintained as MA
+    counts, demo = _kept_counts(spark, sf), _demographics(spark, sf)
+    work = scratch_dir(spark, "kept-sums")
+    MA.merge_readings(spark, FX.raw_temperature(spark, sf), f"{work}/readings", f"{work}/sums")
+    dim = MA.state_temperature_of_sums(spark, f"{work}/sums", PIPELINE_YEARS)
+    both = [("demographics", A.corr_counts_demographics(counts, demo)),
+            ("temperature", A.corr_counts_temperature(counts, A.state_bridge(demo), dim))]
+    return U.union_all([df.select(F.lit(name).alias("analysis"), "r") for name, df in both])
+
+
+def dim_state_temperature_incremental(spark, sf):
+    """The temperature dimension kept up by three deliveries that overlap."""
+    from arrivals.streaming import maintained as MA
+    work = scratch_dir(spark, "kept-temperature")
+    raw = FX.raw_temperature(spark, sf)
+    year = F.year("dt")
+    for delivery in (raw.filter(year < 1995), raw.filter((year >= 1994) & (year < 1998)), raw.filter(year >= 1997)):
+        MA.merge_readings(spark, delivery, f"{work}/readings", f"{work}/sums")
+    return MA.state_temperature_of_sums(spark, f"{work}/sums", CHECK_YEARS)
+
+
 def dim_date_time_incremental(spark, sf):
     """The date dimension kept up by daily runs into an in-place warehouse.
 
@@ -630,6 +672,7 @@ def queries() -> dict[str, Query]:
         "job_fact_arrivals", "job_city_demographics", "job_state_temperature_staging",
         "job_country_code", "job_fact_incremental", "job_pipeline",
         "job_fact_corrections", "load_backfill_period", "compact_months", "load_audited", "dq_observed",
+        "dim_state_temperature_incremental", "travel_counts_incremental", "corr_incremental",
         "travel_by_state_month", "corr_travel_demographics", "corr_travel_temperature",
     ]
     g = globals()

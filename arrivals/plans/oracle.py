@@ -295,6 +295,8 @@ def oracle_sql() -> dict[str, str]:
         "global_max": "SELECT CAST(MAX(year(l_shipdate)) AS INTEGER) AS max_year FROM lineitem",
         "dim_state_temperature": with_(st3 + [("dim_st", dim_st(CHECK_YEARS))],
                                        "SELECT * FROM dim_st"),
+        "dim_state_temperature_incremental": with_(st3 + [("dim_st", dim_st(CHECK_YEARS))],
+                                                   "SELECT * FROM dim_st"),
         "dim_state_temperature_sql": with_(st3 + [("dim_st", dim_st(CHECK_YEARS))],
                                            "SELECT * FROM dim_st"),
         "order_by_keys": "SELECT c_nationkey, c_custkey, c_name FROM customer "
@@ -366,6 +368,13 @@ SELECT * REPLACE (CASE WHEN arrival_date >= DATE '1994-10-01' AND arrival_date <
         "travel_by_state_month": with_(fact, 'SELECT arr_state, CAST(year(arrival_date) AS INTEGER) AS "year", '
                                              'CAST(month(arrival_date) AS INTEGER) AS "month", '
                                              "COUNT(*) AS arrivals FROM fact GROUP BY 1, 2, 3"),
+        "travel_counts_incremental": with_(
+            fact, 'SELECT arr_state, CAST(year(arrival_date) AS INTEGER) AS "year", '
+                  'CAST(month(arrival_date) AS INTEGER) AS "month", COUNT(*) AS arrivals FROM fact GROUP BY 1, 2, 3'),
+        "corr_incremental": with_(
+            fact + DEM_CTES + [("demo", DEMO)] + st10 + [("dim_st", dim_st(PIPELINE_YEARS)),
+                                                         ("d2", CORR_DEM), ("d3", CORR_TMP)],
+            "SELECT 'demographics' AS analysis, r FROM d2 UNION ALL SELECT 'temperature', r FROM d3"),
         "corr_travel_demographics": with_(fact + DEM_CTES + [("demo", DEMO)], CORR_DEM),
         "corr_travel_temperature": with_(fact + DEM_CTES + [("demo", DEMO)] + st10
                                          + [("dim_st", dim_st(PIPELINE_YEARS))], CORR_TMP),

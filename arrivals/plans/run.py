@@ -5,6 +5,8 @@
     python -m arrivals -c arrivals.cfg check      # the gating checks
     python -m arrivals -c arrivals.cfg all        # the three above, in order
     python -m arrivals -c arrivals.cfg daily      # only delivery files not read before
+    python -m arrivals -c arrivals.cfg backfill   # rebuild the months of a period from the arrivals input
+    python -m arrivals -c arrivals.cfg compact    # pack the small files that daily runs leave
 
 A scheduler (cron or any workflow tool) runs these commands; the exit status
 is the task's outcome: 0 done, 1 a data-quality check failed, 2 bad usage or
@@ -50,6 +52,14 @@ copied on each ``warehouse`` run, and ``daily`` makes new rows visible in it
 at once and adds their new dates to ``date_time``.  Use a database of its own
 for that mode.
 
+``all`` writes new versions of all tables, audits them and makes them current
+together; a failed check leaves every table as it was.  ``daily_merge = keys``
+merges deliveries by arrival id (a later record replaces an earlier one)
+instead of keeping every distinct record.  ``backfill`` replaces exactly the
+months from ``backfill_first`` to ``backfill_last`` (``YYYY-MM``); ``compact``
+packs files under half of ``compact_bytes``.  ``travel_counts`` names a folder
+where ``daily`` and ``backfill`` keep arrivals per state and month.
+
 ``checks_file`` (optional, a local file read on the driver like this one)
 holds more checks in the form ``[{"table": ..., "sql": ...,
 "expected_result": ...}, ...]``; their SQL names warehouse tables without the
@@ -73,6 +83,7 @@ from arrivals.sinks import months as MO
 from arrivals.sinks.tables import Warehouse
 from arrivals.sources.files import render_path
 from arrivals.streaming import daily as DY
+from arrivals.streaming import maintained as MA
 
 COMMANDS = ("layout", "warehouse", "check", "all", "daily", "backfill", "compact")
 
@@ -218,6 +229,14 @@ def run_command(spark: SparkSession, command: str, cfg: configparser.ConfigParse
         if live and spark.catalog.tableExists(wh.table("date_time")):
             def after(months):
                 P.add_new_dates(wh, P.fact_path(layout), months)
+        # Arrivals per state and month, kept for the analyses: the touched months are recounted.
+        counts = cfg.get("run", "travel_counts", fallback="").strip()
+        add_dates = after
+        if counts:
+            def after(months):
+                if add_dates is not None:
+                    add_dates(months)
+                MA.refresh_travel_counts(spark, P.fact_path(layout), counts, months)
         DY.ingest_deliveries(spark, inp.arrivals, P.fact_path(layout), ckpt,
                              fmt=inp.arrivals_format, glob=inp.arrivals_glob,
                              max_files_per_trigger=int(max_files) if max_files else None,
@@ -227,8 +246,10 @@ def run_command(spark: SparkSession, command: str, cfg: configparser.ConfigParse
     if command in ("backfill", "compact"):
         path = P.fact_path(layout)
         if command == "backfill":
-            MO.backfill(spark, P.read_arrivals(spark, inputs_of(cfg)), path, *(
+            months = MO.backfill(spark, P.read_arrivals(spark, inputs_of(cfg)), path, *(
                 _month(cfg, option) for option in ("backfill_first", "backfill_last")))
+            if counts := cfg.get("run", "travel_counts", fallback="").strip():
+                MA.refresh_travel_counts(spark, path, counts, months)
         else:
             size = _get(cfg, "run", "compact_bytes")
             if not size.isdigit() or not int(size):

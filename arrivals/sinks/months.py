@@ -13,11 +13,12 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arrivals.operators.transforms import ARRIVAL_COLUMNS, fact_arrivals
 from arrivals.session import (
@@ -98,7 +99,8 @@ def complete(spark: SparkSession, fact_path: str) -> bool:
 
 
 def exchange(spark: SparkSession, rows: DataFrame, fact_path: str, gone: Iterable[str],
-             months: Iterable[Month] | None = None, files: dict[Month, int] | None = None) -> None:
+             months: Iterable[Month] | None = None, files: dict[Month, int] | None = None,
+             cluster_by: Sequence[str] = FACT_CLUSTER) -> None:
     """Replace the files ``gone`` (paths below the root) by ``rows``, which
     carry the layout columns.
 
@@ -113,7 +115,7 @@ def exchange(spark: SparkSession, rows: DataFrame, fact_path: str, gone: Iterabl
     path = f"{root}/{staged}"
     try:
         if files is None:
-            write_partitioned(rows, path, LAYOUT, mode="errorifexists", cluster_by=FACT_CLUSTER)
+            write_partitioned(rows, path, LAYOUT, mode="errorifexists", cluster_by=cluster_by)
         else:
             (in_files(spark, rows, files).sortWithinPartitions(*LAYOUT, *FACT_CLUSTER)
              .write.partitionBy(*LAYOUT).parquet(path))
@@ -151,13 +153,24 @@ def in_files(spark: SparkSession, rows: DataFrame, files: dict[Month, int]) -> D
     return laid.withColumn("file", file).repartitionById(first, "file").select(*rows.columns)
 
 
-def replace_months(spark: SparkSession, rows: DataFrame, fact_path: str, months: Iterable[Month]) -> None:
+def read_months(spark: SparkSession, path: str, schema: T.StructType, months: Iterable[Month]) -> DataFrame:
+    """The stored rows of ``months``; only their folders are listed and read."""
+    root = path.rstrip("/")
+    complete(spark, root)
+    there = sorted({f.folder for f in stored_files(spark, root, map(month_folder, months))})
+    if not there:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/{f}" for f in there])
+
+
+def replace_months(spark: SparkSession, rows: DataFrame, fact_path: str, months: Iterable[Month],
+                   cluster_by: Sequence[str] = FACT_CLUSTER) -> None:
     """Make ``rows`` (with layout columns) the content of exactly ``months``;
     a month without rows is emptied, all others keep their files."""
     months = list(months)
     complete(spark, fact_path)
     old = stored_files(spark, fact_path, map(month_folder, months)) if path_exists(spark, fact_path) else []
-    exchange(spark, rows, fact_path, [f.path for f in old], months)
+    exchange(spark, rows, fact_path, [f.path for f in old], months, cluster_by=cluster_by)
 
 
 def months_between(first: tuple[int, int], last: tuple[int, int]) -> list[Month]:

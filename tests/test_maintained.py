@@ -1,0 +1,67 @@
+"""Aggregates kept up by runs equal those over all data."""
+
+import datetime as dt
+import random
+
+from pyspark.sql import functions as F
+
+from arrivals.operators import analytics as A
+from arrivals.operators import transforms as J
+from arrivals.sinks import months as M
+from arrivals.sources import raw as R
+from arrivals.streaming import corrections as X
+from arrivals.streaming import maintained as MA
+from tests.test_months import FEB, JAN, MAR, _raw, record
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_counts_follow_corrections_backfills_and_null_dates(spark, tmp_root):
+    fact, counts = f"{tmp_root}/fact", f"{tmp_root}/counts"
+
+    def same():
+        whole = spark.read.parquet(fact).groupBy("arr_state", "year", "month").agg(F.count(F.lit(1)).alias("arrivals"))
+        assert _rows(MA.travel_counts(spark, counts).select(*whole.columns)) == _rows(whole)
+
+    rnd = random.Random(1)
+    for _ in range(3):
+        rows = [record(rnd.randrange(50), rnd.choice((JAN, FEB, MAR, None)), 30.0, rnd.choice(("NY", "CA", None)))
+                for _ in range(30)]
+        months = X.upsert_into_fact(spark, _raw(spark, rows), fact)
+        MA.refresh_travel_counts(spark, fact, counts, months)
+        same()
+    months = M.backfill(spark, _raw(spark, [record(900, FEB)]), fact, (2016, 2), (2016, 3))
+    MA.refresh_travel_counts(spark, fact, counts, months)
+    same()
+    demo = spark.createDataFrame([("a", "NY", "New York", 10), ("b", "CA", "California", 20)],
+                                 "city string, state_code string, state string, tot_pop bigint")
+    stored = spark.read.parquet(fact)
+    kept = MA.travel_counts(spark, counts)
+    assert _rows(A.corr_counts_demographics(kept, demo)) == _rows(A.corr_travel_demographics(stored, demo))
+    temps = spark.createDataFrame([(s, m, float(m + len(s))) for s in ("New York", "California") for m in (1, 2, 3)],
+                                  "state string, month int, avg_temperature float")
+    bridge = A.state_bridge(demo)
+    assert _rows(A.corr_counts_temperature(kept, bridge, temps)) == _rows(A.corr_travel_temperature(stored, bridge, temps))
+    constant = kept.withColumn("arrivals", F.lit(1).cast("bigint")).dropDuplicates(["arr_state"])
+    assert A.corr_counts_demographics(constant, demo).first()["r"] is None
+
+
+def test_temperature_from_sums_after_overlapping_deliveries(spark, tmp_root):
+    rnd = random.Random(4)
+    every = [(dt.date(y, m, 1), rnd.choice((None, rnd.uniform(-20, 35))), 0.5, s, c)
+             for y in range(2000, 2009) for m in range(1, 13) for s in ("Texas", "Utah")
+             for c in ("United States", "Canada")]
+    schema = R.RAW_TEMPERATURE
+    done = []
+    for lo, hi in ((2000, 2004), (2003, 2006), (2003, 2006), (2006, 2009)):
+        rows = [r for r in every if lo <= r[0].year < hi]
+        done += rows
+        MA.merge_readings(spark, spark.createDataFrame(rows, schema), f"{tmp_root}/r", f"{tmp_root}/s")
+        staging = J.state_temperature_staging(spark.createDataFrame(done, schema), 3)
+        want = J.state_temperature_dim(staging, 3)
+        got = MA.state_temperature_of_sums(spark, f"{tmp_root}/s", 3)
+        assert [(s, m, t and round(t, 4)) for s, m, t in _rows(got)] == \
+            [(s, m, t and round(t, 4)) for s, m, t in _rows(want)]
+    assert MA.state_temperature_of_sums(spark, f"{tmp_root}/none", 3).count() == 0

@@ -27,24 +27,24 @@ def report_of(read, metrics: Mapping[str, Mapping[str, int]], spark, contracts:
     tables.  ``contracts`` adds the declared keys of all tables."""
     names = {c.name for c in tables}
     known = {n: m for n, m in metrics.items() if n in names}
-    rows, frames = Q.null_rows(known), []
+
+    def counted(rows: list[tuple]) -> list[DataFrame]:
+        return [spark.createDataFrame(rows, Q.REPORT_SCHEMA)] if rows else []
+
     checks = [Q.Check(check, table, Q.null_count(read(table), column)) for check, table, column in Q.NULL_CHECKS
               if table in names and table not in known]
     if "country_code" in names:
         checks.append(Q.country_duplicates(read("country_code")))
+    frames = counted(Q.null_rows(known)) + ([Q.report(checks)] if checks else [])
+    frames += counted([row for c in tables if c.name in known for row in Q.contract_rows(c, known[c.name])])
+    keys = []
     for c in tables:
-        if c.name in known:
-            rows += Q.contract_rows(c, known[c.name])
-            if contracts:
-                checks.append(Q.Check(f"{c.name}.key_unique", c.name, Q.key_duplicates(read(c.name), c), kind="empty"))
-        else:
+        if c.name not in known:
             frames.append(Q.contract_report(read(c.name), c, keys=contracts, rows=True))
-    if checks:
-        frames.insert(0, Q.report(checks))
-    if rows:
-        frames.insert(0, spark.createDataFrame(rows, Q.REPORT_SCHEMA))
+        elif contracts:
+            keys.append(Q.Check(f"{c.name}.key_unique", c.name, Q.key_duplicates(read(c.name), c), kind="empty"))
     out = frames[0]
-    for f in frames[1:]:
+    for f in frames[1:] + ([Q.report(keys)] if keys else []):
         out = out.unionByName(f)
     return out
 

@@ -248,6 +248,22 @@ def contract_rows(contract: Contract, metrics: dict[str, int]) -> list[tuple]:
                     metrics["rows"] > 0)]
 
 
+def as_report(spark, rows: Sequence[tuple]) -> DataFrame:
+    """Report rows that are known on the driver as a frame, without a task of
+    their own: literals that the planner folds."""
+    names = [f.name for f in REPORT_SCHEMA]
+    values = ["({})".format(", ".join(_literal(v) for v in row)) for row in rows]
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(values)} AS r({', '.join(names)})").select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in REPORT_SCHEMA])
+
+
+def _literal(v: object) -> str:
+    if v is None or isinstance(v, bool):
+        return {None: "NULL", True: "TRUE", False: "FALSE"}[v]
+    text = str(v).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
 #: The gating checks of null values: check name, table, column.
 NULL_CHECKS = [("fact_null_cic_id", "fact_immigration", "cic_id"),
                ("state_temperature_null_avg", "state_temperature", "avg_temperature")]

@@ -29,7 +29,7 @@ def report_of(read, metrics: Mapping[str, Mapping[str, int]], spark, contracts:
     known = {n: m for n, m in metrics.items() if n in names}
 
     def counted(rows: list[tuple]) -> list[DataFrame]:
-        return [spark.createDataFrame(rows, Q.REPORT_SCHEMA)] if rows else []
+        return [Q.as_report(spark, rows)] if rows else []
 
     checks = [Q.Check(check, table, Q.null_count(read(table), column)) for check, table, column in Q.NULL_CHECKS
               if table in names and table not in known]

@@ -171,9 +171,13 @@ class Chunk:
         self.u = np.concatenate((self.w[:1], self.w[:-1]))
         self.u[self.starts] = 0
         pair = C.mix(C.mix(self.words * C._FACTORS[0])[self.u] + self.words[self.w] * C._FACTORS[1])
-        #: Sorted distinct pairs, where each stands first, and the pair of each token.
-        self.pairs, first, self.pair_of = np.unique(pair, return_index=True, return_inverse=True)
-        self.pair_u, self.pair_w = self.u[first], self.w[first]
+        #: Sorted distinct pairs, the words of each, and the pair of each token.
+        by = np.argsort(pair)
+        pair = pair[by]
+        new = np.concatenate(([True], pair[1:] != pair[:-1]))
+        self.pairs, self.pair_of = pair[new], np.empty(len(pair), np.int64)
+        self.pair_of[by] = np.cumsum(new) - 1
+        self.pair_u, self.pair_w = self.u[by[new]], self.w[by[new]]
         self.order = np.argsort(self.words, kind="stable")  # of words, as they are sent
 
     def trained(self) -> tuple[np.ndarray, np.ndarray]:
@@ -345,7 +349,7 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
     chunks = spark.table(name)
     C.small_batches(spark, 2)
     total = chunks.agg(F.sum("n_tokens")).first()[0] or 0
-    bits = max(0, math.ceil(math.log2(max(1, total / PART_TOKENS)))) + 2
+    bits = max(0, math.ceil(math.log2(max(1, total / PART_TOKENS))))
     replies: list[DataFrame] = []
 
     def answered(rounds) -> DataFrame:
@@ -412,7 +416,7 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
         def asked(row):
             chunk, got = Chunk(row), Replies(row.replies)
             counts, speaks = got.get(0, _PAIRS, 2)
-            tables = np.where(speaks == 1, model.seating(chunk, got, at, counts), 0)
+            tables = model.seating(chunk, got, at, np.where(speaks == 1, counts, 0))
             n = len(chunk.words)
             as_context = np.bincount(chunk.pair_u, tables, minlength=n).astype(np.int64)
             as_dish = np.bincount(chunk.pair_w, tables, minlength=n).astype(np.int64)

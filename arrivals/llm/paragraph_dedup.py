@@ -22,14 +22,13 @@ count, and every such run holds a chunk.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrivals.llm import common as C
+from arrivals.llm.pitman_yor import word_hashes
 
 SHINGLE, PERCENT = 5, 80
 #: 12 bands of 3 rows: two lines of similarity 0.8 collide with probability
@@ -45,7 +44,6 @@ SIGNATURE = 512
 BRIDGE = 10
 _SEEDS = C.mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * C._PRIME)
 _A, _B = _SEEDS[::2] | np.uint64(1), _SEEDS[1::2]
-_BREAK = re.compile(rb"[\n\r]")
 _LINE, _SENTENCE, _CHUNK = 1, 2, 3
 
 
@@ -75,19 +73,18 @@ class Units:
     one, as where a passage is set into the middle of a sentence.
     """
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, hashes: np.ndarray | None = None):
         self.data = text.encode("utf-8", "surrogatepass")
-        codes = [C.word_codes(line) for line in _BREAK.split(self.data)]
-        sizes = np.array([len(c) for c in codes])
-        codes = np.concatenate(codes)
-        self.hash = C.word_hashes(codes)
-        n = len(codes)
-        first_line = np.zeros(n, bool)
-        starts = np.cumsum(sizes) - sizes
-        first_line[starts[sizes > 0]] = True
+        self.hash = word_hashes([text])[0] if hashes is None else hashes
+        letters = np.append(np.frombuffer(self.data, np.uint8), np.uint8(0))
+        self.start, self.end = C.word_spans(self.data)
+        line = np.cumsum((letters == 10) | (letters == 13))[self.start]
+        first_line = np.diff(line, prepend=-1) != 0
+        first, second, last = letters[self.start], letters[self.start + 1], letters[self.end - 1]
+        capital = (first >= 65) & (first <= 90) | (first == 0xC3) & (second >= 0x80) & (second <= 0x9E)
         head = first_line.copy()
-        head[1:] |= (codes[:-1] & C.ENDS).astype(bool)
-        inner = (codes & C.CAPITAL).astype(bool) & ~head
+        head[1:] |= ((last == ord(".")) | (last == ord("!")) | (last == ord("?")))[:-1]
+        inner = capital & ~head
         if inner.any():
             sentence = np.cumsum(head) - 1
             alone = np.bincount(sentence[inner], minlength=sentence[-1] + 1) == 1
@@ -107,9 +104,8 @@ class Units:
 
     def places(self, ranges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and end of word ranges in code points, the end exclusive."""
-        start, end = C.word_spans(self.data)
         letters = np.concatenate(([0], np.cumsum((np.frombuffer(self.data, np.uint8) & 0xC0) != 0x80)))
-        return letters[start[ranges[:, 0]]], letters[end[ranges[:, 1] - 1]]
+        return letters[self.start[ranges[:, 0]]], letters[self.end[ranges[:, 1] - 1]]
 
     def shingles(self, a: int, b: int) -> np.ndarray:
         return C.shingle_set(self.hash[a:b], SHINGLE)
@@ -166,8 +162,8 @@ row per paragraph that belongs to a passage repeated across documents, and
         seen: set[int] = set()
         for b in batches:
             out = []
-            for k, row, t in zip(b["k"], b["row"], b["t"]):
-                u = Units(t)
+            for k, row, t, hashes in zip(b["k"], b["row"], b["t"], word_hashes(b["t"].tolist())):
+                u = Units(t, hashes)
                 lines = u.classes(_LINE)
                 fresh = np.array([c not in seen for c in lines.tolist()], bool)
                 if len(seen) > 500_000:
@@ -214,8 +210,8 @@ row per paragraph that belongs to a passage repeated across documents, and
         seen: set[int] = set()
         for b in batches:
             out = []
-            for t in b["t"][C.in_filter(texts.value, b["row"].to_numpy(np.int64))]:
-                u = Units(t)
+            own = b["t"][C.in_filter(texts.value, b["row"].to_numpy(np.int64))].tolist()
+            for u in map(Units, own, word_hashes(own)):
                 classes = u.classes(_LINE)
                 for i in np.flatnonzero(C.in_filter(wanted.value, classes)):
                     c = int(classes[i])
@@ -300,15 +296,13 @@ def _runs(rows: DataFrame, indexed: DataFrame, copied: DataFrame, repeated, own:
     held = (indexed.select("k", "row", "chunks", "at").mapInPandas(find, "k long, row long, id long, a long")
             .distinct().join(copied.withColumnRenamed("cls", "id"), "id", "left_semi"))
     passages = own.groupBy("k", "row", "run").agg(F.min("a").alias("a"), F.max("z").alias("z"))
-    marked = held.unionByName(passages.drop("run"), allowMissingColumns=True)
+    # A chunk is known whose middle lies in a passage.
+    middle = F.col("a") + F.when(F.col("id").isNull(), 0).otherwise(CHUNK // 2)
+    marked = held.unionByName(passages.drop("run"), allowMissingColumns=True).withColumn("middle", middle)
     of_text = Window.partitionBy("k", "row").orderBy("a")
-    marked = (marked.withColumn("known_to", F.max("z").over(of_text.rangeBetween(Window.unboundedPreceding, 0)))
-              .filter("id is not null")
-              .withColumn("run", F.sum((F.col("a") > F.coalesce(F.lag("a").over(of_text), F.lit(-1 - PICK)) + PICK)
-                                       .cast("long")).over(of_text))
-              .withColumn("beyond", F.max(F.coalesce(F.col("known_to"), F.lit(0)) < F.col("a") + CHUNK)
-                          .over(Window.partitionBy("k", "row", "run")))
-              .filter("beyond"))
+    to_here = Window.partitionBy("k", "row").orderBy("middle").rangeBetween(Window.unboundedPreceding, 0)
+    marked = (marked.withColumn("known_to", F.coalesce(F.max("z").over(to_here), F.lit(-1)))
+              .filter("id is not null and known_to <= middle"))
     # What is wanted in one text is wanted in all that hold it.
     wanted = C.stored(marked.select("id").distinct(), "paragraph-chunks")
     chunks = C.bit_filter(wanted, "id")
@@ -324,8 +318,8 @@ def _runs(rows: DataFrame, indexed: DataFrame, copied: DataFrame, repeated, own:
         for b in batches:
             b = b[C.in_filter(texts.value, b["row"].to_numpy(np.int64))]
             parts = [np.empty((0, len(columns)), np.int64)]
-            for k, row, t in zip(b["k"], b["row"], b["t"]):
-                u = Units(t)
+            for k, row, t, hashes in zip(b["k"], b["row"], b["t"], word_hashes(b["t"].tolist())):
+                u = Units(t, hashes)
                 every, at, classes = u.chunks()
                 at = at[C.in_filter(chunks.value, classes)]
                 if len(at):

@@ -10,14 +10,6 @@ so that only pairs that may be similar leave it.  Paragraphs whose cluster
 spans several documents are joined to passages where they stand side by side;
 passages of at least ``PASSAGE_WORDS`` words count, and all but the first
 occurrence of each are removed.
-
-Passages cut inside sentences, re-wrapped or without sentence ends are found by
-chunks that the content picks: of every ``PICK`` consecutive windows of
-``CHUNK`` words, the one with the least hash.  Texts that share a run of words
-pick the same chunks inside it.  Where chunks that several documents hold reach
-beyond the passages found so far, all windows around them are compared, which
-extends the matches to their exact ends; runs of at least ``RUN_WORDS`` words
-count, and every such run holds a chunk.
 """
 
 from __future__ import annotations
@@ -36,33 +28,13 @@ SHINGLE, PERCENT = 5, 80
 BANDS, ROWS = 12, 3
 LINE_WORDS, SENTENCE_WORDS = 20, 5
 PASSAGE_WORDS = 30
-#: Words of a chunk; consecutive windows of which one becomes a chunk; words of a run.
-CHUNK, PICK, RUN_WORDS = 16, 24, 51
 #: Bits of a line's signature.
 SIGNATURE = 512
 #: Words between two repeated paragraphs that still belong to one passage.
 BRIDGE = 10
 _SEEDS = C.mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * C._PRIME)
 _A, _B = _SEEDS[::2] | np.uint64(1), _SEEDS[1::2]
-_LINE, _SENTENCE, _CHUNK = 1, 2, 3
-
-
-def _sliding(values: np.ndarray, best: np.ufunc) -> np.ndarray:
-    """``best`` of every ``PICK`` consecutive values."""
-    size = 1
-    while size < PICK:
-        step = min(size, PICK - size)
-        values, size = best(values[:-step], values[step:]), size + step
-    return values
-
-
-def chunk_starts(hashes: np.ndarray) -> np.ndarray:
-    """Positions that hold the least of some ``PICK`` consecutive hashes."""
-    if len(hashes) < PICK:
-        return np.empty(0, np.int64)
-    edge = np.zeros(PICK - 1, np.uint64)
-    least = np.concatenate((edge, _sliding(hashes, np.minimum), edge))
-    return np.flatnonzero(_sliding(least, np.maximum) == hashes)
+_LINE, _SENTENCE = 1, 2
 
 
 class Units:
@@ -110,13 +82,6 @@ class Units:
     def shingles(self, a: int, b: int) -> np.ndarray:
         return C.shingle_set(self.hash[a:b], SHINGLE)
 
-    def chunks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Classes of all windows of ``CHUNK`` words, the picked positions and their classes."""
-        every = C.windows(self.hash, CHUNK)
-        at = chunk_starts(every)
-        every = C.mix(every + np.uint64(_CHUNK)).view(np.int64)
-        return every, at, every[at]
-
     def bands(self, ranges: np.ndarray) -> np.ndarray:
         """Band keys of lines (rows: lines; columns: BANDS)."""
         if not len(ranges):
@@ -142,8 +107,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 def repeated_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(``key``, start, end, n_words, component_id, removed, text_hash): one
-row per paragraph that belongs to a passage repeated across documents, and
-    per run of words found by chunks (it may overlap the paragraphs' rows).
+row per paragraph that belongs to a passage repeated across documents.
 
     Offsets are code points, the end exclusive.  ``removed`` is false for the
     first occurrence (by key, then place) of each cluster, true for the
@@ -171,17 +135,15 @@ row per paragraph that belongs to a passage repeated across documents, and
                 seen.update(lines.tolist())
                 ranges = np.concatenate((u.lines, u.sentences))
                 start, end = u.places(ranges)
-                _, at, chunks = u.chunks()
                 out.append((k, row, np.concatenate((lines, u.classes(_SENTENCE))), ranges[:, 0], ranges[:, 1], start,
-                            end, lines[fresh], u.bands(u.lines[fresh]).ravel(), chunks, at))
-            yield pd.DataFrame(out, columns=["k", "row", "every", "a", "z", "start", "end", "fresh", "bands",
-                                             "chunks", "at"])
+                            end, lines[fresh], u.bands(u.lines[fresh]).ravel()))
+            yield pd.DataFrame(out, columns=["k", "row", "every", "a", "z", "start", "end", "fresh", "bands"])
 
     indexed = C.stored(rows.mapInPandas(
         index, "k long, row long, every array<long>, a array<int>, z array<int>, start array<int>, end array<int>, "
-               "fresh array<long>, bands array<long>, chunks array<long>, at array<int>"), "paragraphs")
+               "fresh array<long>, bands array<long>"), "paragraphs")
     # Classes in two documents or more; partial aggregates make a hot one small.
-    copied = C.stored(indexed.select("k", F.explode(F.concat("every", "chunks")).alias("cls")).groupBy("cls")
+    copied = C.stored(indexed.select("k", F.explode("every").alias("cls")).groupBy("cls")
                       .agg(F.min("k").alias("lo"), F.max("k").alias("hi")).filter("lo < hi").select("cls"),
                       "paragraph-copies")
     senders = indexed.filter(F.size("fresh") > 0)
@@ -272,83 +234,10 @@ row per paragraph that belongs to a passage repeated across documents, and
            .withColumn("new", F.greatest(F.col("z") - F.greatest("a", "reach"), F.lit(0)))
            .withColumn("words", F.sum("new").over(Window.partitionBy("k", "row", "run")))
            .filter(F.col("words") >= PASSAGE_WORDS))
-    own = C.stored(own.select("k", "row", "a", "z", "start", "end", "run", F.col("first.k").alias("component_id"), (
-        (F.col("k") != F.col("first.k")) | (F.col("a") != F.col("first.a"))).alias("removed")), "paragraph-passages")
-    runs = _runs(rows, indexed, copied, repeated, own)
-    columns = ["k", "start", "end", "n_words", "component_id", "removed", "row"]
-    return (own.withColumn("n_words", F.col("z") - F.col("a")).select(*columns).unionByName(runs.select(*columns))
-            .withColumnsRenamed({"k": key, "row": "text_hash"}))
-
-
-def _runs(rows: DataFrame, indexed: DataFrame, copied: DataFrame, repeated, own: DataFrame) -> DataFrame:
-    """Runs of ``RUN_WORDS`` words or more that several documents hold, where
-    copied chunks reach beyond the passages ``own``: (k, row, start, end,
-    n_words, component_id, removed), one row per stretch of a run and document
-    that has it first."""
-    def find(batches):
-        for b in batches:
-            sizes = b["chunks"].map(len).to_numpy(np.int64)
-            ids, at = (np.concatenate([*b[c], np.empty(0, np.int64)]).astype(np.int64) for c in ("chunks", "at"))
-            keep = C.in_filter(repeated.value, ids)
-            yield pd.DataFrame({**{c: np.repeat(b[c].to_numpy(np.int64), sizes)[keep] for c in ("k", "row")},
-                                "id": ids[keep], "a": at[keep]})
-
-    held = (indexed.select("k", "row", "chunks", "at").mapInPandas(find, "k long, row long, id long, a long")
-            .distinct().join(copied.withColumnRenamed("cls", "id"), "id", "left_semi"))
-    passages = own.groupBy("k", "row", "run").agg(F.min("a").alias("a"), F.max("z").alias("z"))
-    # A chunk is known whose middle lies in a passage.
-    middle = F.col("a") + F.when(F.col("id").isNull(), 0).otherwise(CHUNK // 2)
-    marked = held.unionByName(passages.drop("run"), allowMissingColumns=True).withColumn("middle", middle)
-    of_text = Window.partitionBy("k", "row").orderBy("a")
-    to_here = Window.partitionBy("k", "row").orderBy("middle").rangeBetween(Window.unboundedPreceding, 0)
-    marked = (marked.withColumn("known_to", F.coalesce(F.max("z").over(to_here), F.lit(-1)))
-              .filter("id is not null and known_to <= middle"))
-    # What is wanted in one text is wanted in all that hold it.
-    wanted = C.stored(marked.select("id").distinct(), "paragraph-chunks")
-    chunks = C.bit_filter(wanted, "id")
-
-    def having(batches):
-        for b in batches:
-            yield b.loc[[bool(C.in_filter(chunks.value, x).any()) for x in b["chunks"]], ["row"]]
-
-    texts = C.bit_filter(indexed.select("row", "chunks").mapInPandas(having, "row long"), "row")
-
-    def around(batches):
-        columns = ["k", "row", "cls", "a", "start", "end", "picked"]
-        for b in batches:
-            b = b[C.in_filter(texts.value, b["row"].to_numpy(np.int64))]
-            parts = [np.empty((0, len(columns)), np.int64)]
-            for k, row, t, hashes in zip(b["k"], b["row"], b["t"], word_hashes(b["t"].tolist())):
-                u = Units(t, hashes)
-                every, at, classes = u.chunks()
-                at = at[C.in_filter(chunks.value, classes)]
-                if len(at):
-                    near = np.zeros(len(every) + 1, np.int64)
-                    np.add.at(near, np.maximum(at - PICK + 1, 0), 1)
-                    np.add.at(near, np.minimum(at + PICK, len(every)), -1)
-                    a = np.flatnonzero(np.cumsum(near[:-1]))
-                    start, end = u.places(np.column_stack((a, a + CHUNK)))
-                    parts.append(np.column_stack((np.full(len(a), k), np.full(len(a), row), every[a], a, start, end,
-                                                  np.isin(a, at))))
-            yield pd.DataFrame(np.concatenate(parts), columns=columns)
-
-    # The bit set lets some other chunks pass: only what is near a wanted one stays.
-    near = F.max(F.col("id").isNotNull() & (F.col("picked") == 1)).over(of_text.rangeBetween(1 - PICK, PICK - 1))
-    windows = rows.mapInPandas(
-        around, "k long, row long, cls long, a long, start long, end long, picked long").distinct()
-    windows = C.stored(windows.join(wanted, F.col("cls") == F.col("id"), "left").withColumn("near", near)
-                       .filter("near").drop("id", "picked", "near"), "paragraph-windows")
-    shared = (windows.groupBy("cls").agg(F.min(F.struct("k", "a")).alias("first"), F.max("k").alias("hi"))
-              .filter("first.k < hi").drop("hi"))
-    hits = windows.join(shared, "cls")
-    return (hits.withColumn("run", F.col("a") - F.row_number().over(of_text))
-            .withColumn("words", F.count(F.lit(1)).over(Window.partitionBy("k", "row", "run")) + CHUNK - 1)
-            .filter(F.col("words") >= RUN_WORDS)
-            .groupBy("k", "row", "run", F.col("first.k").alias("component_id"),
-                     (F.col("a") - F.col("first.a")).alias("shift"))
-            .agg(F.min("start").alias("start"), F.max("end").alias("end"),
-                 (F.max("a") + CHUNK - F.min("a")).alias("n_words"))
-            .withColumn("removed", (F.col("k") != F.col("component_id")) | (F.col("shift") != 0)))
+    return own.select(F.col("k").alias(key), "start", "end", (F.col("z") - F.col("a")).alias("n_words"),
+                      F.col("first.k").alias("component_id"),
+                      (~((F.col("k") == F.col("first.k")) & (F.col("a") == F.col("first.a")))).alias("removed"),
+                      F.col("row").alias("text_hash"))
 
 
 def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -38,59 +38,6 @@ def test_passages_inside_lines_are_caught_and_clean_documents_left(spark):
             assert cut[i] == t
 
 
-def test_passages_cut_at_random_words_are_all_found(spark):
-    """Runs of 51 words and more, cut and set in at random words, re-wrapped or
-    without any sentence end: all found, and nothing but what windows of all
-    texts show to be repeated."""
-    rnd, rows, planted = random.Random(21), [], {}
-    for case, n in enumerate((51, 51, 51, 60, 80, 120) * 6):
-        words = prose(3000 + case, 400).split()
-        at = rnd.randrange(len(words) - n)
-        run = words[at:at + n]
-        if case % 3 == 1:
-            run = [w.rstrip(".").lower() for w in run]
-        for copy in range(2):
-            own = prose(5000 + 2 * case + copy, 150).split()
-            to = rnd.randrange(1, len(own))
-            glue = " \n"[case % 2 * copy] if case % 3 == 2 else " "
-            lead = " ".join(own[:to]) + " "
-            planted[len(rows)] = (len(lead), glue.join(run))
-            rows.append((len(rows), lead + glue.join(run) + " " + " ".join(own[to:])))
-    clean = [(1000 + i, prose(9000 + i, 150)) for i in range(30)]
-    seen: dict[tuple, set] = {}
-    for k, t in rows + clean:
-        w = t.lower().split()
-        for i in range(len(w) - P.SENTENCE_WORDS + 1):
-            seen.setdefault(tuple(w[i:i + P.SENTENCE_WORDS]), set()).add(k)
-    found = rows_of(P.repeated_paragraphs(documents(spark, rows + clean).repartition(6)))
-    assert {r["doc_id"] for r in found} == set(planted)
-    assert {r["doc_id"] for r in found if r["removed"]} == set(range(1, len(rows), 2))
-    texts = dict(rows)
-    for r in found:
-        w = texts[r["doc_id"]][r["start"]:r["end"]].lower().split()
-        assert len(w) == r["n_words"]
-        assert all(len(seen[tuple(w[i:i + P.SENTENCE_WORDS])]) > 1 for i in range(len(w) - P.SENTENCE_WORDS + 1))
-    for k, (start, run) in planted.items():
-        covered = set()
-        for r in found:
-            if r["doc_id"] == k:
-                covered |= set(range(r["start"], r["end"]))
-        text = "".join(c if start + i in covered else "#" if not c.isspace() else c for i, c in enumerate(run))
-        assert sum("#" not in w for w in text.split()) >= P.PASSAGE_WORDS
-        # What sentences leave at the ends holds no chunk of its own.
-        left = text[:len(text) - len(text.lstrip("# \n"))], text[len(text.rstrip("# \n")):]
-        assert max(len(e.split()) for e in left) < P.CHUNK + P.PICK
-
-
-def test_chunks_of_repetitive_and_short_texts():
-    """One word over and over, short periods, and texts too short for a chunk."""
-    for words in (["a"] * 500, ["a", "b", "c"] * 100, list("abcdefghij") * 30):
-        at = P.Units(" ".join(words)).chunks()[1]
-        assert at[0] < P.PICK and max(np.diff(at)) <= P.PICK and at[-1] > len(words) - P.CHUNK - P.PICK
-    for n in (0, 1, P.CHUNK, P.CHUNK + P.PICK - 2):
-        assert len(P.Units(" ".join("w" * n)).chunks()[1]) == 0
-
-
 def test_near_lines_match_brute_force(spark):
     rnd = random.Random(4)
     lines = [prose(i, 90).replace(". ", " ").replace(".", "") .lower() for i in range(6)]
@@ -167,3 +114,14 @@ def test_batches_that_keep_no_line_while_tiles_are_left_apart(spark, monkeypatch
               if i != j and 100 * len(a & b) >= 80 * len(a | b)}
     found = rows_of(P.repeated_paragraphs(documents(spark, rows).repartition(20)))
     assert {r["doc_id"] for r in found if r["n_words"] >= 90} == linked and len(linked) >= 6
+
+
+def test_words_of_a_batch_are_hashed_alike(spark):
+    """Lines and sentences do not depend on which texts are hashed together."""
+    texts = [PASSAGE, "", " \n\r ", "Écoute. Le été À la fin\rÀ part\n\nOne. two! Three? four", "x" * 300]
+    for t, hashes in zip(texts, P.word_hashes(texts)):
+        a, b = P.Units(t), P.Units(t, hashes)
+        assert (a.hash == b.hash).all() and len(a.hash) == len(t.split())
+        assert (a.lines == b.lines).all() and (a.sentences == b.sentences).all()
+    u = P.Units("one two three four five. six seven eight nine ten\neleven b c d e f")
+    assert u.sentences.tolist() == [[0, 5], [5, 10], [10, 16]]

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrivals.llm import common as C
+from arrivals.llm.pitman_yor import word_hashes
 
 SHINGLE = 5
 #: Links need 100 * intersection >= 80 * union.
@@ -31,10 +32,12 @@ COMMON_IN_SAMPLE = 3
 COMMON_SHINGLES = 200_000
 
 
+def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
+    return [C.shingle_set(words, SHINGLE) for words in word_hashes(texts)]
+
+
 def shingles_of(text: str | None) -> np.ndarray:
-    if not text:
-        return np.empty(0, np.uint64)
-    return C.shingle_set(C.word_hashes(C.word_codes(text.encode("utf-8", "surrogatepass"))), SHINGLE)
+    return shingle_sets([text])[0]
 
 
 def class_of(s: np.ndarray) -> int:
@@ -65,7 +68,7 @@ def common_shingles(docs: DataFrame, text: str) -> np.ndarray:
 
     def count(batches):
         for b in batches:
-            sets = [shingles_of(t) for t in b["t"]]
+            sets = shingle_sets(b["t"].tolist())
             yield pd.DataFrame({"s": np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)})
 
     rows = (sample.select(F.col(text).alias("t")).dropDuplicates().mapInPandas(count, "s long")
@@ -93,8 +96,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
         seen: set[int] = set()
         for b in batches:
             out = []
-            for k, row, t in zip(b["k"], b["row"], b["t"]):
-                s = shingles_of(t)
+            for k, row, s in zip(b["k"], b["row"], shingle_sets(b["t"].tolist())):
                 c = class_of(s) if len(s) else None
                 new = c is not None and c not in seen
                 if new:
@@ -166,8 +168,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
             seen: set[int] = set()
             for b in batches:
                 out = []
-                for t in b["t"][C.in_filter(rows.value, b["row"].to_numpy(np.int64))]:
-                    s = shingles_of(t)
+                for s in shingle_sets(b["t"][C.in_filter(rows.value, b["row"].to_numpy(np.int64))].tolist()):
                     c = class_of(s) if len(s) else None
                     if c is not None and c not in seen:
                         if len(seen) > 500_000:

@@ -58,7 +58,7 @@ def test_stages_in_order(spark, corpus):
 
 def test_registered_queries(spark, corpus):
     names = [n for n in queries() if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in sorted(names, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in sorted(names, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 14))
     sf, texts = corpus
     got = {r["doc_id"]: r["component_id"] for r in op10_ngram_jaccard_join(spark, sf).collect()}
     assert got == {k: c for k, _, c in brute(list(texts.items()))}

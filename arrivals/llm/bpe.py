@@ -11,8 +11,8 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from collections.abc import Callable
-from itertools import chain
+from collections.abc import Callable, Iterable
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pandas as pd
@@ -39,6 +39,12 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def cut_ids(ids: list[int], ends: Iterable[int]) -> list[bytes]:
+    """Ids up to each end, from the end before, as little-endian unsigned 32-bit integers."""
+    data = np.array(ids, "<u4").tobytes()
+    return [data[4 * i:4 * j] for i, j in pairwise(chain((0,), ends))]
+
+
 class Vocabulary:
     """A byte-level BPE vocabulary with word ends, from a tokenizers JSON file.
 
@@ -48,7 +54,7 @@ class Vocabulary:
 
     _loaded: dict[tuple, Vocabulary] = {}
 
-    def __init__(self, path: str, missing: Callable[[Vocabulary, list[str]], list[list[int]]] | None = None):
+    def __init__(self, path: str, missing: Callable[[Vocabulary, list[str]], list[bytes]] | None = None):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -70,10 +76,13 @@ class Vocabulary:
                                        if p["type"] == "Split"))
         self.letters = _byte_letters()
         self.bytes_of = {c: b for b, c in self.letters.items()}
+        #: The symbol of a byte inside a word and at its end.
+        self.first = [self.ids[self.letters[b]] for b in range(256)]
+        self.last = [self.ids[self.letters[b] + self.end] for b in range(256)]
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.missing = missing or (lambda own, words: [own.merge(w) for w in words])
+        self.missing = missing or Vocabulary._merge_all
         self.known_words = C.Recent(WORDS_KEPT)  # ids, 4 bytes each
         self.known_runs = C.Recent(RUNS_KEPT)
 
@@ -118,6 +127,9 @@ class Vocabulary:
                 offer(before[i], i)
         return [s for s in symbol if s >= 0]
 
+    def _merge_all(self, words: list[str]) -> list[bytes]:
+        return cut_ids(list(chain.from_iterable(found := list(map(self.merge, words)))), accumulate(map(len, found)))
+
     # ---- a text ----------------------------------------------------------
 
     def words(self, text: str) -> list[str]:
@@ -130,12 +142,7 @@ class Vocabulary:
     def _learn_words(self, words: set[str]) -> None:
         new = self.known_words.absent(words)
         if new:
-            found = self.missing(self, new)
-            flat = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
-            at = 0
-            for w, ids in zip(new, found):
-                self.known_words[w] = flat[at:at + 4 * len(ids)]
-                at += 4 * len(ids)
+            self.known_words.update(zip(new, self.missing(self, new)))
 
     def _plain_ids(self, text: str) -> bytes:
         if _PLAIN.search(text) is not None:
@@ -146,10 +153,12 @@ class Vocabulary:
         runs = text.lower().split()
         new = self.known_runs.absent(set(runs))
         if new:
-            split = list(map(self.word.findall, new))
+            find = self.word.findall
+            split = [[r] if r.isalpha() else find(r) for r in new]  # letters alone are one word
             self._learn_words(set(chain.from_iterable(split)))
+            known = self.known_words
             for r, words in zip(new, split):
-                self.known_runs[r] = b"".join(map(self.known_words.__getitem__, words))
+                self.known_runs[r] = known[words[0]] if len(words) == 1 else b"".join(map(known.__getitem__, words))
         return b"".join(map(self.known_runs.__getitem__, runs))
 
     def encode(self, text: str | None) -> bytes:

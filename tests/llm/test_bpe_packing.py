@@ -106,6 +106,18 @@ def test_packing_places_every_id_once(spark, library, monkeypatch, fan_in, windo
     assert all(s & (s - 1) == 0 for s in sizes)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(TEXT, min_size=1, max_size=4), st.integers(0, 20000))
+def test_packing_encodes_words_fast_and_as_the_library(library, texts, at):
+    v = bpe.Vocabulary.load(PATH, packing._at_once)
+    assert packing._fast(v) is not None
+    known = [t.removesuffix(v.end) for t in [*v.ids][at:at + 40]]  # each is one token at a word's end, if it can be
+    texts = [*texts, " ".join(t for t in known if t.isascii()), "a" * 1500 + " b"]
+    v.known_words.clear(), v.known_words.old.clear(), v.known_runs.clear(), v.known_runs.old.clear()
+    for t in texts:
+        assert np.frombuffer(v.encode(t), "<u4").tolist() == ids_of(library, t)
+
+
 def test_packing_repeated_rows_and_empty_table(spark):
     pieces = packing.pack(documents(spark, [(1, "one two"), (1, "one two"), (2, None)]), PATH).collect()
     assert sorted(p["doc_id"] for p in pieces if p["start"] == 0) == [1, 1, 2]

@@ -29,6 +29,8 @@ CHUNK_CHARS = 1 << 20
 #: Texts within these characters need no normalisation beyond lower case;
 #: others take the vocabulary's own normaliser and word splitter.
 _PLAIN = re.compile(r"[^\x00-\x1b\x20-ɏ]")
+#: No symbol: no pair with it is merged.
+_NONE = (1 << 32) - 1
 
 
 def _byte_letters() -> dict[int, str]:
@@ -76,9 +78,11 @@ class Vocabulary:
                                        if p["type"] == "Split"))
         self.letters = _byte_letters()
         self.bytes_of = {c: b for b, c in self.letters.items()}
-        #: The symbol of a byte inside a word and at its end.
+        #: The symbol of a byte inside a word and at its end; the rank of a pair, and what a rank makes.
         self.first = [self.ids[self.letters[b]] for b in range(256)]
         self.last = [self.ids[self.letters[b] + self.end] for b in range(256)]
+        self.ranks = {left << 32 | right: rank for (left, right), (rank, _) in self.merges.items()}
+        self.joined = dict(self.merges.values())
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
@@ -97,34 +101,42 @@ class Vocabulary:
     # ---- one word --------------------------------------------------------
 
     def merge(self, word: str) -> list[int]:
-        shown = [self.letters[b] for b in word.encode("utf-8", "surrogatepass")]
-        if not shown:
+        data = word.encode("utf-8", "surrogatepass")
+        n = len(data)
+        if not n:
             return []
-        shown[-1] += self.end
-        symbol = [self.ids[s] for s in shown]
-        after = [*range(1, len(symbol)), -1]
-        before = list(range(-1, len(symbol) - 1))
-        queue: list[tuple[int, int, int]] = []
-
-        def offer(i: int, j: int) -> None:
-            found = self.merges.get((symbol[i], symbol[j]))
-            if found is not None:
-                heapq.heappush(queue, (found[0], i, found[1]))
-
-        for i in range(len(symbol) - 1):
-            offer(i, i + 1)
+        # Symbols, and a last one that stands before the first and after the last; pairs with it have no rank.
+        symbol = list(map(self.first.__getitem__, data))
+        symbol[-1] = self.last[data[-1]]
+        symbol.append(_NONE)
+        after, before = list(range(1, n + 2)), list(range(-1, n))
+        before[0] = n
+        rank_of, joined, place = self.ranks.get, self.joined, n.bit_length()
+        own = [rank_of(x << 32 | y) for x, y in zip(symbol, symbol[1:])]  # ranks of the pairs, by their left end
+        own.append(None)
+        queue = [rank << place | i for i, rank in enumerate(own) if rank is not None]
+        heapq.heapify(queue)
+        here = (1 << place) - 1
         while queue:
-            rank, i, joined = heapq.heappop(queue)
-            j = after[i]
-            if symbol[i] < 0 or j < 0 or self.merges.get((symbol[i], symbol[j]), (-1,))[0] != rank:
+            i, rank = queue[0] & here, queue[0] >> place
+            if own[i] != rank:
+                heapq.heappop(queue)
                 continue  # stale: the pair is no longer there
-            symbol[i], symbol[j] = joined, -1
-            after[i] = after[j]
-            if after[j] >= 0:
-                before[after[j]] = i
-                offer(i, after[j])
-            if before[i] >= 0:
-                offer(before[i], i)
+            j = after[i]
+            symbol[i] = new = joined[rank]
+            symbol[j], own[j] = -1, None
+            after[i] = j = after[j]
+            before[j] = i
+            own[i] = rank = rank_of(new << 32 | symbol[j])
+            if rank is not None:
+                heapq.heapreplace(queue, rank << place | i)
+            else:
+                heapq.heappop(queue)
+            j = before[i]
+            own[j] = rank = rank_of(symbol[j] << 32 | new)
+            if rank is not None:
+                heapq.heappush(queue, rank << place | j)
+        symbol.pop()
         return [s for s in symbol if s >= 0]
 
     def _merge_all(self, words: list[str]) -> list[bytes]:

@@ -118,6 +118,18 @@ def test_packing_encodes_words_fast_and_as_the_library(library, texts, at):
         assert np.frombuffer(v.encode(t), "<u4").tolist() == ids_of(library, t)
 
 
+def test_words_wait_for_no_other_queue_than_their_own():
+    """The pair of a merged symbol replaces its own entry; ranks are looked up once a pair."""
+    v = bpe.Vocabulary.load(PATH)
+    words = [t.removesuffix(v.end) for t in v.ids if t.endswith(v.end) and t.isascii()]
+    assert [v.merge(w) for w in words] == [[v.ids[w + v.end]] for w in words]
+    asked = []
+    slow = bpe.Vocabulary(PATH)
+    slow.ranks = type("Asked", (dict,), {"get": lambda own, pair: asked.append(pair) or dict.get(own, pair)})(v.ranks)
+    assert slow.merge("international") == naive(v, "international")
+    assert len(asked) <= 13 + 2 * 12  # once for each symbol at first, twice for each merge
+
+
 def test_packing_repeated_rows_and_empty_table(spark):
     pieces = packing.pack(documents(spark, [(1, "one two"), (1, "one two"), (2, None)]), PATH).collect()
     assert sorted(p["doc_id"] for p in pieces if p["start"] == 0) == [1, 1, 2]

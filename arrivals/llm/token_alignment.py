@@ -37,11 +37,23 @@ SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 #: Texts that the fast encoder surely splits as the library does.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e -ſ‐-‧€]*")
 _LONG, _LONG_GAP = 1000, re.compile(r"\s{1000}")
+_HALF = re.compile(r"\s{500}|\S{500}")
 
 
 def _is_plain(t: str) -> bool:
-    return (_PLAIN.fullmatch(t) is not None and _LONG_GAP.search(t) is None
-            and max(map(len, t.split()), default=0) < _LONG)
+    if _PLAIN.fullmatch(t) is None:
+        return False
+    # A run of _LONG holds a half of it that starts at a multiple of that half; most texts have none.
+    if all(_HALF.match(t, i) is None for i in range(0, len(t), _LONG // 2)):
+        return True
+    return _LONG_GAP.search(t) is None and max(map(len, t.split()), default=0) < _LONG
+
+
+def _steps(x: np.ndarray) -> np.ndarray:
+    """The first number, then each less the one before."""
+    out = x.copy()
+    out[1:] -= x[:-1]
+    return out
 
 
 class ByteLevel:
@@ -154,7 +166,7 @@ class Aligner:
         # A's ids of a window stand after B's of all windows before it, and the other way round.
         ids = np.empty(len(a) + len(b), "<u4")
         starts_a, starts_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
-        starts_a[i], starts_b[j] = np.diff(j, prepend=0), np.diff(np.append(i, len(a)))
+        starts_a[i], starts_b[j] = _steps(j), _steps(np.append(i, len(a)))[1:]
         starts_b[0] = i[0] if len(i) else len(a)
         ids[np.arange(len(a)) + np.cumsum(starts_a)] = a
         ids[np.arange(len(b)) + np.cumsum(starts_b)] = b + np.uint32(self.a.size)
@@ -173,15 +185,15 @@ class Aligner:
             t, a, b = next(coded)
             cuts = self.cut((" " + t).encode("utf-8", "surrogatepass"), a, b)
             found.append(cuts and (len(a), len(b), cuts))
-        new = self.windows.absent({w for f in found if f for w in f[2]})
+        new = self.windows.absent(set().union(*[f[2] for f in found if f]))
         if new:
             self.windows.update(zip(new, self.solve(new)))
         for f in found:
             if f is None:
                 yield None
                 continue
-            own = list(map(self.windows.__getitem__, f[2]))
-            yield f[0], f[1], ";".join([g for g, _ in own]), np.frombuffer(b"".join([x for _, x in own]), self.kind)
+            groups, links = zip(*map(self.windows.__getitem__, f[2]))
+            yield f[0], f[1], ";".join(groups), np.frombuffer(b"".join(links), self.kind)
         for w in new:  # long ones are not kept
             if len(w) > 4 * WINDOW_TOKENS:
                 del self.windows[w]
@@ -246,7 +258,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text:
                     pairs, times = np.unique(links, return_counts=True)
                     out.append((k, row, n_a, n_b, groups.count(";") + 1, len(links),
                                 hashlib.sha256(groups.encode()).hexdigest() if digest else groups,
-                                C.planes(np.diff(pairs, prepend=pairs.dtype.type(0))), C.planes(times.astype("<u4"))))
+                                C.planes(_steps(pairs)), C.planes(times.astype("<u4"))))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _TEXTS.split(", ")])
 
     texts = C.stored(source.mapInPandas(tokenise, _TEXTS), "alignment-texts")

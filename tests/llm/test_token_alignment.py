@@ -1,6 +1,7 @@
 """Operator 11 against brute force over byte offsets."""
 
 import hashlib
+import re
 from collections import Counter, defaultdict
 
 import public_tokenizers
@@ -93,3 +94,18 @@ def test_the_fast_encoder_is_used_and_equals_the_library():
     assert own.fast is not None
     texts = [" " + prose(i, 200) for i in range(20)] + [" Ça va, ‘quoted’ — “très” 10 €…\n\n  fin.  "]
     assert own.encode(texts) == [own.library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_runs_of_a_plain_text_are_measured_only_where_one_may_be_long(monkeypatch):
+    def plain(t):
+        runs = re.findall(r"\s+|\S+", t)
+        return all(len(r) < 1000 for r in runs)
+
+    for before in (0, 1, 499, 500, 501, 777):
+        for n in (498, 500, 998, 999, 1000, 1001, 1500):
+            for run in ("x", " "):
+                t = ("ab " * 400)[:before] + ("y" if run == " " else " ") + run * n + "\ty z"
+                assert A._is_plain(t) == plain(t), (before, n, run)
+    assert A._is_plain("") and not A._is_plain("\u4e2d")
+    monkeypatch.setattr(A, "_LONG_GAP", None)  # common texts do not get that far
+    assert A._is_plain("some common words " * 500)

@@ -71,3 +71,17 @@ def test_small_lookups_give_the_same_results(monkeypatch):
     kept.update({"a": 1, "b": 2, "c": 3})
     assert kept.absent({"a", "d"}) == ["d"]  # a comes back from the older generation
     assert dict(kept) == {"a": 1} and kept.old == {"a": 1, "b": 2, "c": 3}
+
+
+def test_batches_of_long_rows_are_bounded_in_bytes(spark):
+    C.small_batches(spark)
+    row = 100_000
+
+    def sizes(batches):
+        for b in batches:
+            yield b[["id"]].assign(id=int(b["x"].map(len).sum()))[:1]
+
+    wide = spark.range(0, 200, 1, 1).selectExpr("id", f"cast(repeat('x', {row}) as binary) as x")
+    found = [r["id"] for r in wide.mapInPandas(sizes, "id long").collect()]
+    assert sum(found) == 200 * row
+    assert max(found) <= C.BATCH_BYTES + row

@@ -1,8 +1,8 @@
 """Operator 8, BPE encoding and decoding with a public vocabulary.
 
-Each word is merged by a priority queue of merge ranks over a doubly linked
-list of its symbols; queue entries whose pair has changed meanwhile are stale
-and skipped.  Decoding concatenates the vocabulary's strings.  Words recur, so
+Words are merged by a priority queue of merge ranks over a doubly linked list
+of their symbols, all new words of a text in one; queue entries whose pair has
+changed meanwhile are stale and skipped.  Decoding concatenates the vocabulary's strings.  Words recur, so
 each task keeps the ids of words it has merged in a bounded table.
 """
 
@@ -12,7 +12,7 @@ import heapq
 import json
 import re
 from collections.abc import Callable, Iterable
-from itertools import accumulate, chain, pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pandas as pd
@@ -41,7 +41,7 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-def cut_ids(ids: list[int], ends: Iterable[int]) -> list[bytes]:
+def cut_ids(ids: list[int] | np.ndarray, ends: Iterable[int]) -> list[bytes]:
     """Ids up to each end, from the end before, as little-endian unsigned 32-bit integers."""
     data = np.array(ids, "<u4").tobytes()
     return [data[4 * i:4 * j] for i, j in pairwise(chain((0,), ends))]
@@ -83,6 +83,15 @@ class Vocabulary:
         self.last = [self.ids[self.letters[b] + self.end] for b in range(256)]
         self.ranks = {left << 32 | right: rank for (left, right), (rank, _) in self.merges.items()}
         self.joined = dict(self.merges.values())
+        #: Symbols by code (a byte; 256 more at a word's end; 512 behind it), and the ranks of their pairs.
+        self.symbols = np.array([*self.first, *self.last, _NONE])
+        codes: dict[int, list[int]] = {}
+        for c, symbol in enumerate(self.symbols.tolist()):
+            codes.setdefault(symbol, []).append(c)
+        self.first_ranks = np.full((513, 513), -1)
+        for (left, right), (rank, _) in self.merges.items():
+            for c in codes.get(left, ()):
+                self.first_ranks[c, codes.get(right, [])] = rank
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
@@ -98,29 +107,46 @@ class Vocabulary:
             cls._loaded[key] = cls(path, missing)
         return cls._loaded[key]
 
-    # ---- one word --------------------------------------------------------
+    # ---- words ------------------------------------------------------------
 
     def merge(self, word: str) -> list[int]:
-        data = word.encode("utf-8", "surrogatepass")
-        n = len(data)
-        if not n:
-            return []
-        # Symbols, and a last one that stands before the first and after the last; pairs with it have no rank.
-        symbol = list(map(self.first.__getitem__, data))
-        symbol[-1] = self.last[data[-1]]
-        symbol.append(_NONE)
-        after, before = list(range(1, n + 2)), list(range(-1, n))
-        before[0] = n
-        rank_of, joined, place = self.ranks.get, self.joined, n.bit_length()
-        own = [rank_of(x << 32 | y) for x, y in zip(symbol, symbol[1:])]  # ranks of the pairs, by their left end
-        own.append(None)
-        queue = [rank << place | i for i, rank in enumerate(own) if rank is not None]
-        heapq.heapify(queue)
+        return np.frombuffer(self._merge_all([word])[0], "<u4").tolist()
+
+    def _merge_all(self, words: list[str]) -> list[bytes]:
+        """Ids of each word.  All share one list of symbols and one queue: the
+        ``_NONE`` behind each word has no rank with any symbol, so words stay apart."""
+        coded = [w.encode("utf-8", "surrogatepass") for w in words]
+        data = np.frombuffer(b"\0".join([*coded, b""]), np.uint8)
+        lens = np.fromiter(map(len, coded), np.int64, len(coded))
+        ends = np.cumsum(lens + 1) - 1
+        last = ends[lens > 0] - 1
+        code = data.astype(np.int64)
+        code[last] += 256
+        code[ends] = 512
+        symbol = self.symbols[code].tolist()
+        # Ranks of the pairs, by their left end; None or -1: not merged.
+        start = np.append(self.first_ranks[code[:-1], code[1:]], np.int64(-1))
+        own = start.tolist()
+        n = len(own)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        place = n.bit_length()
         here = (1 << place) - 1
-        while queue:
-            i, rank = queue[0] & here, queue[0] >> place
+        at = np.flatnonzero(start >= 0)
+        first = np.sort(start[at] << place | at).tolist()  # the pairs of bytes, in order
+        first.append(_NONE << place)
+        queue: list[int] = []  # the pairs that merges make
+        rank_of, joined, push, pop = self.ranks.get, self.joined, heapq.heappush, heapq.heappop
+        took, head = 0, first[0]
+        while True:
+            if queue and queue[0] < head:
+                entry = pop(queue)
+            elif took < len(at):
+                entry, took = head, took + 1
+                head = first[took]
+            else:
+                break
+            i, rank = entry & here, entry >> place
             if own[i] != rank:
-                heapq.heappop(queue)
                 continue  # stale: the pair is no longer there
             j = after[i]
             symbol[i] = new = joined[rank]
@@ -129,18 +155,15 @@ class Vocabulary:
             before[j] = i
             own[i] = rank = rank_of(new << 32 | symbol[j])
             if rank is not None:
-                heapq.heapreplace(queue, rank << place | i)
-            else:
-                heapq.heappop(queue)
+                push(queue, rank << place | i)
             j = before[i]
             own[j] = rank = rank_of(symbol[j] << 32 | new)
             if rank is not None:
-                heapq.heappush(queue, rank << place | j)
-        symbol.pop()
-        return [s for s in symbol if s >= 0]
-
-    def _merge_all(self, words: list[str]) -> list[bytes]:
-        return cut_ids(list(chain.from_iterable(found := list(map(self.merge, words)))), accumulate(map(len, found)))
+                push(queue, rank << place | j)
+        left = np.array(symbol, np.int64)
+        kept = left >= 0
+        kept[ends] = False
+        return cut_ids(left[kept], np.cumsum(kept)[ends].tolist())
 
     # ---- a text ----------------------------------------------------------
 

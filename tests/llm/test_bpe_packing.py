@@ -147,3 +147,15 @@ def test_windows_place_best_fit_and_top_up_the_fullest():
     frame = w.frame()
     assert frame["k"].tolist() == [1, 3, 4] and frame["length"].tolist() == [3000, 1000, 96]
     assert sorted(x[0] for x in w.open) == [2000, 2904]
+
+
+def test_words_of_a_text_share_one_queue_and_stay_apart():
+    v = bpe.Vocabulary(PATH)
+    words = ["quementle", "a", "ciónbo", "x" * 300, "thethe", "the", "é", "internationally", "the"]
+    asked = []
+    v.ranks = type("Asked", (dict,), {"get": lambda own, pair: asked.append(pair) or dict.get(own, pair)})(v.ranks)
+    found = [np.frombuffer(ids, "<u4").tolist() for ids in v._merge_all(words)]
+    assert found == [naive(v, w) for w in words]
+    # Pairs of bytes are ranked all at once: only pairs that a merge makes are asked for.
+    merges = sum(len(w.encode()) for w in words) - sum(map(len, found))
+    assert len(asked) <= 2 * merges

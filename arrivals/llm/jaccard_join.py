@@ -7,13 +7,15 @@ similarity t share one of the first ``n - ceil(t*n) + 1`` shingles of each.
 Classes that share such a shingle and lie in size bands that can reach the
 threshold are compared, first by their bitmaps (a bit that only A has is a
 shingle that only A has, so bit counts bound the overlap from above), then by
-exact intersection of the sorted arrays.
+exact intersection of their sets.  What travels to that comparison is a text of
+each class, compressed, a fraction of the size of its shingles' hashes.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,8 @@ SIGNATURE = 2048
 SAMPLE_DOCS = 20_000
 COMMON_IN_SAMPLE = 3
 COMMON_SHINGLES = 200_000
+#: Bytes of texts whose sets a worker holds at once.
+HELD_BYTES = 4 << 20
 
 
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
@@ -54,6 +58,16 @@ def prefix_of(s: np.ndarray, common: np.ndarray) -> np.ndarray:
     return rare[:take] if len(rare) >= take else np.concatenate((rare, s[hot][:take - len(rare)]))
 
 
+def linked(pairs: list[tuple[int, int]], sets: dict[int, np.ndarray]) -> list[tuple[int, int]]:
+    """The pairs whose sets reach the threshold."""
+    out = []
+    for x, y in pairs:
+        both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+        if 100 * both >= PERCENT * (len(sets[x]) + len(sets[y]) - both):
+            out.append((x, y))
+    return out
+
+
 def signature(s: np.ndarray) -> np.ndarray:
     bits = np.zeros(SIGNATURE, np.uint8)
     bits[(s >> np.uint64(17)) % np.uint64(SIGNATURE)] = 1
@@ -142,12 +156,17 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
     def link(batches):
         for b in batches:
-            keep = []
-            for x, y in zip(b["xi"], b["yi"]):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-            yield b.loc[np.array(keep, bool), ["a", "b"]]
+            pairs, texts, held = [], {}, 0
+            for last, (x, y, xt, yt) in enumerate(zip(b["a"], b["b"], b["xt"], b["yt"]), 1):
+                for i, packed in ((x, xt), (y, yt)):
+                    if i not in texts:
+                        texts[i] = zstandard.decompress(packed).decode("utf-8", "surrogatepass")
+                        held += len(texts[i])
+                pairs.append((x, y))
+                if held >= HELD_BYTES or last == len(b):
+                    yield pd.DataFrame(linked(pairs, dict(zip(texts, shingle_sets(list(texts.values()))))),
+                                       columns=["a", "b"], dtype=np.int64)
+                    pairs, texts, held = [], {}, 0
 
     def joined(pairs: DataFrame, own: DataFrame) -> DataFrame:
         for side, end in (("x", "a"), ("y", "b")):
@@ -164,25 +183,27 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
         rows = C.bit_filter(senders.join(ends, F.col("cls") == F.col("id"), "left_semi")
                             .groupBy("cls").agg(F.min("row").alias("row")), "row")
 
-        def arrays(batches):
+        def texts(batches):
             seen: set[int] = set()
             for b in batches:
                 out = []
-                for s in shingle_sets(b["t"][C.in_filter(rows.value, b["row"].to_numpy(np.int64))].tolist()):
+                some = b["t"][C.in_filter(rows.value, b["row"].to_numpy(np.int64))].tolist()
+                for t, s in zip(some, shingle_sets(some)):
                     c = class_of(s) if len(s) else None
                     if c is not None and c not in seen:
                         if len(seen) > 500_000:
                             seen.clear()
                         seen.add(c)
-                        out.append((c, s.tobytes()))
-                yield pd.DataFrame(out, columns=["id", "items"])
+                        out.append((c, zstandard.compress(t.encode("utf-8", "surrogatepass"))))
+                yield pd.DataFrame(out, columns=["id", "text"])
 
-        items = C.stored(docs.select("row", "t").mapInPandas(arrays, "id long, items binary")
-                         .dropDuplicates(["id"]), "jaccard-arrays")
+        # Any text of a class has its set.
+        items = C.stored(docs.select("row", "t").mapInPandas(texts, "id long, text binary"),
+                         "jaccard-texts").dropDuplicates(["id"])
         return C.few_tasks(joined(near.distinct(), items), some, 20_000).mapInPandas(link, "a long, b long")
 
     labels = C.link_groups(members, verify, "jaccard-links",
-                           senders.select(F.col("cls").alias("id"), "bits"))
+                           senders.select(F.col("cls").alias("id"), "bits"), SIGNATURE // 64)
     grouped = (sets_of.filter("cls is not null").select("k", "n", "row", "cls")
                .join(labels.withColumnRenamed("id", "cls"), "cls", "left")
                .select("k", "n", "row", F.coalesce("label", "cls").alias("label")))

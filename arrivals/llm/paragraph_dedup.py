@@ -205,7 +205,7 @@ row per paragraph that belongs to a passage repeated across documents.
                 .join(sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b"))
         return C.few_tasks(both, pairs.count(), 20_000).mapInPandas(alike, "a long, b long")
 
-    labels = C.link_groups(members, verify, "paragraph-links", sets.select("id", "bits"))
+    labels = C.link_groups(members, verify, "paragraph-links", sets.select("id", "bits"), SIGNATURE // 64)
     flagged = C.stored(copied.select(F.col("cls").alias("id")).join(labels, "id", "full_outer")
                        .select("id", F.coalesce("label", "id").alias("label")), "paragraph-classes")
     repeated = C.bit_filter(flagged.select("id"), "id")

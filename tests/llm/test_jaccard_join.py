@@ -6,6 +6,7 @@ import pytest
 
 from arrivals.llm import common as C
 from arrivals.llm import jaccard_join as J
+from arrivals.session import folder_size
 from tests.llm.helpers import documents, empty, prose
 from tests.llm.test_words import words
 
@@ -75,3 +76,36 @@ def test_empty_table_and_one_of_each(spark):
     assert kept.columns == df.columns
     assert sorted(((r[0], r[1]) for r in kept.select("doc_id", "text").collect()), key=str) == sorted(
         [(1, prose(1, 50)), (3, prose(2, 50)), (4, None), (None, prose(8, 50)), (5, "")], key=str)
+
+
+def test_sets_stay_out_of_the_files_between_steps(spark, monkeypatch):
+    """What is stored for the comparison is far smaller than the sets' hashes."""
+    rnd, sizes = random.Random(7), {}
+    rows = [(i, t) for i in range(12) for t in (prose(40 + i, 4000), near(prose(40 + i, 4000), rnd, 30))]
+    rows = [(j, t) for j, (_, t) in enumerate(rows)]
+    plain = C.stored
+
+    def stored(df, label):
+        out = plain(df, label)
+        sizes[label] = sizes.get(label, 0) + sum(folder_size(spark, f)[1] for f in {
+            f.rsplit("/", 1)[0] for f in out.inputFiles()})
+        return out
+
+    monkeypatch.setattr(C, "stored", stored)
+    assert got(J.jaccard_components(documents(spark, rows))) == brute(rows)
+    hashes = sum(8 * len(J.shingles_of(t)) for _, t in rows)
+    later = sum(n for label, n in sizes.items() if label not in ("jaccard-sets", "jaccard-links"))
+    assert 2 * later < hashes
+
+
+@pytest.mark.parametrize("first", [0, 1, 16])
+def test_links_in_large_groups_do_not_hang_on_the_keys_that_travel(spark, monkeypatch, first):
+    """Pairs whose first keys show no shared one come at every key, none is lost."""
+    for name, value in (("SMALL_GROUP", 2), ("LEADERS", 1), ("FIRST_KEYS", first)):
+        monkeypatch.setattr(C, name, value)
+    monkeypatch.setattr(J, "HELD_BYTES", 300)
+    rnd = random.Random(first)
+    common = prose(77, 60)
+    rows = [(i, near(common, rnd, rnd.choice([1, 2, 3]))) for i in range(25)]
+    rows += [(50 + i, common + " " + prose(900 + i, 14)) for i in range(12)]
+    assert got(J.jaccard_components(documents(spark, rows).repartition(3))) == brute(rows)

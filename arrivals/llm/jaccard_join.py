@@ -220,7 +220,9 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     it.  Of rows that repeat a key and text one stays; rows with a null key,
     and texts without shingles, stay unless such a repeat."""
     own, gone = (C.fresh(x, docs.columns) for x in ("row_hash", "gone"))
-    found = jaccard_components(docs, key, text).withColumn("row", F.xxhash64(key, "text_hash"))
+    # Stored, as three queries read it.
+    found = C.stored(jaccard_components(docs, key, text).select(key, "component_id", F.xxhash64(
+        key, "text_hash").alias("row")), "jaccard-found")
     out = found.filter(F.col(key) != F.col("component_id")).select(F.col("row").alias(gone)).distinct()
     again = found.groupBy("row").count().filter("count > 1").select(F.col("row").alias(gone))
     # Only rows that may go, or repeat, are shuffled.

@@ -109,3 +109,9 @@ def test_runs_of_a_plain_text_are_measured_only_where_one_may_be_long(monkeypatc
     assert A._is_plain("") and not A._is_plain("\u4e2d")
     monkeypatch.setattr(A, "_LONG_GAP", None)  # common texts do not get that far
     assert A._is_plain("some common words " * 500)
+
+
+def test_ids_become_unsigned_32_bit_numbers():
+    from arrivals.llm.token_alignment import _numbers
+    ids = [0, 1, 255, 65_536, 2**31, 2**32 - 1]
+    assert _numbers(ids).tolist() == ids and _numbers(ids).dtype == "<u4" and len(_numbers([])) == 0

@@ -12,6 +12,7 @@ import heapq
 import json
 import re
 from collections.abc import Callable, Iterable
+from functools import cached_property
 from itertools import chain, pairwise
 
 import numpy as np
@@ -22,9 +23,8 @@ from pyspark.sql import functions as F
 
 from arrivals.llm import common as C
 
-#: Words, and runs between white space, kept per worker and generation; characters
-#: handled at once.
-WORDS_KEPT, RUNS_KEPT = 100_000, 200_000
+#: Runs between white space kept per worker and generation; characters handled at once.
+RUNS_KEPT = 200_000
 CHUNK_CHARS = 1 << 20
 #: Texts within these characters need no normalisation beyond lower case;
 #: others take the vocabulary's own normaliser and word splitter.
@@ -51,23 +51,20 @@ class Vocabulary:
     """A byte-level BPE vocabulary with word ends, from a tokenizers JSON file.
 
     ``missing`` gives the ids of words not met before; by default they are
-    merged here.
+    merged here.  The tables that merging needs and the vocabulary's own library
+    are made when they are first asked for: a worker holds no more than it uses.
+    ``runs`` between white space are kept per generation, and half as many words.
     """
 
     _loaded: dict[tuple, Vocabulary] = {}
 
-    def __init__(self, path: str, missing: Callable[[Vocabulary, list[str]], list[bytes]] | None = None):
-        from tokenizers import Tokenizer
-
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+    def __init__(self, path: str, missing: Callable[[Vocabulary, list[str]], list[bytes]] | None = None,
+                 runs: int = RUNS_KEPT):
+        self.path = path
+        spec = self._read()
         model = spec["model"]
         self.ids: dict[str, int] = model["vocab"]
         self.end = model["end_of_word_suffix"] or ""
-        self.merges = {}
-        for rank, pair in enumerate(model["merges"]):
-            left, right = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[self.ids[left], self.ids[right]] = (rank, self.ids[left + right])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings = [""] * (1 + max([*self.ids.values(), *self.special.values()]))
         for text, i in [*self.ids.items(), *self.special.items()]:
@@ -76,35 +73,84 @@ class Vocabulary:
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.word = regex.compile(next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"]
                                        if p["type"] == "Split"))
+        self._rules = json.dumps(spec | {"added_tokens": [], "model": model | {"vocab": {}, "merges": []}})
         self.letters = _byte_letters()
         self.bytes_of = {c: b for b, c in self.letters.items()}
-        #: The symbol of a byte inside a word and at its end; the rank of a pair, and what a rank makes.
+        #: The symbol of a byte inside a word and at its end.
         self.first = [self.ids[self.letters[b]] for b in range(256)]
         self.last = [self.ids[self.letters[b] + self.end] for b in range(256)]
-        self.ranks = {left << 32 | right: rank for (left, right), (rank, _) in self.merges.items()}
-        self.joined = dict(self.merges.values())
-        #: Symbols by code (a byte; 256 more at a word's end; 512 behind it), and the ranks of their pairs.
+        #: Symbols by code: a byte; 256 more at a word's end; 512 behind it.
         self.symbols = np.array([*self.first, *self.last, _NONE])
+        self.missing = missing or Vocabulary._merge_all
+        self.known_words = C.Recent(runs // 2)  # ids, 4 bytes each
+        self.known_runs = C.Recent(runs)
+
+    def _read(self) -> dict:
+        with open(self.path, encoding="utf-8") as f:
+            return json.load(f)
+
+    def read_merges(self) -> dict[tuple[int, int], tuple[int, int]]:
+        """The rank of every pair and the id it makes, read anew."""
+        out = {}
+        for rank, pair in enumerate(self._read()["model"]["merges"]):
+            left, right = pair if isinstance(pair, list) else pair.split(" ")
+            out[self.ids[left], self.ids[right]] = (rank, self.ids[left + right])
+        return out
+
+    @cached_property
+    def merges(self) -> dict[tuple[int, int], tuple[int, int]]:
+        return self.read_merges()
+
+    @cached_property
+    def ranks(self) -> dict[int, int]:
+        """The rank of a pair."""
+        return {left << 32 | right: rank for (left, right), (rank, _) in self.merges.items()}
+
+    @cached_property
+    def joined(self) -> dict[int, int]:
+        """What a rank makes."""
+        return dict(self.merges.values())
+
+    @cached_property
+    def first_ranks(self) -> np.ndarray:
+        """Ranks of the pairs of symbols by their codes; -1: not merged."""
         codes: dict[int, list[int]] = {}
         for c, symbol in enumerate(self.symbols.tolist()):
             codes.setdefault(symbol, []).append(c)
-        self.first_ranks = np.full((513, 513), -1)
+        out = np.full((513, 513), -1)
         for (left, right), (rank, _) in self.merges.items():
             for c in codes.get(left, ()):
-                self.first_ranks[c, codes.get(right, [])] = rank
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.missing = missing or Vocabulary._merge_all
-        self.known_words = C.Recent(WORDS_KEPT)  # ids, 4 bytes each
-        self.known_runs = C.Recent(RUNS_KEPT)
+                out[c, codes.get(right, [])] = rank
+        return out
+
+    @cached_property
+    def library(self):
+        """The whole tokenizer as the vocabulary's own library has it."""
+        from tokenizers import Tokenizer
+
+        out = Tokenizer.from_file(self.path)
+        out.no_truncation()
+        out.no_padding()
+        return out
+
+    @cached_property
+    def splitter(self):
+        """The library's normaliser and word splitter, without the vocabulary."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(self._rules)
+
+    def forget(self) -> None:
+        """Lets go of the words met so far."""
+        self.known_words.forget()
+        self.known_runs.forget()
 
     @classmethod
-    def load(cls, path: str, missing=None) -> Vocabulary:
+    def load(cls, path: str, missing=None, runs: int = RUNS_KEPT) -> Vocabulary:
         """The vocabulary, read once per worker."""
-        key = (path, getattr(missing, "__name__", None))
+        key = (path, getattr(missing, "__name__", None), runs)
         if key not in cls._loaded:
-            cls._loaded[key] = cls(path, missing)
+            cls._loaded[key] = cls(path, missing, runs)
         return cls._loaded[key]
 
     # ---- words ------------------------------------------------------------
@@ -171,7 +217,7 @@ class Vocabulary:
         """The words of a text as the vocabulary's own splitter gives them."""
         if _PLAIN.search(text) is None:
             return self.word.findall(text.lower())
-        shown = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        shown = self.splitter.pre_tokenizer.pre_tokenize_str(self.splitter.normalizer.normalize_str(text))
         return [bytes(self.bytes_of[c] for c in w).decode("utf-8", "surrogatepass") for w, _ in shown]
 
     def _learn_words(self, words: set[str]) -> None:

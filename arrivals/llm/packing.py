@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrivals.llm import common as C
-from arrivals.llm.bpe import Vocabulary, cut_ids
+from arrivals.llm.bpe import RUNS_KEPT, Vocabulary, cut_ids
 
 LENGTH = 4096
 OPEN_WINDOWS = 16
@@ -119,7 +119,7 @@ def _fast(own: Vocabulary):
     if not hasattr(own, "fast"):
         import tiktoken
 
-        made = [i for _, i in sorted(own.merges.values())]
+        made = [i for _, i in sorted(own.read_merges().values())]
         single = {*own.first, *own.last}
         own.fast = None
         if own.end and len(single) == 512 and len(made) + 512 == len(own.ids) and all(
@@ -132,32 +132,44 @@ def _fast(own: Vocabulary):
     return own.fast
 
 
-def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _placed(batches, path: str, runs: int, forget: bool, part: int, count: int):
+    """Pieces of one task's documents."""
+    end = END_ID.to_bytes(4, "little")
+    windows = Windows(part << 36, part, count)
+    vocabulary = Vocabulary.load(path, _at_once, runs)
+    try:
+        for b in batches:
+            for k, t in zip(b["k"], b["t"]):
+                ids = vocabulary.encode(t) + end
+                windows.add(k, 0, ids, len(ids) // 4)
+            yield windows.frame()
+    finally:
+        if forget:
+            vocabulary.forget()
+    windows.leave_open()
+    yield windows.frame()
+
+
+def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", runs: int = RUNS_KEPT,
+         forget: bool = False) -> DataFrame:
     """Pieces of all documents, packed into sequences of at most ``LENGTH`` ids.
 
     Returns (``key``, start, length, ids, doc_tokens, sequence_id, offset), one
     row per piece, ids as little-endian unsigned 32-bit integers.  Every id of
     every document lies in exactly one piece.  Null and empty texts have the
     end id alone; a null key stays null; repeated rows are packed each; an
-    empty table gives no pieces; other columns are ignored.
+    empty table gives no pieces; other columns are ignored.  A worker keeps the
+    ids of up to twice ``runs`` words with their marks, with ``forget`` no longer
+    than a task: that takes more time and less memory, and gives the same pieces.
     """
     spark = docs.sparkSession
     C.small_batches(spark)
-    end, count = END_ID.to_bytes(4, "little"), OPEN_WINDOWS
+    count = OPEN_WINDOWS
 
     def first(batches):
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
-        windows = Windows(part << 36, part, count)
-        vocabulary = Vocabulary.load(path, _at_once)
-        for b in batches:
-            for k, t in zip(b["k"], b["t"]):
-                ids = vocabulary.encode(t) + end
-                windows.add(k, 0, ids, len(ids) // 4)
-            yield windows.frame()
-        windows.leave_open()
-        yield windows.frame()
+        yield from _placed(batches, path, runs, forget, TaskContext.get().partitionId(), count)
 
     source = docs.select(F.col(key).cast("long").cast("string").alias("k"), F.col(text).cast("string").alias("t"))
     pieces = C.stored(source.mapInPandas(first, _SCHEMA), "packing")

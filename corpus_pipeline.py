@@ -14,6 +14,10 @@ from arrivals.llm import common as C
 from arrivals.llm import jaccard_join, language_id, packing, paragraph_dedup, secrets_scan
 from arrivals.llm.queries import vocabulary_path
 
+#: Words whose ids a packing worker keeps, fewer and not as long as where packing runs
+#: alone: the executors also hold what other stages took, before and after.
+PACKING_RUNS = 50_000
+
 
 def _measured(docs: DataFrame) -> DataFrame:
     """``n_chars``, where there is one, follows the changed text."""
@@ -48,7 +52,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs all texts into sequences of token ids."""
-    return packing.pack(docs, vocabulary_path())
+    return packing.pack(docs, vocabulary_path(), runs=PACKING_RUNS, forget=True)
 
 
 STAGES = [

@@ -159,3 +159,30 @@ def test_words_of_a_text_share_one_queue_and_stay_apart():
     # Pairs of bytes are ranked all at once: only pairs that a merge makes are asked for.
     merges = sum(len(w.encode()) for w in words) - sum(map(len, found))
     assert len(asked) <= 2 * merges
+
+
+@pytest.mark.parametrize("runs, forget", [(bpe.RUNS_KEPT, False), (40, True)])
+def test_a_packing_worker_holds_no_more_than_packing_uses(library, monkeypatch, runs, forget):
+    monkeypatch.setattr(bpe.Vocabulary, "_loaded", {})  # as in a new worker
+    texts = [prose(3, 400), "Ünïcode 中文 words", "<|endoftext|> again and again", None]
+    batches = [{"k": ["1", "2"], "t": texts[:2]}, {"k": ["3", "4"], "t": texts[2:]}]
+    seen = list(packing._placed(batches, PATH, runs, forget, 0, 16))
+    v, = bpe.Vocabulary._loaded.values()
+    assert (v.known_runs.limit, v.known_words.limit) == (runs, runs // 2)
+    assert not {"merges", "ranks", "joined", "first_ranks", "library"} & vars(v).keys()
+    assert any((v.known_words, v.known_words.old, v.known_runs, v.known_runs.old)) != forget
+    got = {}
+    for f in seen:
+        for k, ids in zip(f["k"], f["ids"]):
+            got[k] = got.get(k, b"") + ids
+    assert {k: np.frombuffer(i, "<u4").tolist() for k, i in got.items()} == {
+        str(i): [*ids_of(library, t), packing.END_ID] for i, t in enumerate(texts, 1)}
+
+
+def test_the_pipeline_keeps_fewer_words_when_it_packs(monkeypatch):
+    import corpus_pipeline
+
+    asked = {}
+    monkeypatch.setattr(packing, "pack", lambda docs, path, **more: asked.update(more))
+    corpus_pipeline.pack_sequences(None, None, "")
+    assert asked["runs"] <= 50_000 < bpe.RUNS_KEPT and asked["forget"]

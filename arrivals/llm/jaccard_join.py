@@ -139,10 +139,13 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
                                   for c, x in (("id", "cls"), ("size", "n"))})
             yield frame.assign(key=key[keep], rest=frame["size"] - pos[keep])
 
-    # Tiles: a shingle and a size band; a set of band b meets bands b - 1 to b + 1.
+    # Tiles: a shingle and a size band; a set of band b meets bands b - 1 to b + 1.  In the
+    # tile of band b + 1 it meets larger sets, which must share an earlier shingle of it.
     band = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / PERCENT)) + 1e-9).cast("int")
+    larger = F.pow(F.lit(100 / PERCENT), band + 1) * (1 - 1e-6)
+    tiles = F.when((100 + PERCENT) * F.col("rest") >= PERCENT * (F.col("size") + larger), F.array(band, band + 1))
     members = (senders.select("cls", "n", "keys").mapInPandas(spread, "id long, size long, key long, rest long")
-               .select("key", "id", "size", "rest", F.explode(F.array(band, band + 1)).alias("tile"))
+               .select("key", "id", "size", "rest", F.explode(tiles.otherwise(F.array(band))).alias("tile"))
                .select(F.xxhash64("key", "tile").alias("key"), "id", "size", "rest").distinct())
 
     def may_link(batches):
@@ -175,7 +178,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
         return pairs
 
     def verify(pairs: DataFrame) -> DataFrame:
-        bits = senders.select(F.col("cls").alias("id"), F.col("bits").alias("b"), "n")
+        # Several tasks may have sent a class.
+        bits = senders.select(F.col("cls").alias("id"), F.col("bits").alias("b"), "n").dropDuplicates(["id"])
         near = C.stored(C.few_tasks(joined(pairs, bits), pairs.count()).mapInPandas(may_link, "a long, b long"),
                         "jaccard-near")
         some = near.count()
@@ -203,7 +207,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
         return C.few_tasks(joined(near.distinct(), items), some, 20_000).mapInPandas(link, "a long, b long")
 
     labels = C.link_groups(members, verify, "jaccard-links",
-                           senders.select(F.col("cls").alias("id"), "bits"), SIGNATURE // 64)
+                           senders.select(F.col("cls").alias("id"), "bits"))
     grouped = (sets_of.filter("cls is not null").select("k", "n", "row", "cls")
                .join(labels.withColumnRenamed("id", "cls"), "cls", "left")
                .select("k", "n", "row", F.coalesce("label", "cls").alias("label")))

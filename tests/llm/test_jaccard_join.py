@@ -109,3 +109,68 @@ def test_links_in_large_groups_do_not_hang_on_the_keys_that_travel(spark, monkey
     rows = [(i, near(common, rnd, rnd.choice([1, 2, 3]))) for i in range(25)]
     rows += [(50 + i, common + " " + prose(900 + i, 14)) for i in range(12)]
     assert got(J.jaccard_components(documents(spark, rows).repartition(3))) == brute(rows)
+
+
+def test_classes_sent_by_several_tasks_are_compared_once(spark, monkeypatch):
+    """Exact copies in every task must not multiply the pairs of their class."""
+    rnd, near_pairs = random.Random(5), []
+    rows = [(i, t) for i, t in enumerate([t for j in range(4) for t in (prose(j, 60), near(prose(j, 60), rnd, 1))] * 6)]
+    plain = C.stored
+
+    def stored(df, label):
+        out = plain(df, label)
+        if label == "jaccard-near":
+            near_pairs.append((out.count(), out.distinct().count()))
+        return out
+
+    monkeypatch.setattr(C, "stored", stored)
+    df = documents(spark, rows).repartitionByRange(6, "doc_id")
+    assert got(J.jaccard_components(df)) == brute(rows)
+    assert near_pairs and all(n == distinct for n, distinct in near_pairs)
+
+
+def test_large_groups_are_compared_in_bounded_cells(spark, monkeypatch):
+    """Each pair of different labels comes once, from cells of two blocks of a group."""
+    monkeypatch.setattr(C, "BLOCK_IDS", 5)
+    rnd, sizes = random.Random(2), []
+    groups = {key: rnd.sample(range(60), n) for key, n in ((1, 40), (2, 13), (3, 30))}
+    label = {i: -1 - rnd.randrange(4) for i in range(60)}
+    frame = spark.createDataFrame(
+        [(key, len(own), i, 9, 9, label[i], -1) for key, own in groups.items() for i in own],
+        "key long, n long, id long, size long, rest long, label long, main long")
+    bits = spark.createDataFrame([(i, [0, 0]) for i in range(60)], "id long, bits array<long>")
+    want = {(a, b, label[a], label[b], 9) for own in groups.values() for a in own for b in own
+            if a < b and label[a] != label[b]}
+    plain = type(frame).mapInPandas
+
+    def watched(df, *args, **kwargs):
+        sizes.extend(r["count"] for r in df.groupBy("key", "low", "high").count().collect())
+        return plain(df, *args, **kwargs)
+
+    monkeypatch.setattr(type(frame), "mapInPandas", watched)
+    for first in (0, 1, 16):
+        monkeypatch.setattr(C, "FIRST_KEYS", first)
+        pairs = [tuple(r) for r in C.pairs_apart(frame, bits).collect()]
+        assert set(pairs) == want and len(pairs) == len(want)
+    assert max(sizes) <= 3 * 2 * 5
+
+
+@pytest.mark.parametrize("many", [0, 10**6])
+def test_pairs_of_joined_components_are_not_compared_again(spark, monkeypatch, many):
+    for name, value in (("SMALL_GROUP", 2), ("LEADERS", 1), ("BLOCK_IDS", 7), ("MANY_PAIRS", many)):
+        monkeypatch.setattr(C, name, value)
+    rnd, compared = random.Random(8), []
+    common = prose(70, 80)
+    rows = [(i, near(common, rnd, rnd.choice([1, 2, 3, 4]))) for i in range(40)]
+    rows += [(50 + i, common + " " + prose(900 + i, 17)) for i in range(12)]
+    plain = C.stored
+
+    def stored(df, label):
+        out = plain(df, label)
+        if label == "jaccard-near":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(C, "stored", stored)
+    assert got(J.jaccard_components(documents(spark, rows).repartition(3))) == brute(rows)
+    assert len(compared) == (3 if many == 0 else 2)

@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -85,3 +86,13 @@ def test_batches_of_long_rows_are_bounded_in_bytes(spark):
     found = [r["id"] for r in wide.mapInPandas(sizes, "id long").collect()]
     assert sum(found) == 200 * row
     assert max(found) <= C.BATCH_BYTES + row
+
+
+def test_filter_grows_with_its_values(spark, monkeypatch):
+    monkeypatch.setattr(C, "FILTER_BITS", 1 << 16)
+    for most, largest in ((1 << 28, 0.15), (1 << 17, 1)):
+        monkeypatch.setattr(C, "MOST_FILTER_BITS", most)
+        ids = C.mix(np.arange(60_000, dtype=np.uint64)).view(np.int64)
+        bits = C.bit_filter(spark.createDataFrame(pd.DataFrame({"id": ids[:40_000]})), "id").value
+        assert 8 * len(bits) <= most and C.in_filter(bits, ids[:40_000]).all()
+        assert C.in_filter(bits, ids[40_000:]).mean() < largest

@@ -63,3 +63,20 @@ def test_registered_queries(spark, corpus):
     got = {r["doc_id"]: r["component_id"] for r in op10_ngram_jaccard_join(spark, sf).collect()}
     assert got == {k: c for k, _, c in brute(list(texts.items()))}
     assert P.run(spark, sf).filter("doc_id = 0").count() >= 1
+
+
+def test_near_copies_stage_compares_a_class_once_whatever_tasks_hold_it(spark, monkeypatch):
+    """Copies in all tasks must not multiply the pairs that stage 2 compares."""
+    rows = [(i, prose(3, 70) + " tail." * (i % 2), "en", "s", 1) for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    plain, pairs = P.C.stored, []
+
+    def stored(df, label):
+        out = plain(df, label)
+        if label == "jaccard-near":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(P.C, "stored", stored)
+    kept = P.drop_near_copies(spark, docs.repartition(8), "")
+    assert [r["doc_id"] for r in kept.collect()] == [0] and pairs == [1]
